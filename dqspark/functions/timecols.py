@@ -9,6 +9,7 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from dqspark.functions.columns import fill_template, strip, template_fields
 from dqspark.plans.joins import quoted
@@ -121,9 +122,16 @@ def parse_local(text: Column, strptime_format: str, zone: str | None = None) ->
     return parsed
 
 
-def time_bounds(text: Column, strptime_format: str, zone: str | None = None) -> tuple[Column, Column]:
-    """First and last epoch second the text can mean at its precision."""
-    local, unit, tz = parse_local(text, strptime_format, zone), precision(strptime_format), known_zone(zone)
+def typed_local(c: Column, kind: T.DataType, zone: str | None = None) -> Column:
+    """Wall-clock timestamp in ``zone`` of a column that already is a date or timestamp."""
+    if isinstance(kind, T.TimestampType):
+        return F.from_utc_timestamp(c, known_zone(zone))
+    return c.cast("timestamp")
+
+
+def time_bounds(local: Column, strptime_format: str, zone: str | None = None) -> tuple[Column, Column]:
+    """First and last epoch second a wall-clock time can mean at the precision of its format."""
+    unit, tz = precision(strptime_format), known_zone(zone)
 
     def epoch(wall_clock: Column) -> Column:
         return F.unix_seconds(F.to_utc_timestamp(wall_clock, tz))
@@ -162,7 +170,8 @@ def add_times(
     """Add ``max_<key>`` and ``min_<key>`` epoch columns for each mapping, and freshness labels.
 
     A mapping holds ``column`` (a name or a ``{a}-{b}`` template), ``format`` (strptime or
-    ``unixtime``) and optionally ``timezone``, ``primary`` and ``freshness``. A mapping whose columns
+    ``unixtime``) and optionally ``timezone``, ``primary`` and ``freshness``. Dates and timestamps
+    are taken as they are, the format giving only their precision. A mapping whose columns
     are missing is skipped. The first mapping flagged primary gives the primary time, else the
     execution time does.
     """
@@ -179,7 +188,10 @@ def add_times(
         if mapping["format"] == UNIX_TIME:
             lower = upper = F.floor(source.try_cast("double")).cast("bigint")
         else:
-            lower, upper = time_bounds(source, mapping["format"], mapping.get("timezone"))
+            zone, kind = mapping.get("timezone"), df.select(source).schema[0].dataType
+            typed = isinstance(kind, (T.TimestampType, T.TimestampNTZType, T.DateType))
+            local = typed_local(source, kind, zone) if typed else parse_local(source, mapping["format"], zone)
+            lower, upper = time_bounds(local, mapping["format"], zone)
         added[f"max_{key}"], added[f"min_{key}"] = upper, lower
         times.names += [f"max_{key}", f"min_{key}"]
         if mapping.get("primary"):
