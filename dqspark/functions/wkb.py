@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -43,8 +44,6 @@ def centroid(wkb: Column) -> Column:
 
 def _centroid_udf() -> Callable[[Column], Column]:
     # Everything the tasks need is nested here, so that it travels with the function.
-    import pandas as pd
-
     @F.pandas_udf("x double, y double")
     def centroids(values: pd.Series) -> pd.DataFrame:
         import struct
