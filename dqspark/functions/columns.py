@@ -260,8 +260,9 @@ def lower_reserved(result: DataFrame) -> DataFrame:
 
 
 def to_base64_text(c: Column, kind: T.DataType) -> Column:
-    """base64 of a sketch, or of the text of a count."""
-    return F.base64(c if isinstance(kind, T.BinaryType) else c.cast("string").cast("binary"))
+    """base64 of a sketch, or of the text of a count, on one line."""
+    text = F.base64(c if isinstance(kind, T.BinaryType) else c.cast("string").cast("binary"))
+    return F.translate(text, "\r\n", "")
 
 
 def safe_stddev(c: Column) -> Column:

@@ -50,62 +50,70 @@ def _centroid_udf() -> Callable[[Column], Column]:
 
         import numpy as np
 
-        def ring_moment(p):
-            x, y = p[:, 0], p[:, 1]
-            x0, y0 = x[0], y[0]
-            dx, dy = x - x0, y - y0
-            cross = dx[:-1] * dy[1:] - dx[1:] * dy[:-1]
-            area = cross.sum() / 2.0
-            mx = ((dx[:-1] + dx[1:]) * cross).sum() / 6.0 + area * x0
-            my = ((dy[:-1] + dy[1:]) * cross).sum() / 6.0 + area * y0
-            return area, mx, my
-
-        def line_moment(p):
-            step = np.hypot(np.diff(p[:, 0]), np.diff(p[:, 1]))
-            mid = (p[1:] + p[:-1]) / 2.0
-            return step.sum(), (mid[:, 0] * step).sum(), (mid[:, 1] * step).sum()
+        # Moments are rows of weight, weight * x and weight * y, for a stack of equally long paths.
+
+        def point_moments(p):
+            known = ~np.isnan(p).any(axis=2)
+            kept = np.where(known[:, :, None], p, 0.0)
+            return np.column_stack([known.sum(axis=1), kept[:, :, 0].sum(axis=1), kept[:, :, 1].sum(axis=1)])
+
+        def line_moments(p):
+            step = np.hypot(np.diff(p[:, :, 0]), np.diff(p[:, :, 1]))
+            mid = (p[:, 1:] + p[:, :-1]) / 2.0
+            return np.column_stack(
+                [step.sum(axis=1), (mid[:, :, 0] * step).sum(axis=1), (mid[:, :, 1] * step).sum(axis=1)]
+            )
+
+        def area_moments(p):
+            start = p[:, :1]
+            d = p - start
+            dx, dy = d[:, :, 0], d[:, :, 1]
+            cross = dx[:, :-1] * dy[:, 1:] - dx[:, 1:] * dy[:, :-1]
+            area = cross.sum(axis=1) / 2.0
+            mx = ((dx[:, :-1] + dx[:, 1:]) * cross).sum(axis=1) / 6.0 + area * start[:, 0, 0]
+            my = ((dy[:, :-1] + dy[:, 1:]) * cross).sum(axis=1) / 6.0 + area * start[:, 0, 1]
+            return np.column_stack([area, mx, my]) * np.where(area < 0, -1.0, 1.0)[:, None]
+
+        def chosen(points, lines, areas):
+            best = np.where(lines[:, :1] > 0, lines, points)
+            best = np.where(areas[:, :1] > 0, areas, best)
+            with np.errstate(divide="ignore", invalid="ignore"):
+                return np.where(best[:, :1] > 0, best[:, 1:] / best[:, :1], np.nan)
 
         def read(buf, at, sums):
+            """Add the moments of one geometry of any kind; gives the position after it."""
             order = "<" if buf[at] == 1 else ">"
             (code,) = struct.unpack_from(order + "I", buf, at + 1)
-            at += 5
-            if code & 0x20000000:
-                at += 4
+            at += 9 if code & 0x20000000 else 5
             flags, iso = code >> 28, (code & 0x0FFFFFFF) // 1000
             width = 2 + bin(flags & 0b1100).count("1") + (2 if iso == 3 else 1 if iso else 0)
             kind = (code & 0x0FFFFFFF) % 1000
 
-            def points(at, n):
+            def path(at, n):
                 block = np.frombuffer(buf, dtype=order + "f8", count=n * width, offset=at)
-                return block.reshape(n, width)[:, :2].astype(float), at + n * width * 8
+                return block.reshape(1, n, width)[:, :, :2].astype(float), at + n * width * 8
 
             def count(at):
                 return struct.unpack_from(order + "I", buf, at)[0], at + 4
 
-            def add_points(p):
-                p = p[~np.isnan(p).any(axis=1)]
-                sums[0] += (len(p), p[:, 0].sum(), p[:, 1].sum())
-
             if kind == 1:
-                p, at = points(at, 1)
-                add_points(p)
+                p, at = path(at, 1)
+                sums[0] += point_moments(p)
             elif kind == 2:
                 n, at = count(at)
-                p, at = points(at, n)
+                p, at = path(at, n)
                 if n:
-                    sums[1] += line_moment(p)
-                    add_points(p)
+                    sums[0] += point_moments(p)
+                    sums[1] += line_moments(p)
             elif kind == 3:
                 rings, at = count(at)
                 for ring in range(rings):
                     n, at = count(at)
-                    p, at = points(at, n)
+                    p, at = path(at, n)
                     if n:
-                        area, mx, my = ring_moment(p)
-                        sign = (1.0 if area >= 0 else -1.0) * (1.0 if ring == 0 else -1.0)
-                        sums[2] += (sign * area, sign * mx, sign * my)
-                        sums[1] += line_moment(p)
-                        add_points(p)
+                        sums[0] += point_moments(p)
+                        sums[1] += line_moments(p)
+                        sums[2] += area_moments(p) * (1.0 if ring == 0 else -1.0)
             elif kind in (4, 5, 6, 7):
                 n, at = count(at)
                 for _ in range(n):
@@ -114,23 +122,46 @@ def _centroid_udf() -> Callable[[Column], Column]:
                 raise ValueError(kind)
             return at
 
-        xs, ys = np.full(len(values), np.nan), np.full(len(values), np.nan)
-        found = np.zeros(len(values), dtype=bool)
+        # Plain points, lines and one-ring polygons of one length share a layout and are read together:
+        # bytes before the coordinates, by the first five bytes.
+        plain = {bytes([f]) + struct.pack("<I" if f else ">I", code): skip
+                 for f in (0, 1) for code, skip in ((1, 5), (2, 9), (3, 13))}
+        layouts, singles = {}, []
         for i, value in enumerate(values):
             if value is None:
                 continue
-            sums = [np.zeros(3), np.zeros(3), np.zeros(3)]
+            buf = bytes(value)
+            skip = plain.get(buf[:5])
+            if skip is None or len(buf) <= skip or (len(buf) - skip) % 16:
+                singles.append((i, buf))
+                continue
+            n, order = (len(buf) - skip) // 16, "<" if buf[0] else ">"
+            counts = b"" if skip == 5 else struct.pack(order + "I", n)
+            if skip == 13:
+                counts = struct.pack(order + "I", 1) + counts
+            if (skip == 5 and n != 1) or buf[5:skip] != counts:
+                singles.append((i, buf))
+            else:
+                layouts.setdefault((buf[:5], skip, n, order), []).append((i, buf))
+
+        out = np.full((len(values), 2), np.nan)
+        for (_, skip, n, order), found in layouts.items():
+            rows = np.frombuffer(b"".join(buf for _, buf in found), dtype=np.uint8).reshape(len(found), -1)
+            p = np.ascontiguousarray(rows[:, skip:]).view(order + "f8").astype(float).reshape(len(found), n, 2)
+            none = np.zeros((len(found), 3))
+            lines = line_moments(p) if skip > 5 else none
+            areas = area_moments(p) if skip == 13 else none
+            out[[i for i, _ in found]] = chosen(point_moments(p), lines, areas)
+        for i, buf in singles:
+            sums = [np.zeros((1, 3)) for _ in range(3)]
             try:
-                read(bytes(value), 0, sums)
+                read(buf, 0, sums)
             except (ValueError, IndexError, struct.error):
                 continue
-            for weight, mx, my in (sums[2], sums[1], sums[0]):
-                if weight > 0:
-                    xs[i], ys[i], found[i] = mx / weight, my / weight, True
-                    break
+            out[i] = chosen(*sums)[0]
+        known = ~np.isnan(out).any(axis=1)
         return pd.DataFrame({
-            "x": pd.Series(xs).astype(object).where(found, None),
-            "y": pd.Series(ys).astype(object).where(found, None),
+            name: pd.Series(out[:, axis]).astype(object).where(known, None) for axis, name in enumerate("xy")
         })
 
     return centroids

@@ -7,8 +7,9 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from dqspark.plans.bounds import MAX_BROADCAST_ROWS, is_bounded
 from dqspark.plans.joins import quoted
-from dqspark.plans.storage import cut_lineage
+from dqspark.plans.storage import stored
 
 HLL_LG_K = 12
 
@@ -45,28 +46,33 @@ def quantile_estimate(sketch_column: str, p: float) -> Column:
 FIRST_BITS, SECOND_BITS = 8, 20
 
 
-def _bucket_keys(value: Column) -> tuple[Column, Column]:
-    size = F.abs(value)
-    infinite = size == F.lit(float("inf"))
-    exponent = F.when(infinite | (size == 0), F.lit(0)).otherwise(
-        F.floor(F.log2(F.when(infinite | (size == 0), F.lit(1.0)).otherwise(size))).cast("int")
+def _with_bucket_keys(df: DataFrame) -> DataFrame:
+    """Add ``_b1`` and ``_b2``, which together order the values of ``_v`` as coarsely as their bits."""
+    value, size = F.col("_v"), F.col("_size")
+    plain = (size == 0) | (size == F.lit(float("inf"))) | size.isNull()
+    # One column per step: an expression that repeats another is evaluated again for each mention.
+    steps = df.withColumn("_size", F.abs(value))
+    steps = steps.withColumn("_exponent", F.when(~plain, F.floor(F.log2(size)).cast("int")))
+    steps = steps.withColumn("_mantissa", size / F.pow(F.lit(2.0), F.col("_exponent").cast("double")) - 1)
+    steps = steps.withColumn("_first", _clipped(F.col("_mantissa"), FIRST_BITS))
+    rest = F.col("_mantissa") * 2**FIRST_BITS - F.col("_first")
+    steps = steps.withColumn("_rest", rest).withColumn("_second", _clipped(F.col("_rest"), SECOND_BITS))
+    magnitude = (
+        F.when(size == 0, F.lit(0))
+        .when(size == F.lit(float("inf")), F.lit((1024 + 1100 + 1) * 2**FIRST_BITS))
+        .otherwise((F.col("_exponent") + 1100).cast("bigint") * 2**FIRST_BITS + F.col("_first") + 1)
     )
-    mantissa = size / F.pow(F.lit(2.0), exponent.cast("double")) - 1
-    first = _clipped(mantissa, FIRST_BITS)
-    second = _clipped(mantissa * 2**FIRST_BITS - first, SECOND_BITS)
-    coarse = (exponent + 1100).cast("bigint") * 2**FIRST_BITS + first + 1
-    top = F.lit((1024 + 1100) * 2**FIRST_BITS + 2**FIRST_BITS)
-    magnitude = F.when(size == 0, F.lit(0)).when(infinite, top).otherwise(coarse)
     sign = F.when(value < 0, F.lit(-1)).otherwise(F.lit(1))
-    plain = infinite | (size == 0)
-    return magnitude * sign, F.when(plain, F.lit(0)).otherwise(second) * sign
+    return (
+        steps.withColumn("_b1", magnitude * sign)
+        .withColumn("_b2", F.coalesce("_second", F.lit(0)) * sign)
+        .drop("_size", "_exponent", "_mantissa", "_first", "_rest", "_second")
+    )
 
 
 def _clipped(fraction: Column, bits: int) -> Column:
-    scaled = F.when(fraction >= 1, F.lit(2**bits - 1)).when(fraction <= 0, F.lit(0)).otherwise(
-        F.floor(fraction * 2**bits)
-    )
-    return F.least(scaled.cast("bigint"), F.lit(2**bits - 1).cast("bigint"))
+    bucket = F.floor(fraction * 2**bits)
+    return F.greatest(F.least(bucket, F.lit(2**bits - 1)), F.lit(0))
 
 
 def exact_percentile(df: DataFrame, value: str, p: float, by: Sequence[str] = ()) -> DataFrame:
@@ -75,27 +81,33 @@ def exact_percentile(df: DataFrame, value: str, p: float, by: Sequence[str] = ()
     A built-in exact percentile keeps all distinct values of a group in one task. Here the values
     are counted first, and the one or two wanted ranks are then located by comparing ever more
     leading bits of the value, so that a task ranks buckets instead of rows. NULL and NaN are left
-    out; a group without values has a NULL ``percentile``. The counts are checkpointed, being read
-    once per step: this runs a job.
+    out; a group without values has a NULL ``percentile``. The counts are stored, being read once per
+    step: this runs a job.
     """
     number = F.nullif(F.col(quoted(value)).try_cast("double"), F.lit(float("nan")))
     groups = [F.col(quoted(c)) for c in by]
-    coarse, fine = _bucket_keys(F.col("_v"))
     counted = (
         df.select(F.struct(*groups, F.lit(0).alias("_all")).alias("_g"), (number + 0.0).alias("_v"))
         .groupBy("_g", "_v")
         .agg(F.count(F.lit(1)).alias("_n"))
     )
-    counted = cut_lineage(counted.withColumn("_b1", coarse).withColumn("_b2", fine))
+    counted = stored(_with_bucket_keys(counted), "value-counts")
     values = counted.filter(F.col("_v").isNotNull())
+    all_groups = stored(counted.select("_g").distinct(), "groups")
+    # No more than two buckets per group are kept: with few groups they are sent to the values.
+    few = is_bounded(all_groups, max_rows=MAX_BROADCAST_ROWS // 2)
+
+    def within(kept: DataFrame, keys: list[str]) -> DataFrame:
+        return values.join(F.broadcast(kept) if few else kept, keys)
+
     rank = F.lit(float(p)) * (F.sum("_n") - 1)
     wanted = values.groupBy("_g").agg(F.floor(rank).alias("_lo"), F.ceil(rank).alias("_hi"), rank.alias("_r"))
 
     kept = _locate(values.groupBy("_g", "_b1").agg(F.sum("_n").alias("_n")), wanted, [], "_b1")
-    inside = values.join(kept, ["_g", "_b1"])
+    inside = within(kept, ["_g", "_b1"])
     buckets = inside.groupBy("_g", "_b1", "_base", "_lo", "_hi", "_r", "_b2").agg(F.sum("_n").alias("_n"))
     kept = _locate(buckets, None, ["_b1"], "_b2")
-    inside = values.join(kept, ["_g", "_b1", "_b2"])
+    inside = within(kept, ["_g", "_b1", "_b2"])
     final = _locate(inside, None, ["_b1", "_b2"], "_v")
     at_lo = F.max(F.when(F.col("_has_lo"), F.col("_v")))
     at_hi = F.max(F.when(F.col("_has_hi"), F.col("_v")))
@@ -103,7 +115,6 @@ def exact_percentile(df: DataFrame, value: str, p: float, by: Sequence[str] = ()
     found = final.groupBy("_g").agg(
         F.when(at_lo == at_hi, at_lo).otherwise(at_lo + share * (at_hi - at_lo)).alias("percentile")
     )
-    all_groups = counted.select("_g").distinct()
     return all_groups.join(found, "_g", "left").select(
         *[F.col("_g").getField(c).alias(c) for c in by], "percentile"
     )

@@ -33,3 +33,14 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     if context.getCheckpointDir() is None:
         context.setCheckpointDir(shared_dir(df.sparkSession))
     return df.checkpoint(eager=True)
+
+
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` once as a table in the shared folder and continue from it.
+
+    For larger results that several later steps read in part: the files keep their columns apart and
+    Spark knows their size. This runs a job.
+    """
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

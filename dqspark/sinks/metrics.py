@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from dqspark.functions.columns import to_base64_text
 from dqspark.operators.indicators import Family, observed_only
 from dqspark.operators.profile import dimension_values, time_range
 from dqspark.operators.tags import TAG_SCHEMA, indicator_statuses
@@ -23,7 +24,7 @@ def for_csv(df: DataFrame) -> DataFrame:
     for f in df.schema.fields:
         c = F.col(quoted(f.name))
         if isinstance(f.dataType, T.BinaryType):
-            c = F.base64(c)
+            c = to_base64_text(c, f.dataType)
         elif isinstance(f.dataType, (T.ArrayType, T.MapType, T.StructType)):
             c = F.to_json(c)
         out.append(c.alias(f.name))

@@ -52,10 +52,11 @@ def _read_csv(
     wide = T.StructType([*schema.fields, T.StructField(OVERFLOW, T.StringType()), T.StructField(RAW, T.StringType())])
     rows = (
         spark.read.schema(wide)
-        .options(**options, mode="PERMISSIVE", columnNameOfCorruptRecord=RAW, enforceSchema=True)
+        .options(**options, mode="PERMISSIVE", columnNameOfCorruptRecord=RAW, columnPruning=False)
         .csv(path)
     )
-    # A line with exactly one field too many fills the overflow column and leaves no raw text.
+    # A line with exactly one field too many fills the overflow column and leaves no raw text. The
+    # number of fields is compared only when all columns are parsed, hence no pruning.
     fits = F.col(OVERFLOW).isNull() & F.col(RAW).isNotNull() & (
         _field_count(F.col(RAW), delimiter) <= len(schema.fields)
     )

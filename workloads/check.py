@@ -41,7 +41,8 @@ def main(argv: list[str]) -> int:
     sf_dir = os.environ.get("CHECK_SF_DIR", "/root/testdata/sf0.01")
     spark = build_session(
         "check", "local[8]",
-        **{"spark.sql.shuffle.partitions": "8", "spark.ui.enabled": "false", "spark.driver.memory": "8g"},
+        **{"spark.sql.shuffle.partitions": "8", "spark.ui.enabled": "false", "spark.driver.memory": "8g",
+           "spark.ui.showConsoleProgress": "false"},
     )
     spark.sparkContext.setLogLevel("ERROR")
     db = duckdb.connect()

@@ -1 +1,196 @@
-"""Queries."""
+"""Results written and read back: formats, metric tables, tags, logs, catalog tables, inventories."""
+
+from __future__ import annotations
+
+import datetime as dt
+import uuid
+
+from pyspark.sql import functions as F
+
+from dqspark.operators import indicators as I
+from dqspark.operators.profile import profile
+from dqspark.operators.rollup import concat_results
+from dqspark.operators.tags import indicator_tags
+from dqspark.plans.storage import cut_lineage, scratch_path
+from dqspark.sinks import metrics as K
+from dqspark.sources.objects import object_inventory
+from dqspark.sources.readers import read_dataset
+from workloads.indicators import nation_definitions
+from workloads.registry import query, rounded, table
+
+EVENT_JSON = "event_id bigint, ts string, user_id bigint, event_type string, value double, props string"
+INGESTED = dt.datetime(2024, 2, 3, 4, 5, tzinfo=dt.timezone.utc)
+
+
+def _as_text(events):
+    return events.withColumn("ts", F.date_format(F.col("ts").cast("timestamp"), "yyyy-MM-dd HH:mm:ss"))
+
+
+@query("""
+SELECT f AS format, event_id, strftime(ts, '%Y-%m-%d %H:%M:%S') AS ts, user_id, event_type, value, props
+FROM events, (VALUES ('jsonl'), ('json'), ('parquet')) t(f)
+""")
+def format_roundtrip(spark, sf_dir):
+    rows = _as_text(table(spark, sf_dir, "events"))
+    lines, document, files = (scratch_path(spark, n) for n in ("jsonl", "json", "parquet"))
+    rows.write.json(lines)
+    rows.write.parquet(files)
+    # One document per thousand events, each a JSON array in a file of its own.
+    arrays = rows.groupBy(F.floor(F.col("event_id") / 1000).alias("part")).agg(
+        F.to_json(F.collect_list(F.struct(*rows.columns))).alias("value")
+    )
+    arrays.write.partitionBy("part").text(document)
+    frames = [
+        read_dataset(spark, lines, "jsonl", EVENT_JSON),
+        read_dataset(spark, f"{document}/*", "json", EVENT_JSON),
+        read_dataset(spark, files, "parquet"),
+    ]
+    return concat_results(
+        [f.select(F.lit(n).alias("format"), *rows.columns) for n, f in zip(("jsonl", "json", "parquet"), frames)]
+    )
+
+
+@query("""
+SELECT c_custkey, c_name, c_acctbal FROM customer
+UNION ALL SELECT c_custkey, c_name || ' short', NULL FROM customer WHERE c_mktsegment = 'BUILDING'
+UNION ALL SELECT c_custkey, c_name || ', quoted', c_acctbal FROM customer WHERE c_mktsegment = 'HOUSEHOLD'
+""")
+def csv_tolerant(spark, sf_dir):
+    path = scratch_path(spark, "csv")
+    header = "c_custkey,c_name,c_acctbal"
+    key, name, balance = F.col("c_custkey").cast("string"), F.col("c_name"), F.col("c_acctbal").cast("string")
+    segment = F.col("c_mktsegment")
+    lines = F.array_compact(F.array(
+        F.concat_ws(",", key, name, balance),
+        F.when(segment == "BUILDING", F.concat_ws(",", key, F.concat(name, F.lit(" short")))),
+        F.when(segment == "HOUSEHOLD", F.concat_ws(",", key, F.concat(F.lit('"'), name, F.lit(', quoted"')), balance)),
+        F.when(segment == "MACHINERY", F.concat_ws(",", key, name, balance, F.lit("extra"))),
+        F.when(segment == "AUTOMOBILE", F.concat_ws(",", key, name, balance, F.lit(""), F.lit("extra"))),
+        F.when(segment == "FURNITURE", F.concat_ws(",", key, name, balance, F.lit(""))),
+    ))
+    # Each file gets the header as its column name; nothing is quoted, as the separator never occurs.
+    rows = table(spark, sf_dir, "customer").select(F.explode(lines).alias(header))
+    rows.write.options(header=True, sep="|", quote="", escape="", quoteAll=False).csv(path)
+    return read_dataset(spark, path, "csv", "c_custkey bigint, c_name string, c_acctbal double")
+
+
+@query("""
+SELECT c_custkey, c_name, c_acctbal, c_mktsegment FROM customer
+""")
+def csv_inferred(spark, sf_dir):
+    path = scratch_path(spark, "csv-inferred")
+    rows = table(spark, sf_dir, "customer").select(F.col("c_custkey"), "c_name", "c_acctbal", "c_mktsegment")
+    rows.write.option("header", True).csv(path)
+    read = read_dataset(spark, path, "csv")
+    return read.withColumn("c_custkey", F.col("c_custkey").cast("bigint"))
+
+
+@query("""
+SELECT event_type, count(*) AS _indicator_1, round(sum(value), 2) AS _indicator_2, '7' AS org_id, 'web' AS source_id,
+  'k' AS compute_hash, '2024' AS year, '02' AS month, '03' AS day, '04' AS hour, '05' AS minute,
+  (SELECT count(*) FROM (VALUES (1), (2)) t(i)) AS statuses
+FROM events WHERE epoch(ts) < 1706659200 GROUP BY 1
+""")
+def metrics_table(spark, sf_dir):
+    path, statuses = scratch_path(spark, "metrics"), scratch_path(spark, "statuses")
+    events = f"{sf_dir.rstrip('/')}/events.parquet"
+    family = I.Family(
+        "k", 7, 1, f"SELECT * FROM parquet.`{events}`", "event_type", "", "ts", 60 * 86400,
+        [("COUNT(*)", 1), ("SUM(value)", 2)], [1_706_659_200],
+    )
+    K.write_families([(family, I.evaluate_family(spark, family))], path, statuses, "web", ingested=INGESTED)
+    strings = ", ".join(f"{c} string" for c in ("org_id", "source_id", "compute_hash", *K.INGESTION_PARTS))
+    schema = "event_type string, _indicator_1 bigint, _indicator_2 double, " + strings
+    log = spark.read.parquet(statuses).filter(F.size("meta") == 0)
+    return (
+        spark.read.schema(schema)
+        .parquet(path)
+        .withColumn("_indicator_2", F.round("_indicator_2", 2))
+        .withColumn("statuses", log.agg(F.count(F.lit(1))).scalar())
+    )
+
+
+@query("""
+SELECT event_type, count(*) AS _indicator_1, true AS sketch_is_text FROM events GROUP BY 1
+""")
+def metrics_csv(spark, sf_dir):
+    path = scratch_path(spark, "metrics-csv")
+    result = I.indicator_query(
+        table(spark, sf_dir, "events"), [("COUNT(*)", 1), ("COUNT(DISTINCT user_id)", 2)], "event_type",
+        "ts", 1_706_659_200, 60 * 86400, mode="sketch",
+    )
+    K.write_metrics(result, path, {"source_id": "web"}, INGESTED, "csv")
+    back = read_dataset(spark, f"{path}/*/*/*/*/*/*", "csv")
+    estimate = F.hll_sketch_estimate(F.unbase64("_indicator_2"))
+    return back.select(
+        "event_type", F.col("_indicator_1").cast("bigint").alias("_indicator_1"), (estimate > 0).alias("sketch_is_text")
+    )
+
+
+@query("""
+SELECT strftime(ts, '%Y-%m-%d') AS day, event_type, count(*) AS total_group_count, round(max(value), 4) AS "max_value"
+FROM events GROUP BY 1, 2
+""")
+def registered_table(spark, sf_dir):
+    path, name = scratch_path(spark, "registered"), f"dq_daily_{uuid.uuid4().hex}"
+    rows = table(spark, sf_dir, "events").withColumn("day", F.date_format(F.col("ts").cast("timestamp"), "yyyy-MM-dd"))
+    daily = profile(rows, ["event_type"], numbers=["value"], by=["day"], keyed=False).metrics
+    daily = daily.select("day", "event_type", "total_group_count", F.round("`max|value`", 4).alias("max_value"))
+    daily.write.partitionBy("day").parquet(path)
+    K.register_table(spark, name, daily.schema, path, ["day"])
+    assert K.table_exists(spark, name)
+    first = {"day": "2024-01-01"}
+    K.add_partition(spark, name, first, f"{path}/day=2024-01-01")
+    K.discover_partitions(spark, name)
+    return spark.table(name)
+
+
+@query("""
+SELECT n_nationkey::BIGINT AS indicator_id,
+  'name:' || n_name || ',delay_seconds:60,timestamp_col:ts,data_source:files,lookback_seconds:'
+    || (86400 * (1 + n_regionkey % 2))::VARCHAR || ',dataset:events,dataset:copy_' || n_name AS tags
+FROM nation WHERE n_regionkey < 3
+""")
+def stored_tags(spark, sf_dir):
+    path = scratch_path(spark, "tags")
+    definitions = nation_definitions(spark, sf_dir)
+    K.write_tags(indicator_tags(definitions), path)
+    wanted = definitions.filter(F.col("org_id") < 3)
+    return K.read_tags(spark, path, wanted).select("indicator_id", F.array_join("tags", ",").alias("tags"))
+
+
+@query("""
+SELECT event_type AS object, min(floor(epoch(ts)))::BIGINT AS min_primary_time,
+  max(floor(epoch(ts)))::BIGINT AS max_primary_time, 'max_ts' AS primary_time_column, 'events' AS dataset,
+  count(DISTINCT user_id) AS dimension_values
+FROM events GROUP BY 1
+""")
+def run_log(spark, sf_dir):
+    rows = table(spark, sf_dir, "events").withColumn("object", F.col("event_type"))
+    spec = {"ts": {"column": "ts", "format": "%Y-%m-%d %H:%M:%S", "primary": True}}
+    result = profile(rows, ["user_id"], timestamps=spec, by=["object"], keyed=False)
+    stored = cut_lineage(result.metrics)
+    log = K.run_log(
+        stored.withColumn("max_ts", F.explode(F.array("max_ts", "min_ts"))), result.times.primary,
+        by=["object"], dataset="events",
+    )
+    values = K.run_dimensions(stored, result.dimensions, ["object"])
+    return log.join(values.groupBy("object").agg(F.count(F.lit(1)).alias("dimension_values")), "object")
+
+
+@query("""
+SELECT c AS compression, 'small' AS size_class, true AS has_files, (SELECT count(*) FROM events) AS records
+FROM (VALUES ('gzip'), ('bzip2'), ('none')) t(c)
+""")
+def object_inventory_files(spark, sf_dir):
+    path = scratch_path(spark, "inventory")
+    rows = _as_text(table(spark, sf_dir, "events"))
+    for codec in ("none", "gzip", "bzip2"):
+        rows.repartition(4).write.option("compression", codec).json(f"{path}/{codec}")
+    found = object_inventory(spark, path).filter(F.col("path").contains("part-"))
+    counted = spark.read.option("recursiveFileLookup", True).schema(EVENT_JSON).json(path)
+    per_codec = counted.groupBy(
+        F.regexp_extract(F.col("_metadata.file_path"), "/(none|gzip|bzip2)/", 1).alias("compression")
+    ).agg(F.count(F.lit(1)).alias("records"))
+    kinds = found.groupBy("compression", "size_class").agg((F.count(F.lit(1)) > 0).alias("has_files"))
+    return rounded(kinds.join(per_codec, "compression"))
