@@ -165,34 +165,46 @@ def size_class(length: Column) -> Column:
     return F.when(length >= LARGE_OBJECT_BYTES, "large").otherwise("small")
 
 
-def object_inventory(spark: SparkSession, path: str, recursive: bool = True) -> DataFrame:
-    """Path, size, size class and compression of the files under a path.
+def describe_objects(objects: DataFrame, path: str = "path") -> DataFrame:
+    """Size, size class and compression of the objects at the given paths.
 
-    The listing takes no content; tasks then read only the first bytes of each file.
+    Tasks read only the first bytes of each object. An object that is gone has a NULL size.
     """
-    files = (
-        spark.read.format("binaryFile").option("recursiveFileLookup", recursive).load(path).select("path", "length")
+    described = objects.select(F.col(path).alias("path")).mapInPandas(
+        _header_reader(), "path string, size bigint, head binary"
     )
-    heads = files.mapInPandas(_header_reader(), "path string, size bigint, head binary")
-    return heads.select(
+    known = F.col("size").isNotNull()
+    return described.select(
         "path",
         "size",
-        size_class(F.col("size")).alias("size_class"),
-        compression_of(F.col("head")).alias("compression"),
+        F.when(known, size_class(F.col("size"))).alias("size_class"),
+        F.when(known, compression_of(F.col("head"))).alias("compression"),
     )
 
 
+def object_inventory(spark: SparkSession, path: str, recursive: bool = True) -> DataFrame:
+    """:func:`describe_objects` of the files under a path. Spark's listing leaves empty files out."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", recursive).load(path)
+    return describe_objects(files.select("path"))
+
+
 def _header_reader():
     def headers(batches):
+        import pandas as pd
         from pyarrow import fs
 
         for batch in batches:
-            heads = []
+            rows = []
             for path in batch["path"]:
                 uri = "file://" + path[5:] if path.startswith("file:/") and not path.startswith("file://") else path
                 store, name = fs.FileSystem.from_uri(uri)
-                with store.open_input_file(name) as f:
-                    heads.append(f.read(4))
-            yield batch.rename(columns={"length": "size"}).assign(head=heads)
+                info = store.get_file_info(name)
+                if info.is_file:
+                    with store.open_input_file(name) as f:
+                        rows.append((path, info.size, f.read(4)))
+                else:
+                    rows.append((path, None, None))
+            out = pd.DataFrame(rows, columns=["path", "size", "head"])
+            yield out.astype({"size": "Int64"})
 
     return headers
