@@ -11,7 +11,7 @@ from dqspark.functions.columns import EMPTY_LABEL
 from dqspark.functions.wkb import centroid, geometry_type
 from dqspark.operators.lookup import code_lookup
 from dqspark.plans.bounds import is_bounded
-from dqspark.plans.joins import null_safe_join, quoted
+from dqspark.plans.joins import quoted, salted_join
 
 OUTPUTS = ("type", "state", "country")
 
@@ -33,7 +33,8 @@ def region_of(
 
     Regions are spread over grid cells of size ``cell`` and joined on the cell. A region table that
     passes the size check is gathered per cell and broadcast, so the points are not shuffled. A
-    larger one is joined on the cell to the distinct points, and the names found are joined back.
+    larger one is joined on the cell to the distinct points, and the names found are joined back,
+    both with the points salted.
     """
     if small is None:
         small = is_bounded(regions, F.size(F.flatten("rings")) * 16 + 64)
@@ -51,13 +52,14 @@ def region_of(
         name = F.get(hits, F.lit(0)).getField("name")
         return located.withColumn(output, F.coalesce(name, F.lit(EMPTY_LABEL))).drop("_cx", "_cy", "_regions")
     distinct = points.select(F.col(quoted(x)).alias(x), F.col(quoted(y)).alias(y)).distinct()
-    candidates = distinct.withColumns({"_cx": here[0], "_cy": here[1]}).join(cells, ["_cx", "_cy"])
+    located = distinct.withColumns({"_cx": here[0], "_cy": here[1]}).filter(F.col("_cx").isNotNull())
+    candidates = salted_join(located, cells, ["_cx", "_cy"])
     found = (
         candidates.filter(_within(F.col("rings"), px, py))
         .groupBy(quoted(x), quoted(y))
         .agg(F.min("name").alias(output))
     )
-    return null_safe_join(points, found, [x, y], "left").withColumn(
+    return salted_join(points, found, [x, y], "left").withColumn(
         output, F.coalesce(F.col(quoted(output)), F.lit(EMPTY_LABEL))
     )
 

@@ -19,11 +19,17 @@ from dqspark.functions.columns import (
 )
 from dqspark.functions.timecols import evaluation_times
 from dqspark.operators.sketches import HLL_LG_K
-from dqspark.plans.joins import in_time_range, interval_join, quoted, windows_frame
+from dqspark.plans.joins import epoch_seconds, in_time_range, interval_join, quoted, windows_frame
 
 NONE, COUNT_DISTINCT, DECILE = "NONE", "COUNT_DISTINCT", "DECILE"
 MODES = ("plain", "exact", "approx", "sketch")
 
+# Evaluation times whose windows are broadcast without a further check.
+MAX_DRIVER_TIMES = 2_000
+
+# Windows per row up to which Spark's own window expression is used.
+MAX_WINDOW_RATIO = 64
+
 # A call and nothing else, its arguments holding at most two levels of brackets.
 _ARGUMENTS = r"(?:[^()]|\((?:[^()]|\([^()]*\))*\))*"
 DISTINCT_CALL = rf"(?is)^\s*count\s*\(\s*distinct\b({_ARGUMENTS})\)\s*$"
@@ -145,12 +151,12 @@ def indicator_series(
     group_fields: str | Sequence[str | Mapping[str, str]] = (),
     filters: str | None = None,
     mode: str = "approx",
-    salt: int = 1,
+    small: bool | None = None,
 ) -> DataFrame:
     """:func:`indicator_query` for many evaluation times in one scan.
 
     ``times`` are epoch seconds, or a table with ``evaluation_time``. A time whose window holds no
-    row gives no result row.
+    row gives no result row. ``small`` is that of :func:`dqspark.plans.joins.interval_join`.
     """
     rows = dataset.filter(F.expr(f"({filters})")) if filters else dataset
     if isinstance(times, DataFrame):
@@ -160,7 +166,8 @@ def indicator_series(
         if times:
             rows = rows.filter(in_time_range(rows, timestamp, min(times) - int(lookback), max(times)))
         windows = windows_frame(dataset.sparkSession, times, lookback)
-    pairs = interval_join(rows, windows, timestamp, lookback, salt)
+        small = len(times) <= MAX_DRIVER_TIMES if small is None else small
+    pairs = interval_join(rows, windows, timestamp, lookback, small)
     keys = [aliased(f) for f in _group_list(group_fields)]
     names = [group_name(f) for f in _group_list(group_fields)]
     exprs = [calculation_column(c, mode).alias(f"{INDICATOR_PREFIX}{i}") for c, i in calculations]
@@ -189,7 +196,7 @@ def rolling_indicators(
 ) -> DataFrame:
     """Indicators at every multiple of ``interval`` whose window holds a row.
 
-    For SQL aggregates of any kind. Where counts, sums, ranges, means and deviations suffice and the
+    For SQL aggregates of any kind; every row is read into each of its windows. Where counts, sums, ranges, means and deviations suffice and the
     look-back spans many intervals, :func:`dqspark.operators.rollup.rolling_rollup` over pane
     profiles reads each row once.
     """
@@ -198,13 +205,20 @@ def rolling_indicators(
     exprs = [calculation_column(c, mode).alias(f"{INDICATOR_PREFIX}{i}") for c, i in calculations]
     ts = F.col(quoted(timestamp))
     exprs += [F.min(ts).alias("_result_min_ts"), F.max(ts).alias("_result_max_ts")]
+    end = F.col("_lookback_range_end_ts")
+    if lookback > MAX_WINDOW_RATIO * interval:
+        seconds = epoch_seconds(rows, timestamp)
+        first = (F.floor(seconds / interval) + 1) * interval
+        last = F.floor((seconds + lookback) / interval) * interval
+        spread = rows.filter(ts.isNotNull()).withColumn(
+            "_lookback_range_end_ts", F.explode(F.sequence(first, last, F.lit(interval).cast("bigint")))
+        )
+        out = spread.groupBy("_lookback_range_end_ts", *keys).agg(*exprs)
+        return out.withColumn("_lookback_range_start_ts", end - int(lookback))
     window = F.window(ts, f"{int(lookback)} seconds", f"{int(interval)} seconds").alias("_window")
     out = rows.groupBy(window, *keys).agg(*exprs)
-    return (
-        out.withColumn("_lookback_range_start_ts", F.unix_seconds(F.col("_window.start").cast("timestamp")))
-        .withColumn("_lookback_range_end_ts", F.unix_seconds(F.col("_window.end").cast("timestamp")))
-        .drop("_window")
-    )
+    out = out.withColumn("_lookback_range_end_ts", F.unix_seconds(F.col("_window.end").cast("timestamp")))
+    return out.withColumn("_lookback_range_start_ts", end - int(lookback)).drop("_window")
 
 
 # -- keys ----------------------------------------------------------------------------------------

@@ -5,28 +5,27 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from dqspark.plans.joins import quoted
+from dqspark.plans.joins import lookup_join, quoted
 
 
-def code_lookup(df: DataFrame, column: str, codes: DataFrame, output: str | None = None) -> DataFrame:
+def code_lookup(
+    df: DataFrame, column: str, codes: DataFrame, output: str | None = None, small: bool | None = None
+) -> DataFrame:
     """Replace a name by its code: by official name first, then by common name, else unchanged.
 
-    ``codes`` holds ``official_name``, ``name`` and ``code``. Spark broadcasts the code table where
-    its measured size allows, and shuffles otherwise.
+    ``codes`` holds ``official_name``, ``name`` and ``code``. A code table that passes the size check
+    is broadcast, a larger one is joined with the names salted.
     """
-
-    def keyed(name: str, code: str) -> DataFrame:
+    ranked = (
+        codes.select(F.col("code"), F.inline(F.array(
+            F.struct(F.lit(0).alias("_rank"), F.col("official_name").alias("_key")),
+            F.struct(F.lit(1).alias("_rank"), F.col("name").alias("_key")),
+        )))
+        .filter(F.col("_key").isNotNull())
         # One row per name: a repeated name must not repeat the data rows.
-        return (
-            codes.filter(F.col(name).isNotNull())
-            .groupBy(F.col(name).alias(f"_{code}_key"))
-            .agg(F.min("code").alias(code))
-        )
-
-    name = F.col(quoted(column))
-    joined = df.join(keyed("official_name", "_official"), name == F.col("__official_key"), "left")
-    joined = joined.join(keyed("name", "_common"), name == F.col("__common_key"), "left")
-    result = F.coalesce(F.col("_official"), F.col("_common"), name)
-    return joined.withColumn(output or column, result).drop(
-        "_official", "_common", "__official_key", "__common_key"
+        .groupBy("_key")
+        .agg(F.min_by("code", F.struct("_rank", "code")).alias("_code"))
     )
+    keyed = df.withColumn("_key", F.col(quoted(column)))
+    joined = lookup_join(keyed, ranked, ["_key"], "left", small)
+    return joined.withColumn(output or column, F.coalesce("_code", "_key")).drop("_code", "_key")

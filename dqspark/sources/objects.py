@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from dqspark.plans.bounds import is_bounded
+from dqspark.plans.joins import salted_join
 
 LARGE_OBJECT_BYTES = 5 * 1024 * 1024
 
@@ -109,7 +110,7 @@ def match_configs(objects: DataFrame, configs: DataFrame, small: bool | None = N
 
     The first config whose prefix starts the key and whose template fits wins; objects without one
     are left out. Configs that pass the size check are gathered per bucket and broadcast, leaving
-    the objects where they are. Otherwise the distinct objects are joined on the bucket.
+    the objects where they are. Otherwise the distinct objects are joined on the bucket, salted.
     """
 
     def suffix(prefix: Column) -> Column:
@@ -140,7 +141,7 @@ def match_configs(objects: DataFrame, configs: DataFrame, small: bool | None = N
             fields(lambda f: F.col(f"_c.{f}")).alias("path_fields"),
         )
     keys = objects.select("bucket", "object_key").distinct()
-    candidates = keys.join(configs, "bucket").filter(
+    candidates = salted_join(keys, configs, ["bucket"]).filter(
         F.startswith("object_key", "prefix") & F.regexp(suffix(F.col("prefix")), F.col("pattern"))
     )
     chosen = candidates.groupBy("bucket", "object_key").agg(

@@ -23,17 +23,21 @@ def read_dataset(
     schema: T.StructType | str | None = None,
     delimiter: str = ",",
     multiline: bool = False,
+    recursive: bool = False,
 ) -> DataFrame:
     """Scan of files in one of the formats ``parquet``, ``jsonl``, ``json``, ``csv`` and ``avro``.
 
     ``json`` is a document holding an array of records. CSV files have a header line; short lines
-    are padded with NULL and over-long ones are left out. Avro needs Spark's avro module.
+    are padded with NULL and over-long ones are left out. Avro needs Spark's avro module. A
+    ``recursive`` scan takes all files at any depth and adds no partition columns.
     """
     if file_type not in FORMATS:
         raise ValueError(f"file type must be one of {FORMATS}")
     if file_type == "csv":
-        return _read_csv(spark, path, schema, delimiter, multiline)
-    reader = spark.read.schema(schema) if schema is not None else spark.read
+        return _read_csv(spark, path, schema, delimiter, multiline, recursive)
+    reader = spark.read.option("recursiveFileLookup", recursive)
+    if schema is not None:
+        reader = reader.schema(schema)
     if file_type == "json":
         return reader.option("multiLine", True).json(path)
     if file_type == "jsonl":
@@ -42,9 +46,14 @@ def read_dataset(
 
 
 def _read_csv(
-    spark: SparkSession, path, schema: T.StructType | str | None, delimiter: str, multiline: bool
+    spark: SparkSession,
+    path: str | list[str],
+    schema: T.StructType | str | None,
+    delimiter: str,
+    multiline: bool,
+    recursive: bool,
 ) -> DataFrame:
-    options = {"header": True, "sep": delimiter, "multiLine": multiline}
+    options = {"header": True, "sep": delimiter, "multiLine": multiline, "recursiveFileLookup": recursive}
     if schema is None:
         schema = spark.read.options(**options, inferSchema=True).csv(path).schema
     elif isinstance(schema, str):

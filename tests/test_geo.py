@@ -96,11 +96,12 @@ def test_geometry_dimension_choice(spark):
         profile(df, {"wkb": ["g"]}, numbers=["v"])
 
 
-def test_code_lookup_order(spark):
+@pytest.mark.parametrize("small", [True, False, None])
+def test_code_lookup_order(spark, small):
     codes = spark.createDataFrame(
         [("Official A", "A", "AAA"), (None, "B", "BBB"), ("B", "zz", "OFB"), ("A2", "dup", "X1"), ("A3", "dup", "X2")],
         "official_name string, name string, code string",
     )
     df = spark.createDataFrame([("Official A",), ("A",), ("B",), ("dup",), ("none",), (None,)], "n string")
-    got = [r[0] for r in code_lookup(df, "n", codes).collect()]
+    got = [r[0] for r in code_lookup(df, "n", codes, small=small).collect()]
     assert sorted(got, key=str) == sorted(["AAA", "AAA", "OFB", "X1", "none", None], key=str)

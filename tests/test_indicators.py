@@ -116,12 +116,12 @@ def test_modes(spark):
         I.calculation_column("count(*)", "other")
 
 
-@pytest.mark.parametrize("salt", [1, 3])
-def test_interval_join_against_brute_force(spark, salt):
+@pytest.mark.parametrize("small", [True, False, None])
+def test_interval_join_against_brute_force(spark, small):
     rows = [(i, (i * 7919) % 5000) for i in range(300)] + [(1000 + i, 2500) for i in range(150)]
     df = spark.createDataFrame(rows, "id bigint, t bigint")
     times, lookback = [0, 100, 999, 1000, 2500, 2501, 5000, 9000], 700
-    out = interval_join(df, windows_frame(spark, times, lookback), "t", lookback, salt)
+    out = interval_join(df, windows_frame(spark, times, lookback), "t", lookback, small)
     got = sorted((r["id"], r["_window_end"]) for r in out.collect())
     assert got == sorted((i, e) for i, t in rows for e in times if e - lookback <= t < e)
     plan = out._jdf.queryExecution().executedPlan().toString()
@@ -147,6 +147,10 @@ def test_rolling_equals_series(spark):
     columns = sorted(series.columns)
     pick = lambda d: sorted(map(tuple, d.select(*columns).collect()), key=str)
     assert pick(rolled) == pick(series)
+    fine = I.rolling_indicators(df, [("COUNT(*)", 1)], "t", 7200, 60, "g")
+    times = list(range(60, 15000, 60))
+    series = I.indicator_series(df, [("COUNT(*)", 1)], times, 7200, "t", "g")
+    assert pick(fine) == pick(series)
 
 
 DEFINITIONS = (

@@ -8,15 +8,18 @@ import uuid
 from pyspark.sql import functions as F
 
 from dqspark.operators import indicators as I
+from dqspark.operators.datasets import Dataset, profile_arrivals, profile_dataset
 from dqspark.operators.profile import profile
-from dqspark.operators.rollup import concat_results
+from dqspark.operators.rollup import concat_results, rollup_metrics
 from dqspark.operators.tags import indicator_tags
 from dqspark.plans.storage import cut_lineage, scratch_path
 from dqspark.sinks import metrics as K
 from dqspark.sources.objects import object_inventory
 from dqspark.sources.readers import read_dataset
+from workloads.events import TEXT_SQL, number_sql
 from workloads.indicators import nation_definitions
 from workloads.registry import query, rounded, table
+from workloads.streams import finished
 
 EVENT_JSON = "event_id bigint, ts string, user_id bigint, event_type string, value double, props string"
 INGESTED = dt.datetime(2024, 2, 3, 4, 5, tzinfo=dt.timezone.utc)
@@ -194,3 +197,59 @@ def object_inventory_files(spark, sf_dir):
     ).agg(F.count(F.lit(1)).alias("records"))
     kinds = found.groupBy("compression", "size_class").agg((F.count(F.lit(1)) > 0).alias("has_files"))
     return rounded(kinds.join(per_codec, "compression"))
+
+
+DATASET = Dataset(
+    name="events",
+    prefix="landing/web",
+    suffix_template="{day}/{event_type}",
+    file_type="jsonl",
+    strings=["props"],
+    numbers=["value"],
+    timestamps={"ts": {"column": "ts", "format": "%Y-%m-%d %H:%M:%S", "primary": True}},
+    dimensions=["event_type", "object.day", "partition.day"],
+    schema="event_id bigint, ts string, user_id bigint, value double, props string, day string",
+)
+
+DATASET_SQL = """
+SELECT event_type, 'd' || (user_id % 3)::VARCHAR AS "object.day", strftime(ts, '%Y-%m-%d') AS "partition.day",
+  {text}, {number}, max(floor(epoch(ts)))::BIGINT AS max_ts, min(floor(epoch(ts)))::BIGINT AS min_ts,
+  5::BIGINT AS execution_time, count(*) AS total_group_count
+FROM events GROUP BY 1, 2, 3
+""".format(text=TEXT_SQL.format(c="props"), number=number_sql("value"))
+
+
+def _write_dataset(spark, sf_dir) -> str:
+    root = scratch_path(spark, "dataset")
+    seconds = F.date_format(F.col("ts").cast("timestamp"), "yyyy-MM-dd")
+    rows = _as_text(table(spark, sf_dir, "events").withColumn("part_day", seconds))
+    inside = rows.withColumn("day", F.concat(F.lit("d"), (F.col("user_id") % 3).cast("string")))
+    # Folders of the day and the type; the day inside the files is another one.
+    for_paths = inside.withColumnsRenamed({"day": "inner_day"}).withColumnRenamed("part_day", "day")
+    record = F.to_json(F.struct("event_id", "ts", "user_id", "value", "props", F.col("inner_day").alias("day")))
+    for_paths.select("day", "event_type", record.alias("value")).write.partitionBy("day", "event_type").text(
+        f"{root}/landing/web"
+    )
+    return root
+
+
+def _merged(metrics):
+    names = {c: c.rpartition("|")[0] for c in metrics.columns if c.count("|") == 2}
+    rolled = rollup_metrics(
+        metrics.withColumnsRenamed(names), ["event_type", "object.day", "partition.day"],
+        ["max_ts", "min_ts", "execution_time"],
+    )
+    return rounded(rolled.drop("m2|value"))
+
+
+@query(DATASET_SQL)
+def object_dataset(spark, sf_dir):
+    found = profile_dataset(spark, _write_dataset(spark, sf_dir), DATASET, source_id="web", execution_time=5)
+    return _merged(cut_lineage(found.metrics))
+
+
+@query(DATASET_SQL)
+def arriving_dataset(spark, sf_dir):
+    root, out, state = _write_dataset(spark, sf_dir), scratch_path(spark, "arrived"), scratch_path(spark, "state")
+    finished(profile_arrivals(spark, root, DATASET, out, state, source_id="web", execution_time=5))
+    return _merged(spark.read.parquet(out).drop("batch_id"))
