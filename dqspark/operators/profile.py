@@ -87,8 +87,13 @@ def aggregates(
     name_of=lambda aggregate, column: f"{aggregate}|{column}",
     mergeable: bool = False,
 ) -> list[Column]:
-    """All aggregate expressions of a profile, for one ``agg`` call."""
+    """All aggregate expressions of a profile, for one ``agg`` call.
+
+    Means, null counts and squared deviations are put together from counts, sums and deviations that
+    are computed anyway: Spark keeps one buffer for each distinct aggregate.
+    """
     out: list[Column] = []
+    size = F.count(F.lit(1))
 
     def add(aggregate: str, column: str, expression: Column) -> None:
         out.append(expression.alias(name_of(aggregate, column)))
@@ -98,22 +103,23 @@ def aggregates(
             continue
         value = present(df, c)
         add("count", c, F.count(value))
-        add("null_count", c, F.count_if(value.isNull()))
+        add("null_count", c, size - F.count(value))
     for c in numbers:
         value = to_number(df, c)
-        add("count", c, F.count(value))
-        add("sum", c, F.coalesce(F.sum(value), F.lit(0.0)))
+        n, total, deviation = F.count(value), F.sum(value), F.stddev_samp(value)
+        add("count", c, n)
+        add("sum", c, F.coalesce(total, F.lit(0.0)))
         add("max", c, F.max(value))
         add("min", c, F.min(value))
-        add("mean", c, F.avg(value))
-        add("std", c, F.stddev_samp(value))
-        add("null_count", c, F.count_if(value.isNull()))
+        add("mean", c, F.try_divide(total, n))
+        add("std", c, deviation)
+        add("null_count", c, size - n)
         if mergeable:
-            add("m2", c, F.coalesce(F.var_pop(value) * F.count(value), F.lit(0.0)))
+            add("m2", c, F.coalesce(deviation * deviation * (n - 1), F.lit(0.0)))
     for c in times.names:
         bound = F.min if c.startswith("min_") else F.max
         out.append(bound(F.col(quoted(c))).alias(c))
-    out.append(F.count(F.lit(1)).alias(GROUP_SIZE))
+    out.append(size.alias(GROUP_SIZE))
     return out
 
 

@@ -35,7 +35,8 @@ def rollup_metrics(
 
     Counts, sums, null counts and group sizes add up; ranges widen; means are sums over counts.
     ``std`` comes back exactly from ``m2`` where the profile kept it and is left out otherwise.
-    Sketch columns ``hll|…`` and ``kll|…`` are united.
+    Sketch columns ``hll|…`` and ``kll|…`` are united. Metrics with ``m2`` are read twice: pass a
+    stored table.
     """
     columns = metrics.columns
     moments = [rest for kind, rest in map(metric_parts, columns) if kind == "m2"]
@@ -104,7 +105,8 @@ def rolling_rollup(
 
     ``pane_end`` holds the epoch second a pane ends at, and ``lookback`` is a multiple of
     ``pane_seconds``. The raw rows are aggregated once per pane; only pane rows are repeated, once
-    for each window that holds the pane. The result carries ``evaluation_time``.
+    for each window that holds the pane. The result carries ``evaluation_time``. Panes with ``m2``
+    are read twice: pass a stored table.
     """
     if lookback % pane_seconds:
         raise ValueError("the look-back must be a multiple of the pane")

@@ -298,7 +298,7 @@ def rolling_profile(spark, sf_dir):
     )
     panes = profile(rows, ["event_type"], numbers=["value"], by=["pane_end"], keyed=False, mergeable=True)
     rolled = rolling_rollup(
-        panes.metrics, "pane_end", 3600, 24 * 3600, ["event_type"], panes.times.names
+        cut_lineage(panes.metrics), "pane_end", 3600, 24 * 3600, ["event_type"], panes.times.names
     )
     return rounded(rolled.drop("m2|value"))
 
