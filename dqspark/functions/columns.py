@@ -147,7 +147,7 @@ def to_number(df: DataFrame, column: str) -> Column:
     if isinstance(kind, T.StringType):
         return _text_to_number(c)
     if isinstance(kind, (T.FloatType, T.DoubleType)):
-        return F.nullif(c.cast("double"), F.lit(float("nan")))
+        return F.when(~F.isnan(c), c.cast("double"))
     if isinstance(kind, (T.NumericType, T.BooleanType)):
         return c.cast("double")
     return F.lit(None).cast("double")
@@ -164,7 +164,7 @@ def present(df: DataFrame, column: str) -> Column:
     """The column with NaN as NULL, for null counting."""
     c = F.col(quoted(column))
     if isinstance(df.schema[column].dataType, (T.FloatType, T.DoubleType)):
-        return F.nullif(c, F.lit(float("nan")).cast(df.schema[column].dataType))
+        return F.when(~F.isnan(c), c)
     return c
 
 

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import logging
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -79,15 +79,20 @@ def prepare_dimensions(
     return df, names
 
 
-def aggregates(
-    df: DataFrame,
+def _measured(df: DataFrame, strings: Sequence[str], numbers: Sequence[str]) -> dict[str, Column]:
+    """One column per measured column: numbers coerced, NaN of texts as NULL."""
+    out = {f"_text|{c}": present(df, c) for c in strings if c not in numbers}
+    return out | {f"_number|{c}": to_number(df, c) for c in numbers}
+
+
+def _aggregates(
     strings: Sequence[str],
     numbers: Sequence[str],
     times: TimeColumns,
-    name_of=lambda aggregate, column: f"{aggregate}|{column}",
-    mergeable: bool = False,
+    name_of: Callable[[str, str], str],
+    mergeable: bool,
 ) -> list[Column]:
-    """All aggregate expressions of a profile, for one ``agg`` call.
+    """All aggregate expressions of a profile, for one ``agg`` call over measured columns.
 
     Means, null counts and squared deviations are put together from counts, sums and deviations that
     are computed anyway: Spark keeps one buffer for each distinct aggregate.
@@ -101,11 +106,11 @@ def aggregates(
     for c in strings:
         if c in numbers:
             continue
-        value = present(df, c)
-        add("count", c, F.count(value))
-        add("null_count", c, size - F.count(value))
+        n = F.count(F.col(quoted(f"_text|{c}")))
+        add("count", c, n)
+        add("null_count", c, size - n)
     for c in numbers:
-        value = to_number(df, c)
+        value = F.col(quoted(f"_number|{c}"))
         n, total, deviation = F.count(value), F.sum(value), F.stddev_samp(value)
         add("count", c, n)
         add("sum", c, F.coalesce(total, F.lit(0.0)))
@@ -158,11 +163,16 @@ def profile(
     def name_of(aggregate: str, column: str) -> str:
         return metric_key(aggregate, column, tail, source_id, dataset) if keyed else f"{aggregate}|{column}"
 
-    exprs = aggregates(df, strings, numbers, times, name_of, mergeable)
-    keys = [F.col(quoted(c)).alias(c) for c in by] + [label(c).alias(c) for c in found]
+    keys = {c: F.col(quoted(c)) for c in by} | {c: label(c) for c in found}
     if wanted and not found:
-        keys = [F.lit("").alias(wanted[0])]
-    metrics = df.groupBy(*keys).agg(*exprs) if keys else df.agg(*exprs)
+        keys[wanted[0]] = F.lit("")
+    # Labels and numbers are made once per row, in a projection; the aggregates only name them.
+    columns = {f"_key|{c}": e for c, e in keys.items()} | _measured(df, strings, numbers)
+    columns |= {c: F.col(quoted(c)) for c in times.names}
+    rows = df.select(*[e.alias(name) for name, e in columns.items()])
+    exprs = _aggregates(strings, numbers, times, name_of, mergeable)
+    groups = [F.col(quoted(f"_key|{c}")).alias(c) for c in keys]
+    metrics = rows.groupBy(*groups).agg(*exprs) if groups else rows.agg(*exprs)
     return Profile(metrics, found, times)
 
 
