@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 import hashlib
+import math
 import re
 from collections.abc import Iterator, Mapping, Sequence
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from dqspark.functions.columns import (
     INDICATOR_PREFIX,
@@ -27,6 +29,10 @@ MODES = ("plain", "exact", "approx", "sketch")
 # Evaluation times whose windows are broadcast without a further check.
 MAX_DRIVER_TIMES = 2_000
 
+# Windows per row from which panes are worth their shuffle, and the most panes a window may have.
+MIN_OVERLAP = 3
+MAX_PANES_PER_WINDOW = 4096
+
 # Windows per row up to which Spark's own window expression is used.
 MAX_WINDOW_RATIO = 64
 
@@ -82,6 +88,66 @@ def calculation_column(calculation: str, mode: str = "approx") -> Column:
     return F.expr(calculation)
 
 
+MERGEABLE_CALL = re.compile(rf"(?is)^\s*(count|sum|min|max|avg)\s*\((?!\s*distinct\b)({_ARGUMENTS})\)\s*$")
+
+
+@dataclass
+class Mergeable:
+    """An aggregate as partial aggregates of panes and the merge of those."""
+
+    partials: dict[str, Column]
+    merged: Column
+
+
+def mergeable(dataset: DataFrame, calculation: str, name: str, mode: str = "approx") -> Mergeable | None:
+    """The pane form of a calculation with the same result, or None where it has none.
+
+    Counts, sums, ranges and double averages merge exactly; in mode ``sketch`` so do the sketches.
+    """
+    if mode == "sketch":
+        for pattern, merge in (
+            (DISTINCT_CALL, lambda c: F.hll_union_agg(c, True)),
+            (PERCENTILE_CALL, lambda c: F.call_function("kll_merge_agg_double", c)),
+        ):
+            if re.match(pattern, calculation):
+                return Mergeable({name: calculation_column(calculation, mode)}, merge(F.col(quoted(name))))
+    call = MERGEABLE_CALL.match(calculation)
+    if not call:
+        return None
+    kind, whole = call.group(1).lower(), F.col(quoted(name))
+    if kind == "avg":
+        if dataset.select(F.expr(calculation).alias("v")).schema["v"].dataType != T.DoubleType():
+            return None
+        parts = {f"{name}#sum": F.expr(f"sum(CAST({call.group(2)} AS double))"), f"{name}#n": F.expr(f"count({call.group(2)})")}
+        total, n = (F.sum(F.col(quoted(part))) for part in parts)
+        return Mergeable(parts, F.try_divide(total, n))
+    merge = {"count": F.sum, "sum": F.sum, "min": F.min, "max": F.max}[kind]
+    return Mergeable({name: F.expr(calculation)}, merge(whole))
+
+
+def _all_mergeable(
+    dataset: DataFrame, calculations: Sequence[tuple[str, object]], mode: str
+) -> dict[str, Mergeable] | None:
+    found = {
+        f"{INDICATOR_PREFIX}{i}": mergeable(dataset, c, f"{INDICATOR_PREFIX}{i}", mode) for c, i in calculations
+    }
+    return None if any(m is None for m in found.values()) else found
+
+
+def _panes(rows: DataFrame, forms: dict[str, Mergeable], timestamp: str, width: int, keys: Sequence[Column]) -> DataFrame:
+    """Partial aggregates per group and pane of ``width`` seconds, ``_pane`` being its first second."""
+    ts = F.col(quoted(timestamp))
+    start = F.floor(epoch_seconds(rows, timestamp) / width) * width
+    partials = [e.alias(n) for m in forms.values() for n, e in m.partials.items()]
+    partials += [F.min(ts).alias("_result_min_ts"), F.max(ts).alias("_result_max_ts")]
+    return rows.filter(ts.isNotNull()).groupBy(*keys, start.alias("_pane")).agg(*partials)
+
+
+def _merges(forms: dict[str, Mergeable]) -> list[Column]:
+    out = [m.merged.alias(name) for name, m in forms.items()]
+    return [*out, F.min("_result_min_ts").alias("_result_min_ts"), F.max("_result_max_ts").alias("_result_max_ts")]
+
+
 def _group_list(fields: str | Sequence | None) -> list:
     if not fields:
         return []
@@ -157,8 +223,14 @@ def indicator_series(
 
     ``times`` are epoch seconds, or a table with ``evaluation_time``. A time whose window holds no
     row gives no result row. ``small`` is that of :func:`dqspark.plans.joins.interval_join`.
+
+    Where windows overlap and all calculations merge, each row is aggregated once into the pane that
+    divides all windows, and only panes are joined with the windows.
     """
     rows = dataset.filter(F.expr(f"({filters})")) if filters else dataset
+    keys = [aliased(f) for f in _group_list(group_fields)]
+    names = [group_name(f) for f in _group_list(group_fields)]
+    forms, width = None, 0
     if isinstance(times, DataFrame):
         end = F.col("evaluation_time").cast("bigint")
         windows = times.select((end - int(lookback)).alias("_window_start"), end.alias("_window_end")).distinct()
@@ -167,12 +239,17 @@ def indicator_series(
             rows = rows.filter(in_time_range(rows, timestamp, min(times) - int(lookback), max(times)))
         windows = windows_frame(dataset.sparkSession, times, lookback)
         small = len(times) <= MAX_DRIVER_TIMES if small is None else small
-    pairs = interval_join(rows, windows, timestamp, lookback, small)
-    keys = [aliased(f) for f in _group_list(group_fields)]
-    names = [group_name(f) for f in _group_list(group_fields)]
-    exprs = [calculation_column(c, mode).alias(f"{INDICATOR_PREFIX}{i}") for c, i in calculations]
-    ts = F.col(quoted(timestamp))
-    exprs += [F.min(ts).alias("_result_min_ts"), F.max(ts).alias("_result_max_ts")]
+        width = pane_width(times, lookback)
+        forms = _all_mergeable(dataset, calculations, mode) if width else None
+    if forms:
+        panes = _panes(rows, forms, timestamp, width, keys)
+        pairs = interval_join(panes, windows, "_pane", lookback, small)
+        keys, exprs = [F.col(quoted(n)) for n in names], _merges(forms)
+    else:
+        pairs = interval_join(rows, windows, timestamp, lookback, small)
+        exprs = [calculation_column(c, mode).alias(f"{INDICATOR_PREFIX}{i}") for c, i in calculations]
+        ts = F.col(quoted(timestamp))
+        exprs += [F.min(ts).alias("_result_min_ts"), F.max(ts).alias("_result_max_ts")]
     out = pairs.groupBy(*keys, "_window_start", "_window_end").agg(*exprs)
     return out.select(
         *[F.col(quoted(n)) for n in names],
@@ -184,6 +261,17 @@ def indicator_series(
     )
 
 
+def pane_width(times: Sequence[int], lookback: int) -> int:
+    """Longest pane that divides all windows; 0 where they overlap too little to be worth it."""
+    if not times or not lookback:
+        return 0
+    span = max(times) - min(times) + lookback
+    if len(set(times)) * lookback < MIN_OVERLAP * span:
+        return 0
+    width = math.gcd(int(lookback), *[int(t) for t in times])
+    return width if lookback // width <= MAX_PANES_PER_WINDOW else 0
+
+
 def rolling_indicators(
     dataset: DataFrame,
     calculations: Sequence[tuple[str, object]],
@@ -196,9 +284,8 @@ def rolling_indicators(
 ) -> DataFrame:
     """Indicators at every multiple of ``interval`` whose window holds a row.
 
-    For SQL aggregates of any kind; every row is read into each of its windows. Where counts, sums, ranges, means and deviations suffice and the
-    look-back spans many intervals, :func:`dqspark.operators.rollup.rolling_rollup` over pane
-    profiles reads each row once.
+    For SQL aggregates of any kind. Where the look-back spans several intervals, calculations that
+    merge are aggregated once per pane; others take every row into each of its windows.
     """
     rows = dataset.filter(F.expr(f"({filters})")) if filters else dataset
     keys = [aliased(f) for f in _group_list(group_fields)]
@@ -206,12 +293,22 @@ def rolling_indicators(
     ts = F.col(quoted(timestamp))
     exprs += [F.min(ts).alias("_result_min_ts"), F.max(ts).alias("_result_max_ts")]
     end = F.col("_lookback_range_end_ts")
-    if lookback > MAX_WINDOW_RATIO * interval:
-        seconds = epoch_seconds(rows, timestamp)
+
+    def in_each_window(seconds: Column) -> Column:
         first = (F.floor(seconds / interval) + 1) * interval
         last = F.floor((seconds + lookback) / interval) * interval
+        return F.explode(F.sequence(first, last, F.lit(interval).cast("bigint")))
+
+    forms = _all_mergeable(dataset, calculations, mode) if lookback >= MIN_OVERLAP * interval else None
+    if forms:
+        panes = _panes(rows, forms, timestamp, math.gcd(int(lookback), int(interval)), keys)
+        spread = panes.withColumn("_lookback_range_end_ts", in_each_window(F.col("_pane")))
+        names = [F.col(quoted(group_name(f))) for f in _group_list(group_fields)]
+        out = spread.groupBy("_lookback_range_end_ts", *names).agg(*_merges(forms))
+        return out.withColumn("_lookback_range_start_ts", end - int(lookback))
+    if lookback > MAX_WINDOW_RATIO * interval:
         spread = rows.filter(ts.isNotNull()).withColumn(
-            "_lookback_range_end_ts", F.explode(F.sequence(first, last, F.lit(interval).cast("bigint")))
+            "_lookback_range_end_ts", in_each_window(epoch_seconds(rows, timestamp))
         )
         out = spread.groupBy("_lookback_range_end_ts", *keys).agg(*exprs)
         return out.withColumn("_lookback_range_start_ts", end - int(lookback))

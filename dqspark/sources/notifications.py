@@ -36,10 +36,12 @@ def arrived_objects(events: DataFrame, payload: str = "payload") -> DataFrame:
             F.lit(source).alias("event_source"), bucket.alias("bucket"), key.alias("object_key")
         )
 
+    def decoded(key: Column) -> Column:
+        return F.coalesce(F.try_url_decode(key), key)
+
     def direct(source: str, items: Column) -> Column:
         return F.transform(
-            items,
-            lambda r: found(source, r["s3"]["bucket"]["name"], F.try_url_decode(r["s3"]["object"]["key"])),
+            items, lambda r: found(source, r["s3"]["bucket"]["name"], decoded(r["s3"]["object"]["key"]))
         )
 
     topic = F.flatten(

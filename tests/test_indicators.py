@@ -229,3 +229,41 @@ def test_series_filters_each_metric_on_its_own(spark):
     assert got == [("p._indicator_1", 10, 1.0, ("g:b",)), ("p._indicator_2", 10, 5.0, ("g:a",))]
     with pytest.raises(ValueError):
         metric_series(df.select("g", "_result_min_ts", "_result_max_ts"))
+
+
+def pick(df):
+    return sorted(map(tuple, df.select(*sorted(df.columns)).collect()), key=str)
+
+
+CALCULATIONS = [
+    ("COUNT(*)", 1), ("sum(v)", 2), ("MIN(v)", 3), ("max(coalesce(v, abs(-1)))", 4), ("avg(v)", 5), ("count(u)", 6),
+]
+
+
+def test_panes_give_the_same_rows(spark):
+    df, times = data(spark, "timestamp_ntz"), list(range(600, 12_000, 600))
+    assert I.pane_width(times, 3600) == 600 and I.pane_width([3600, 7200], 3600) == 0
+    assert I.pane_width([3600, 3601, 3602], 360_000) == 0
+    # A calculation that does not merge keeps the direct way.
+    direct = I.indicator_series(df, [*CALCULATIONS, ("count(distinct u)", 7)], times, 3600, "t", [{"g": "h"}], "v < 9", "exact")
+    panes = I.indicator_series(df, CALCULATIONS, times, 3600, "t", [{"g": "h"}], "v < 9", "exact")
+    assert pick(panes) == pick(direct.drop("_indicator_7")) and panes.count() > 0
+    assert panes._jdf.queryExecution().executedPlan().toString().count("Exchange hash") == 2
+    direct = I.rolling_indicators(df, [*CALCULATIONS, ("count(distinct u)", 7)], "t", 3600, 600, "g", mode="exact")
+    panes = I.rolling_indicators(df, CALCULATIONS, "t", 3600, 600, "g", mode="exact")
+    assert pick(panes) == pick(direct.drop("_indicator_7"))
+    uneven = I.rolling_indicators(df, CALCULATIONS, "t", 3700, 600, "g")
+    assert pick(uneven) == pick(I.indicator_series(df, CALCULATIONS, list(range(0, 12_000, 600)), 3700, "t", "g"))
+
+
+def test_sketches_merge_over_panes(spark):
+    df = spark.range(5000).select((F.col("id") * 2).alias("t"), (F.col("id") % 97).alias("u"), F.col("id").cast("double").alias("v"))
+    calcs = [("count(distinct u)", 1), ("approx_percentile(v, 0.5)", 2)]
+    out = I.rolling_indicators(df, calcs, "t", 5000, 500, mode="sketch").filter("_lookback_range_end_ts = 6000")
+    got = out.select(F.hll_sketch_estimate("_indicator_1"), F.expr("kll_sketch_get_quantile_double(_indicator_2, 0.5D)")).first()
+    assert got[0] == 97 and abs(got[1] - 1750) < 60
+
+
+@pytest.mark.parametrize("calculation", ["count(distinct u)", "sum(v) / count(*)", "sum(v) FILTER (WHERE v > 1)", "stddev(v)", "avg(CAST(v AS decimal(9,2)))", "count(DISTINCT(u))"])
+def test_not_mergeable(spark, calculation):
+    assert I.mergeable(data(spark), calculation, "x", "exact") is None

@@ -25,9 +25,9 @@ def test_nested_json_schema(spark):
 
 
 def test_flat_and_reduced(spark):
-    df = spark.createDataFrame([], "a int, b struct<c: int>, d double, e boolean")
+    df = spark.createDataFrame([], "a int, b struct<c: int>, d double, e boolean, f timestamp")
     flat = S.flat_json_schema(df)
-    assert {k: v["type"] for k, v in flat["properties"].items()} == {"a": "integer", "b": "string", "d": "number", "e": "boolean"}
+    assert {k: v["type"] for k, v in flat["properties"].items()} == {"a": "integer", "b": "string", "d": "number", "e": "boolean", "f": "string"}
     full = {"$schema": "x", "required": ["a"], "type": "object", "properties": {
         "a": {"type": "integer"}, "b": {"type": "array", "items": {"type": "number", "required": []}}}}
     assert S.reduced(full) == {"type": "object", "properties": {

@@ -104,6 +104,7 @@ def test_notifications(spark):
         {"requestPayload": {"Records": [direct("e")]}},
         {"Records": [{"Sns": {"Message": json.dumps({"Records": [direct("f"), direct("g%20h")]})}},
                      {"Sns": {"Message": "junk"}}]},
+        {"Records": [direct("100%")]},
         {"data": {"bucket": "gb", "name": "kept%20as+is"}},
         {"other": 1},
     ]
@@ -112,7 +113,7 @@ def test_notifications(spark):
     assert got == [
         ("S3_TRIGGER", "b", "a/b c"), ("S3_TRIGGER", "b", "d"), ("S3_TRIGGER", "b", "e"),
         ("SNS_S3_TRIGGER", "b", "f"), ("SNS_S3_TRIGGER", "b", "g h"), ("UNSUPPORTED", None, None),
-        ("GCS_TRIGGER", "gb", "kept%20as+is"), ("UNSUPPORTED", None, None), ("UNSUPPORTED", None, None),
+        ("S3_TRIGGER", "b", "100%"), ("GCS_TRIGGER", "gb", "kept%20as+is"), ("UNSUPPORTED", None, None), ("UNSUPPORTED", None, None),
     ]
 
 
