@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from dqspark.plans.bounds import MAX_BROADCAST_ROWS, is_bounded
+from dqspark.plans.bounds import MAX_BROADCAST_ROWS
 from dqspark.plans.joins import quoted
 from dqspark.plans.storage import stored
 
@@ -45,6 +45,9 @@ def quantile_estimate(sketch_column: str, p: float) -> Column:
 # than 2**24 distinct values of one group, however many rows it has.
 FIRST_BITS, SECOND_BITS = 8, 20
 
+# Distinct values of a group that one task may rank without narrowing.
+DIRECT_VALUES = 2**20
+
 
 def _with_bucket_keys(df: DataFrame) -> DataFrame:
     """Add ``_b1`` and ``_b2``, which together order the values of ``_v`` as coarsely as their bits."""
@@ -75,54 +78,66 @@ def _clipped(fraction: Column, bits: int) -> Column:
     return F.greatest(F.least(bucket, F.lit(2**bits - 1)), F.lit(0))
 
 
-def exact_percentile(df: DataFrame, value: str, p: float, by: Sequence[str] = ()) -> DataFrame:
+def exact_percentile(
+    df: DataFrame, value: str, p: float, by: Sequence[str] = (), direct: int = DIRECT_VALUES
+) -> DataFrame:
     """Interpolated percentile per group, exact, for groups of any size.
 
     A built-in exact percentile keeps all distinct values of a group in one task. Here the values
-    are counted first, and the one or two wanted ranks are then located by comparing ever more
-    leading bits of the value, so that a task ranks buckets instead of rows. NULL and NaN are left
-    out; a group without values has a NULL ``percentile``. The counts are stored, being read once per
-    step: this runs a job.
+    are counted first. Groups of at most ``direct`` distinct values are then ranked as they are;
+    with any larger group, the wanted ranks are located by comparing ever more leading bits of the
+    value, so that a task ranks buckets instead of values. NULL and NaN are left out; a group without
+    values has a NULL ``percentile``. The counts are stored, being read once per step: this runs jobs.
     """
     number = F.nullif(F.col(quoted(value)).try_cast("double"), F.lit(float("nan")))
     groups = [F.col(quoted(c)) for c in by]
-    counted = (
+    counted = stored(
         df.select(F.struct(*groups, F.lit(0).alias("_all")).alias("_g"), (number + 0.0).alias("_v"))
         .groupBy("_g", "_v")
-        .agg(F.count(F.lit(1)).alias("_n"))
+        .agg(F.count(F.lit(1)).alias("_n")),
+        "value-counts",
+    )
+    known = F.col("_v").isNotNull()
+    totals = stored(
+        counted.groupBy("_g").agg(F.sum(F.when(known, F.col("_n"))).alias("_total"), F.count("_v").alias("_values")),
+        "value-totals",
     )
-    counted = stored(_with_bucket_keys(counted), "value-counts")
-    values = counted.filter(F.col("_v").isNotNull())
-    all_groups = stored(counted.select("_g").distinct(), "groups")
+    size = totals.agg(F.count(F.lit(1)).alias("groups"), F.max("_values").alias("values")).first()
     # No more than two buckets per group are kept: with few groups they are sent to the values.
-    few = is_bounded(all_groups, max_rows=MAX_BROADCAST_ROWS // 2)
+    few = size["groups"] <= MAX_BROADCAST_ROWS // 2
 
-    def within(kept: DataFrame, keys: list[str]) -> DataFrame:
-        return values.join(F.broadcast(kept) if few else kept, keys)
+    def joined(rows: DataFrame, kept: DataFrame, keys: list[str]) -> DataFrame:
+        return rows.join(F.broadcast(kept) if few else kept, keys)
 
-    rank = F.lit(float(p)) * (F.sum("_n") - 1)
-    wanted = values.groupBy("_g").agg(F.floor(rank).alias("_lo"), F.ceil(rank).alias("_hi"), rank.alias("_r"))
-
-    kept = _locate(values.groupBy("_g", "_b1").agg(F.sum("_n").alias("_n")), wanted, [], "_b1")
-    inside = within(kept, ["_g", "_b1"])
-    buckets = inside.groupBy("_g", "_b1", "_base", "_lo", "_hi", "_r", "_b2").agg(F.sum("_n").alias("_n"))
-    kept = _locate(buckets, None, ["_b1"], "_b2")
-    inside = within(kept, ["_g", "_b1", "_b2"])
-    final = _locate(inside, None, ["_b1", "_b2"], "_v")
+    rank = F.lit(float(p)) * (F.col("_total") - 1)
+    wanted = totals.filter(F.col("_total").isNotNull()).select(
+        "_g", F.floor(rank).alias("_lo"), F.ceil(rank).alias("_hi"), rank.alias("_r"),
+        F.lit(0).cast("bigint").alias("_base"),
+    )
+    values = counted.filter(known)
+    if (size["values"] or 0) <= direct:
+        final = _locate(joined(values, wanted, ["_g"]), [], "_v")
+    else:
+        values = _with_bucket_keys(values)
+        buckets = values.groupBy("_g", "_b1").agg(F.sum("_n").alias("_n"))
+        kept = _locate(joined(buckets, wanted, ["_g"]), [], "_b1")
+        inside = joined(values, kept, ["_g", "_b1"])
+        buckets = inside.groupBy("_g", "_b1", "_base", "_lo", "_hi", "_r", "_b2").agg(F.sum("_n").alias("_n"))
+        kept = _locate(buckets, ["_b1"], "_b2")
+        final = _locate(joined(values, kept, ["_g", "_b1", "_b2"]), ["_b1", "_b2"], "_v")
     at_lo = F.max(F.when(F.col("_has_lo"), F.col("_v")))
     at_hi = F.max(F.when(F.col("_has_hi"), F.col("_v")))
     share = F.max(F.col("_r") - F.col("_lo"))
     found = final.groupBy("_g").agg(
         F.when(at_lo == at_hi, at_lo).otherwise(at_lo + share * (at_hi - at_lo)).alias("percentile")
     )
-    return all_groups.join(found, "_g", "left").select(
+    return totals.select("_g").join(found, "_g", "left").select(
         *[F.col("_g").getField(c).alias(c) for c in by], "percentile"
     )
 
 
-def _locate(buckets: DataFrame, wanted: DataFrame | None, within: list[str], key: str) -> DataFrame:
+def _locate(rows: DataFrame, within: list[str], key: str) -> DataFrame:
     """The buckets that hold one of the wanted ranks, with the number of values before each."""
-    rows = buckets.join(wanted, "_g").withColumn("_base", F.lit(0).cast("bigint")) if wanted else buckets
     order = Window.partitionBy("_g", *within).orderBy(key).rowsBetween(Window.unboundedPreceding, 0)
     rows = rows.withColumn("_end", F.col("_base") + F.sum("_n").over(order))
     rows = rows.withColumn("_start", F.col("_end") - F.col("_n"))

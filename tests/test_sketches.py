@@ -14,14 +14,15 @@ AWKWARD = [
 ]
 
 
+@pytest.mark.parametrize("direct", [0, 2**20])
 @pytest.mark.parametrize("p", [0.0, 0.1, 0.5, 0.77, 1.0])
-def test_exact_percentile_against_numpy(spark, p):
+def test_exact_percentile_against_numpy(spark, p, direct):
     rng = random.Random(int(p * 100))
     data = [("hot", rng.choice([rng.gauss(0, 1e3), rng.random(), 3.5])) for _ in range(900)]
     data += [("odd", v) for v in AWKWARD if math.isfinite(v)] + [("one", 5.0), ("null", None), ("nan", float("nan"))]
     data += [(None, v) for v in (1.0, 2.0, 10.0)]
     df = spark.createDataFrame(data, "g string, v double")
-    got = {r["g"]: r["percentile"] for r in S.exact_percentile(df, "v", p, ["g"]).collect()}
+    got = {r["g"]: r["percentile"] for r in S.exact_percentile(df, "v", p, ["g"], direct).collect()}
     assert got["null"] is None and got["nan"] is None and got["one"] == 5.0
     for g in ("hot", "odd", None):
         want = np.quantile([v for k, v in data if k == g], p)

@@ -15,9 +15,8 @@ GRID = 16
 
 
 def _hex_of_halves(order: str):
-    """Hex text of the doubles 0, 0.5, 1, …, up to the edge of the grid, by twice their value."""
-    pairs = [(i, struct.pack(order + "d", i / 2).hex()) for i in range(2 * GRID + 4)]
-    return F.create_map(*[F.lit(x) for pair in pairs for x in pair])
+    """Hex text of the doubles 0, 0.5, 1, …, up to the edge of the grid, at twice their value."""
+    return F.array(*[F.lit(struct.pack(order + "d", i / 2).hex()) for i in range(2 * GRID + 4)])
 
 
 def _uint(order: str, value: int) -> str:
@@ -37,7 +36,7 @@ def shapes(spark, sf_dir):
         x, y = F.col("cx") * 2 + 1, F.col("cy") * 2 + 1
 
         def at(dx: int, dy: int):
-            return F.concat(digits[(x + dx).cast("int")], digits[(y + dy).cast("int")])
+            return F.concat(F.get(digits, (x + dx).cast("int")), F.get(digits, (y + dy).cast("int")))
 
         point = F.concat(F.lit(flag + _uint(order, 1)), at(0, 0))
         line = F.concat(F.lit(flag + _uint(order, 2) + _uint(order, 2)), at(-1, 0), at(1, 0))
@@ -53,7 +52,7 @@ def shapes(spark, sf_dir):
 
 
 def squares(spark, sf_dir):
-    """One square of side 3 per nation, in rows of five, each with a hole's worth of overlap."""
+    """One square of side 3 per nation, in rows of five."""
     key = F.col("n_nationkey")
     x0, y0 = (key % 5 * 3).cast("double"), (F.floor(key / 5) * 3).cast("double")
     # The first nation's square is twice as wide and covers its neighbour's, too.
@@ -97,34 +96,31 @@ def geo_centroid(spark, sf_dir):
     return center.select("event_id", F.round("c.x", 9).alias("x"), F.round("c.y", 9).alias("y"))
 
 
-@query(f"""
-WITH {PLACED_SQL}
-SELECT coalesce(name, '<empty>') AS place, count(*) AS records
-FROM events LEFT JOIN placed USING (event_id) GROUP BY 1
-""")
-def geo_join(spark, sf_dir):
+def _placed(spark, sf_dir, small):
     points = table(spark, sf_dir, "events").select(
         "event_id",
         (F.col("user_id") % GRID + 0.5).alias("x"),
         (F.floor(F.col("user_id") / GRID) % GRID + 0.5).alias("y"),
     )
-    placed = geo.region_of(points, squares(spark, sf_dir), "x", "y", "place", cell=2.0)
+    placed = geo.region_of(points, squares(spark, sf_dir), "x", "y", "place", cell=2.0, small=small)
     return placed.groupBy("place").agg(F.count(F.lit(1)).alias("records"))
 
 
-@query(f"""
+COUNTED_SQL = f"""
 WITH {PLACED_SQL}
 SELECT coalesce(name, '<empty>') AS place, count(*) AS records
 FROM events LEFT JOIN placed USING (event_id) GROUP BY 1
-""")
+"""
+
+
+@query(COUNTED_SQL)
+def geo_join(spark, sf_dir):
+    return _placed(spark, sf_dir, None)
+
+
+@query(COUNTED_SQL)
 def geo_join_large(spark, sf_dir):
-    points = table(spark, sf_dir, "events").select(
-        "event_id",
-        (F.col("user_id") % GRID + 0.5).alias("x"),
-        (F.floor(F.col("user_id") / GRID) % GRID + 0.5).alias("y"),
-    )
-    placed = geo.region_of(points, squares(spark, sf_dir), "x", "y", "place", cell=2.0, small=False)
-    return placed.groupBy("place").agg(F.count(F.lit(1)).alias("records"))
+    return _placed(spark, sf_dir, False)
 
 
 @query(f"""
