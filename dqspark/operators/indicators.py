@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import itertools
 import math
 import re
 from collections.abc import Iterator, Mapping, Sequence
@@ -434,47 +435,36 @@ def with_family_keys(definitions: DataFrame, sketch_in_key: bool = False) -> Dat
     )
 
 
-def family_table(definitions: DataFrame, sketch_in_key: bool = False) -> DataFrame:
-    """One row per family: its key, settings, calculations and evaluation times."""
-    rows = exploded_times(with_family_keys(definitions, sketch_in_key))
-    same = (
-        "computed_dataset_id",
-        "computed_dataset_query",
-        "group_fields",
-        "filters",
-        "timestamp_column",
-        "lookback_window_length",
-    )
-    return rows.groupBy("compute_hash", "org_id").agg(
-        *[F.min_by(F.col(c), F.col("indicator_id")).alias(c) for c in same],
-        F.array_sort(F.collect_set(F.struct("indicator_id", "calculation"))).alias("calculations"),
-        F.array_sort(F.collect_set("evaluation_time")).alias("times"),
-        F.array_sort(F.collect_set(F.struct("evaluation_time", "indicator_id"))).alias("wanted"),
-    )
-
-
 def families(definitions: DataFrame, sketch_in_key: bool = False) -> Iterator[Family]:
-    """The families of a definitions table, one at a time. Each partition of them runs a job."""
-    for row in family_table(definitions, sketch_in_key).orderBy("compute_hash", "org_id").toLocalIterator():
-        # Indicators of one family need not share all evaluation times.
-        by_ids: dict[tuple, list[int]] = {}
-        wanted: dict[int, list[int]] = {}
-        for item in row["wanted"]:
-            wanted.setdefault(item["evaluation_time"], []).append(item["indicator_id"])
-        for time, ids in wanted.items():
-            by_ids.setdefault(tuple(ids), []).append(time)
-        calculations = {c["indicator_id"]: c["calculation"] for c in row["calculations"]}
-        for ids, times in by_ids.items():
+    """The families of a definitions table, one at a time, from a sorted stream of its rows.
+
+    Indicators of one key need not share all evaluation times: each set of indicators with the times
+    they share is a family. This runs jobs.
+    """
+    rows = exploded_times(with_family_keys(definitions, sketch_in_key)).orderBy(
+        "compute_hash", "org_id", "evaluation_time", "indicator_id"
+    )
+    by_key = itertools.groupby(rows.toLocalIterator(), key=lambda r: (r["compute_hash"], r["org_id"]))
+    for (key, org_id), members in by_key:
+        shared: dict[tuple[tuple[str, int], ...], list[int]] = {}
+        first = None
+        for time, group in itertools.groupby(members, key=lambda r: r["evaluation_time"]):
+            wanted = {}
+            for row in group:
+                first = first or row
+                wanted[row["indicator_id"]] = row["calculation"]
+            shared.setdefault(tuple((c, i) for i, c in wanted.items()), []).append(time)
+        for calculations, times in shared.items():
             yield Family(
-                key=row["compute_hash"],
-                org_id=row["org_id"],
-                dataset_id=row["computed_dataset_id"],
-                dataset_query=(row["computed_dataset_query"] or "").strip().removesuffix(";"),
-                group_fields=row["group_fields"] or "",
-                filters=row["filters"] or "",
-                timestamp=row["timestamp_column"] or "",
-                lookback=int(row["lookback_window_length"] or 0),
-                calculations=[(calculations[i], i) for i in ids],
+                key=key,
+                org_id=org_id,
+                dataset_id=first["computed_dataset_id"],
+                dataset_query=(first["computed_dataset_query"] or "").strip().removesuffix(";"),
+                group_fields=first["group_fields"] or "",
+                filters=first["filters"] or "",
+                timestamp=first["timestamp_column"] or "",
+                lookback=int(first["lookback_window_length"] or 0),
+                calculations=list(calculations),
                 times=times,
             )
 
@@ -537,7 +527,6 @@ __all__ = [
     "exploded_times",
     "families",
     "family_key",
-    "family_table",
     "filter_fingerprint",
     "indicator_query",
     "indicator_series",

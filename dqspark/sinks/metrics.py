@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import logging
 from collections.abc import Iterable, Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -10,11 +11,13 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from dqspark.functions.columns import to_base64_text
-from dqspark.operators.indicators import Family, observed_only
+from dqspark.operators.indicators import Family, evaluate_family, observed_only
 from dqspark.operators.profile import dimension_values, time_range
 from dqspark.operators.tags import TAG_SCHEMA, indicator_statuses
 from dqspark.plans.joins import quoted
 
+log = logging.getLogger(__name__)
+
 INGESTION_PARTS = ("year", "month", "day", "hour", "minute")
 
 
@@ -58,17 +61,27 @@ def write_metrics(
 
 
 def write_families(
-    results: Iterable[tuple[Family, DataFrame]], path: str, status_path: str, source_id: str, **options
+    spark: SparkSession,
+    families: Iterable[Family],
+    path: str,
+    status_path: str,
+    source_id: str,
+    mode: str = "approx",
+    **options,
 ) -> None:
-    """Write each family's result and the status of its indicators, with the error where it failed."""
-    for family, result in results:
+    """Evaluate and write each family, and the status of its indicators with the error if it failed.
+
+    A family that fails does not keep the others from being written.
+    """
+    for family in families:
         error = None
         try:
             place = {"org_id": family.org_id, "source_id": source_id, "compute_hash": family.key}
-            write_metrics(result, path, place, **options)
+            write_metrics(evaluate_family(spark, family, mode), path, place, **options)
         except Exception as failure:  # noqa: BLE001 - the status row carries it
+            log.warning("family %s failed: %s", family.key, failure)
             error = str(failure)
-        write_statuses(result.sparkSession, family, status_path, error)
+        write_statuses(spark, family, status_path, error)
 
 
 def write_statuses(spark: SparkSession, family: Family, path: str, error: str | None = None) -> None:
@@ -93,12 +106,12 @@ def run_log(
     if by:
         c = F.col(quoted(primary))
         keys = [F.col(quoted(k)) for k in by]
-        log = metrics.groupBy(*keys).agg(F.min(c).alias("min_primary_time"), F.max(c).alias("max_primary_time"))
+        found = metrics.groupBy(*keys).agg(F.min(c).alias("min_primary_time"), F.max(c).alias("max_primary_time"))
         if objects is not None:
-            log = objects.join(log, list(by), "left")
+            found = objects.join(found, list(by), "left")
     else:
-        log = time_range(metrics, primary)
-    return log.withColumns(
+        found = time_range(metrics, primary)
+    return found.withColumns(
         {"primary_time_column": F.lit(primary)} | {name: F.lit(value) for name, value in constants.items()}
     )
 

@@ -20,12 +20,14 @@ def test_families_and_statuses(spark, tmp_path):
     good = family("SELECT * FROM sink_data", [("COUNT(*)", 1), ("COUNT(DISTINCT t)", 2)])
     bad = family("SELECT * FROM sink_data", [("SUM(raise_error('broken'))", 9)])
     out, log = str(tmp_path / "out"), str(tmp_path / "log")
-    K.write_families(((f, I.evaluate_family(spark, f, "exact")) for f in (good, bad)), out, log, "src", ingested=AT)
+    worse = family("SELECT FROM WHERE", [("COUNT(*)", 8)])
+    K.write_families(spark, [worse, bad, good], out, log, "src", "exact", ingested=AT)
     back = spark.read.parquet(out)
     assert {(r["g"], r["_indicator_1"], r["_lookback_range_end_ts"]) for r in back.collect()} == {("a", 1, 100), ("b", 1, 200)}
     assert tuple(back.select("org_id", "source_id", "compute_hash", "year", "minute").first()) == (3, "src", "key", 2024, 5)
     status = {(r["indicator_id"], r["evaluation_time"]): r["meta"] for r in spark.read.parquet(log).collect()}
-    assert status[1, 100_000] == {} and "broken" in status[9, 200_000]["error"] and len(status) == 6
+    assert status[1, 100_000] == {} and "broken" in status[9, 200_000]["error"] and len(status) == 8
+    assert "error" in status[8, 100_000]
 
 
 def test_rows_without_range_are_left_out(spark, tmp_path):

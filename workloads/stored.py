@@ -101,7 +101,7 @@ def metrics_table(spark, sf_dir):
         "k", 7, 1, f"SELECT * FROM parquet.`{events}`", "event_type", "", "ts", 60 * 86400,
         [("COUNT(*)", 1), ("SUM(value)", 2)], [1_706_659_200],
     )
-    K.write_families([(family, I.evaluate_family(spark, family))], path, statuses, "web", ingested=INGESTED)
+    K.write_families(spark, [family], path, statuses, "web", ingested=INGESTED)
     strings = ", ".join(f"{c} string" for c in ("org_id", "source_id", "compute_hash", *K.INGESTION_PARTS))
     schema = "event_type string, _indicator_1 bigint, _indicator_2 double, " + strings
     log = spark.read.parquet(statuses).filter(F.size("meta") == 0)
