@@ -17,9 +17,9 @@ HEADLINE = (
     "profile_global",
     "profile_lineitem",
     "rolling_profile",
-    "rollup_daily",
+    "rollup_metrics",
     "json_dimension",
-    "dimension_value_rows",
+    "dimension_values",
     "time_precision",
     "freshness_buckets",
     "indicator_family",
@@ -27,7 +27,7 @@ HEADLINE = (
     "rolling_lookback",
     "exact_distinct",
     "exact_percentile_lineitem",
-    "approx_values",
+    "approx_distinct",
     "hll_rollup",
     "kll_quantile",
     "path_fields",

@@ -65,6 +65,12 @@ def common_names(left: Sequence[str], right: Sequence[str]) -> list[str]:
     return [name for name in left if name in other]
 
 
+def common_fields(record: Column, names: Sequence[str]) -> Column:
+    """Of the given names, those that are keys of a JSON object text; empty for any other text."""
+    keys = F.coalesce(F.json_object_keys(record), F.array().cast("array<string>"))
+    return F.array_intersect(F.array(*[F.lit(n) for n in names]).cast("array<string>"), keys)
+
+
 def add_path_fields(df: DataFrame, fields: Mapping[str, str | Column]) -> DataFrame:
     """Add fields of the object path as columns.
 

@@ -22,7 +22,7 @@ from dqspark.functions.columns import (
 )
 from dqspark.functions.timecols import evaluation_times
 from dqspark.operators.sketches import HLL_LG_K
-from dqspark.plans.joins import epoch_seconds, in_time_range, interval_join, quoted, windows_frame
+from dqspark.plans.joins import epoch_seconds, in_time_range, interval_join, lookup_join, quoted, windows_frame
 
 NONE, COUNT_DISTINCT, DECILE = "NONE", "COUNT_DISTINCT", "DECILE"
 MODES = ("plain", "exact", "approx", "sketch")
@@ -404,35 +404,31 @@ def exploded_times(definitions: DataFrame) -> DataFrame:
     )
 
 
-def with_family_keys(definitions: DataFrame, sketch_in_key: bool = False) -> DataFrame:
-    """Add ``sketch_type`` and ``compute_hash`` to a table of definitions.
-
-    The distinct filters are fingerprinted on the driver, in a stream of rows.
-    """
+def with_filter_keys(definitions: DataFrame, filters: str = "filters", output: str = "filter_key") -> DataFrame:
+    """Add the fingerprint of a filter column. The distinct filters pass the driver in a stream."""
     spark = definitions.sparkSession
-    filters = F.coalesce(F.trim("filters"), F.lit(""))
+    text = F.coalesce(F.trim(F.col(quoted(filters))), F.lit(""))
     keyed = [
         (row["f"], filter_fingerprint(spark, row["f"]))
-        for row in definitions.select(filters.alias("f")).distinct().toLocalIterator()
+        for row in definitions.select(text.alias("f")).distinct().toLocalIterator()
     ]
-    prints = spark.createDataFrame(keyed, "_filter string, _filter_key string")
-    kind = sketch_class(F.col("calculation"))
-    out = definitions.withColumn("_filter", filters).join(prints, "_filter", "left")
-    return (
-        out.withColumn("sketch_type", kind)
-        .withColumn(
-            "compute_hash",
-            family_key(
-                F.col("computed_dataset_id"),
-                F.col("group_fields"),
-                F.col("_filter_key"),
-                F.col("lookback_window_length"),
-                F.col("evaluation_interval"),
-                F.when(kind == NONE, F.lit(NONE)).otherwise(F.col("calculation")) if sketch_in_key else None,
-            ),
-        )
-        .drop("_filter", "_filter_key")
+    prints = spark.createDataFrame(keyed, f"_filter string, {quoted(output)} string")
+    return lookup_join(definitions.withColumn("_filter", text), prints, ["_filter"]).drop("_filter")
+
+
+def with_family_keys(definitions: DataFrame, sketch_in_key: bool = False) -> DataFrame:
+    """Add ``sketch_type`` and ``compute_hash`` to a table of definitions."""
+    kind, calculation = sketch_class(F.col("calculation")), F.col("calculation")
+    key = family_key(
+        F.col("computed_dataset_id"),
+        F.col("group_fields"),
+        F.col("_filter_key"),
+        F.col("lookback_window_length"),
+        F.col("evaluation_interval"),
+        F.when(kind == NONE, F.lit(NONE)).otherwise(calculation) if sketch_in_key else None,
     )
+    keyed = with_filter_keys(definitions, "filters", "_filter_key")
+    return keyed.withColumn("sketch_type", kind).withColumn("compute_hash", key).drop("_filter_key")
 
 
 def families(definitions: DataFrame, sketch_in_key: bool = False) -> Iterator[Family]:

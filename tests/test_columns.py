@@ -133,3 +133,10 @@ def test_exports(spark):
         C.date_epoch(F.col("d")), C.date_epoch(F.col("j")),
     ).first()
     assert "\n" not in got[0] and got[1] == "MTI=" and got[2] == 1_704_153_600 and got[3] is None
+
+
+def test_common_names_and_fields(spark):
+    assert C.common_names(["a", "b", "c"], ["c", "a"]) == ["a", "c"]
+    df = spark.createDataFrame([('{"b": 1, "a": 2, "z": 3}',), ("junk",), (None,)], "r string")
+    got = [r[0] for r in df.select(C.common_fields(F.col("r"), ["a", "b", "c"])).collect()]
+    assert got == [["a", "b"], [], []]

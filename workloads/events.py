@@ -266,7 +266,7 @@ def merge_profiles(spark, sf_dir):
 @query("""
 SELECT DISTINCT 'event_type' AS dimension, event_type AS value FROM events
 UNION SELECT DISTINCT 'user_id', user_id::VARCHAR FROM events
-""")
+""", name="dimension_values")
 def dimension_value_rows(spark, sf_dir):
     return dimension_values(table(spark, sf_dir, "events"), ["event_type", "user_id"])
 
@@ -276,7 +276,7 @@ SELECT event_type, {number_sql("value")}, round(var_pop(value) * count(value), 2
   max(floor(epoch(ts)))::BIGINT AS max_ts, min(floor(epoch(ts)))::BIGINT AS min_ts,
   0::BIGINT AS execution_time, count(*) AS total_group_count
 FROM events GROUP BY 1
-""")
+""", name="rollup_metrics")
 def rollup_daily(spark, sf_dir):
     rows = table(spark, sf_dir, "events").withColumn("day", F.to_date("ts"))
     daily = profile(rows, ["event_type"], numbers=["value"], timestamps=TS, by=["day"], keyed=False, mergeable=True)

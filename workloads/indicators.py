@@ -215,7 +215,7 @@ SELECT id::BIGINT AS indicator_id, CASE id WHEN 1 THEN 'dqspark.rows seen' ELSE
   'event_type:' || event_type || ',origin:dqspark'
     || CASE id WHEN 1 THEN ',team:a,indicator_id:1' WHEN 2 THEN ',team:b' ELSE '' END AS tags
 FROM u
-""")
+""", name="metric_series")
 def metric_series_rows(spark, sf_dir):
     result = I.indicator_query(
         table(spark, sf_dir, "events"),
@@ -256,7 +256,7 @@ def tag_merge(spark, sf_dir):
 SELECT CASE WHEN n_nationkey % 3 = 2 THEN n_name ELSE upper(substr(r_name, 1, 3)) || n_nationkey::VARCHAR END AS code,
   count(*) AS customers
 FROM customer JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey GROUP BY 1
-""")
+""", name="code_lookup")
 def code_lookup_customers(spark, sf_dir):
     nation, region = table(spark, sf_dir, "nation"), table(spark, sf_dir, "region")
     kind = F.col("n_nationkey") % 3
@@ -283,3 +283,24 @@ def indicator_without_time(spark, sf_dir):
         filters="value BETWEEN 5 AND 50 AND props NOT LIKE '%7%'",
     )
     return rounded(result)
+
+
+@query("""
+SELECT p_partkey, true AS order_ignored, true AS meaning_kept FROM part
+""")
+def filter_fingerprint(spark, sf_dir):
+    brand = F.concat(F.lit("p_brand = '"), "p_brand", F.lit("'"))
+    forms = F.array(
+        F.struct(F.lit(0).alias("form"), F.concat(brand, F.lit(" AND p_size > 10")).alias("filters")),
+        F.struct(F.lit(1).alias("form"), F.concat(F.lit("((p_size>10)) and "), brand).alias("filters")),
+        F.struct(F.lit(2).alias("form"), F.concat(brand, F.lit(" OR p_size > 10")).alias("filters")),
+    )
+    rows = table(spark, sf_dir, "part").select("p_partkey", F.inline(forms))
+    keys = I.with_filter_keys(rows).groupBy("p_partkey").agg(
+        *[F.max(F.when(F.col("form") == i, F.col("filter_key"))).alias(f"k{i}") for i in range(3)]
+    )
+    return keys.select(
+        "p_partkey",
+        (F.col("k0") == F.col("k1")).alias("order_ignored"),
+        (F.col("k0") != F.col("k2")).alias("meaning_kept"),
+    )

@@ -17,16 +17,16 @@ QUERIES: dict[str, Query] = {}
 ORACLES: dict[str, str] = {}
 
 
-def query(oracle: str | None = None) -> Callable[[Query], Query]:
-    """Register a function under its own name, with its SQL if it has one."""
+def query(oracle: str | None = None, name: str | None = None) -> Callable[[Query], Query]:
+    """Register a function, under its own name if no other is given, with its SQL if it has one."""
 
     def register(fn: Query) -> Query:
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
             return fn(use_utc(spark), sf_dir)
 
-        QUERIES[fn.__name__] = run
+        QUERIES[name or fn.__name__] = run
         if oracle:
-            ORACLES[fn.__name__] = oracle.strip()
+            ORACLES[name or fn.__name__] = oracle.strip()
         return fn
 
     return register

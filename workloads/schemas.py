@@ -17,7 +17,7 @@ from workloads.registry import query, table
 
 @query("""
 SELECT event_type, 'OBJECT<k: BIGINT>' AS json_type FROM events GROUP BY 1
-""")
+""", name="json_schema")
 def json_schema_observed(spark, sf_dir):
     return S.observed_json_type(table(spark, sf_dir, "events"), "props", ["event_type"])
 
@@ -207,3 +207,16 @@ def path_clash_columns(spark, sf_dir):
     out = C.add_path_fields(rows, {"lang": F.col("_path_lang")})
     keys = [C.resolve_name(n, rows.columns, ["lang"]) for n in ("lang", "object.lang")]
     return out.groupBy(*[f"`{k}`" for k in keys]).agg(F.count(F.lit(1)).alias("records"))
+
+
+@query("""
+SELECT event_type, CASE WHEN event_type = 'view' THEN 'event_type,k' ELSE 'k' END AS names, count(*) AS records
+FROM events GROUP BY 1, 2
+""")
+def common_columns(spark, sf_dir):
+    rows = table(spark, sf_dir, "events")
+    wide = F.regexp_replace("props", "}$", ', "event_type": 1}')
+    record = F.when(F.col("event_type") == "view", wide).otherwise(F.col("props"))
+    path = C.common_names(["day", "event_type", "k"], [*rows.columns, "k"])
+    names = F.array_join(C.common_fields(record, path), ",").alias("names")
+    return rows.groupBy("event_type", names).agg(F.count(F.lit(1)).alias("records"))

@@ -50,7 +50,7 @@ def _share_below(c, bound):
 SELECT event_type, count(DISTINCT user_id) AS exact, true AS value_close, true AS sketch_close,
   true AS percentile_close, count(*) AS records
 FROM events GROUP BY 1
-""")
+""", name="approx_distinct")
 def approx_values(spark, sf_dir):
     rows = table(spark, sf_dir, "events")
     estimates = rows.groupBy("event_type").agg(

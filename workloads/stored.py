@@ -153,7 +153,7 @@ SELECT n_nationkey::BIGINT AS indicator_id,
   'name:' || n_name || ',delay_seconds:60,timestamp_col:ts,data_source:files,lookback_seconds:'
     || (86400 * (1 + n_regionkey % 2))::VARCHAR || ',dataset:events,dataset:copy_' || n_name AS tags
 FROM nation WHERE n_regionkey < 3
-""")
+""", name="indicator_tags")
 def stored_tags(spark, sf_dir):
     path = scratch_path(spark, "tags")
     definitions = nation_definitions(spark, sf_dir)
@@ -184,7 +184,7 @@ def run_log(spark, sf_dir):
 @query("""
 SELECT c AS compression, 'small' AS size_class, true AS has_files, (SELECT count(*) FROM events) AS records
 FROM (VALUES ('gzip'), ('bzip2'), ('none')) t(c)
-""")
+""", name="object_inventory")
 def object_inventory_files(spark, sf_dir):
     path = scratch_path(spark, "inventory")
     rows = _as_text(table(spark, sf_dir, "events"))
