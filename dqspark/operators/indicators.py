@@ -307,7 +307,8 @@ def rolling_indicators(
         names = [F.col(quoted(group_name(f))) for f in _group_list(group_fields)]
         out = spread.groupBy("_lookback_range_end_ts", *names).agg(*_merges(forms))
         return out.withColumn("_lookback_range_start_ts", end - int(lookback))
-    if lookback > MAX_WINDOW_RATIO * interval:
+    timed = isinstance(rows.schema[timestamp].dataType, (T.TimestampType, T.TimestampNTZType))
+    if lookback > MAX_WINDOW_RATIO * interval or not timed:
         spread = rows.filter(ts.isNotNull()).withColumn(
             "_lookback_range_end_ts", in_each_window(epoch_seconds(rows, timestamp))
         )

@@ -53,22 +53,44 @@ def _read_csv(
     multiline: bool,
     recursive: bool,
 ) -> DataFrame:
-    options = {"header": True, "sep": delimiter, "multiLine": multiline, "recursiveFileLookup": recursive}
+    reader = spark.read.option("recursiveFileLookup", recursive)
     if schema is None:
-        schema = spark.read.options(**options, inferSchema=True).csv(path).schema
+        inferring = reader.options(header=True, sep=delimiter, multiLine=multiline, inferSchema=True)
+        schema = inferring.csv(path).schema
     elif isinstance(schema, str):
         schema = T.StructType.fromDDL(schema)
-    wide = T.StructType([*schema.fields, T.StructField(OVERFLOW, T.StringType()), T.StructField(RAW, T.StringType())])
-    rows = (
-        spark.read.schema(wide)
-        .options(**options, mode="PERMISSIVE", columnNameOfCorruptRecord=RAW, columnPruning=False)
-        .csv(path)
-    )
-    # A line with exactly one field too many fills the overflow column and leaves no raw text. The
-    # number of fields is compared only when all columns are parsed, hence no pruning.
-    fits = F.col(OVERFLOW).isNull() & F.col(RAW).isNotNull() & (
-        _field_count(F.col(RAW), delimiter) <= len(schema.fields)
+    rows = reader.schema(wide_csv_schema(schema)).options(**csv_options(delimiter, multiline)).csv(path)
+    return fitting_lines(rows, len(schema.fields), delimiter)
+
+
+def csv_options(delimiter: str = ",", multiline: bool = False) -> dict[str, object]:
+    """Reader options that keep every line and the raw text of irregular ones.
+
+    The number of fields is compared only when all columns are parsed, hence no pruning.
+    """
+    return {
+        "header": True,
+        "sep": delimiter,
+        "multiLine": multiline,
+        "mode": "PERMISSIVE",
+        "columnNameOfCorruptRecord": RAW,
+        "columnPruning": False,
+    }
+
+
+def wide_csv_schema(schema: T.StructType) -> T.StructType:
+    """The schema with one column for a field too many and one for raw text."""
+    return T.StructType(
+        [*schema.fields, T.StructField(OVERFLOW, T.StringType()), T.StructField(RAW, T.StringType())]
     )
+
+
+def fitting_lines(rows: DataFrame, fields: int, delimiter: str = ",") -> DataFrame:
+    """Lines of no more than ``fields`` fields, read with a wide schema.
+
+    A line with exactly one field too many fills the overflow column and leaves no raw text.
+    """
+    fits = F.col(OVERFLOW).isNull() & F.col(RAW).isNotNull() & (_field_count(F.col(RAW), delimiter) <= fields)
     return rows.filter(fits).drop(OVERFLOW, RAW)
 
 

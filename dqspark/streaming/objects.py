@@ -12,6 +12,7 @@ from pyspark.sql.streaming import StreamingQuery
 from dqspark.functions.timecols import freshness_label, freshness_minutes
 from dqspark.operators.profile import profile
 from dqspark.plans.joins import epoch_seconds
+from dqspark.sources.readers import csv_options, fitting_lines, wide_csv_schema
 
 OBJECT, BATCH = "object", "batch_id"
 
@@ -24,15 +25,21 @@ def object_stream(
     files_per_trigger: int | None = None,
     **options: object,
 ) -> DataFrame:
-    """Rows of every object that arrives under ``path``, with the ``object`` they came from."""
-    reader = spark.readStream.format({"jsonl": "json"}.get(file_type, file_type)).schema(schema)
+    """Rows of every object that arrives under ``path``, with the ``object`` they came from.
+
+    Formats and CSV rules are those of :func:`dqspark.sources.readers.read_dataset`.
+    """
+    fields = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
+    reader = spark.readStream.format({"jsonl": "json"}.get(file_type, file_type))
     if file_type == "json":
         reader = reader.option("multiLine", True)
     if file_type == "csv":
-        reader = reader.option("header", True)
+        reader = reader.options(**csv_options())
     if files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", files_per_trigger)
-    return reader.options(**options).load(path).withColumn(OBJECT, F.col("_metadata.file_path"))
+    wanted = wide_csv_schema(fields) if file_type == "csv" else fields
+    rows = reader.options(**options).schema(wanted).load(path).withColumn(OBJECT, F.col("_metadata.file_path"))
+    return fitting_lines(rows, len(fields.fields), str(options.get("sep", ","))) if file_type == "csv" else rows
 
 
 def run_batches(

@@ -147,6 +147,9 @@ def test_rolling_equals_series(spark):
     columns = sorted(series.columns)
     pick = lambda d: sorted(map(tuple, d.select(*columns).collect()), key=str)
     assert pick(rolled) == pick(series)
+    epochs = I.rolling_indicators(data(spark, "bigint"), [("COUNT(*)", 1)], "t", 7200, 3600, "g")
+    counts = lambda d: sorted((r["g"], r["_lookback_range_end_ts"], r["_indicator_1"]) for r in d.collect())
+    assert counts(epochs) == counts(rolled)
     fine = I.rolling_indicators(df, [("COUNT(*)", 1)], "t", 7200, 60, "g")
     times = list(range(60, 15000, 60))
     series = I.indicator_series(df, [("COUNT(*)", 1)], times, 7200, "t", "g")
