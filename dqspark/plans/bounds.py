@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-MAX_BROADCAST_ROWS = 200_000
+MAX_BROADCAST_ROWS = 100_000
 MAX_BROADCAST_BYTES = 64 * 1024 * 1024
 
 
@@ -17,16 +17,12 @@ def is_bounded(
 ) -> bool:
     """Whether ``df`` has at most ``max_rows`` rows weighing at most ``max_bytes``.
 
-    Reads no more than ``max_rows + 1`` rows. This runs a job.
+    Takes the weights of ``max_rows + 1`` rows to the driver, from no more partitions than it needs:
+    a limit inside a query would read that many rows of every partition. This runs jobs.
     """
     weight = row_bytes if row_bytes is not None else F.lit(_row_width(df))
-    found = (
-        df.select(weight.cast("long").alias("w"))
-        .limit(max_rows + 1)
-        .agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum("w"), F.lit(0)).alias("b"))
-        .first()
-    )
-    return found["n"] <= max_rows and found["b"] <= max_bytes
+    weights = df.select(weight.cast("bigint").alias("w")).take(max_rows + 1)
+    return len(weights) <= max_rows and sum(r["w"] or 0 for r in weights) <= max_bytes
 
 
 def _row_width(df: DataFrame) -> int:

@@ -108,9 +108,12 @@ def sample(df: DataFrame, rows: int = OBJECT_SAMPLE) -> DataFrame:
 def sampled_text_schema(
     spark: SparkSession, path: str, file_type: str, rows: int = OBJECT_SAMPLE, delimiter: str = ","
 ) -> T.StructType:
-    """Schema of JSON-lines or CSV text inferred from its first rows. This runs a job."""
-    lines = spark.read.text(path).limit(rows + 1 if file_type == "csv" else rows)
-    text = lines.rdd.map(lambda r: r[0])
+    """Schema of JSON-lines or CSV text inferred from its first rows. This runs a job.
+
+    The first rows are taken from as few files as hold them.
+    """
+    lines = spark.read.text(path).take(rows + 1 if file_type == "csv" else rows)
+    text = spark.sparkContext.parallelize([r[0] for r in lines], 1)
     if file_type == "csv":
         return spark.read.options(header=True, inferSchema=True, sep=delimiter).csv(text).schema
     return spark.read.json(text).schema

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from dqspark.functions import columns as C
 from dqspark.operators import schema as S
+from dqspark.operators.indicators import indicator_query
 from dqspark.operators.rollup import concat_results
 from dqspark.plans.storage import scratch_path
 from dqspark.sources import objects as O
@@ -220,3 +221,21 @@ def common_columns(spark, sf_dir):
     path = C.common_names(["day", "event_type", "k"], [*rows.columns, "k"])
     names = F.array_join(C.common_fields(record, path), ",").alias("names")
     return rows.groupBy("event_type", names).agg(F.count(F.lit(1)).alias("records"))
+
+
+@query("""
+SELECT role, count(*) AS _indicator_1, max(turn) AS _indicator_2, round(avg(notes), 6) AS _indicator_3
+FROM (SELECT conv_id, arg_max(role, turn) AS role, max(turn) AS turn,
+    CASE WHEN arg_max(text, turn) FILTER (WHERE turn % 3 = 0) IS NULL THEN 0 ELSE 1 END AS notes
+  FROM conversations GROUP BY 1)
+GROUP BY 1
+""")
+def record_indicators(spark, sf_dir):
+    note = F.when(F.col("turn") % 3 == 0, F.col("text"))
+    lines = table(spark, sf_dir, "conversations").select(
+        "conv_id", F.col("turn").alias("line"), F.to_json(F.struct("role", note.alias("note"), "turn")).alias("record")
+    )
+    records = merge_records(lines, "record", "line", "role string, note string, turn bigint", ["conv_id"])
+    noted = "AVG(CASE WHEN note IS NULL THEN 0 ELSE 1 END)"
+    result = indicator_query(records, [("COUNT(*)", 1), ("MAX(turn)", 2), (noted, 3)], "role")
+    return result.withColumn("_indicator_3", F.round("_indicator_3", 6))
