@@ -40,24 +40,20 @@ def region_of(
         small = is_bounded(regions, F.size(F.flatten("rings")) * 16 + 64)
     cells = _cells(regions, cell)
     px, py = F.col(quoted(x)).cast("double"), F.col(quoted(y)).cast("double")
-    here = (F.floor(px / cell).alias("_cx"), F.floor(py / cell).alias("_cy"))
+    here = {"_cx": F.floor(px / cell), "_cy": F.floor(py / cell)}
     if small:
-        gathered = cells.groupBy("_cx", "_cy").agg(
-            F.array_sort(F.collect_list(F.struct("name", "rings"))).alias("_regions")
-        )
-        located = points.withColumns({"_cx": here[0], "_cy": here[1]}).join(
-            F.broadcast(gathered), ["_cx", "_cy"], "left"
-        )
-        hits = F.filter("_regions", lambda r: _within(r.getField("rings"), px, py))
+        gathered = cells.groupBy("_cx", "_cy").agg(F.array_sort(F.collect_list("_region")).alias("_regions"))
+        located = points.withColumns(here).join(F.broadcast(gathered), ["_cx", "_cy"], "left")
+        hits = F.filter("_regions", lambda r: _within(r, px, py))
         name = F.get(hits, F.lit(0)).getField("name")
         return located.withColumn(output, F.coalesce(name, F.lit(EMPTY_LABEL))).drop("_cx", "_cy", "_regions")
     distinct = points.select(F.col(quoted(x)).alias(x), F.col(quoted(y)).alias(y)).distinct()
-    located = distinct.withColumns({"_cx": here[0], "_cy": here[1]}).filter(F.col("_cx").isNotNull())
-    candidates = salted_join(located, cells, ["_cx", "_cy"])
+    located = distinct.withColumns(here).filter(F.col("_cx").isNotNull())
     found = (
-        candidates.filter(_within(F.col("rings"), px, py))
+        salted_join(located, cells, ["_cx", "_cy"])
+        .filter(_within(F.col("_region"), px, py))
         .groupBy(quoted(x), quoted(y))
-        .agg(F.min("name").alias(output))
+        .agg(F.min("_region.name").alias(output))
     )
     return salted_join(points, found, [x, y], "left").withColumn(
         output, F.coalesce(F.col(quoted(output)), F.lit(EMPTY_LABEL))
@@ -65,37 +61,54 @@ def region_of(
 
 
 def _cells(regions: DataFrame, cell: float) -> DataFrame:
-    corners = F.flatten("rings")
-    low = {a: F.array_min(F.transform(corners, lambda p: p.getField(a))) for a in ("x", "y")}
-    high = {a: F.array_max(F.transform(corners, lambda p: p.getField(a))) for a in ("x", "y")}
+    """One row per region and grid cell that its bounding box meets."""
 
-    def span(axis: str) -> Column:
-        return F.explode(F.sequence(F.floor(low[axis] / cell), F.floor(high[axis] / cell)))
+    def edges(ring: Column) -> Column:
+        pairs = F.arrays_zip(
+            F.slice(ring, F.lit(1), F.size(ring) - 1).alias("a"), F.slice(ring, F.lit(2), F.size(ring) - 1).alias("b")
+        )
+        return F.transform(
+            pairs, lambda e: F.struct(e["a"]["x"].alias("ax"), e["a"]["y"].alias("ay"), e["b"]["x"].alias("bx"), e["b"]["y"].alias("by"))
+        )
 
-    some = regions.filter(F.size(corners) > 0)
-    return some.withColumn("_cx", span("x")).withColumn("_cy", span("y")).select("_cx", "_cy", "name", "rings")
+    def extent(of, axis: str) -> Column:
+        return of(F.transform("_corners", lambda p: p.getField(axis)))
+
+    # Edges and extents are made once per region, so that a point only compares numbers.
+    shaped = (
+        regions.withColumn("_corners", F.flatten("rings"))
+        .filter(F.size("_corners") > 0)
+        .select(
+            F.struct(
+                "name",
+                extent(F.array_min, "x").alias("west"),
+                extent(F.array_max, "x").alias("east"),
+                extent(F.array_min, "y").alias("south"),
+                extent(F.array_max, "y").alias("north"),
+                F.flatten(F.transform(F.filter("rings", lambda r: F.size(r) > 1), edges)).alias("edges"),
+            ).alias("_region")
+        )
+    )
 
+    def span(low: str, high: str) -> Column:
+        bounds = (F.floor(F.col(f"_region.{side}") / cell) for side in (low, high))
+        return F.explode(F.sequence(*bounds))
 
-def _within(rings: Column, x: Column, y: Column) -> Column:
-    """Ray casting: an odd number of ring edges lies to the right of the point."""
+    return shaped.withColumn("_cx", span("west", "east")).withColumn("_cy", span("south", "north"))
 
-    def crossings(ring: Column) -> Column:
-        edges = F.arrays_zip(
-            F.slice(ring, F.lit(1), F.size(ring) - 1).alias("a"),
-            F.slice(ring, F.lit(2), F.size(ring) - 1).alias("b"),
-        )
 
-        def crossed(e: Column) -> Column:
-            ax, ay = e.getField("a").getField("x"), e.getField("a").getField("y")
-            bx, by = e.getField("b").getField("x"), e.getField("b").getField("y")
-            return ((ay > y) != (by > y)) & (x < (bx - ax) * (y - ay) / F.nullif(by - ay, F.lit(0.0)) + ax)
+def _within(region: Column, x: Column, y: Column) -> Column:
+    """Ray casting: an odd number of edges lies to the right of the point."""
+    inside_box = (
+        (x >= region.getField("west")) & (x <= region.getField("east"))
+        & (y >= region.getField("south")) & (y <= region.getField("north"))
+    )
 
-        return F.size(F.filter(edges, crossed))
+    def crossed(e: Column) -> Column:
+        ax, ay, bx, by = (e.getField(f) for f in ("ax", "ay", "bx", "by"))
+        return ((ay > y) != (by > y)) & (x < (bx - ax) * (y - ay) / F.nullif(by - ay, F.lit(0.0)) + ax)
 
-    total = F.aggregate(
-        F.filter(rings, lambda r: F.size(r) > 1), F.lit(0), lambda n, ring: n + crossings(ring)
-    )
-    return total % 2 == 1
+    return inside_box & (F.size(F.filter(region.getField("edges"), crossed)) % 2 == 1)
 
 
 def geometry_dimensions(
