@@ -75,14 +75,21 @@ def word_spans(data: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return starts, np.flatnonzero(ends) + 1, counts
 
 
-def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+class SpanHasher:
     """64-bit hashes of spans of bytes, equal for equal bytes: differences of a running polynomial."""
-    if not len(starts):
-        return np.zeros(0, np.uint64)
-    running = np.zeros(len(data) + 1, np.uint64)
-    np.cumsum(_BYTE_VALUES[data] * powers(_BASE, len(data)), out=running[1:])
-    value = (running[ends] - running[starts]) * powers(_INVERSE, len(data) + 1)[starts]
-    return mix(value + (ends - starts).astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93))
+
+    def __init__(self, data: np.ndarray):
+        self.running = np.zeros(len(data) + 1, np.uint64)
+        np.cumsum(_BYTE_VALUES[data] * powers(_BASE, len(data)), out=self.running[1:])
+        self.scale = powers(_INVERSE, len(data) + 1)
+
+    def __call__(self, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        value = (self.running[ends] - self.running[starts]) * self.scale[starts]
+        return mix(value + (ends - starts).astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93))
+
+
+def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    return SpanHasher(data)(starts, ends)
 
 
 def word_hashes(data: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:

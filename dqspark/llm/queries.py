@@ -7,9 +7,13 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+import public_tokenizers
+from dqspark.llm.bpe import token_digests
 from dqspark.llm.exact import exact_duplicates
 from dqspark.llm.fingerprints import fingerprint_edits
 from dqspark.llm.jaccard import jaccard_components
+from dqspark.llm.langid import fit_languages, held_out, identify_languages
+from dqspark.llm.lengths import length_histogram, length_report
 from dqspark.llm.lines import dedup_lines
 from dqspark.llm.mixing import mix_sources
 from dqspark.session import use_utc
@@ -97,6 +101,27 @@ def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.select("doc_id", "n_lines", "n_dropped", digest.alias("kept_sha256"))
 
 
+@query()
+def op5_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ranks = public_tokenizers.path("byte_bpe_50k.tiktoken")
+    return token_digests(table(spark, sf_dir, "documents"), ranks, public_tokenizers.PATTERN)
+
+
+@query()
+def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ranks = public_tokenizers.path("byte_bpe_50k.tiktoken")
+    documents = table(spark, sf_dir, "documents")
+    return length_report(length_histogram(documents, ranks, public_tokenizers.PATTERN))
+
+
+@query()
+def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "documents").select("doc_id", "text", "lang", held_out(F.col("doc_id")).alias("held_out"))
+    model = fit_languages(rows.filter("not held_out"))
+    found = identify_languages(rows.select("doc_id", "held_out", "text"), model)
+    return found.select("doc_id", "held_out", "lang_pred", "score", "rejected")
+
+
 @query()
 def op9_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = mix_sources(table(spark, sf_dir, "documents"))
