@@ -20,10 +20,12 @@ SAMPLE_PER_LANGUAGE = 1000
 """About so many labelled rows of each language, chosen by a hash of the id, place its centroids."""
 CENTROIDS = 3
 ROUNDS = 10
-REJECTED_BELOW = 0.35
-"""A text is rejected if it is less similar to every centroid than this part of its language's usual similarity."""
+REJECTED_BELOW = 0.03
+"""A text is rejected if no centroid has this cosine; the shortest clean texts have 0.05 and more."""
 LETTER = regex.compile(r"\p{L}")
 ROWS = 256
+LETTERS = bytes(c if c >= 128 or chr(c).isalpha() else 32 for c in range(256))
+"""Digits, marks and blanks of ASCII become blanks."""
 
 
 def held_out(doc_id: Column, folds: int = 5, fold: int = 0) -> Column:
@@ -32,11 +34,13 @@ def held_out(doc_id: Column, folds: int = 5, fold: int = 0) -> Column:
 
 
 def gram_counts(texts: list[str | None]) -> np.ndarray:
-    """Counts of the hashed byte n-grams of each text, lower-cased, with a blank at both ends."""
+    """Counts of the hashed byte n-grams of each text's words, lower-cased, with one blank between them."""
     counts = np.zeros((len(texts), DIMENSIONS), np.float32)
     for i, text in enumerate(texts):
-        data = np.frombuffer(f" {(text or '').lower()} ".encode(), np.uint8).astype(np.uint64)
-        if len(data) > N:
+        data = np.frombuffer(f" {(text or '').lower()} ".encode("utf-8", "replace").translate(LETTERS), np.uint8)
+        blank = data == 32
+        data = data[~(blank & np.append(False, blank[:-1]))].astype(np.uint64)
+        if len(data) >= N:
             gram = data[:-2] << np.uint64(16) | data[1:-1] << np.uint64(8) | data[2:]
             slot = (mix(gram) >> np.uint64(52)).astype(np.int64)
             counts[i] = np.bincount(slot, minlength=DIMENSIONS)
@@ -52,13 +56,12 @@ def vectors(counts: np.ndarray, idf: np.ndarray) -> np.ndarray:
 
 @dataclass
 class LanguageModel:
-    """Languages, IDF weights, unit centroids with the language of each, and usual similarities."""
+    """Languages, IDF weights, and unit centroids with the language of each."""
 
     languages: list[str]
     idf: np.ndarray
     centroids: np.ndarray
     of: np.ndarray
-    usual: np.ndarray
 
     def predict(self, texts: list[str | None]) -> list[tuple[str, float, bool]]:
         """The language of the nearest centroid, its cosine, and whether that is too far to be believed."""
@@ -72,7 +75,7 @@ class LanguageModel:
                 out.append(("und", 0.0, True))
                 continue
             lang, score = self.of[near], float(min(max(row[near], 0.0), 1.0))
-            out.append((self.languages[lang], score, score < REJECTED_BELOW * self.usual[lang]))
+            out.append((self.languages[lang], score, score < REJECTED_BELOW))
         return out
 
 
@@ -122,7 +125,7 @@ def fit_languages(labelled: DataFrame, text: str = "text", lang: str = "lang", d
     sizes = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.count("*").alias("n")).collect()}
     languages = sorted(sizes)
     if not languages:
-        return LanguageModel([], idf, np.zeros((0, DIMENSIONS)), np.zeros(0, int), np.zeros(0))
+        return LanguageModel([], idf, np.zeros((0, DIMENSIONS)), np.zeros(0, int))
     part = F.create_map(*[F.lit(x) for k in languages for x in (k, min(1.0, SAMPLE_PER_LANGUAGE / sizes[k]))])
     place = F.pmod(F.xxhash64("id", F.lit("sample")), F.lit(1_000_003)) / 1_000_003
     chosen = rows.filter(place < F.element_at(part, F.col("lang")))
@@ -137,19 +140,17 @@ def fit_languages(labelled: DataFrame, text: str = "text", lang: str = "lang", d
 
     sample = chosen.select("text", "lang", F.xxhash64("id", "text").alias("key"))
     sample = sample.mapInArrow(counted, "lang string, key long, vector binary").collect()
-    centroids, of, usual = [], [], []
+    centroids, of = [], []
     for k, name in enumerate(languages):
         mine = sorted((r["key"], bytes(r["vector"])) for r in sample if r["lang"] == name)
         if not mine:
-            usual.append(1.0)
             continue
         vecs = np.array([np.frombuffer(v, np.float16) for _, v in mine], np.float32)
         own = clustered(vecs, CENTROIDS)
-        usual.append(float(np.median((vecs @ own.T).max(axis=1))))
         centroids.append(own)
         of += [k] * len(own)
     table = np.concatenate(centroids) if centroids else np.zeros((0, DIMENSIONS))
-    return LanguageModel(languages if centroids else [], idf, table.astype(np.float32), np.array(of, int), np.array(usual))
+    return LanguageModel(languages if centroids else [], idf, table.astype(np.float32), np.array(of, int))
 
 
 def identify_languages(docs: DataFrame, model: LanguageModel, text: str = "text") -> DataFrame:

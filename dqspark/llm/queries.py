@@ -11,11 +11,13 @@ import public_tokenizers
 from dqspark.llm.bpe import token_digests
 from dqspark.llm.exact import exact_duplicates
 from dqspark.llm.fingerprints import fingerprint_edits
+from dqspark.llm.html import extract_pages
 from dqspark.llm.jaccard import jaccard_components
 from dqspark.llm.langid import fit_languages, held_out, identify_languages
 from dqspark.llm.lengths import length_histogram, length_report
 from dqspark.llm.lines import dedup_lines
 from dqspark.llm.mixing import mix_sources
+from dqspark.llm.suffixtree import fit_tree, score_documents
 from dqspark.session import use_utc
 from workloads.registry import table
 
@@ -122,7 +124,20 @@ def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "held_out", "lang_pred", "score", "rejected")
 
 
+@query()
+def op8_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "documents").select("doc_id", "text")
+    tree, unigrams = fit_tree(rows.filter(~held_out(F.col("doc_id"), fold=1)))
+    scored = score_documents(rows, tree, unigrams)
+    return scored.withColumn("held_out", held_out(F.col("doc_id"), fold=1))
+
+
 @query()
 def op9_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = mix_sources(table(spark, sf_dir, "documents"))
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
+
+
+@query()
+def op10_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract_pages(table(spark, sf_dir, "pages").select("page_id", "url", "html"))
