@@ -20,12 +20,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from dqspark.llm._arrow import chunks, mix, word_hashes
 from dqspark.llm.components import connected_components
-from dqspark.plans.bounds import is_bounded
 from dqspark.plans.storage import stored
 
 WORDS = 5
@@ -34,6 +33,12 @@ SMALL = 24
 SLACK = 1.2
 LIGHT = 16
 MAX_SIZE = 2**31
+FIXED = 8
+"""64-bit words of the sketches of one size, which are compared first."""
+BLOCK = 1024
+BUCKETS = 64
+"""Least number of parts in which a set's signatures are sent, whatever the number of partitions."""
+MAX_SENT_IDS = 1_000_000
 ONE = np.uint64(1)
 
 
@@ -248,42 +253,185 @@ def meetings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield from flush()
 
 
+def _may_be_near() -> Column:
+    """Whether sets a and b, of sizes ``na`` and ``nb`` and sketches ``sa`` and ``sb``, may have a similarity of 3/4.
+
+    The bits in which two sketches differ are no more than the elements in which the sets do, so no link
+    is lost. Sketches of one size for all sets come first, as plain columns; then those that grow with the
+    set, the larger folded onto the size of the other one.
+    """
+    fixed = sum((F.bit_count(F.col(f"w{i}a").bitwiseXOR(F.col(f"w{i}b"))) for i in range(FIXED)), F.lit(0))
+    halves = lambda x, y: F.when(F.size(x) <= F.size(y), F.col(x)).otherwise(
+        F.zip_with(F.slice(x, 1, F.size(y)), F.slice(x, F.size(y) + 1, F.size(y)), lambda u, v: u.bitwiseXOR(v))
+    )
+    differ = F.aggregate(
+        F.zip_with(halves("sa", "sb"), halves("sb", "sa"), lambda u, v: F.bit_count(u.bitwiseXOR(v))),
+        F.lit(0), lambda total, n: total + n,
+    )
+    sizes = 4 * F.least("na", "nb") >= 3 * F.greatest("na", "nb")
+    most = F.col("na") + F.col("nb")
+    return sizes & (7 * fixed <= most) & (7 * differ <= most)
+
+
+def _sketched(rows: DataFrame, side: str) -> DataFrame:
+    """``key``, sizes and sketches of one side, ``a`` or ``b``, under the names of the conditions."""
+    renamed = {"key": side, "root": f"r{side}", "sketch": f"s{side}", "n": f"n{side}"}
+    renamed |= {f"w{i}": f"w{i}{side}" for i in range(FIXED)}
+    return rows.withColumnsRenamed(renamed)
+
+
+def near_pairs(pairs: DataFrame, bits: DataFrame) -> DataFrame:
+    """The pairs of keys whose sketches allow a link."""
+    joined = pairs.join(_sketched(bits, "a"), "a").join(_sketched(bits, "b"), "b")
+    return joined.filter(_may_be_near()).select("a", "b").distinct()
+
+
+def _texts_of(docs: DataFrame, doc_id: str, text: str, keys: DataFrame, classes: DataFrame) -> DataFrame:
+    """``(doc_id, text)`` of the least document of each key; the ids are broadcast if a count allows it."""
+    ids = stored(keys.join(classes, "key").select(F.col("least").alias("doc_id")).distinct(), "ids")
+    ids = F.broadcast(ids) if ids.count() <= MAX_SENT_IDS else ids
+    rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
+    return rows.join(ids, "doc_id", "left_semi")
+
+
+def _linked(near: DataFrame, docs: DataFrame, doc_id: str, text: str, classes: DataFrame) -> DataFrame:
+    """The pairs that link, by the whole sets of their members, which are read once more."""
+    keys = near.select(F.col("a").alias("key")).unionAll(near.select(F.col("b").alias("key"))).distinct()
+    arrays = stored(whole_sets(_texts_of(docs, doc_id, text, keys, classes)), "arrays")
+    return verified(near, arrays).distinct()
+
+
 def verified(pairs: DataFrame, arrays: DataFrame) -> DataFrame:
     """The pairs of keys whose sets have a similarity of 3/4 or more, with the least documents of both."""
-    a = arrays.select(F.col("key").alias("a"), F.col("doc_id").alias("doc_a"), F.col("shingles").alias("sa"))
-    b = arrays.select(F.col("key").alias("b"), F.col("doc_id").alias("doc_b"), F.col("shingles").alias("sb"))
-    both = F.size("sa") + F.size("sb")
+    a, b = (
+        arrays.select(F.col("key").alias(k), F.col("doc_id").alias(f"doc_{k}"), F.col("shingles").alias(f"s{k}")) for k in "ab"
+    )
     common = F.size(F.array_intersect("sa", "sb"))
+    union = F.size("sa") + F.size("sb") - common
+    both = pairs.join(a, "a").join(b, "b")
+    return both.filter(100 * common >= 75 * union).select("a", "b", "doc_a", "doc_b")
+
+
+def _across(tied: DataFrame, parts: int) -> DataFrame:
+    """Pairs of keys in one signature but in different components, if their fixed sketches allow a link.
+
+    The members of a signature are dealt to blocks of about ``BLOCK``, and every two blocks of it meet in a
+    cell, so a task holds two blocks at most, however many members there are.
+    """
+    sizes = tied.groupBy("signature").agg(F.ceil(F.count("*") / BLOCK).alias("blocks"))
+    words = [f"w{i}" for i in range(FIXED)]
+    cells = (
+        tied.join(sizes, "signature")
+        .withColumn("block", F.pmod(F.xxhash64("key"), F.col("blocks")))
+        .withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
+        .select(
+            "signature", F.least("block", "other").alias("lo"), F.greatest("block", "other").alias("hi"),
+            "block", "key", "root", F.col("n").cast("long").alias("n"), *words,
+        )
+    )
     return (
-        pairs.join(a, "a")
-        .join(b, "b")
-        .filter(4 * F.least(F.size("sa"), F.size("sb")) >= 3 * F.greatest(F.size("sa"), F.size("sb")))
-        .filter(100 * common >= 75 * (both - common))
-        .select("a", "b", "doc_a", "doc_b")
+        cells.repartition(parts, "signature", "lo", "hi")
+        .sortWithinPartitions("signature", "lo", "hi")
+        .mapInArrow(_compare_cells, "a long, b long")
+        .distinct()
     )
 
 
-def whole_sets(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
-    """``(doc_id, key, shingles)`` of every document that has words."""
+def _compare_cells(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Near pairs of the cells of rows sorted by cell, of which one is held at a time."""
+    held: np.ndarray | None = None
+    pairs: list[np.ndarray] = []
+
+    def flush() -> Iterator[pa.RecordBatch]:
+        both = np.unique(np.concatenate(pairs), axis=0) if pairs else np.zeros((0, 2), np.int64)
+        pairs.clear()
+        if len(both):
+            yield pa.RecordBatch.from_arrays([pa.array(np.ascontiguousarray(c)) for c in both.T], ["a", "b"])
+
+    def compare(cell: np.ndarray) -> None:
+        # Only members outside the most common component can be in a pair that is asked for on one side.
+        roots, at, n = np.unique(cell[:, 5], return_inverse=True, return_counts=True)
+        odd = np.flatnonzero(at != n.argmax())
+        for begin in range(0, len(odd), 64):
+            x = cell[odd[begin : begin + 64]]
+            apart = (x[:, None, 5] != cell[None, :, 5]) & ((cell[0, 1] == cell[0, 2]) | (x[:, None, 3] != cell[None, :, 3]))
+            differ = np.bitwise_count(x[:, None, 7:] ^ cell[None, :, 7:]).sum(axis=2, dtype=np.int64)
+            total = x[:, None, 6] + cell[None, :, 6]
+            near = apart & (7 * differ <= total) & (7 * np.minimum(x[:, None, 6], cell[None, :, 6]) >= 3 * total)
+            i, j = np.nonzero(near)
+            both = np.stack([x[i, 4], cell[j, 4]], axis=1)
+            pairs.append(np.unique(np.sort(both, axis=1), axis=0))
+
+    for batch in batches:
+        rows = np.stack([c.to_numpy(zero_copy_only=False) for c in batch.columns], axis=1)
+        rows = rows if held is None else np.concatenate([held, rows])
+        if not len(rows):
+            continue
+        starts = np.flatnonzero(np.append(True, (rows[1:, :3] != rows[:-1, :3]).any(axis=1)))
+        for begin, end in zip(starts[:-1], starts[1:], strict=True):
+            compare(rows[begin:end])
+        held = rows[starts[-1] :]
+        if sum(map(len, pairs)) > 200_000:
+            yield from flush()
+    if held is not None:
+        compare(held)
+    yield from flush()
+
+
+def sketches(values: np.ndarray, sizes: np.ndarray, fixed: int = 0) -> tuple[np.ndarray, np.ndarray]:
+    """For each set a row of bits, at least as many as it has elements, a power of two from 64 (or ``fixed`` words):
+    the parity of the number of elements whose hash points to each. As 64-bit words, and their number by row."""
+    words = 1 << np.maximum(np.ceil(np.log2(np.maximum(sizes, 1))).astype(np.int64) - 6, 0)
+    words = np.full(len(sizes), fixed) if fixed else words
+    row = np.repeat(np.arange(len(sizes)), sizes)
+    bit = (mix(values) & (words[row] * 64 - 1).astype(np.uint64)).astype(np.int64)
+    parity = np.bincount((np.cumsum(words) - words)[row] * 64 + bit, minlength=int(words.sum()) * 64) & 1
+    return np.packbits(parity.astype(bool), bitorder="little").view(np.int64), words
+
+
+def whole_sets(texts: DataFrame) -> DataFrame:
+    """``(doc_id, key, shingles)`` of every row of ``(doc_id, text)``."""
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for first, end, data, at in chunks(batch.column(1)):
                 values, sizes = shingle_sets(data, at)
+                cuts = pa.array(np.append(0, np.cumsum(sizes)).astype(np.int32))
                 yield pa.RecordBatch.from_arrays(
                     [
                         batch.column(0)[first:end],
                         pa.array(set_keys(values, sizes).view(np.int64)),
-                        pa.ListArray.from_arrays(
-                            pa.array(np.append(0, np.cumsum(sizes)).astype(np.int32)), pa.array(values.view(np.int64))
-                        ),
+                        pa.ListArray.from_arrays(cuts, pa.array(values.view(np.int64))),
                     ],
                     ["doc_id", "key", "shingles"],
                 )
 
-    return docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text")).mapInArrow(
-        read, "doc_id long, key long, shingles array<long>"
-    )
+    return texts.mapInArrow(read, "doc_id long, key long, shingles array<long>")
+
+
+def document_sketches(texts: DataFrame) -> DataFrame:
+    """``(key, n, sketch, w0, w1, ...)``, the size and the sketches of every row's set."""
+    names = ["key", "n", "sketch", *(f"w{i}" for i in range(FIXED))]
+
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for _, _, data, at in chunks(batch.column(0)):
+                values, sizes = shingle_sets(data, at)
+                bits, words = sketches(values, sizes)
+                first_bits = sketches(values, sizes, FIXED)[0].reshape(-1, FIXED)
+                cuts = pa.array(np.append(0, np.cumsum(words)).astype(np.int32))
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.array(set_keys(values, sizes).view(np.int64)),
+                        pa.array(sizes),
+                        pa.ListArray.from_arrays(cuts, pa.array(bits)),
+                        *(pa.array(np.ascontiguousarray(first_bits[:, i])) for i in range(FIXED)),
+                    ],
+                    names,
+                )
+
+    schema = "key long, n long, sketch array<long>" + "".join(f", w{i} long" for i in range(FIXED))
+    return texts.select("text").mapInArrow(read, schema)
 
 
 def jaccard_components(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -307,8 +455,8 @@ def jaccard_components(docs: DataFrame, doc_id: str = "doc_id", text: str = "tex
     classes = stored(classes, "classes")
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     met = (
-        signatures(docs, text, parts)
-        .repartitionById(parts, F.col("bucket"))
+        signatures(docs, text, max(parts, BUCKETS))
+        .repartitionById(parts, F.col("bucket") % parts)
         .select(F.explode("signatures").alias("signature"), "key")
         .sortWithinPartitions("signature", "key")
         .mapInArrow(meetings, "signature long, a long, b long")
@@ -317,30 +465,27 @@ def jaccard_components(docs: DataFrame, doc_id: str = "doc_id", text: str = "tex
     light = met.filter("signature is null").select("a", "b")
     hard = _hard_members(met.filter("signature is not null").select("signature", F.col("a").alias("key")), classes)
     hard = stored(hard, "hard")
-    leaders = hard.groupBy("signature").agg(F.min("key").alias("a"))
-    starred = hard.join(leaders, "signature").filter("key > a").select("a", F.col("key").alias("b"))
+    # Of near copies, the one that shares the most signatures is near to most others.
+    leaders = hard.groupBy("signature").agg(F.max(F.struct("crowded", "key")).alias("leader"))
+    leaders = leaders.select("signature", F.col("leader.key").alias("leader"))
+    starred = hard.join(leaders, "signature").filter("key <> leader")
+    starred = starred.select(F.least("key", "leader").alias("a"), F.greatest("key", "leader").alias("b"))
     pairs = stored(light.unionAll(starred).distinct(), "pairs")
 
     wanted = pairs.select(F.col("a").alias("key")).unionAll(pairs.select(F.col("b").alias("key")))
     wanted = wanted.unionAll(hard.select("key")).distinct()
-    wanted = stored(wanted.join(classes, "key").select("key", F.col("least").alias("doc_id")), "wanted")
-    ids = wanted.select("doc_id").distinct()
-    ids = F.broadcast(ids) if is_bounded(ids) else ids
-    chosen = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text")).join(ids, "doc_id", "left_semi")
-    arrays = whole_sets(chosen, "doc_id", "text").join(wanted.select("key", "doc_id"), ["key", "doc_id"], "left_semi")
-    arrays = stored(arrays.dropDuplicates(["key", "doc_id"]), "arrays")
-
-    links = stored(verified(pairs, arrays), "verified")
+    bits = stored(document_sketches(_texts_of(docs, doc_id, text, wanted, classes)), "sketches")
+    near = stored(near_pairs(pairs, bits), "near")
+    links = stored(_linked(near, docs, doc_id, text, classes), "verified")
     roots = stored(connected_components(links.select(F.col("doc_a").alias("a"), F.col("doc_b").alias("b"))), "roots")
     # Within crowded signatures, members of different components have not met: compare them all.
     tied = hard.join(classes.select("key", "least"), "key").join(roots.withColumnRenamed("node", "least"), "least", "left")
     tied = tied.select("signature", "key", F.coalesce("root", "least").alias("root"))
     open_ = tied.groupBy("signature").agg(F.min("root").alias("r0"), F.max("root").alias("r1")).filter("r0 < r1")
     tied = stored(tied.join(open_.select("signature"), "signature", "left_semi"), "tied")
-    x = tied.select("signature", F.col("key").alias("a"), F.col("root").alias("ra"))
-    y = tied.select("signature", F.col("key").alias("b"), F.col("root").alias("rb"))
-    rest = x.join(y, "signature").filter("a < b and ra <> rb").select("a", "b").distinct()
-    rest = verified(rest.join(pairs, ["a", "b"], "left_anti"), arrays)
+    tied = stored(tied.join(bits.drop("sketch"), "key"), "sketched")
+    rest = stored(_across(tied, parts).join(pairs, ["a", "b"], "left_anti"), "rest")
+    rest = _linked(stored(near_pairs(rest, bits), "near"), docs, doc_id, text, classes)
     more = stored(
         links.select("doc_a", "doc_b").unionAll(rest.select("doc_a", "doc_b")).toDF("a", "b"), "links"
     )
@@ -358,5 +503,5 @@ def _hard_members(crowded: DataFrame, classes: DataFrame) -> DataFrame:
     parity = F.col("signature").bitwiseAND(F.lit(1)).cast("int")
     counts = crowded.groupBy("key", parity.alias("bit")).agg(F.count("*").alias("crowded"))
     allow = F.when(F.col("bit") == F.col("parity"), F.col("allow_own")).otherwise(F.col("allow_next"))
-    hard = counts.join(classes, "key").filter(F.col("crowded") > allow).select("key", "bit")
-    return crowded.withColumn("bit", parity).join(hard, ["key", "bit"]).select("signature", "key")
+    hard = counts.join(classes, "key").filter(F.col("crowded") > allow).select("key", "bit", "crowded")
+    return crowded.withColumn("bit", parity).join(hard, ["key", "bit"]).select("signature", "key", "crowded")
