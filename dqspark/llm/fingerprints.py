@@ -152,12 +152,15 @@ def fingerprint_edits(docs: DataFrame, doc_id: str = "doc_id", text: str = "text
     quarter = F.floor(F.char_length("t") / 4).cast("int")
     most = rows.groupBy("id").agg(F.max(quarter).alias("most"))
     wanted = links.join(most, "id").select(F.col("id").alias("of"), F.col("next_id").alias("id"), "next_hash", "most")
-    heads = rows.join(wanted, "id").filter(F.xxhash64("t") == F.col("next_hash"))
+    # The same rows and key in both joins, so that texts are shuffled once.
+    known = rows.filter("id is not null")
+    heads = known.join(wanted, "id").filter(F.xxhash64("t").bitwiseXOR(F.col("next_hash")) == 0)
     heads = heads.select(F.col("of").alias("id"), F.expr("left(t, most)").alias("head")).dropDuplicates(["id"])
     edited = F.concat(
         F.expr("left(t, char_length(t) - quarter)"), F.coalesce(F.expr("left(head, quarter)"), F.lit(""))
     )
-    both = rows.join(heads, "id", "left").withColumn("quarter", quarter).withColumn("edited", edited)
+    both = known.join(heads, "id", "left").unionByName(rows.filter("id is null"), allowMissingColumns=True)
+    both = both.withColumn("quarter", quarter).withColumn("edited", edited)
     hashed = both.select(
         "id",
         F.xxhash64("t").alias("hash"),

@@ -12,7 +12,8 @@ from dqspark.plans.storage import stored
 WEIGHTS = (5, 2, 1)
 SHARE = 1.5
 MOST = 2
-BLOCK = 256
+BLOCK = 32
+"""Words of a block: few, as the last block of each shard of a source is shorter and so the source's total less."""
 STEP = 2**31 - 1
 """A prime: multiples of it visit all blocks of a shard in another order."""
 

@@ -104,6 +104,8 @@ class SuffixTree:
     def root(self, tokens: np.ndarray) -> np.ndarray:
         """Smoothed unigram probabilities of frequent tokens."""
         place, found = member(tokens, self.frequent)
+        if not len(self.frequent):
+            return np.zeros(len(tokens))
         return np.where(found, 10 ** (np.log10(np.where(found, self.counts[place], 0) + 0.5) - self.scale), 0.0)
 
     def add(self, level: int, state: np.ndarray, token: np.ndarray, n: np.ndarray, size: dict, parent: dict) -> None:
