@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -32,6 +32,11 @@ class Dataset:
     schema: object = None
 
 
+def decoded_path(uri: Column) -> Column:
+    """The path of a file's URI: ``%XX`` decoded, a plus sign kept."""
+    return F.coalesce(F.try_url_decode(F.replace(uri, F.lit("+"), F.lit("%2B"))), uri)
+
+
 def with_path_columns(rows: DataFrame, root: str, dataset: Dataset) -> tuple[DataFrame, list[str]]:
     """Add the path fields of the dataset's template to rows that carry their ``object`` path.
 
@@ -41,13 +46,15 @@ def with_path_columns(rows: DataFrame, root: str, dataset: Dataset) -> tuple[Dat
     template = path_template(dataset.suffix_template, dataset.separator)
     base = f"{root.rstrip('/')}/{dataset.prefix.strip('/')}".rstrip("/")
     # Scheme and slashes before the root differ between file systems; the root itself does not.
-    suffix = F.element_at(F.split(F.col(OBJECT), _literal(base.split("://")[-1].lstrip("/") + "/"), 2), -1)
+    suffix = F.element_at(F.split(decoded_path(F.col(OBJECT)), _literal(base.split("://")[-1].lstrip("/") + "/"), 2), -1)
     fields = path_fields(
         suffix,
         F.lit(template.pattern),
         F.array(*[F.lit(n) for n in template.names]),
         F.lit(dataset.separator),
     )
+    # Partition writers escape signs in values once more.
+    fields = F.transform_values(fields, lambda _, value: decoded_path(value))
     found = rows.withColumn("path_fields", fields).filter(F.col("path_fields").isNotNull())
     names = list(dict.fromkeys(n for n in template.names if n and n != "*"))
     values = {n: F.col("path_fields").getItem(n) for n in names}

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from dqspark.functions.columns import EMPTY_LABEL, INDICATOR_PREFIX, RANGE_COLUMNS
 from dqspark.operators.indicators import observed_only
-from dqspark.plans.joins import quoted
+from dqspark.plans.joins import lookup_join, quoted
 
 NAME_TAG = "name:"
 
@@ -58,8 +58,9 @@ def metric_series(
     if tags is None:
         metric = F.concat(F.lit(f"{prefix}."), id_name)
         return long.select("indicator_id", metric.alias("metric"), "timestamp", "value", F.col("_base").alias("tags"))
-    own = tags.select(F.col("indicator_id").cast("bigint").alias("indicator_id"), F.col("tags").alias("_tags"))
-    joined = long.join(own, "indicator_id", "left")
+    own = tags.groupBy(F.col("indicator_id").cast("bigint").alias("indicator_id")).agg(F.first("tags", True).alias("_tags"))
+    # Few indicators, each with many values: the values stay where they are, or hot ids are spread.
+    joined = lookup_join(long, own, ["indicator_id"])
     mine = F.coalesce("_tags", F.array().cast("array<string>"))
     named = F.filter(mine, lambda t: t.startswith(NAME_TAG))
     name = F.substring(F.get(named, F.lit(0)), len(NAME_TAG) + 1, 2**31 - 1)

@@ -125,12 +125,17 @@ def run_dimensions(metrics: DataFrame, dimensions: Sequence[str], by: Sequence[s
 
 
 def write_tags(tags: DataFrame, path: str) -> None:
-    tags.select("indicator_id", "tags").write.mode("append").parquet(path)
+    """Append tags with the time of writing; of an indicator's sets, the newest is read."""
+    stamped = tags.select("indicator_id", "tags", F.current_timestamp().alias("written"))
+    stamped.write.mode("append").parquet(path)
 
 
 def read_tags(spark: SparkSession, path: str, indicator_ids: DataFrame | Sequence[int] | None = None) -> DataFrame:
     """Stored tags of the indicators, by a filter or a semi join."""
-    tags = spark.read.schema(TAG_SCHEMA).parquet(path)
+    stored_tags = spark.read.schema(f"{TAG_SCHEMA}, written timestamp").parquet(path)
+    # Sets from before times were kept count as the oldest.
+    written = F.coalesce("written", F.timestamp_seconds(F.lit(0)))
+    tags = stored_tags.groupBy("indicator_id").agg(F.max_by("tags", written).alias("tags"))
     if indicator_ids is None:
         return tags
     if isinstance(indicator_ids, DataFrame):

@@ -17,8 +17,6 @@ LARGE_OBJECT_BYTES = 5 * 1024 * 1024
 # Leading bytes (hex) of compressed files.
 MAGIC = (("1F8B", "gzip"), ("425A68", "bzip2"), ("FF060000", "snappy"))
 
-_PART = re.compile(r"\{([^}]+)\}|<([^<>]+)>|([^{}/<>]+)")
-
 
 @dataclass(frozen=True)
 class PathTemplate:
@@ -29,22 +27,25 @@ class PathTemplate:
 
 
 def path_template(template: str, separator: str = "=") -> PathTemplate:
-    """Compile ``{name}`` (``name=value``), ``{*}`` (any ``key=value``), ``<name>`` and literals."""
-    patterns, names, sep = [], [], re.escape(separator)
-    for keyed, bare, literal in _PART.findall(template):
-        if keyed == "*":
-            patterns.append(f"[^/]+?{sep}[^/]+")
-            names.append("*")
-        elif keyed:
-            patterns.append(f"{re.escape(keyed)}{sep}[^/]+")
-            names.append(keyed)
-        elif bare:
-            patterns.append("[^/]+")
-            names.append(bare)
-        else:
-            patterns.append(re.escape(literal))
-            names.append(literal.split(separator)[0] if separator in literal else None)
-    return PathTemplate("^" + "/".join(patterns) + "/", tuple(names))
+    """Compile the segments of a template: ``{name}`` takes ``name=value``, ``{*}`` any ``key=value``, ``<name>``
+    any segment, and others themselves. A segment with a stray bracket is refused."""
+    segments = [_segment(part, separator) for part in template.split("/") if part]
+    return PathTemplate("^" + "".join(f"{pattern}/" for pattern, _ in segments) if segments else "^/", tuple(n for _, n in segments))
+
+
+def _segment(part: str, separator: str) -> tuple[str, str | None]:
+    """The expression of one segment and the name of its field."""
+    kind, inner = part[0] + part[-1], part[1:-1]
+    plain = inner if kind in ("{}", "<>") else part
+    if not plain or set(plain) & set("{}<>"):
+        raise ValueError(f"malformed path segment {part!r}")
+    if kind == "<>":
+        return "[^/]+", plain
+    if kind == "{}":
+        key = "[^/]+?" if plain == "*" else re.escape(plain)
+        return f"{key}{re.escape(separator)}[^/]+", plain
+    name, found, _ = plain.partition(separator)
+    return re.escape(plain), name if found else None
 
 
 def path_fields(suffix: Column, pattern: Column, names: Column, separator: Column) -> Column:

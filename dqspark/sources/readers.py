@@ -55,7 +55,7 @@ def _read_csv(
 ) -> DataFrame:
     reader = spark.read.option("recursiveFileLookup", recursive)
     if schema is None:
-        inferring = reader.options(header=True, sep=delimiter, multiLine=multiline, inferSchema=True)
+        inferring = reader.options(header=True, sep=delimiter, multiLine=multiline, inferSchema=True, quote='"', escape='"')
         schema = inferring.csv(path).schema
     elif isinstance(schema, str):
         schema = T.StructType.fromDDL(schema)
@@ -72,6 +72,9 @@ def csv_options(delimiter: str = ",", multiline: bool = False) -> dict[str, obje
         "header": True,
         "sep": delimiter,
         "multiLine": multiline,
+        # A quote within quotes is doubled; a backslash is a character like any other.
+        "quote": '"',
+        "escape": '"',
         "mode": "PERMISSIVE",
         "columnNameOfCorruptRecord": RAW,
         "columnPruning": False,

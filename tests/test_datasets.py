@@ -47,3 +47,18 @@ def test_unnamed_path_fields_stay_in_a_map(spark):
     bucket = spark.createDataFrame([("s3a://bucket/raw/7/f", 1)], "object string, v int")
     out, names = with_path_columns(bucket, "s3a://bucket", Dataset("d", "raw", "<n>", "csv"))
     assert names == ["n"] and out.first()["n"] == "7"
+
+
+def test_values_and_roots_with_signs(spark, tmp_path):
+    from pyspark.sql import functions as F
+
+    from dqspark.operators.datasets import OBJECT, Dataset, with_path_columns
+    from dqspark.sources.readers import read_dataset
+
+    root = tmp_path / "my root"
+    names = ["New York", "a%b", "c+d", "e"]
+    spark.createDataFrame([(n, i) for i, n in enumerate(names)], "city string, v int").write.partitionBy("city").parquet(str(root / "set"))
+    rows = read_dataset(spark, str(root / "set"), "parquet", "v int", recursive=True)
+    dataset = Dataset(name="d", prefix="set", suffix_template="{city}", file_type="parquet", schema="v int")
+    got, _ = with_path_columns(rows.withColumn(OBJECT, F.col("_metadata.file_path")), str(root), dataset)
+    assert {r["v"]: r["city"] for r in got.collect()} == dict(enumerate(names))

@@ -32,6 +32,21 @@ def test_csv_skips_long_and_pads_short(spark, tmp_path):
     assert R.read_dataset(spark, str(path), "csv").count() == 5
 
 
+def test_csv_quotes(spark, tmp_path):
+    path = tmp_path / "a.csv"
+    path.write_text('a,b,c\n1,"x ""q"" y",2\n3,"p, ""q"", r",4\n5,"back\\\\slash",6\n7,plain \\ one,8\n')
+    for schema in ("a int, b string, c int", None):
+        rows = R.read_dataset(spark, str(path), "csv", schema).collect()
+        want = [(1, 'x "q" y', 2), (3, 'p, "q", r', 4), (5, "back\\\\slash", 6), (7, "plain \\ one", 8)]
+        assert sorted(tuple(r) for r in rows) == want
+
+
+def test_malformed_template():
+    for bad in ("{a", "a}/b", "<a>b/c", "{}", "x<y>"):
+        with pytest.raises(ValueError):
+            O.path_template(bad)
+
+
 def test_csv_multiline_and_delimiter(spark, tmp_path):
     path = tmp_path / "a.csv"
     path.write_text('a|b\n1|"x\ny"\n2|z|extra\n')
