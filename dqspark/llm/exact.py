@@ -9,6 +9,7 @@ from dqspark.plans.storage import stored
 
 BLANKS = " \t\n\x0b\x0c\r"
 SALTS = 32
+HEAD = 64
 
 
 def without_blanks(text: Column) -> Column:
@@ -39,8 +40,10 @@ def exact_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text"
         F.pmod(F.xxhash64("doc_id"), F.lit(SALTS)).cast("int").alias("salt"),
     )
     parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    dealt = rows.repartitionByRange(parts, "content", "salt")
-    cell = Window.partitionBy("content", "salt").orderBy(F.desc("size"), F.asc_nulls_last("doc_id"))
+    # Splitters are sampled keys that the driver holds: the content's beginning, and its hash for contents that begin alike.
+    rows = rows.withColumns({"head": F.left("content", F.lit(HEAD)), "hash": F.xxhash64("content")})
+    dealt = rows.repartitionByRange(parts, "head", "hash", "salt")
+    cell = Window.partitionBy("head", "hash", "content", "salt").orderBy(F.desc("size"), F.asc_nulls_last("doc_id"))
     # The neighbour before, compared in full; a run's first row is its best.
     marked = dealt.withColumn("place", F.row_number().over(cell)).select(
         "doc_id", "size", "salt", "place", F.sha2("content", 256).alias("sha")
