@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import logging
+import re
 import zoneinfo
 from collections.abc import Mapping
 from dataclasses import dataclass, field
@@ -35,6 +36,7 @@ STRPTIME_TO_SPARK = {
     "S": "ss",
     "f": "SSSSSS",
     "z": "XX",
+    "Z": "z",
 }
 
 # Upper edge in minutes (inclusive) and label of each freshness bucket from 0 on.
@@ -51,36 +53,66 @@ FRESHNESS_EDGES = (
 FAR_FUTURE, NEAR_FUTURE, STALE = "future: >1 hour", "future: 0-1 hour", ">24h"
 
 
-def spark_pattern(strptime_format: str) -> str:
-    """The Spark datetime pattern of a strptime format; literal letters are quoted."""
-    out, literal, position = [], "", 0
-
-    def flush() -> None:
-        nonlocal literal
-        if literal:
-            text = literal.replace("'", "''")
-            out.append(f"'{text}'" if any(ch.isalpha() or ch in "'[]{}#" for ch in literal) else text)
-            literal = ""
-
-    while position < len(strptime_format):
-        ch = strptime_format[position]
-        if ch != "%":
-            literal += ch
-            position += 1
+# Directives of digits, and those of them that Spark reads with one digit or two by a single letter.
+DIGITS = frozenset("YymdjHIMSf")
+ONE_OR_TWO = frozenset("mdHIMS")
+# Weekday names say nothing that the date does not.
+WEEKDAYS = frozenset("aA")
+WEEKDAY_TEXT = r"(?i)\b(?:mon|tue(?:s)?|wed(?:nes)?|thu(?:rs)?|fri|sat(?:ur)?|sun)(?:day)?\b"
+WIDTHS = {"Y": 4, "y": 2, "m": 2, "d": 2, "j": 3, "H": 2, "I": 2, "M": 2, "S": 2}
+
+
+def _pieces(strptime_format: str) -> list[tuple[bool, str]]:
+    """Directives, as ``(True, letter)``, and the literal text between them; weekdays are left out."""
+    out: list[tuple[bool, str]] = []
+    for directive, char in re.findall(r"%(.?)|([^%])", strptime_format, re.DOTALL):
+        if directive in WEEKDAYS:
             continue
-        directive = strptime_format[position + 1 : position + 2]
-        if directive == "%":
-            literal += "%"
-        elif directive in STRPTIME_TO_SPARK:
-            flush()
-            out.append(STRPTIME_TO_SPARK[directive])
+        if directive and directive != "%":
+            if directive not in STRPTIME_TO_SPARK:
+                raise ValueError(f"time format directive %{directive} cannot be parsed by Spark")
+            out.append((True, directive))
+        elif out and not out[-1][0]:
+            out[-1] = (False, out[-1][1] + (char or "%"))
         else:
-            raise ValueError(f"time format directive %{directive} cannot be parsed by Spark")
-        position += 2
-    flush()
+            out.append((False, char or "%"))
+    return out
+
+
+def spark_pattern(strptime_format: str) -> str:
+    """The Spark datetime pattern of a strptime format; literal letters are quoted.
+
+    Fields take one digit or two where no digits touch them, and two where they do.
+    """
+    pieces, out = _pieces(strptime_format), []
+
+    def digit(at: int, side: int) -> bool:
+        if not 0 <= at < len(pieces):
+            return False
+        directive, text = pieces[at]
+        return text in DIGITS if directive else text[side].isdigit()
+
+    for i, (directive, text) in enumerate(pieces):
+        if not directive:
+            literal = text.replace("'", "''")
+            out.append(f"'{literal}'" if any(ch.isalpha() or ch in "'[]{}#" for ch in text) else text)
+        elif text in ONE_OR_TWO and not digit(i - 1, -1) and not digit(i + 1, 0):
+            out.append(STRPTIME_TO_SPARK[text][0])
+        else:
+            out.append(STRPTIME_TO_SPARK[text])
     return "".join(out)
 
 
+def _fraction_at(strptime_format: str) -> int | None:
+    """Where digits of a fraction start right after other digits, all before them having fixed widths."""
+    pieces = _pieces(strptime_format)
+    at = pieces.index((True, "f")) if (True, "f") in pieces else 0
+    if not at or pieces[at - 1][1] not in DIGITS or not pieces[at - 1][0]:
+        return None
+    widths = [WIDTHS.get(text) if directive else len(text) for directive, text in pieces[:at]]
+    return None if None in widths else sum(widths)
+
+
 def precision(strptime_format: str) -> str | None:
     """The finest unit a format holds, from second to year."""
     for unit, directives in (
@@ -107,40 +139,59 @@ def known_zone(zone: str | None) -> str:
     return zone
 
 
-def parse_local(text: Column, strptime_format: str, zone: str | None = None) -> Column:
-    """Wall-clock timestamp in ``zone``; NULL where the text does not fit the format."""
-    source, pattern = strip(text), spark_pattern(strptime_format)
-    if "%I" in strptime_format and "%p" not in strptime_format:
+def is_instant(strptime_format: str) -> bool:
+    """Whether the text itself says its offset or zone."""
+    return "%z" in strptime_format or "%Z" in strptime_format
+
+
+def parse_time(text: Column, strptime_format: str) -> Column:
+    """Timestamp of a text, NULL where it does not fit: the instant if the format holds an offset or a zone,
+    else the wall clock."""
+    source, fmt = strip(text), strptime_format
+    if any(f"%{day}" in fmt for day in WEEKDAYS):
+        source = F.regexp_replace(source, WEEKDAY_TEXT, "")
+    if "%z" in fmt:
+        end = "$" if fmt.endswith("%z") else ""
+        source = F.regexp_replace(source, rf"([+-][0-9]{{2}}):([0-9]{{2}}){end}", "$1$2")
+    at = _fraction_at(fmt)
+    if at is not None:
+        # Spark reads a fraction of any length only after a character that is no digit.
+        source = F.concat(F.substring(source, 1, at), F.lit("."), F.substring(source, at + 1, 2**31 - 1))
+        fmt = fmt.replace("%f", ".%f")
+    pattern = spark_pattern(fmt)
+    if "%I" in fmt and "%p" not in fmt:
         source, pattern = F.concat(source, F.lit(" AM")), pattern + " a"
     parsed = F.try_to_timestamp(source, F.lit(pattern))
-    if "%y" in strptime_format and "%Y" not in strptime_format:
+    if "%y" in fmt and "%Y" not in fmt:
         # Two-digit years 69-99 belong to the last century.
         parsed = F.when(F.year(parsed) >= 2069, F.add_months(parsed, -1200).cast("timestamp")
                         + (parsed - F.date_trunc("day", parsed))).otherwise(parsed)
-    if "%z" in strptime_format:
-        return F.from_utc_timestamp(parsed, known_zone(zone))
     return parsed
 
 
-def typed_local(c: Column, kind: T.DataType, zone: str | None = None) -> Column:
-    """Wall-clock timestamp in ``zone`` of a column that already is a date or timestamp."""
-    if isinstance(kind, T.TimestampType):
-        return F.from_utc_timestamp(c, known_zone(zone))
-    return c.cast("timestamp")
-
+def time_bounds(
+    when: Column, strptime_format: str, zone: str | None = None, instant: bool = False
+) -> tuple[Column, Column]:
+    """First and last epoch second a time can mean at the precision of its format.
 
-def time_bounds(local: Column, strptime_format: str, zone: str | None = None) -> tuple[Column, Column]:
-    """First and last epoch second a wall-clock time can mean at the precision of its format."""
+    ``when`` is a wall clock in ``zone``, or an instant. An instant stays itself: its wall clock, which
+    two instants share in the hour that a zone repeats, only gives the distance to the bounds.
+    """
     unit, tz = precision(strptime_format), known_zone(zone)
 
     def epoch(wall_clock: Column) -> Column:
         return F.unix_seconds(F.to_utc_timestamp(wall_clock, tz))
 
+    own = F.unix_seconds(when) if instant else epoch(when)
     if unit in (None, "second"):
-        return epoch(local), epoch(local)
+        return own, own
+    local = F.from_utc_timestamp(when, tz) if instant else when
     floor = F.date_trunc(unit, local)
-    step = F.expr(f"INTERVAL 1 {unit}")
-    return epoch(floor), epoch(floor + step - F.expr("INTERVAL 1 SECOND"))
+    last = floor + F.expr(f"INTERVAL 1 {unit}") - F.expr("INTERVAL 1 SECOND")
+    if instant and unit in ("minute", "hour"):
+        seconds = F.unix_seconds(local)
+        return own - (seconds - F.unix_seconds(floor)), own + (F.unix_seconds(last) - seconds)
+    return epoch(floor), epoch(last)
 
 
 def freshness_minutes(reference: Column, epoch: Column) -> Column:
@@ -190,8 +241,9 @@ def add_times(
         else:
             zone, kind = mapping.get("timezone"), df.select(source).schema[0].dataType
             typed = isinstance(kind, (T.TimestampType, T.TimestampNTZType, T.DateType))
-            local = typed_local(source, kind, zone) if typed else parse_local(source, mapping["format"], zone)
-            lower, upper = time_bounds(local, mapping["format"], zone)
+            when = source.cast("timestamp") if typed else parse_time(source, mapping["format"])
+            instant = isinstance(kind, T.TimestampType) if typed else is_instant(mapping["format"])
+            lower, upper = time_bounds(when, mapping["format"], zone, instant)
         added[f"max_{key}"], added[f"min_{key}"] = upper, lower
         times.names += [f"max_{key}", f"min_{key}"]
         if mapping.get("primary"):

@@ -42,7 +42,7 @@ _ARGUMENTS = r"(?:[^()]|\((?:[^()]|\([^()]*\))*\))*"
 DISTINCT_CALL = rf"(?is)^\s*count\s*\(\s*distinct\b({_ARGUMENTS})\)\s*$"
 PERCENTILE_CALL = rf"(?is)^\s*approx_percentile\s*\(({_ARGUMENTS})\)\s*$"
 STDDEV_CALL = rf"(?is)^\s*stddev\s*\(({_ARGUMENTS})\)\s*$"
-PERCENTILE_ARGUMENTS = re.compile(r"(?is)^(.*),\s*([0-9.]+(?:e-?[0-9]+)?)\s*$")
+SHARE = re.compile(r"(?i)[0-9.]+(?:e-?[0-9]+)?")
 
 
 # -- calculations --------------------------------------------------------------------------------
@@ -57,6 +57,48 @@ def sketch_class(calculation: Column) -> Column:
     )
 
 
+def _arguments(text: str) -> list[str]:
+    """The arguments of a call: split at commas outside brackets and quotes."""
+    out, depth, quote = [""], 0, ""
+    for ch in text:
+        if quote:
+            quote = "" if ch == quote else quote
+        elif ch in "'\"`":
+            quote = ch
+        depth += (ch in "([") - (ch in ")]") if not quote else 0
+        if ch == "," and not depth and not quote:
+            out.append("")
+        else:
+            out[-1] += ch
+    return [a.strip() for a in out]
+
+
+def _distinct(operands: list[str], mode: str) -> Column:
+    """Distinct values, or combinations without NULL, of the operands."""
+    if mode == "exact":
+        return F.expr(f"count(DISTINCT {', '.join(operands)})")
+    value = operands[0]
+    if len(operands) > 1:
+        full = " AND ".join(f"({o}) IS NOT NULL" for o in operands)
+        value = f"CASE WHEN {full} THEN struct({', '.join(operands)}) END"
+    if mode == "approx":
+        return F.expr(f"approx_count_distinct({value})")
+    text = f"to_json({value})" if len(operands) > 1 else f"CAST({value} AS string)"
+    return F.expr(f"hll_sketch_agg({text}, {HLL_LG_K})")
+
+
+def _percentile(calculation: str, arguments: list[str], mode: str) -> Column:
+    """A percentile of a value by a share or an array of shares; a third argument is an accuracy."""
+    if mode == "approx" or len(arguments) not in (2, 3):
+        return F.expr(calculation)
+    operand, share = arguments[:2]
+    if mode == "sketch":
+        return F.expr(f"kll_sketch_agg_double(CAST({operand} AS double))")
+    if SHARE.fullmatch(share):
+        return F.expr(f"percentile_cont({share}) WITHIN GROUP (ORDER BY {operand})")
+    return F.expr(f"percentile({operand}, {share})")
+
+
 def calculation_column(calculation: str, mode: str = "approx") -> Column:
     """The aggregate of a calculation.
 
@@ -69,20 +111,10 @@ def calculation_column(calculation: str, mode: str = "approx") -> Column:
     if mode != "plain":
         distinct = re.match(DISTINCT_CALL, calculation)
         if distinct:
-            operand = distinct.group(1).strip()
-            return {
-                "exact": F.expr(f"count(DISTINCT {operand})"),
-                "approx": F.expr(f"approx_count_distinct({operand})"),
-                "sketch": F.expr(f"hll_sketch_agg(CAST({operand} AS string), {HLL_LG_K})"),
-            }[mode]
+            return _distinct(_arguments(distinct.group(1)), mode)
         percentile = re.match(PERCENTILE_CALL, calculation)
         if percentile:
-            operand, p = PERCENTILE_ARGUMENTS.match(percentile.group(1).strip()).groups()
-            return {
-                "exact": F.expr(f"percentile_cont({p}) WITHIN GROUP (ORDER BY {operand})"),
-                "approx": F.expr(f"approx_percentile({operand}, {p})"),
-                "sketch": F.expr(f"kll_sketch_agg_double(CAST({operand} AS double))"),
-            }[mode]
+            return _percentile(calculation, _arguments(percentile.group(1)), mode)
     deviation = re.match(STDDEV_CALL, calculation)
     if deviation:
         return F.expr(f"stddev(try_cast({deviation.group(1).strip()} AS double))")
@@ -144,8 +176,10 @@ def _panes(rows: DataFrame, forms: dict[str, Mergeable], timestamp: str, width:
     return rows.filter(ts.isNotNull()).groupBy(*keys, start.alias("_pane")).agg(*partials)
 
 
-def _merges(forms: dict[str, Mergeable]) -> list[Column]:
-    out = [m.merged.alias(name) for name, m in forms.items()]
+def _merges(rows: DataFrame, forms: dict[str, Mergeable], exprs: Sequence[Column]) -> list[Column]:
+    """The merged values, each of the type that its direct aggregate has."""
+    kinds = rows.agg(*exprs).schema
+    out = [m.merged.cast(kinds[name].dataType).alias(name) for name, m in forms.items()]
     return [*out, F.min("_result_min_ts").alias("_result_min_ts"), F.max("_result_max_ts").alias("_result_max_ts")]
 
 
@@ -222,7 +256,8 @@ def indicator_series(
 ) -> DataFrame:
     """:func:`indicator_query` for many evaluation times in one scan.
 
-    ``times`` are epoch seconds, or a table with ``evaluation_time``. A time whose window holds no
+    ``times`` are epoch seconds, or a table with ``evaluation_time``, of which small jobs take up to
+    ``MAX_DRIVER_TIMES`` times, or else their range, so that the scan is filtered in either case. A time whose window holds no
     row gives no result row. ``small`` is that of :func:`dqspark.plans.joins.interval_join`.
 
     Where windows overlap and all calculations merge, each row is aggregated once into the pane that
@@ -231,10 +266,18 @@ def indicator_series(
     rows = dataset.filter(F.expr(f"({filters})")) if filters else dataset
     keys = [aliased(f) for f in _group_list(group_fields)]
     names = [group_name(f) for f in _group_list(group_fields)]
+    exprs = [calculation_column(c, mode).alias(f"{INDICATOR_PREFIX}{i}") for c, i in calculations]
     forms, width = None, 0
     if isinstance(times, DataFrame):
         end = F.col("evaluation_time").cast("bigint")
-        windows = times.select((end - int(lookback)).alias("_window_start"), end.alias("_window_end")).distinct()
+        table = times.select(end.alias("t")).filter("t IS NOT NULL").distinct()
+        few = [r["t"] for r in table.take(MAX_DRIVER_TIMES + 1)]
+        if len(few) <= MAX_DRIVER_TIMES:
+            times = few
+    if isinstance(times, DataFrame):
+        first, last = table.agg(F.min("t"), F.max("t")).first()
+        rows = rows.filter(in_time_range(rows, timestamp, first - int(lookback), last))
+        windows = table.select((F.col("t") - int(lookback)).alias("_window_start"), F.col("t").alias("_window_end"))
     else:
         if times:
             rows = rows.filter(in_time_range(rows, timestamp, min(times) - int(lookback), max(times)))
@@ -245,20 +288,27 @@ def indicator_series(
     if forms:
         panes = _panes(rows, forms, timestamp, width, keys)
         pairs = interval_join(panes, windows, "_pane", lookback, small)
-        keys, exprs = [F.col(quoted(n)) for n in names], _merges(forms)
+        keys, exprs = [F.col(quoted(n)) for n in names], _merges(rows, forms, exprs)
     else:
         pairs = interval_join(rows, windows, timestamp, lookback, small)
-        exprs = [calculation_column(c, mode).alias(f"{INDICATOR_PREFIX}{i}") for c, i in calculations]
         ts = F.col(quoted(timestamp))
         exprs += [F.min(ts).alias("_result_min_ts"), F.max(ts).alias("_result_max_ts")]
     out = pairs.groupBy(*keys, "_window_start", "_window_end").agg(*exprs)
+    out = out.withColumnsRenamed(
+        {"_window_start": "_lookback_range_start_ts", "_window_end": "_lookback_range_end_ts"}
+    )
+    return _series_columns(out, names, calculations)
+
+
+def _series_columns(out: DataFrame, names: Sequence[str], calculations: Sequence[tuple[str, object]]) -> DataFrame:
+    """Groups, values, observed range and look-back range, in the order that all ways of evaluation give."""
     return out.select(
         *[F.col(quoted(n)) for n in names],
         *[F.col(quoted(f"{INDICATOR_PREFIX}{i}")) for _, i in calculations],
         "_result_min_ts",
         "_result_max_ts",
-        F.col("_window_start").alias("_lookback_range_start_ts"),
-        F.col("_window_end").alias("_lookback_range_end_ts"),
+        F.col("_lookback_range_start_ts").cast("bigint").alias("_lookback_range_start_ts"),
+        F.col("_lookback_range_end_ts").cast("bigint").alias("_lookback_range_end_ts"),
     )
 
 
@@ -290,6 +340,7 @@ def rolling_indicators(
     """
     rows = dataset.filter(F.expr(f"({filters})")) if filters else dataset
     keys = [aliased(f) for f in _group_list(group_fields)]
+    names = [group_name(f) for f in _group_list(group_fields)]
     exprs = [calculation_column(c, mode).alias(f"{INDICATOR_PREFIX}{i}") for c, i in calculations]
     ts = F.col(quoted(timestamp))
     exprs += [F.min(ts).alias("_result_min_ts"), F.max(ts).alias("_result_max_ts")]
@@ -304,20 +355,20 @@ def rolling_indicators(
     if forms:
         panes = _panes(rows, forms, timestamp, math.gcd(int(lookback), int(interval)), keys)
         spread = panes.withColumn("_lookback_range_end_ts", in_each_window(F.col("_pane")))
-        names = [F.col(quoted(group_name(f))) for f in _group_list(group_fields)]
-        out = spread.groupBy("_lookback_range_end_ts", *names).agg(*_merges(forms))
-        return out.withColumn("_lookback_range_start_ts", end - int(lookback))
+        groups = [F.col(quoted(n)) for n in names]
+        out = spread.groupBy("_lookback_range_end_ts", *groups).agg(*_merges(rows, forms, exprs))
+        return _series_columns(out.withColumn("_lookback_range_start_ts", end - int(lookback)), names, calculations)
     timed = isinstance(rows.schema[timestamp].dataType, (T.TimestampType, T.TimestampNTZType))
     if lookback > MAX_WINDOW_RATIO * interval or not timed:
         spread = rows.filter(ts.isNotNull()).withColumn(
             "_lookback_range_end_ts", in_each_window(epoch_seconds(rows, timestamp))
         )
         out = spread.groupBy("_lookback_range_end_ts", *keys).agg(*exprs)
-        return out.withColumn("_lookback_range_start_ts", end - int(lookback))
+        return _series_columns(out.withColumn("_lookback_range_start_ts", end - int(lookback)), names, calculations)
     window = F.window(ts, f"{int(lookback)} seconds", f"{int(interval)} seconds").alias("_window")
     out = rows.groupBy(window, *keys).agg(*exprs)
     out = out.withColumn("_lookback_range_end_ts", F.unix_seconds(F.col("_window.end").cast("timestamp")))
-    return out.withColumn("_lookback_range_start_ts", end - int(lookback)).drop("_window")
+    return _series_columns(out.withColumn("_lookback_range_start_ts", end - int(lookback)), names, calculations)
 
 
 # -- keys ----------------------------------------------------------------------------------------

@@ -6,12 +6,14 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from dqspark.functions.columns import EMPTY_LABEL, INDICATOR_PREFIX, RANGE_COLUMNS
 from dqspark.operators.indicators import observed_only
 from dqspark.plans.joins import lookup_join, quoted
 
 NAME_TAG = "name:"
+SCALARS = (T.NumericType, T.StringType, T.BooleanType, T.NullType)
 
 
 def metric_series(
@@ -22,7 +24,7 @@ def metric_series(
 ) -> DataFrame:
     """Rows ``(indicator_id, metric, timestamp, value, tags)``, one per indicator and group.
 
-    Groups without an observed time range and NULL values are left out, each metric on its own. The
+    Sketch, time and nested columns are left out. Groups without an observed time range and NULL values are left out, each metric on its own. The
     time is the end of the look-back range. Tags are ``dimension:value``, the fixed ones and those
     of the indicator; a ``name:`` tag names the metric and gives way to ``indicator_id:``.
     """
@@ -31,15 +33,17 @@ def metric_series(
         raise ValueError("the result holds no indicator column")
     dimensions = [c for c in result.columns if c not in indicators and c not in RANGE_COLUMNS]
     rows = observed_only(result)
+    # Sketches and other values without a number have no place in a series.
+    numbers = [c for c in indicators if isinstance(result.schema[c].dataType, SCALARS)]
     values = F.array(
         *[
             F.struct(
                 F.lit(int(c.removeprefix(INDICATOR_PREFIX))).cast("bigint").alias("indicator_id"),
                 F.col(quoted(c)).try_cast("double").alias("value"),
             )
-            for c in indicators
+            for c in numbers
         ]
-    )
+    ).cast("array<struct<indicator_id: bigint, value: double>>")
     dimension_tags = [
         F.concat(F.lit(f"{d}:"), F.coalesce(F.col(quoted(d)).cast("string"), F.lit(EMPTY_LABEL)))
         for d in dimensions

@@ -159,13 +159,18 @@ def register_table(
     parts = T.StructType([T.StructField(p, T.StringType()) for p in partitions])
     ddl = T.StructType([*columns.fields, *parts.fields]).toDDL()
     by = f"PARTITIONED BY ({', '.join(map(quoted, partitions))})" if partitions else ""
-    location = path.replace("'", "\\'")
-    spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({ddl}) USING parquet {by} LOCATION '{location}'")
+    spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({ddl}) USING parquet {by} LOCATION {_literal(path)}")
+
+
+def _literal(value: object) -> str:
+    """A value as SQL text."""
+    text = str(value).replace("\\", "\\\\").replace("'", "\\'")
+    return f"'{text}'"
 
 
 def add_partition(spark: SparkSession, name: str, values: Mapping[str, object], path: str | None = None) -> None:
-    spec = ", ".join(f"{quoted(k)} = '{v}'" for k, v in values.items())
-    location = f" LOCATION '{path}'" if path else ""
+    spec = ", ".join(f"{quoted(k)} = {_literal(v)}" for k, v in values.items())
+    location = f" LOCATION {_literal(path)}" if path else ""
     spark.sql(f"ALTER TABLE {name} ADD IF NOT EXISTS PARTITION ({spec}){location}")
 
 

@@ -26,6 +26,13 @@ def epoch(*parts):
         ("2024-034", "%Y-%j", epoch(2024, 2, 3), epoch(2024, 2, 3, 23, 59, 59)),
         ("2024-02-03 04:05:06.25", "%Y-%m-%d %H:%M:%S.%f", epoch(2024, 2, 3, 4, 5, 6), epoch(2024, 2, 3, 4, 5, 6)),
         ("2024-02-03 04:05:06+0200", "%Y-%m-%d %H:%M:%S%z", epoch(2024, 2, 3, 2, 5, 6), epoch(2024, 2, 3, 2, 5, 6)),
+        ("1/2/2024", "%m/%d/%Y", epoch(2024, 1, 2), epoch(2024, 1, 2, 23, 59, 59)),
+        ("2024-01-02 3:04:5", "%Y-%m-%d %H:%M:%S", epoch(2024, 1, 2, 3, 4, 5), epoch(2024, 1, 2, 3, 4, 5)),
+        ("2024-02-03T04:05:06+02:00", "%Y-%m-%dT%H:%M:%S%z", epoch(2024, 2, 3, 2, 5, 6), epoch(2024, 2, 3, 2, 5, 6)),
+        ("2024-02-03T04:05:06Z", "%Y-%m-%dT%H:%M:%S%z", epoch(2024, 2, 3, 4, 5, 6), epoch(2024, 2, 3, 4, 5, 6)),
+        ("20240102030405123456", "%Y%m%d%H%M%S%f", epoch(2024, 1, 2, 3, 4, 5), epoch(2024, 1, 2, 3, 4, 5)),
+        ("Saturday, 3 Feb 2024", "%A, %d %b %Y", epoch(2024, 2, 3), epoch(2024, 2, 3, 23, 59, 59)),
+        ("Sat 03 Feb 2024 04:05:06 UTC", "%a %d %b %Y %H:%M:%S %Z", epoch(2024, 2, 3, 4, 5, 6), epoch(2024, 2, 3, 4, 5, 6)),
         ("not a time", "%Y-%m-%d", None, None),
         (None, "%Y-%m-%d", None, None),
     ],
@@ -60,6 +67,21 @@ def test_typed_columns_need_no_text(spark):
     assert row["min_d"] == epoch(2024, 2, 3, 5)
 
 
+@pytest.mark.parametrize("kind", ["typed", "text"])
+def test_repeated_hour_of_a_zone_keeps_its_instants(spark, kind):
+    instants = [epoch(2024, 11, 3, h, 30) for h in (4, 5, 6, 7)]
+    df = spark.createDataFrame([(t,) for t in instants], "e bigint").withColumn("z", F.timestamp_seconds("e"))
+    if kind == "text":
+        df = df.withColumn("z", F.concat(F.date_format(F.expr("z - INTERVAL 5 HOURS"), "yyyy-MM-dd HH:mm:ss"), F.lit("-0500")))
+    zone = {"column": "z", "timezone": "America/New_York"}
+    spec = {"s": {**zone, "format": "%Y-%m-%d %H:%M:%S%z"}, "h": {**zone, "format": "%Y-%m-%d %H"}}
+    spec = spec if kind == "typed" else {"s": spec["s"]}
+    for row in T.add_times(df, spec, 0)[0].collect():
+        assert row["min_s"] == row["max_s"] == row["e"]
+        if kind == "typed":
+            assert (row["min_h"], row["max_h"]) == (row["e"] - 1800, row["e"] + 1799)
+
+
 def test_composite_primary_and_missing(spark, caplog):
     df = spark.createDataFrame([("2024-01-02", 3, 1_704_164_400)], "d string, h int, u bigint")
     spec = {
@@ -90,8 +112,9 @@ def test_freshness_edges(spark):
 
 def test_unknown_directive():
     with pytest.raises(ValueError):
-        T.spark_pattern("%A %Y")
-    assert T.spark_pattern("%Y-%m-%dT%H:%M:%S%%") == "yyyy-MM-dd'T'HH:mm:ss%"
+        T.spark_pattern("%U %Y")
+    assert T.spark_pattern("%Y-%m-%dT%H:%M:%S%%") == "yyyy-M-d'T'H:m:s%"
+    assert T.spark_pattern("%Y%m%d %H%M") == "yyyyMMdd HHmm"
 
 
 def cron_brute(cron, start, end):

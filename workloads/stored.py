@@ -163,20 +163,16 @@ def stored_tags(spark, sf_dir):
 
 
 @query("""
-SELECT event_type AS object, min(floor(epoch(ts)))::BIGINT AS min_primary_time,
-  max(floor(epoch(ts)))::BIGINT AS max_primary_time, 'max_ts' AS primary_time_column, 'events' AS dataset,
-  count(DISTINCT user_id) AS dimension_values
-FROM events GROUP BY 1
+SELECT event_type AS object, min(latest) AS min_primary_time, max(latest) AS max_primary_time,
+  'max_ts' AS primary_time_column, 'events' AS dataset, count(DISTINCT user_id) AS dimension_values
+FROM (SELECT event_type, user_id, max(floor(epoch(ts)))::BIGINT AS latest FROM events GROUP BY 1, 2) GROUP BY 1
 """)
 def run_log(spark, sf_dir):
     rows = table(spark, sf_dir, "events").withColumn("object", F.col("event_type"))
     spec = {"ts": {"column": "ts", "format": "%Y-%m-%d %H:%M:%S", "primary": True}}
     result = profile(rows, ["user_id"], timestamps=spec, by=["object"], keyed=False)
     stored = cut_lineage(result.metrics)
-    log = K.run_log(
-        stored.withColumn("max_ts", F.explode(F.array("max_ts", "min_ts"))), result.times.primary,
-        by=["object"], dataset="events",
-    )
+    log = K.run_log(stored, result.times.primary, by=["object"], dataset="events")
     values = K.run_dimensions(stored, result.dimensions, ["object"])
     return log.join(values.groupBy("object").agg(F.count(F.lit(1)).alias("dimension_values")), "object")
 
