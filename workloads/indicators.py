@@ -304,3 +304,64 @@ def filter_fingerprint(spark, sf_dir):
         (F.col("k0") == F.col("k1")).alias("order_ignored"),
         (F.col("k0") != F.col("k2")).alias("meaning_kept"),
     )
+
+
+@query("""
+WITH w AS (SELECT unnest([10, 11, 12, 13]) * 86400 + 1703980800 AS et),
+m AS (
+  SELECT n_nationkey, CASE WHEN n_regionkey % 2 = 0 THEN 'event_type:' || event_type || ',' ELSE '' END AS g, et,
+    count(*) AS c, sum(value) AS s, count(DISTINCT user_id) AS d, max(value) AS x
+  FROM nation, w, events
+  WHERE floor(epoch(ts)) >= et - 86400 * (1 + n_regionkey % 2) AND floor(epoch(ts)) < et
+    AND (n_regionkey > 1 OR value > 10) AND (et < 1703980800 + 13 * 86400 OR n_nationkey % 2 = 0)
+  GROUP BY ALL)
+SELECT n_nationkey::BIGINT AS indicator_id, et AS timestamp,
+  round(CASE n_nationkey % 4 WHEN 0 THEN c WHEN 1 THEN s WHEN 2 THEN d ELSE x END, 2) AS value, g || 'origin:dqspark' AS tags
+FROM m
+""")
+def backfilled_families(spark, sf_dir):
+    from dqspark.operators.rollup import concat_results
+
+    extra = table(spark, sf_dir, "nation").filter("n_nationkey % 2 = 0").select(
+        F.col("n_nationkey").cast("bigint").alias("indicator_id"),
+        F.lit((13 * 86400 + 1_703_980_800) * 1000).cast("bigint").alias("evaluation_time"),
+    )
+    definitions = I.backfill(nation_definitions(spark, sf_dir), extra)
+    series = [metric_series(result) for _, result in I.evaluate_definitions(definitions, mode="exact")]
+    return concat_results(series).select(
+        "indicator_id", "timestamp", F.round("value", 2).alias("value"), F.array_join("tags", ",").alias("tags")
+    )
+
+
+STEP, SPAN = 10 * 86400, 30 * 86400
+
+
+@query(f"""
+WITH e AS (SELECT l_returnflag, epoch(l_shipdate)::BIGINT AS e, l_quantity AS q FROM lineitem),
+s AS (SELECT l_returnflag, (e // {STEP} + k) * {STEP} AS _lookback_range_end_ts, q
+  FROM e, (SELECT unnest([1, 2, 3]) AS k))
+SELECT p AS way, l_returnflag, sum(CAST(q AS DECIMAL(12,2)))::DOUBLE AS _indicator_1,
+  (_lookback_range_end_ts - {SPAN})::BIGINT AS _lookback_range_start_ts, _lookback_range_end_ts::BIGINT AS _lookback_range_end_ts
+FROM s, (SELECT unnest(['panes', 'window', 'spread', 'series of panes', 'interval join']) AS p) GROUP BY ALL
+""")
+def indicator_paths(spark, sf_dir):
+    """One sum by every way of evaluation; the results are put together by position."""
+    from functools import reduce
+
+    rows = table(spark, sf_dir, "lineitem").select(
+        "l_returnflag", "l_suppkey", F.col("l_quantity").cast("decimal(12,2)").alias("q"), F.col("l_shipdate").cast("timestamp").alias("at")
+    )
+    seconds = rows.withColumn("at", F.unix_seconds("at"))
+    step = F.floor(F.unix_seconds("at") / STEP)
+    times = rows.select(F.explode(F.array(*[(step + k) * STEP for k in (1, 2, 3)])).alias("evaluation_time")).distinct()
+    merged, not_merged = [("sum(q)", 1)], [("sum(q)", 1), ("stddev(l_suppkey)", 2)]
+    ways = {
+        "panes": I.rolling_indicators(rows, merged, "at", SPAN, STEP, "l_returnflag"),
+        "window": I.rolling_indicators(rows, not_merged, "at", SPAN, STEP, "l_returnflag"),
+        "spread": I.rolling_indicators(seconds, not_merged, "at", SPAN, STEP, "l_returnflag"),
+        "series of panes": I.indicator_series(rows, merged, times, SPAN, "at", "l_returnflag"),
+        "interval join": I.indicator_series(rows, not_merged, times, SPAN, "at", "l_returnflag"),
+    }
+    parts = [d.drop("_indicator_2", "_result_min_ts", "_result_max_ts").withColumn("way", F.lit(way)) for way, d in ways.items()]
+    out = reduce(lambda a, b: a.union(b), parts)
+    return out.withColumn("_indicator_1", F.col("_indicator_1").cast("double"))

@@ -59,9 +59,8 @@ SELECT * FROM (VALUES
 def sampled_schema(spark, sf_dir):
     path = scratch_path(spark, "sampled")
     table(spark, sf_dir, "orders").write.json(path)
-    found = S.flat_json_schema(sampled_text_schema(spark, path, "jsonl", 100))
-    found = S.with_path_fields(found, {"o_orderstatus": "F", "year": "2024"})
-    small = S.reduced(found)
+    found = S.with_path_fields(sampled_text_schema(spark, path, "jsonl", 100), {"o_orderstatus": "F", "year": "2024"})
+    small = S.json_schema(found, scalars="string")
     kinds = S.spark_type(small)
     rows = [
         (name.removeprefix("object."), spec["type"], kinds[name].dataType.simpleString().upper())
@@ -71,6 +70,34 @@ def sampled_schema(spark, sf_dir):
     return spark.createDataFrame(rows, "path string, type string, ddl_type string")
 
 
+@query("""
+WITH f AS (UNPIVOT (SELECT count(o_orderkey) AS o_orderkey, count(o_custkey) AS o_custkey,
+    count(o_orderstatus) AS o_orderstatus, count(o_totalprice) AS o_totalprice, count(o_orderdate) AS o_orderdate,
+    count(o_orderpriority) AS o_orderpriority FROM orders) ON COLUMNS(*) INTO NAME field VALUE filled
+  UNION ALL UNPIVOT (SELECT count(event_id) AS event_id, count(ts) AS ts, count(user_id) AS user_id,
+    count(event_type) AS event_type, count("value") AS "value", count(props) AS props FROM events)
+    ON COLUMNS(*) INTO NAME field VALUE filled)
+SELECT 'seen_' || table_name AS dataset, field, filled,
+  CASE data_type WHEN 'BIGINT' THEN 'integer' WHEN 'DOUBLE' THEN 'number' WHEN 'TIMESTAMP' THEN 'integer' ELSE 'string' END AS type,
+  CASE data_type WHEN 'BIGINT' THEN 'bigint' WHEN 'DOUBLE' THEN 'double' WHEN 'TIMESTAMP' THEN 'date-time' END AS format
+FROM f JOIN information_schema.columns ON column_name = field AND table_name IN ('orders', 'events')
+""")
+def catalog_fields(spark, sf_dir):
+    parts = []
+    for name in ("orders", "events"):
+        rows = table(spark, sf_dir, name)
+        rows.createOrReplaceTempView(f"seen_{name}")
+        counts = rows.agg(*[F.count(c).alias(c) for c in rows.columns])
+        parts.append(counts.unpivot([], counts.columns, "field", "filled").withColumn("dataset", F.lit(f"seen_{name}")))
+    described = [
+        (found["dataset"], field, spec["type"], spec.get("format"))
+        for found in S.catalog_schemas(spark, ["seen_orders", "seen_events"])
+        for field, spec in found["schema"]["properties"].items()
+    ]
+    kinds = spark.createDataFrame(described, "dataset string, field string, type string, format string")
+    return concat_results(parts).join(F.broadcast(kinds), ["dataset", "field"])
+
+
 @query("""
 SELECT 'dq_nation' AS table_name, count(*) AS records FROM nation
 UNION ALL SELECT 'dq_orders', count(*) FROM orders

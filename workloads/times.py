@@ -133,3 +133,49 @@ def eval_grid(spark, sf_dir):
     return evaluation_times(
         bounds, "*/15 8-18 * * mon-fri", "last_evaluation", "max_time", delay=3600, keep=("event_type",)
     )
+
+
+@query("""
+WITH o AS (SELECT o_orderkey, o_custkey, date_trunc('day', o_orderdate) AS d FROM orders),
+p AS (SELECT *, epoch(d)::BIGINT AS e, (o_custkey % 24)::BIGINT AS h, (o_orderkey % 60)::BIGINT AS m FROM o)
+SELECT o_orderkey, e AS min_short, e + 86399 AS max_short, e + 3600 * h + 60 * m AS min_digits,
+  e + 3600 * h + 60 * m AS max_digits, e + 3600 * (h - 2) + 60 * m AS min_offset, e + 3600 * (h - 2) + 60 * m + 59 AS max_offset,
+  e AS min_named, e + 86399 AS max_named, e + 3600 * h + 60 * m + 9 AS min_packed, e + 3600 * h + 60 * m + 9 AS max_packed
+FROM p
+""")
+def time_formats(spark, sf_dir):
+    day = F.date_trunc("day", "o_orderdate")
+    at = (day + F.make_dt_interval(hours=(F.col("o_custkey") % 24).cast("int"), mins=(F.col("o_orderkey") % 60).cast("int")))
+    rows = table(spark, sf_dir, "orders").withColumn("at", at)
+    texts = {
+        "short": ("M/d/yyyy", "%m/%d/%Y"),
+        "digits": ("yyyy-M-d H:m:s", "%Y-%m-%d %H:%M:%S"),
+        "offset": ("yyyy-MM-dd'T'HH:mm'+02:00'", "%Y-%m-%dT%H:%M%z"),
+        "named": ("EEEE, d MMM yyyy", "%A, %d %b %Y"),
+        "packed": ("yyyyMMddHHmm'09123456'", "%Y%m%d%H%M%S%f"),
+    }
+    written = rows.select("o_orderkey", *[F.date_format("at", pattern).alias(f"t_{k}") for k, (pattern, _) in texts.items()])
+    out, times = add_times(written, {k: {"column": f"t_{k}", "format": f} for k, (_, f) in texts.items()}, 0)
+    return out.select("o_orderkey", *[n for n in times.names if n != "execution_time"])
+
+
+CHANGE = 1_730_602_800  # 2024-11-03 03:00 UTC, three hours before clocks in New York go back
+
+
+@query(f"""
+WITH e AS (SELECT event_id, {CHANGE} + (event_id * 37) % 21600 AS e FROM events)
+SELECT event_id, e::BIGINT AS min_exact, e::BIGINT AS max_exact, (e - e % 3600)::BIGINT AS min_hourly,
+  (e - e % 3600 + 3599)::BIGINT AS max_hourly, e::BIGINT AS min_text, e::BIGINT AS max_text FROM e
+""")
+def time_zone_change(spark, sf_dir):
+    at = F.timestamp_seconds(F.lit(CHANGE) + (F.col("event_id") * 37) % 21600)
+    text = F.concat(F.date_format(at - F.expr("INTERVAL 4 HOURS"), "yyyy-MM-dd HH:mm:ss"), F.lit("-04:00"))
+    rows = table(spark, sf_dir, "events").select("event_id", at.alias("at"), text.alias("text"))
+    zone = {"timezone": "America/New_York"}
+    specs = {
+        "exact": {"column": "at", "format": "%Y-%m-%d %H:%M:%S", **zone},
+        "hourly": {"column": "at", "format": "%Y-%m-%d %H", **zone},
+        "text": {"column": "text", "format": "%Y-%m-%d %H:%M:%S%z", **zone},
+    }
+    out, times = add_times(rows, specs, 0)
+    return out.select("event_id", *[n for n in times.names if n != "execution_time"])
