@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import logging
 import re
 from collections.abc import Sequence
 from dataclasses import dataclass
@@ -12,6 +13,8 @@ from pyspark.sql import functions as F
 from dqspark.plans.bounds import is_bounded
 from dqspark.plans.joins import salted_join
 
+log = logging.getLogger(__name__)
+
 LARGE_OBJECT_BYTES = 5 * 1024 * 1024
 
 # Leading bytes (hex) of compressed files.
@@ -170,7 +173,7 @@ def size_class(length: Column) -> Column:
 def describe_objects(objects: DataFrame, path: str = "path") -> DataFrame:
     """Size, size class and compression of the objects at the given paths.
 
-    Tasks read only the first bytes of each object. An object that is gone has a NULL size.
+    Tasks read only the first bytes of each object. An object that is gone or cannot be opened has a NULL size.
     """
     described = objects.select(F.col(path).alias("path")).mapInPandas(
         _header_reader(), "path string, size bigint, head binary"
@@ -190,23 +193,39 @@ def object_inventory(spark: SparkSession, path: str, recursive: bool = True) ->
     return describe_objects(files.select("path"))
 
 
+# Hadoop's names of a store and the one that Arrow knows.
+STORE_SCHEMES = {"s3a": "s3", "s3n": "s3"}
+
+
+def _store_of(path: str):
+    """The file system of a Hadoop path and the object's name there; blanks and percent signs are taken as they are."""
+    from pyarrow import fs
+
+    scheme, colon, rest = path.partition(":")
+    if not colon or "/" in scheme or scheme == "file":
+        return fs.LocalFileSystem(), "/" + path.removeprefix("file:").lstrip("/")
+    authority, _, key = rest.lstrip("/").partition("/")
+    store, base = fs.FileSystem.from_uri(f"{STORE_SCHEMES.get(scheme, scheme)}://{authority}/")
+    return store, f"{base.rstrip('/')}/{key}"
+
+
 def _header_reader():
+    def described(path: str) -> tuple:
+        try:
+            store, name = _store_of(path)
+            info = store.get_file_info(name)
+            if info.is_file:
+                with store.open_input_file(name) as f:
+                    return path, info.size, f.read(4)
+        except (OSError, ValueError, NotImplementedError) as failure:
+            log.warning("object %s cannot be read: %s", path, failure)
+        return path, None, None
+
     def headers(batches):
         import pandas as pd
-        from pyarrow import fs
 
         for batch in batches:
-            rows = []
-            for path in batch["path"]:
-                uri = "file://" + path[5:] if path.startswith("file:/") and not path.startswith("file://") else path
-                store, name = fs.FileSystem.from_uri(uri)
-                info = store.get_file_info(name)
-                if info.is_file:
-                    with store.open_input_file(name) as f:
-                        rows.append((path, info.size, f.read(4)))
-                else:
-                    rows.append((path, None, None))
-            out = pd.DataFrame(rows, columns=["path", "size", "head"])
+            out = pd.DataFrame([described(p) for p in batch["path"]], columns=["path", "size", "head"])
             yield out.astype({"size": "Int64"})
 
     return headers

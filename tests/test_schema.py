@@ -5,7 +5,7 @@ import pytest
 from dqspark.operators import schema as S
 
 ORDER = (
-    "o_orderkey bigint, buyer struct<name: string>, o_orderdate date, ship struct<weight: double, box: struct<w: int>>,"
+    "o_orderkey bigint, buyer struct<name: string>, o_orderdate date, ship struct<weight: double, box: struct<w: string>>,"
     " tax float, notes map<string,string>, paid boolean, o_totalprice decimal(10,2), lines smallint, placed timestamp,"
     " parts array<struct<k: string, v: array<int>>>"
 )

@@ -158,3 +158,22 @@ def test_described_objects(spark, tmp_path):
     df = spark.createDataFrame([(str(tmp_path / "empty"),), (str(tmp_path / "gone"),)], "path string")
     got = [tuple(r)[1:] for r in O.describe_objects(df).collect()]
     assert got == [(0, "small", "none"), (None, None, None)]
+
+
+def test_objects_with_odd_names_and_stores(spark, tmp_path):
+    folder = tmp_path / "my root"
+    folder.mkdir()
+    (folder / "a%20 b+c.txt").write_bytes(b"plain text")
+    paths = [f"file:{folder}/a%20 b+c.txt", f"file:{folder}/gone", "nostore://bucket/key", "not a path"]
+    frame = spark.createDataFrame([(p,) for p in paths], "path string")
+    got = {r["path"]: r["size"] for r in O.describe_objects(frame).collect()}
+    assert got == {paths[0]: 10, paths[1]: None, paths[2]: None, paths[3]: None}
+    assert [r["size"] for r in O.object_inventory(spark, str(folder)).collect()] == [10]
+
+
+def test_size_checks_weigh_texts_and_arrays(spark):
+    from dqspark.plans.bounds import is_bounded
+
+    long = spark.range(100).selectExpr("id", "repeat('x', 1000000) AS t")
+    wide = spark.range(100).selectExpr("id", "array_repeat(id, 1000) AS a")
+    assert not is_bounded(long) and is_bounded(wide) and not is_bounded(wide, max_bytes=100_000)
