@@ -109,12 +109,17 @@ def sample(df: DataFrame, rows: int = OBJECT_SAMPLE) -> DataFrame:
 
 
 def sampled_text_schema(
-    spark: SparkSession, path: str, file_type: str, rows: int = OBJECT_SAMPLE, delimiter: str = ","
+    spark: SparkSession, path: str, file_type: str, rows: int | None = OBJECT_SAMPLE, delimiter: str = ","
 ) -> T.StructType:
-    """Schema of JSON-lines or CSV text inferred from its first rows. This runs a job.
+    """Schema of JSON-lines or CSV text inferred from its first rows, or from all if ``rows`` is None. This runs a job.
 
-    The first rows are taken from as few files as hold them.
+    The first rows are taken from as few files as hold them. Fields that only occur later are not in the
+    schema, so a reader that is given it leaves them out.
     """
+    if rows is None:
+        if file_type == "csv":
+            return spark.read.options(header=True, inferSchema=True, sep=delimiter).csv(path).schema
+        return spark.read.json(path).schema
     lines = spark.read.text(path).take(rows + 1 if file_type == "csv" else rows)
     text = spark.sparkContext.parallelize([r[0] for r in lines], 1)
     if file_type == "csv":

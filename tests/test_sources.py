@@ -177,3 +177,9 @@ def test_size_checks_weigh_texts_and_arrays(spark):
     long = spark.range(100).selectExpr("id", "repeat('x', 1000000) AS t")
     wide = spark.range(100).selectExpr("id", "array_repeat(id, 1000) AS a")
     assert not is_bounded(long) and is_bounded(wide) and not is_bounded(wide, max_bytes=100_000)
+
+
+@pytest.mark.parametrize("rows, names", [(1, ["a"]), (None, ["a", "b"])])
+def test_sampled_schema_of_first_or_all_rows(spark, tmp_path, rows, names):
+    (tmp_path / "x.jsonl").write_text('{"a": 1}\n{"a": 2, "b": "late"}\n')
+    assert R.sampled_text_schema(spark, str(tmp_path), "jsonl", rows).names == names
