@@ -59,7 +59,7 @@ def shingle_sets(data: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarr
     ends = np.cumsum(counts)
     rolled = np.zeros(len(words), np.uint64)
     for j in range(WORDS):
-        rolled[: len(words) - j] += words[j:] * np.uint64(2 * j + 1) ^ (words[j:] >> np.uint64(17 + j))
+        rolled[: max(len(words) - j, 0)] += words[j:] * np.uint64(2 * j + 1) ^ (words[j:] >> np.uint64(17 + j))
     rolled = mix(rolled)
     found, sizes = [], np.zeros(len(counts), np.int64)
     for i, n in enumerate(counts):

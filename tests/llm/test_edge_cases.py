@@ -8,6 +8,7 @@ import public_tokenizers
 import pytest
 from pyspark.sql import functions as F
 
+from dqspark.llm._arrow import CHUNK_BYTES
 from dqspark.llm.bpe import Encoder, Prefixes, encode_documents, read_ranks, token_digests
 from dqspark.llm.components import connected_components
 from dqspark.llm.exact import exact_duplicates
@@ -89,6 +90,19 @@ def test_jaccard_of_odd_rows(odd, nothing):
     assert jaccard_components(nothing).count() == 0
 
 
+@pytest.mark.parametrize("n", [1, 2, 3, 4])
+def test_jaccard_of_chunks_of_few_words(spark, n):
+    """A document of fewer words than a shingle alone in its table, and alone in a chunk between two very long ones."""
+    short = " ".join("abcd"[:n])
+    alone = spark.createDataFrame([(1, short)], "doc_id long, text string")
+    assert [tuple(r)[:3] for r in jaccard_components(alone).select("doc_id", "n_shingles", "component_id").collect()] == [(1, 1, 1)]
+    if n in (2, 3):
+        long = "word " * (CHUNK_BYTES // 5 + 10)
+        rows = spark.createDataFrame([(1, long), (2, short), (3, long + "end")], "doc_id long, text string").coalesce(1)
+        got = {r["doc_id"]: r["n_shingles"] for r in jaccard_components(rows).collect()}
+        assert got == {1: 1, 2: 1, 3: 2}
+
+
 def test_components_of_a_path(spark):
     links = spark.range(60).selectExpr("id a", "id + 1 b").unionAll(spark.createDataFrame([(100, 101), (5, 5), (None, 3)], "a long, b long"))
     got = {r["node"]: r["root"] for r in connected_components(links).collect()}
