@@ -237,6 +237,20 @@ def test_mix_of_odd_rows(odd, nothing):
     assert mix_sources(nothing).count() == 0
 
 
+def mixed_sources(spark):
+    """A large source that leaves two small ones at twice their size: one of short documents, one of few."""
+    kind = "case when id < 6000 then 'a' when id < 6600 then 'b' when id < 6620 then 'c' end"
+    size = "case when id < 6000 then 20 + id % 200 when id < 6600 then 3 + id % 15 else 200 end"
+    rows = spark.range(6900).selectExpr("nullif(id, 3) doc_id", f"{kind} source", f"array_join(array_repeat('w', int({size})), ' ') text")
+    return rows.unionAll(rows.filter("doc_id = 7"))
+
+
+def test_mix_meets_targets_of_any_source(spark):
+    rows = mix_sources(mixed_sources(spark)).groupBy("source").agg(F.sum("taken").alias("taken"), F.first("target").alias("target"))
+    got = rows.collect()
+    assert len(got) == 4 and all(abs(r["taken"] - r["target"]) <= 2 for r in got)
+
+
 def test_seats_go_to_the_highest_quotients(spark):
     rng = random.Random(3)
     for seats in (1, 7, 40, 1000):
