@@ -15,7 +15,7 @@ from dqspark.llm.bpe import token_digests
 from dqspark.llm.jaccard import jaccard_components
 from dqspark.llm.langid import fit_languages, held_out, identify_languages
 from dqspark.llm.lines import dedup_lines
-from dqspark.llm.mixing import mix_sources
+from dqspark.llm.mixing import mix_copies
 from dqspark.plans.bounds import is_bounded
 from dqspark.plans.storage import stored
 from dqspark.session import use_utc
@@ -43,13 +43,8 @@ def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents as often as the mix takes them, in whole copies: none, one or two."""
-    taken = mix_sources(docs).filter("size > 0").select("doc_id", "size", "taken")
-    copies = F.max(F.round(F.col("taken") / F.col("size")).cast("int"))
-    taken = stored(taken.groupBy("doc_id").agg(copies.alias("_copies")).filter("_copies > 0"), "taken")
-    taken = F.broadcast(taken) if is_bounded(taken) else taken
-    repeated = docs.join(taken, "doc_id").withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies"))))
-    return repeated.select(docs.columns)
+    """Documents as often as the mix takes them, in whole copies: none, one or two, so that each source meets its target."""
+    return mix_copies(docs)
 
 
 def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
