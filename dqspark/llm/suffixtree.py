@@ -1,18 +1,24 @@
 """LM scoring by a probabilistic suffix tree over words.
 
-A state is a context of up to two preceding words. Contexts that hold at least one in ``CONTEXT_PART`` of all
-training tokens are candidates; one is retained if its next-symbol distribution diverges from its
-parent's by enough for its count. A state keeps the counts of next symbols, of those that follow it in at
-least one in ``NEXT_PART`` of all tokens, less a discount; what is left over goes to the parent in proportion,
-down to the smoothed unigrams. All parts are relative, so the tree has at most as many states and symbols as
-those numbers say, whatever the corpus, and is sent to every executor. So are the counts of words that
-are one in ``WORD_PART`` of all tokens. The whole unigram table grows with the corpus and is joined.
+A state is a context of up to ``DEPTH`` preceding words. Contexts and next symbols that occur ``LEAST`` times are
+candidates, whatever the size of the corpus; a context is retained if its next-symbol distribution diverges from
+its parent's by enough for its count. A state keeps the counts of its next symbols, less a discount; what is left
+over goes to the parent in proportion, down to the smoothed unigrams.
+
+A context and a context with its next symbol are both runs of words, "grams". The probability of a token after its
+longest retained suffix is its unigram's, times the left-over share of every retained suffix before it, times, for
+every retained suffix that has the token as a symbol, the factor by which it raises what its parent says. So the
+tree is a table of grams with the logarithms of these, partitioned by the hash of the gram, and the score of a text
+is the sum over its grams. It grows with the corpus and is joined, as the unigrams are. Grams and words that are one in
+``WORD_PART`` of all tokens are few and sent to every executor; a bitmap of fixed size tells there which other
+grams may be in the table.
 """
 
 from __future__ import annotations
 
 import math
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -20,10 +26,15 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from dqspark.llm._arrow import chunks, mix, word_hashes
+from dqspark.plans.joins import lookup_join
 from dqspark.plans.storage import stored
 
-CONTEXT_PART = 2**12
-NEXT_PART = 2**15
+DEPTH = 3
+LEAST = 4
+"""Occurrences of a context or of a symbol after it below which neither is counted."""
+BITS = 23
+LOCAL_GRAMS = 2**20
+"""A tree of at most so many grams is sent to every executor as a whole."""
 WORD_PART = 2**18
 DISCOUNT = 0.75
 LEAST_DIVERGENCE = 10.0
@@ -44,17 +55,20 @@ def token_streams(data: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndar
     return tokens, counts + 1
 
 
-def contexts(tokens: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The hash of the word before each token and of the two words before; 0 where a row has too few."""
+def grams(tokens: np.ndarray, counts: np.ndarray, size: int) -> list[np.ndarray]:
+    """The hashes of the runs of 1 to ``size`` tokens that end at each token; 0 where a row has too few before it.
+
+    The hash of a run is that of the run without its last token and of the run without its first.
+    """
     first = np.zeros(len(tokens), bool)
     first[np.cumsum(counts) - counts] = True
-    one = np.zeros(len(tokens), np.uint64)
-    one[1:] = tokens[:-1]
-    one[first] = 0
-    two = np.zeros(len(tokens), np.uint64)
-    two[1:] = np.where((one[1:] != 0) & (one[:-1] != 0), pair(one[:-1], one[1:]), 0)
-    two[first] = 0
-    return one, two
+    out = [tokens]
+    for _ in range(size - 1):
+        own, last = np.zeros(len(tokens), np.uint64), out[-1]
+        own[1:] = np.where((last[1:] != 0) & (last[:-1] != 0), pair(last[:-1], last[1:]), 0)
+        own[first] = 0
+        out.append(own)
+    return out
 
 
 def pair(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -85,21 +99,40 @@ def _counted(texts: DataFrame, keyed, columns: list[str]) -> DataFrame:
     return texts.mapInArrow(read, schema).groupBy(*columns).agg(F.sum("n").alias("n"))
 
 
+def bitmap(rows: DataFrame, column: str) -> np.ndarray:
+    """Bits at the hashes in a column: ``2 ** BITS`` of them, so what reaches the driver is bounded."""
+    at = F.col(column).bitwiseAND(F.lit(2**BITS - 1))
+    bits = rows.select(F.shiftright(at, 5).alias("at"), F.expr(f"shiftleft(1L, int({column} & 31))").alias("bit"))
+    found = bits.groupBy("at").agg(F.bit_or("bit").alias("bits")).toPandas()
+    out = np.zeros(2 ** (BITS - 5), np.uint32)
+    out[found["at"].to_numpy(np.int64)] = found["bits"].to_numpy(np.int64).astype(np.uint32)
+    return out
+
+
+def may_have(bits: np.ndarray, values: np.ndarray) -> np.ndarray:
+    """Whether the values may be among those of a bitmap; false only for those that aren't."""
+    at = values & np.uint64(2**BITS - 1)
+    return (bits[at >> np.uint64(5)] >> (at & np.uint64(31)).astype(np.uint32)) & np.uint32(1) > 0
+
+
 class SuffixTree:
-    """The retained states with their next symbols, as sorted arrays.
+    """The frequent part of a tree as sorted arrays, and ``rare``, the table ``(gram, weight)`` of its other grams.
 
-    ``symbols`` are the pairs of state and next token, ``gain`` their discounted shares; ``states`` have a
-    ``rest``, the share that goes to the parent. ``frequent`` are the tokens that have their count here.
+    ``symbols`` is what a frequent gram adds to the log10 probability of its last token, ``states`` what it adds
+    to that of the next one. ``frequent`` are the tokens that have their count here.
     """
 
     def __init__(self, total: int, distinct: int, words: np.ndarray, counts: np.ndarray):
         order = np.argsort(words)
         self.frequent, self.counts = words[order], counts[order]
         self.total, self.scale = total, math.log10(total + 0.5 * (distinct + 1))
-        self.states = [np.zeros(0, np.uint64)] * 2
-        self.rest = [np.zeros(0)] * 2
-        self.symbols = [np.zeros(0, np.uint64)] * 2
-        self.gain = [np.zeros(0)] * 2
+        self.grams = np.zeros(0, np.uint64)
+        self.symbols = self.states = np.zeros(0)
+        self.bits: np.ndarray | None = None
+        self.rare: DataFrame | None = None
+
+    def __getstate__(self) -> dict:
+        return self.__dict__ | {"rare": None}
 
     def root(self, tokens: np.ndarray) -> np.ndarray:
         """Smoothed unigram probabilities of frequent tokens."""
@@ -108,71 +141,41 @@ class SuffixTree:
             return np.zeros(len(tokens))
         return np.where(found, 10 ** (np.log10(np.where(found, self.counts[place], 0) + 0.5) - self.scale), 0.0)
 
-    def add(self, level: int, state: np.ndarray, token: np.ndarray, n: np.ndarray, size: dict, parent: dict) -> None:
-        """Retain the states of a level, from their next symbols with counts: those that diverge from the parent."""
-        keep, rest, symbols, gain = [], [], [], []
-        order = np.argsort(state, kind="stable")
-        state, token, n = state[order], token[order], n[order].astype(float)
-        starts = np.flatnonzero(np.concatenate([[True], state[1:] != state[:-1]])) if len(state) else []
-        for begin, end in zip(starts, np.append(starts[1:], len(state)), strict=True) if len(state) else ():
-            own, toks, c = int(state[begin]), token[begin:end], n[begin:end]
-            total = float(size[own])
-            share = np.maximum(c - DISCOUNT, 0) / total
-            left = 1 - share.sum()
-            below = self.probability(np.full(len(toks), parent.get(own, 0), np.uint64), toks, level)
-            mixed = share + left * below
-            lost = max(1 - mixed.sum(), 1e-12)
-            other = max(1 - below.sum(), 1e-12)
-            divergence = float((mixed * np.log(mixed / np.maximum(below, 1e-300))).sum() + lost * np.log(lost / other))
-            if total * divergence >= LEAST_DIVERGENCE:
-                keep.append(own)
-                rest.append(left)
-                symbols.append(pair(np.full(len(toks), own, np.uint64), toks))
-                gain.append(share)
-        if keep:
-            keys = np.concatenate(symbols)
-            by = np.argsort(keys)
-            self.symbols[level], self.gain[level] = keys[by], np.concatenate(gain)[by]
-            ids = np.array(keep, np.uint64)
-            by = np.argsort(ids)
-            self.states[level], self.rest[level] = ids[by], np.array(rest)[by]
-
-    def _step(self, level: int, context: np.ndarray, tokens: np.ndarray, below: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """The probability after a context's state, from that of its parent, and the share left to the parent."""
-        place, there = member(context, self.states[level])
-        at, known = member(pair(context, tokens), self.symbols[level])
-        if not len(self.states[level]):
-            return below, np.ones(len(tokens))
-        rest = np.where(there, self.rest[level][place], 1.0)
-        own = np.where(there & known, self.gain[level][at] if len(self.gain[level]) else 0.0, 0.0)
-        return own + rest * below, rest
-
-    def probability(self, context: np.ndarray, tokens: np.ndarray, level: int) -> np.ndarray:
-        """The probability of frequent tokens after one word (``level`` 1) or none."""
-        below = self.root(tokens)
-        return self._step(0, context, tokens, below)[0] if level else below
-
     def score(self, tokens: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """By token: log10 of what is known of its probability here, whether it is frequent, and log10 of its unigram.
 
-        A token that isn't frequent is no state's symbol: its probability is its unigram's times the shares
-        that the states leave to their parents, and its unigram is left for the join.
+        That of a token that isn't frequent is what its frequent states leave to their parents. Its unigram and
+        the weights of the grams that aren't frequent are left for the joins.
         """
-        one, two = contexts(tokens, counts)
         base = self.root(tokens)
         frequent = base > 0
-        p, left1 = self._step(0, one, tokens, base)
-        p, left2 = self._step(1, two, tokens, p)
-        known = np.where(frequent, p, left1 * left2)
-        return np.log10(known), frequent, np.log10(np.where(frequent, base, 1.0))
+        base = np.log10(np.where(frequent, base, 1.0))
+        known = base.copy()
+        for own in grams(tokens, counts, DEPTH + 1):
+            place, found = member(own, self.grams)
+            if len(self.grams):
+                known += np.where(found, self.symbols[place], 0.0)
+                # A gram that ends in the end of a text is no state, so this adds nothing to the next row.
+                known[1:] += np.where(found, self.states[place], 0.0)[:-1]
+        return known, frequent, base
+
+    def others(self, tokens: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Places and hashes of the grams that may be in the table of those that aren't frequent."""
+        at, found = [], []
+        for own in grams(tokens, counts, DEPTH + 1) if self.bits is not None else ():
+            here = np.flatnonzero((own != 0) & may_have(self.bits, own))
+            at.append(here)
+            found.append(own[here])
+        return (np.concatenate(at), np.concatenate(found)) if at else (np.zeros(0, int), np.zeros(0, np.uint64))
 
 
 def fit_tree(texts: DataFrame, text: str = "text") -> tuple[SuffixTree, DataFrame]:
     """The tree and the table ``(token, n)`` of unigrams, which has a row for each distinct token.
 
-    Counts cover all rows; tasks add up their own before the shuffle. Frequent tokens, contexts and symbols come
-    to the driver: by their parts of the total, there are at most
-    ``WORD_PART`` words and ``NEXT_PART`` symbols.
+    Counts cover all rows; tasks add up their own before the shuffle. A gram occurs ``LEAST`` times only if
+    the grams without its first and without its last token do, so bitmaps of these leave out most others
+    before the shuffle. Frequent tokens and grams come to the driver: by their part of the total, there are at most
+    ``WORD_PART`` of each length, or ``LOCAL_GRAMS`` in all.
     """
     rows = texts.select(F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text"))
     unigrams = stored(_counted(rows, lambda tokens, counts: (tokens,), ["token"]), "unigrams")
@@ -180,39 +183,97 @@ def fit_tree(texts: DataFrame, text: str = "text") -> tuple[SuffixTree, DataFram
     tree, empty = _frequent(unigrams, total, distinct)
     if empty:
         return tree, unigrams
-    ones = tree.frequent[tree.counts * CONTEXT_PART >= total]
-    frequent = tree.frequent[tree.counts * NEXT_PART >= total]
-    ones = ones[ones != END]
-
-    def bigrams(tokens: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        one, _ = contexts(tokens, counts)
-        keep = member(one, ones)[1] & member(tokens, frequent)[1]
-        return one[keep], tokens[keep]
-
-    pairs = _counted(rows, bigrams, ["state", "token"]).filter(F.col("n") * NEXT_PART >= total).toPandas()
-    state, token = (pairs[c].to_numpy(np.int64).view(np.uint64) for c in ("state", "token"))
-    n = pairs["n"].to_numpy(np.int64)
-    sizes = dict(zip(tree.frequent.tolist(), tree.counts.tolist(), strict=True))
-    tree.add(0, state, token, n, sizes, {})
-
-    deep = (n * CONTEXT_PART >= total) & (token != END)
-    twos = pair(state[deep], token[deep])
-    by = np.argsort(twos)
-    twos = twos[by]
-    parent = dict(zip(twos.tolist(), token[deep][by].tolist(), strict=True))
-    sizes = dict(zip(twos.tolist(), n[deep][by].tolist(), strict=True))
-
-    def trigrams(tokens: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        _, two = contexts(tokens, counts)
-        keep = member(two, twos)[1] & member(tokens, frequent)[1]
-        return two[keep], tokens[keep]
-
-    triples = _counted(rows, trigrams, ["state", "token"]).filter(F.col("n") * NEXT_PART >= total).toPandas()
-    state, token = (triples[c].to_numpy(np.int64).view(np.uint64) for c in ("state", "token"))
-    tree.add(1, state, token, triples["n"].to_numpy(np.int64), sizes, parent)
+    # The log10 probability of the last token of each gram after the others.
+    known = unigrams.filter(F.col("n") >= LEAST).select(
+        F.col("token").alias("gram"), "n", (F.log10(F.col("n") + 0.5) - tree.scale).alias("p")
+    )
+    known = stored(known, "grams")
+    weights = []
+    for level in range(1, DEPTH + 1):
+        found = stored(_with_gram(_grams_of(rows, bitmap(known, "gram"), level)), "counted")
+        if found.isEmpty():
+            break
+        states, known = _level(found, known)
+        weights += [
+            states.select("gram", F.lit(0.0).alias("symbol"), F.log10("rest").alias("state"), "size"),
+            known.filter("rest is not null").select(
+                "gram", (F.col("p") - F.col("below") - F.log10("rest")).alias("symbol"), F.lit(0.0).alias("state"),
+                F.col("n").alias("size"),
+            ),
+        ]
+    if not weights:
+        return tree, unigrams
+    table = reduce(DataFrame.unionAll, weights).groupBy("gram").agg(
+        F.sum("symbol").alias("symbol"), F.sum("state").alias("state"), F.max("size").alias("n")
+    )
+    table = stored(table, "tree")
+    local = F.lit(True) if table.count() <= LOCAL_GRAMS else F.col("n") * WORD_PART >= total
+    top = table.filter(local).toPandas()
+    ids = top["gram"].to_numpy(np.int64).view(np.uint64)
+    by = np.argsort(ids)
+    tree.grams, tree.symbols, tree.states = ids[by], top["symbol"].to_numpy()[by], top["state"].to_numpy()[by]
+    tree.rare = table.filter(~local).select("gram", (F.col("symbol") + F.col("state")).alias("weight"))
+    if not tree.rare.isEmpty():
+        tree.bits = bitmap(tree.rare, "gram")
     return tree, unigrams
 
 
+def _grams_of(rows: DataFrame, bits: np.ndarray, level: int) -> DataFrame:
+    """``(prefix, suffix, n)`` of the grams of ``level + 1`` tokens that occur often enough."""
+    shared = rows.sparkSession.sparkContext.broadcast(bits)
+
+    def keyed(tokens: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        own = grams(tokens, counts, level + 1)
+        ends, whole = own[level - 1], own[level] != 0
+        held = may_have(shared.value, ends)
+        at = np.flatnonzero(whole[1:] & held[1:] & held[:-1]) + 1
+        return ends[at - 1], ends[at]
+
+    return _counted(rows, keyed, ["prefix", "suffix"]).filter(F.col("n") >= LEAST)
+
+
+def _with_gram(found: DataFrame) -> DataFrame:
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            a, b = (batch.column(i).to_numpy().view(np.uint64) for i in (0, 1))
+            yield pa.RecordBatch.from_arrays([pa.array(pair(a, b).view(np.int64)), *batch.columns], ["gram", "prefix", "suffix", "n"])
+
+    return found.mapInArrow(read, "gram long, prefix long, suffix long, n long")
+
+
+def _level(found: DataFrame, known: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The retained states ``(gram, rest, size)`` of one length, and ``(gram, n, p, below, rest)`` of their symbols.
+
+    ``p`` is the log10 probability of a gram's last token after the others, ``below`` that of the parent. Grams of
+    states that aren't retained have no ``rest`` and the parent's ``p``.
+    """
+    both = lookup_join(found, known.select(F.col("gram").alias("suffix"), F.col("p").alias("below")), ["suffix"], "inner")
+    both = stored(both, "below")
+    sizes = known.select(F.col("gram").alias("prefix"), F.col("n").alias("size"))
+    shares = both.groupBy("prefix").agg(
+        F.sum(F.col("n") - DISCOUNT).alias("held"), F.sum(F.pow(F.lit(10.0), F.col("below"))).alias("other")
+    )
+    shares = shares.join(sizes, "prefix")
+    shares = stored(shares.select("prefix", "size", (1 - F.col("held") / F.col("size")).alias("rest"), "other"), "shares")
+    below = F.pow(F.lit(10.0), F.col("below"))
+    mixed = (F.col("n") - DISCOUNT) / F.col("size") + F.col("rest") * below
+    tried = lookup_join(both, shares, ["prefix"], "inner").withColumn("mixed", mixed)
+    tried = stored(tried, "tried")
+    states = tried.groupBy("prefix").agg(
+        F.first("size").alias("size"), F.first("rest").alias("rest"), F.first("other").alias("other"),
+        F.sum("mixed").alias("sum"), F.sum(F.col("mixed") * F.log(F.col("mixed") / below)).alias("gain"),
+    )
+    lost, left = F.greatest(1 - F.col("sum"), F.lit(1e-12)), F.greatest(1 - F.col("other"), F.lit(1e-12))
+    gain = F.col("size") * (F.col("gain") + lost * F.log(lost / left))
+    states = stored(states.filter(gain >= LEAST_DIVERGENCE).select(F.col("prefix").alias("gram"), "rest", "size"), "states")
+    kept = states.select(F.col("gram").alias("prefix"), F.lit(True).alias("kept"))
+    symbols = lookup_join(tried, kept, ["prefix"], "left").select(
+        "gram", "n", F.when(F.col("kept"), F.log10("mixed")).otherwise(F.col("below")).alias("p"), "below",
+        F.when(F.col("kept"), F.col("rest")).alias("rest"),
+    )
+    return states, stored(symbols, "grams")
+
+
 def _frequent(unigrams: DataFrame, total: int, distinct: int) -> tuple[SuffixTree, bool]:
     top = unigrams.filter(F.col("n") * WORD_PART >= max(total, 1)).toPandas()
     words = top["token"].to_numpy(np.int64).view(np.uint64)
@@ -232,20 +293,27 @@ def score_documents(docs: DataFrame, tree: SuffixTree, unigrams: DataFrame, doc_
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tree = shared.value
+
+        def listed(r: np.ndarray, t: np.ndarray) -> list[pa.Array]:
+            """The distinct values of each row and how often it has them."""
+            order = np.lexsort((t, r))
+            r, t = r[order], t[order]
+            new = np.ones(len(r), bool)
+            new[1:] = (r[1:] != r[:-1]) | (t[1:] != t[:-1])
+            starts = np.flatnonzero(new)
+            times = np.diff(np.append(starts, len(r)))
+            cuts = pa.array(np.append(0, np.cumsum(np.bincount(r[starts], minlength=len(counts)))).astype(np.int32))
+            values = (t[starts].view(np.int64), times.astype(np.int32))
+            return [pa.ListArray.from_arrays(cuts, pa.array(v)) for v in values]
+
         for batch in batches:
             for first, end, data, at in chunks(batch.column(2), CHUNK):
                 tokens, counts = token_streams(data, at)
                 row = np.repeat(np.arange(len(counts)), counts)
                 known, frequent, base = tree.score(tokens, counts)
                 sums = [np.bincount(row, weights=w, minlength=len(counts)) for w in (known, base, frequent)]
-                r, t = row[~frequent], tokens[~frequent]
-                order = np.lexsort((t, r))
-                r, t = r[order], t[order]
-                new = np.ones(len(r), bool)
-                new[1:] = (r[1:] != r[:-1]) | (t[1:] != t[:-1])
-                starts = np.flatnonzero(new)
-                times = np.diff(np.append(starts, len(r)))
-                cuts = np.append(0, np.cumsum(np.bincount(r[starts], minlength=len(counts)))).astype(np.int32)
+                place, others = tree.others(tokens, counts)
+                lists = [*listed(row[~frequent], tokens[~frequent]), *listed(row[place], others)]
                 yield pa.RecordBatch.from_arrays(
                     [
                         batch.column(0)[first:end],
@@ -254,10 +322,9 @@ def score_documents(docs: DataFrame, tree: SuffixTree, unigrams: DataFrame, doc_
                         pa.array(sums[2].astype(np.int64)),
                         pa.array(sums[1]),
                         pa.array(sums[0]),
-                        pa.ListArray.from_arrays(pa.array(cuts), pa.array(t[starts].view(np.int64))),
-                        pa.ListArray.from_arrays(pa.array(cuts), pa.array(times.astype(np.int32))),
+                        *lists,
                     ],
-                    ["id", "hash", "n_tokens", "known", "base", "part", "rare", "times"],
+                    ["id", "hash", "n_tokens", "known", "base", "part", "rare", "times", "grams", "often"],
                 )
 
     source = docs.select(
@@ -265,11 +332,12 @@ def score_documents(docs: DataFrame, tree: SuffixTree, unigrams: DataFrame, doc_
     ).select("id", F.xxhash64("text").alias("hash"), "text")
     made = source.mapInArrow(
         read,
-        "id long, hash long, n_tokens long, known long, base double, part double, rare array<long>, times array<int>",
+        "id long, hash long, n_tokens long, known long, base double, part double, rare array<long>, times array<int>,"
+        " grams array<long>, often array<int>",
     )
     made = stored(made, "scored")
     copies = F.count("*").over(Window.partitionBy("id", "hash"))
-    scored = made.drop("rare", "times").withColumn("copies", copies)
+    scored = made.drop("rare", "times", "grams", "often").withColumn("copies", copies)
     rare = made.select("id", "hash", F.explode(F.arrays_zip("rare", "times")).alias("r")).select(
         "id", "hash", F.col("r.rare").alias("token"), F.col("r.times").alias("times")
     )
@@ -281,11 +349,20 @@ def score_documents(docs: DataFrame, tree: SuffixTree, unigrams: DataFrame, doc_
     rare = rare.select(F.col("id").alias("rid"), F.col("hash").alias("rhash"), "rare_log", "rare_known")
     # Equal rows of one id have added up in the sums.
     both = scored.join(rare, F.col("id").eqNullSafe(F.col("rid")) & (F.col("hash") == F.col("rhash")), "left")
+    gained = F.lit(0.0)
+    if tree.bits is not None:
+        deep = made.select("id", "hash", F.explode(F.arrays_zip("grams", "often")).alias("g")).select(
+            "id", "hash", F.col("g.grams").alias("gram"), F.col("g.often").alias("often")
+        )
+        deep = deep.join(tree.rare, "gram").groupBy("id", "hash").agg(F.sum(F.col("often") * F.col("weight")).alias("gained"))
+        deep = deep.select(F.col("id").alias("gid"), F.col("hash").alias("ghash"), "gained")
+        both = both.join(deep, F.col("id").eqNullSafe(F.col("gid")) & (F.col("hash") == F.col("ghash")), "left")
+        gained = F.coalesce("gained", F.lit(0.0)) / F.col("copies")
     return both.select(
         F.col("id").alias("doc_id"),
         "n_tokens",
         (F.col("known") + (F.coalesce("rare_known", F.lit(0)) / F.col("copies")).cast("long")).alias("n_known"),
         F.lit(tree.total).cast("long").alias("train_tokens"),
         (F.col("base") + F.coalesce("rare_log", F.lit(0.0)) / F.col("copies")).alias("base_score"),
-        (F.col("part") + F.coalesce("rare_log", F.lit(0.0)) / F.col("copies")).alias("score"),
+        (F.col("part") + F.coalesce("rare_log", F.lit(0.0)) / F.col("copies") + gained).alias("score"),
     )

@@ -230,6 +230,33 @@ def test_tree_is_a_distribution(spark):
         assert total == pytest.approx(1, abs=1e-6)
 
 
+def test_tree_learns_contexts_of_any_share(spark):
+    """Three words of context that are a small part of the corpus, and the same scores by the join as on the driver."""
+    import numpy as np
+
+    from dqspark.llm import suffixtree
+
+    rng = random.Random(9)
+    noise = [(" ".join(f"n{rng.randrange(3000)}" for _ in range(2000)),) for _ in range(20)]
+    pair = [(f"{a} key lock {b} {rng.random()}",) for a, b in (("red", "opens"), ("blue", "shuts")) for _ in range(40)]
+    texts = spark.createDataFrame([(1, "red key lock opens"), (2, "red key lock shuts")], "doc_id long, text string")
+    tree, unigrams = fit_tree(spark.createDataFrame(noise + pair, "text string"))
+    got = {r["doc_id"]: r["score"] for r in score_documents(texts, tree, unigrams).collect()}
+    assert got[1] > got[2] + 0.5
+    before = suffixtree.WORD_PART, suffixtree.LOCAL_GRAMS
+    suffixtree.WORD_PART, suffixtree.LOCAL_GRAMS = 4, 0
+    try:
+        few, unigrams = fit_tree(spark.createDataFrame(noise + pair, "text string"))
+    finally:
+        suffixtree.WORD_PART, suffixtree.LOCAL_GRAMS = before
+    assert len(few.grams) == 0 and few.rare.count() == len(tree.grams)
+    again = {r["doc_id"]: r["score"] for r in score_documents(texts, few, unigrams).collect()}
+    assert again == pytest.approx(got)
+    data = np.frombuffer(b"red key lock opens", np.uint8)
+    known = tree.score(*suffixtree.token_streams(data, np.array([0, len(data)])))[0]
+    assert known.sum() == pytest.approx(got[1])
+
+
 def test_mix_of_odd_rows(odd, nothing):
     got = mix_sources(odd).collect()
     assert len(got) == len(ODD) and all(0 <= r["taken"] <= 2 * r["size"] for r in got)
