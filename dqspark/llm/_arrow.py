@@ -59,13 +59,17 @@ def chunks(column: pa.Array, size: int = CHUNK_BYTES) -> Iterator[tuple[int, int
         row = end
 
 
-def word_spans(data: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Starts and ends of the runs of non-space bytes, and the number of them in each row."""
-    inside = ~SPACE[data]
+def word_spans(data: np.ndarray, at: np.ndarray, blank: np.ndarray = SPACE) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Starts and ends of the runs of bytes that aren't ``blank``, and the number of them in each row."""
+    return runs(~blank[data], at)
+
+
+def runs(inside: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Starts and ends of the runs of true values, cut where rows begin, and the number of them in each row."""
     begins, ends = inside.copy(), inside.copy()
     begins[1:] &= ~inside[:-1]
     ends[:-1] &= ~inside[1:]
-    if len(data):
+    if len(inside):
         firsts = at[:-1][at[:-1] < at[1:]]
         begins[firsts] = inside[firsts]
         lasts = at[1:][at[:-1] < at[1:]] - 1
