@@ -103,9 +103,9 @@ def bitmap(rows: DataFrame, column: str) -> np.ndarray:
     """Bits at the hashes in a column: ``2 ** BITS`` of them, so what reaches the driver is bounded."""
     at = F.col(column).bitwiseAND(F.lit(2**BITS - 1))
     bits = rows.select(F.shiftright(at, 5).alias("at"), F.expr(f"shiftleft(1L, int({column} & 31))").alias("bit"))
-    found = bits.groupBy("at").agg(F.bit_or("bit").alias("bits")).toPandas()
+    found = bits.groupBy("at").agg(F.bit_or("bit").alias("bits")).toArrow()
     out = np.zeros(2 ** (BITS - 5), np.uint32)
-    out[found["at"].to_numpy(np.int64)] = found["bits"].to_numpy(np.int64).astype(np.uint32)
+    out[found["at"].to_numpy()] = found["bits"].to_numpy().astype(np.uint32)
     return out
 
 
@@ -208,8 +208,8 @@ def fit_tree(texts: DataFrame, text: str = "text") -> tuple[SuffixTree, DataFram
     )
     table = stored(table, "tree")
     local = F.lit(True) if table.count() <= LOCAL_GRAMS else F.col("n") * WORD_PART >= total
-    top = table.filter(local).toPandas()
-    ids = top["gram"].to_numpy(np.int64).view(np.uint64)
+    top = table.filter(local).toArrow()
+    ids = top["gram"].to_numpy().view(np.uint64)
     by = np.argsort(ids)
     tree.grams, tree.symbols, tree.states = ids[by], top["symbol"].to_numpy()[by], top["state"].to_numpy()[by]
     tree.rare = table.filter(~local).select("gram", (F.col("symbol") + F.col("state")).alias("weight"))
@@ -275,9 +275,8 @@ def _level(found: DataFrame, known: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 
 def _frequent(unigrams: DataFrame, total: int, distinct: int) -> tuple[SuffixTree, bool]:
-    top = unigrams.filter(F.col("n") * WORD_PART >= max(total, 1)).toPandas()
-    words = top["token"].to_numpy(np.int64).view(np.uint64)
-    return SuffixTree(total, distinct, words, top["n"].to_numpy(np.int64)), total == 0
+    top = unigrams.filter(F.col("n") * WORD_PART >= max(total, 1)).toArrow()
+    return SuffixTree(total, distinct, top["token"].to_numpy().view(np.uint64), top["n"].to_numpy()), total == 0
 
 
 def score_documents(docs: DataFrame, tree: SuffixTree, unigrams: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
