@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from dqspark.llm.bpe import token_counts
+from dqspark.plans.storage import stored
 
 BAND = 1024
 
@@ -22,9 +23,9 @@ def length_report(histogram: DataFrame) -> DataFrame:
     ``truncated_tokens`` is the total when each document is cut at the limit, ``lost_tokens`` what that
     leaves out, ``share`` the part of documents that fit (the limit is the quantile of that share). Sums are exact: suffix
     sums within bands of 1024 lengths, and over the bands, whose number the longest document bounds. An
-    empty histogram gives an empty result.
+    empty histogram gives an empty result. The histogram is stored, as it is read twice: this runs a job.
     """
-    rows = histogram.withColumns({
+    rows = stored(histogram, "lengths").withColumns({
         "band": F.floor(F.col("n_tokens") / BAND),
         "tokens": F.col("n_tokens") * F.col("n_docs"),
     })
