@@ -216,9 +216,8 @@ def audit_sources(
     nothing = nothing.select("lang", "source", "item", F.lit(0).cast("long").alias("value"))
     pairs = parts.filter("part = 'pair'").select("lang", "source", "item", "value").unionAll(nothing)
     pairs = pairs.groupBy("lang", "source", "item").agg(F.sum("value").alias("value"))
-    both = pairs.select("lang", "source", F.lit("pair").alias("part"), "item", "value").unionAll(
-        parts.filter("part = 'term'").select("lang", "source", "part", "item", "value")
-    )
-    order = Window.partitionBy("lang", "source", "part").orderBy(F.desc("value"), "item")
-    ranked = both.withColumn("rank", F.row_number().over(order))
-    return ranked.filter((F.col("part") == "pair") | (F.col("rank") <= terms))
+    order = Window.partitionBy("lang", "source").orderBy(F.desc("value"), "item")
+    best = parts.filter("part = 'term'").withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= terms)
+    pairs = pairs.withColumn("part", F.lit("pair")).withColumn("rank", F.row_number().over(order))
+    names = ["lang", "source", "part", "item", "value", "rank"]
+    return pairs.select(names).unionAll(best.select(names))
