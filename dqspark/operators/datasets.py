@@ -13,6 +13,7 @@ from dqspark.functions.columns import add_path_fields, resolve_name
 from dqspark.operators.profile import Profile, prepare_dimensions, profile
 from dqspark.sources.objects import path_fields, path_template
 from dqspark.sources.readers import read_dataset
+from dqspark.sources.records import LINE, POSITION, merge_records, object_lines
 from dqspark.streaming.objects import OBJECT, object_stream, run_batches
 
 
@@ -108,6 +109,18 @@ def profile_dataset(spark: SparkSession, root: str, dataset: Dataset, **settings
     return profile_objects(rows.withColumn(OBJECT, F.col("_metadata.file_path")), root, dataset, **settings)
 
 
+def object_records(spark: SparkSession, root: str, dataset: Dataset) -> DataFrame:
+    """One row per JSON-lines object under the dataset's prefix, with the fields of its path.
+
+    The lines of an object are one record: of each key of the dataset's schema the last line that carries it wins, at
+    any size of the object, as tasks merge their lines before they are shuffled. Path fields follow the rules of
+    :func:`with_path_columns`. Indicators take the rows as they take those of any dataset.
+    """
+    path = f"{root.rstrip('/')}/{dataset.prefix.strip('/')}"
+    merged = merge_records(object_lines(spark, path, OBJECT), LINE, POSITION, dataset.schema, [OBJECT])
+    return with_path_columns(merged, root, dataset)[0]
+
+
 def profile_arrivals(
     spark: SparkSession,
     root: str,

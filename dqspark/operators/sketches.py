@@ -4,11 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Row, Window
 from pyspark.sql import functions as F
 
 from dqspark.plans.bounds import MAX_BROADCAST_ROWS
-from dqspark.plans.joins import quoted
+from dqspark.plans.joins import lookup_join, null_safe_join, quoted
 from dqspark.plans.storage import stored
 
 HLL_LG_K = 12
@@ -40,42 +40,13 @@ def quantile_estimate(sketch_column: str, p: float) -> Column:
     return F.expr(f"kll_sketch_get_quantile_double({quoted(sketch_column)}, {float(p)}D)")
 
 
-# Bits of a double that each narrowing step looks at. The first step takes sign, exponent and eight
-# bits of the mantissa, the second the next twenty; 24 bits are left, so no step ever ranks more
-# than 2**24 distinct values of one group, however many rows it has.
-FIRST_BITS, SECOND_BITS = 8, 20
-
-# Distinct values of a group that one task may rank without narrowing.
+# Distinct values of a group that one task may rank, unless no bracket can be narrower.
 DIRECT_VALUES = 2**20
 
-
-def _with_bucket_keys(df: DataFrame) -> DataFrame:
-    """Add ``_b1`` and ``_b2``, which together order the values of ``_v`` as coarsely as their bits."""
-    value, size = F.col("_v"), F.col("_size")
-    plain = (size == 0) | (size == F.lit(float("inf"))) | size.isNull()
-    # One column per step: an expression that repeats another is evaluated again for each mention.
-    steps = df.withColumn("_size", F.abs(value))
-    steps = steps.withColumn("_exponent", F.when(~plain, F.floor(F.log2(size)).cast("int")))
-    steps = steps.withColumn("_mantissa", size / F.pow(F.lit(2.0), F.col("_exponent").cast("double")) - 1)
-    steps = steps.withColumn("_first", _clipped(F.col("_mantissa"), FIRST_BITS))
-    rest = F.col("_mantissa") * 2**FIRST_BITS - F.col("_first")
-    steps = steps.withColumn("_rest", rest).withColumn("_second", _clipped(F.col("_rest"), SECOND_BITS))
-    magnitude = (
-        F.when(size == 0, F.lit(0))
-        .when(size == F.lit(float("inf")), F.lit((1024 + 1100 + 1) * 2**FIRST_BITS))
-        .otherwise((F.col("_exponent") + 1100).cast("bigint") * 2**FIRST_BITS + F.col("_first") + 1)
-    )
-    sign = F.when(value < 0, F.lit(-1)).otherwise(F.lit(1))
-    return (
-        steps.withColumn("_b1", magnitude * sign)
-        .withColumn("_b2", F.coalesce("_second", F.lit(0)) * sign)
-        .drop("_size", "_exponent", "_mantissa", "_first", "_rest", "_second")
-    )
-
-
-def _clipped(fraction: Column, bits: int) -> Column:
-    bucket = F.floor(fraction * 2**bits)
-    return F.greatest(F.least(bucket, F.lit(2**bits - 1)), F.lit(0))
+# Sketches of the values within a bracket: their size, an upper bound of their rank error at that size, and the
+# number of quantiles that are read off them.
+KLL_K, RANK_ERROR, GRID = 800, 0.01, 200
+MAX_ROUNDS = 12
 
 
 def exact_percentile(
@@ -83,72 +54,97 @@ def exact_percentile(
 ) -> DataFrame:
     """Interpolated percentile per group, exact, for groups of any size.
 
-    A built-in exact percentile keeps all distinct values of a group in one task. Here the values
-    are counted first. Groups of at most ``direct`` distinct values are then ranked as they are;
-    with any larger group, the wanted ranks are located by comparing ever more leading bits of the
-    value, so that a task ranks buckets instead of values. NULL and NaN are left out; a group without
-    values has a NULL ``percentile``. The counts are stored, being read once per step: this runs jobs.
+    Selection by brackets. A scan sketches the values of each group, and the sketch gives a bracket that holds the
+    wanted ranks. The next scan counts what lies below the bracket and sketches what lies within, and so on, until
+    about ``direct`` values or a single one are left; a last scan keeps only these, with their counts, and ranks them.
+    Each scan narrows a bracket some fifty times, so up to fifty million rows a group take two. Counts are exact, so a
+    bracket that misses a rank is found out, and widened. Tasks send one row a group, and at last the values within.
+    NULL and NaN are left out; a group without values has a NULL ``percentile``. This runs a job for each scan.
     """
     number = F.nullif(F.col(quoted(value)).try_cast("double"), F.lit(float("nan")))
     groups = [F.col(quoted(c)) for c in by]
-    counted = stored(
-        df.select(F.struct(*groups, F.lit(0).alias("_all")).alias("_g"), (number + 0.0).alias("_v"))
-        .groupBy("_g", "_v")
-        .agg(F.count(F.lit(1)).alias("_n")),
-        "value-counts",
-    )
-    known = F.col("_v").isNotNull()
-    totals = stored(
-        counted.groupBy("_g").agg(F.sum(F.when(known, F.col("_n"))).alias("_total"), F.count("_v").alias("_values")),
-        "value-totals",
+    rows = df.select(F.struct(*groups, F.lit(0).alias("_all")).alias("_g"), (number + 0.0).alias("_v"))
+    sketch = F.expr(f"kll_sketch_agg_double(_v, {KLL_K})")
+    totals = rows.groupBy("_g").agg(F.count("_v").alias("_inside"), sketch.alias("_sketch"))
+    rank = F.lit(float(p)) * (F.col("_n") - 1)
+    state = totals.withColumn("_n", F.col("_inside")).select(
+        "_g", "_n", F.lit(0).cast("bigint").alias("_below"), "_inside", "_sketch",
+        F.lit(float("-inf")).alias("_low"), F.lit(float("inf")).alias("_high"), rank.alias("_r"),
     )
-    size = totals.agg(F.count(F.lit(1)).alias("groups"), F.max("_values").alias("values")).first()
-    # No more than two buckets per group are kept: with few groups they are sent to the values.
+    margin, values = RANK_ERROR, F.col("_v").isNotNull()
+    state, size = _narrowed(state, margin, direct)
+    all_groups = state.select("_g")
     few = size["groups"] <= MAX_BROADCAST_ROWS // 2
+    state = state.filter("_n > 0")
+    brackets = ["_g", "_n", "_r", "_low", "_high"]
+
+    def bracketed() -> DataFrame:
+        return lookup_join(rows.filter(values), state.select(brackets), ["_g"], "inner", few).filter("_v <= _high")
+
+    for _ in range(MAX_ROUNDS):
+        if not size["wide"]:
+            kept = bracketed().withColumn("_v", F.when(F.col("_v") >= F.col("_low"), F.col("_v")))
+            kept = stored(kept.groupBy(*brackets, "_v").agg(F.count(F.lit(1)).alias("_n_v")), "bracketed")
+            found = _ranked(kept)
+            if not found.filter("missed").take(1):
+                break
+        inside = F.col("_v") >= F.col("_low")
+        again = bracketed().groupBy(*brackets).agg(
+            F.count_if(~inside).alias("_below"),
+            F.count_if(inside).alias("_inside"),
+            F.expr(f"kll_sketch_agg_double(CASE WHEN _v >= _low THEN _v END, {KLL_K})").alias("_sketch"),
+        )
+        margin = margin if size["wide"] else 1.0
+        state, size = _narrowed(again, margin, direct)
+    else:
+        raise RuntimeError("no bracket was found")
+    result = null_safe_join(all_groups, found.select("_g", "percentile"), ["_g"], "left")
+    return result.select(*[F.col("_g").getField(c).alias(c) for c in by], "percentile")
 
-    def joined(rows: DataFrame, kept: DataFrame, keys: list[str]) -> DataFrame:
-        return rows.join(F.broadcast(kept) if few else kept, keys)
 
-    rank = F.lit(float(p)) * (F.col("_total") - 1)
-    wanted = totals.filter(F.col("_total").isNotNull()).select(
-        "_g", F.floor(rank).alias("_lo"), F.ceil(rank).alias("_hi"), rank.alias("_r"),
-        F.lit(0).cast("bigint").alias("_base"),
-    )
-    values = counted.filter(known)
-    if (size["values"] or 0) <= direct:
-        final = _locate(joined(values, wanted, ["_g"]), [], "_v")
-    else:
-        values = _with_bucket_keys(values)
-        buckets = values.groupBy("_g", "_b1").agg(F.sum("_n").alias("_n"))
-        kept = _locate(joined(buckets, wanted, ["_g"]), [], "_b1")
-        inside = joined(values, kept, ["_g", "_b1"])
-        buckets = inside.groupBy("_g", "_b1", "_base", "_lo", "_hi", "_r", "_b2").agg(F.sum("_n").alias("_n"))
-        kept = _locate(buckets, ["_b1"], "_b2")
-        final = _locate(joined(values, kept, ["_g", "_b1", "_b2"]), ["_b1", "_b2"], "_v")
-    at_lo = F.max(F.when(F.col("_has_lo"), F.col("_v")))
-    at_hi = F.max(F.when(F.col("_has_hi"), F.col("_v")))
-    share = F.max(F.col("_r") - F.col("_lo"))
-    found = final.groupBy("_g").agg(
-        F.when(at_lo == at_hi, at_lo).otherwise(at_lo + share * (at_hi - at_lo)).alias("percentile")
-    )
-    return totals.select("_g").join(found, "_g", "left").select(
-        *[F.col("_g").getField(c).alias(c) for c in by], "percentile"
+def _narrowed(state: DataFrame, margin: float, direct: int) -> tuple[DataFrame, Row]:
+    """The next bracket of each group; the number of groups, and of those whose bracket is still to be narrowed.
+
+    A bracket that has lost a rank, by the exact counts, is opened to the whole again.
+    """
+    grid = ", ".join(f"{i / GRID}D" for i in range(GRID + 1))
+    quantiles = F.when(F.col("_inside") > 0, F.expr(f"kll_sketch_get_quantile_double(_sketch, array({grid}))"))
+    first = F.try_divide(F.floor(F.col("_r")) - F.col("_below"), F.col("_inside"))
+    last = F.try_divide(F.ceil(F.col("_r")) + 1 - F.col("_below"), F.col("_inside"))
+    lost = (first < 0) | (last > 1)
+    low = F.floor((first - margin) * GRID).cast("int")
+    high = F.ceil((last + margin) * GRID).cast("int")
+    steps = state.withColumn("_q", quantiles).withColumns({"_from": low, "_to": high, "_lost": F.coalesce(lost, F.lit(True))})
+    # At an end of the grid the bracket stays as it was: a sketch's ends are the ends of what it saw.
+    next_low = F.when(F.col("_lost"), F.lit(float("-inf"))).when(F.col("_from") <= 0, F.col("_low")).otherwise(F.get("_q", F.col("_from")))
+    next_high = F.when(F.col("_lost"), F.lit(float("inf"))).when(F.col("_to") >= GRID, F.col("_high")).otherwise(F.get("_q", F.col("_to")))
+    kept = F.least(F.col("_to"), F.lit(GRID)) - F.greatest(F.col("_from"), F.lit(0))
+    within = F.when(F.col("_lost"), F.col("_n")).otherwise(F.col("_inside") * kept / GRID)
+    steps = steps.withColumns({"_next_low": next_low, "_next_high": next_high, "_within": within})
+    moved = (F.col("_next_low") > F.col("_low")) | (F.col("_next_high") < F.col("_high")) | F.col("_lost")
+    wide = (F.col("_within") > direct) & (F.col("_next_low") < F.col("_next_high")) & moved
+    out = stored(
+        steps.select("_g", "_n", "_r", F.col("_next_low").alias("_low"), F.col("_next_high").alias("_high"), wide.alias("_wide")),
+        "brackets",
     )
+    return out.drop("_wide"), out.agg(F.count(F.lit(1)).alias("groups"), F.count_if("_wide").alias("wide")).first()
 
 
-def _locate(rows: DataFrame, within: list[str], key: str) -> DataFrame:
-    """The buckets that hold one of the wanted ranks, with the number of values before each."""
-    order = Window.partitionBy("_g", *within).orderBy(key).rowsBetween(Window.unboundedPreceding, 0)
-    rows = rows.withColumn("_end", F.col("_base") + F.sum("_n").over(order))
-    rows = rows.withColumn("_start", F.col("_end") - F.col("_n"))
+def _ranked(kept: DataFrame) -> DataFrame:
+    """``(_g, percentile, missed)`` from the counts of the values within each bracket, NULL standing for those below."""
+    order = Window.partitionBy("_g").orderBy(F.col("_v").asc_nulls_first()).rowsBetween(Window.unboundedPreceding, 0)
+    rows = kept.withColumn("_end", F.sum("_n_v").over(order))
 
-    def holds(rank: str) -> Column:
-        return (F.col(rank) >= F.col("_start")) & (F.col(rank) < F.col("_end"))
+    def at(rank: Column) -> Column:
+        here = (rank >= F.col("_end") - F.col("_n_v")) & (rank < F.col("_end"))
+        return F.max(F.when(here, F.col("_v")))
 
-    hit = rows.withColumn("_has_lo", holds("_lo")).withColumn("_has_hi", holds("_hi"))
-    hit = hit.filter(F.col("_has_lo") | F.col("_has_hi"))
-    out = hit.select("_g", *within, key, F.col("_start").alias("_base"), "_lo", "_hi", "_r", "_has_lo", "_has_hi")
-    return out if key == "_v" else out.drop("_has_lo", "_has_hi")
+    found = rows.groupBy("_g").agg(
+        at(F.floor("_r")).alias("_lo"), at(F.ceil("_r")).alias("_hi"), F.max(F.col("_r") - F.floor("_r")).alias("_share")
+    )
+    lo, hi = F.col("_lo"), F.col("_hi")
+    value = F.when(lo == hi, lo).otherwise(lo + F.col("_share") * (hi - lo))
+    return found.select("_g", value.alias("percentile"), (lo.isNull() | hi.isNull()).alias("missed"))
 
 
 def exact_distinct(df: DataFrame, value: str, by: Sequence[str] = ()) -> DataFrame:

@@ -209,6 +209,39 @@ def _store_of(path: str):
     return store, f"{base.rstrip('/')}/{key}"
 
 
+def inspect_objects(objects: DataFrame, file_type: str, path: str = "path") -> DataFrame:
+    """``(path, size, schema, error, broken)`` of the objects at the given paths, each opened on its own in a task.
+
+    ``schema`` is that of a parquet object's footer, NULL for other types. ``error`` says why an object cannot be
+    read, so one that is broken or gone keeps no other from being inspected; ``broken`` is true if it was opened
+    but is not of its type.
+    """
+
+    def inspected(batches):
+        import pandas as pd
+        from pyarrow import ArrowException, parquet
+        from pyspark.sql.pandas.types import from_arrow_schema
+
+        def one(path: str) -> tuple:
+            size = None
+            try:
+                store, name = _store_of(path)
+                with store.open_input_file(name) as f:
+                    size = f.size()
+                    schema = from_arrow_schema(parquet.read_schema(f)).simpleString() if file_type == "parquet" else None
+            except (OSError, ValueError, NotImplementedError, ArrowException) as failure:
+                return path, size, None, f"{type(failure).__name__}: {failure}", size is not None
+            return path, size, schema, None, False
+
+        for batch in batches:
+            out = pd.DataFrame([one(p) for p in batch["path"]], columns=["path", "size", "schema", "error", "broken"])
+            yield out.astype({"size": "Int64"})
+
+    return objects.select(F.col(path).alias("path")).mapInPandas(
+        inspected, "path string, size bigint, schema string, error string, broken boolean"
+    )
+
+
 def _header_reader():
     def described(path: str) -> tuple:
         try:

@@ -5,7 +5,7 @@ from __future__ import annotations
 import re
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, DataFrameReader, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -22,20 +22,26 @@ def read_dataset(
     file_type: str,
     schema: T.StructType | str | None = None,
     delimiter: str = ",",
-    multiline: bool = False,
+    multiline: bool = True,
     recursive: bool = False,
+    tolerant: bool = False,
 ) -> DataFrame:
     """Scan of files in one of the formats ``parquet``, ``jsonl``, ``json``, ``csv`` and ``avro``.
 
     ``json`` is a document holding an array of records. CSV files have a header line; short lines
-    are padded with NULL and over-long ones are left out. Avro needs Spark's avro module. A
-    ``recursive`` scan takes all files at any depth and adds no partition columns.
+    are padded with NULL and over-long ones are left out. A quoted CSV field may hold line breaks, so a
+    file is one task; with ``multiline=False`` a large file is split, and such a field makes its lines
+    irregular. Avro needs Spark's avro module. A ``recursive`` scan takes all files at any depth and
+    adds no partition columns. A ``tolerant`` one skips what cannot be read of files that break or vanish
+    meanwhile, and merges the schemas of parquet files.
     """
     if file_type not in FORMATS:
         raise ValueError(f"file type must be one of {FORMATS}")
-    if file_type == "csv":
-        return _read_csv(spark, path, schema, delimiter, multiline, recursive)
     reader = spark.read.option("recursiveFileLookup", recursive)
+    if tolerant:
+        reader = reader.option("ignoreCorruptFiles", True).option("ignoreMissingFiles", True).option("mergeSchema", True)
+    if file_type == "csv":
+        return _read_csv(reader, path, schema, delimiter, multiline)
     if schema is not None:
         reader = reader.schema(schema)
     if file_type == "json":
@@ -46,24 +52,23 @@ def read_dataset(
 
 
 def _read_csv(
-    spark: SparkSession,
-    path: str | list[str],
-    schema: T.StructType | str | None,
-    delimiter: str,
-    multiline: bool,
-    recursive: bool,
+    reader: DataFrameReader, path: str | list[str], schema: T.StructType | str | None, delimiter: str, multiline: bool
 ) -> DataFrame:
-    reader = spark.read.option("recursiveFileLookup", recursive)
     if schema is None:
-        inferring = reader.options(header=True, sep=delimiter, multiLine=multiline, inferSchema=True, quote='"', escape='"')
+        inferring = reader.options(header=True, sep=delimiter, multiLine=multiline, inferSchema=True, **CSV_QUOTES)
         schema = inferring.csv(path).schema
+        reader = reader.option("inferSchema", False)
     elif isinstance(schema, str):
         schema = T.StructType.fromDDL(schema)
     rows = reader.schema(wide_csv_schema(schema)).options(**csv_options(delimiter, multiline)).csv(path)
     return fitting_lines(rows, len(schema.fields), delimiter)
 
 
-def csv_options(delimiter: str = ",", multiline: bool = False) -> dict[str, object]:
+# A quote within quotes is doubled; a backslash is a character like any other.
+CSV_QUOTES = {"quote": '"', "escape": '"'}
+
+
+def csv_options(delimiter: str = ",", multiline: bool = True) -> dict[str, object]:
     """Reader options that keep every line and the raw text of irregular ones.
 
     The number of fields is compared only when all columns are parsed, hence no pruning.
@@ -72,9 +77,7 @@ def csv_options(delimiter: str = ",", multiline: bool = False) -> dict[str, obje
         "header": True,
         "sep": delimiter,
         "multiLine": multiline,
-        # A quote within quotes is doubled; a backslash is a character like any other.
-        "quote": '"',
-        "escape": '"',
+        **CSV_QUOTES,
         "mode": "PERMISSIVE",
         "columnNameOfCorruptRecord": RAW,
         "columnPruning": False,
@@ -118,12 +121,12 @@ def sampled_text_schema(
     """
     if rows is None:
         if file_type == "csv":
-            return spark.read.options(header=True, inferSchema=True, sep=delimiter).csv(path).schema
+            return spark.read.options(header=True, inferSchema=True, sep=delimiter, multiLine=True, **CSV_QUOTES).csv(path).schema
         return spark.read.json(path).schema
     lines = spark.read.text(path).take(rows + 1 if file_type == "csv" else rows)
     text = spark.sparkContext.parallelize([r[0] for r in lines], 1)
     if file_type == "csv":
-        return spark.read.options(header=True, inferSchema=True, sep=delimiter).csv(text).schema
+        return spark.read.options(header=True, inferSchema=True, sep=delimiter, **CSV_QUOTES).csv(text).schema
     return spark.read.json(text).schema
 
 

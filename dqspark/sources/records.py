@@ -4,12 +4,27 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from dqspark.plans.joins import quoted
 
+LINE, POSITION = "line", "position"
+
+
+def object_lines(spark: SparkSession, path: str | Sequence[str], by: str = "object") -> DataFrame:
+    """``(object, position, line)``: the lines of text objects, ``position`` ordering those of one object.
+
+    A large object is read in several splits, by as many tasks. A position is where its split begins, then the
+    running number that Spark gives the rows of a task, which reads a split from its begin to its end. The number
+    comes right from the scan, so a task that runs again gives the same ones. Blank lines are left out.
+    """
+    rows = spark.read.option("recursiveFileLookup", True).text(path)
+    place = F.struct(F.col("_metadata.file_block_start").alias("split"), F.monotonically_increasing_id().alias("row"))
+    numbered = rows.select(F.col("_metadata.file_path").alias(by), place.alias(POSITION), F.col("value").alias(LINE))
+    return numbered.filter(F.trim(LINE) != "")
+
 
 def merge_records(
     lines: DataFrame, text: str, position: str, schema: T.StructType | str, by: Sequence[str] = ()

@@ -35,16 +35,21 @@ def test_exact_percentile_of_all_rows(spark):
     assert S.exact_percentile(df.filter("v < 0"), "v", 0.25).count() == 0
 
 
-def test_bucket_keys_keep_order(spark):
-    rng = random.Random(3)
-    values = AWKWARD + [rng.uniform(-10, 10) * 10.0 ** rng.randint(-300, 300) for _ in range(500)]
-    values += [2.0**e * s for e in range(-1074, 1024, 13) for s in (1, -1)]
-    values += [math.nextafter(2.0**e, 0) for e in range(-1000, 1000, 17)]
-    df = spark.createDataFrame([(v,) for v in values], "_v double")
-    got = [tuple(r) for r in S._with_bucket_keys(df).select("_v", "_b1", "_b2").collect()]
-    got.sort()
-    keys = [(b1, b2) for _, b1, b2 in got]
-    assert keys == sorted(keys)
+@pytest.mark.parametrize("p", [0.0, 0.003, 0.5, 0.999, 1.0])
+def test_brackets_narrow_and_survive_hot_values(spark, p):
+    rows = spark.range(60_000).select(
+        F.when(F.col("id") % 3 == 0, "hot").otherwise("spread").alias("g"),
+        F.when(F.col("id") % 3 == 0, F.when(F.col("id") % 30 == 0, F.col("id")).otherwise(7)).otherwise(F.col("id") * 7919 % 60_013).cast("double").alias("v"),
+    )
+    want = {g: np.quantile([r["v"] for r in rows.collect() if r["g"] == g], p) for g in ("hot", "spread")}
+    for direct in (1, 100, 2**20):
+        assert dict(map(tuple, S.exact_percentile(rows, "v", p, ["g"], direct).collect())) == pytest.approx(want)
+
+
+def test_missed_brackets_are_widened(spark, monkeypatch):
+    monkeypatch.setattr(S, "RANK_ERROR", -0.2)  # brackets on the wrong side of the ranks
+    rows = spark.range(5000).select((F.col("id") % 2).alias("g"), F.col("id").cast("double").alias("v"))
+    assert dict(map(tuple, S.exact_percentile(rows, "v", 0.5, ["g"]).collect())) == {0: 2499.0, 1: 2500.0}
 
 
 def test_exact_distinct(spark):

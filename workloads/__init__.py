@@ -1,6 +1,6 @@
 """Registered queries over the driver tables, each with the SQL that must give the same rows."""
 
-from workloads import events, indicators, places, schemas, sketches, stored, streams, times
+from workloads import events, indicators, notified, places, schemas, sketches, stored, streams, times
 from workloads.registry import ORACLES, QUERIES
 
 __all__ = [
@@ -8,6 +8,7 @@ __all__ = [
     "QUERIES",
     "events",
     "indicators",
+    "notified",
     "places",
     "schemas",
     "sketches",

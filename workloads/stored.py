@@ -8,11 +8,11 @@ import uuid
 from pyspark.sql import functions as F
 
 from dqspark.operators import indicators as I
-from dqspark.operators.datasets import Dataset, profile_arrivals, profile_dataset
+from dqspark.operators.datasets import Dataset, object_records, profile_arrivals, profile_dataset
 from dqspark.operators.profile import profile
 from dqspark.operators.rollup import concat_results, rollup_metrics
 from dqspark.operators.tags import indicator_tags
-from dqspark.plans.storage import cut_lineage, scratch_path
+from dqspark.plans.storage import cut_lineage, scratch_path, stored
 from dqspark.sinks import metrics as K
 from dqspark.sources.objects import object_inventory
 from dqspark.sources.readers import read_dataset
@@ -171,9 +171,9 @@ def run_log(spark, sf_dir):
     rows = table(spark, sf_dir, "events").withColumn("object", F.col("event_type"))
     spec = {"ts": {"column": "ts", "format": "%Y-%m-%d %H:%M:%S", "primary": True}}
     result = profile(rows, ["user_id"], timestamps=spec, by=["object"], keyed=False)
-    stored = cut_lineage(result.metrics)
-    log = K.run_log(stored, result.times.primary, by=["object"], dataset="events")
-    values = K.run_dimensions(stored, result.dimensions, ["object"])
+    profiled = cut_lineage(result.metrics)
+    log = K.run_log(profiled, result.times.primary, by=["object"], dataset="events")
+    values = K.run_dimensions(profiled, result.dimensions, ["object"])
     return log.join(values.groupBy("object").agg(F.count(F.lit(1)).alias("dimension_values")), "object")
 
 
@@ -249,3 +249,60 @@ def arriving_dataset(spark, sf_dir):
     root, out, state = _write_dataset(spark, sf_dir), scratch_path(spark, "arrived"), scratch_path(spark, "state")
     finished(profile_arrivals(spark, root, DATASET, out, state, source_id="web", execution_time=5))
     return _merged(spark.read.parquet(out).drop("batch_id"))
+
+
+RECORDS = Dataset(
+    "records", "records", "{event_type}/{shard}", "jsonl",
+    schema="event_id bigint, user_id bigint, value double, props string, shard string",
+)
+SPLIT_BYTES = "16384"
+
+
+def _records(spark, sf_dir):
+    """Events as lines of JSON objects, in order of their ids, each with some of the keys; merged, read in small splits."""
+    root = scratch_path(spark, "records")
+    event = F.col("event_id")
+    text = F.concat(
+        F.lit('{"shard": "inner", "event_id": '), event.cast("string"),
+        F.when(F.col("user_id") % 2 == 0, F.concat(F.lit(', "user_id": '), F.col("user_id").cast("string"))).otherwise(""),
+        F.when(event % 3 == 0, F.concat(F.lit(', "value": '), F.col("value").cast("string"))).otherwise(""),
+        F.when(event % 7 == 0, F.lit(', "props": null')).when(event % 5 == 0, F.concat(F.lit(', "props": "p'), event.cast("string"), F.lit('"'))).otherwise(""),
+        F.lit("}"),
+    )
+    rows = table(spark, sf_dir, "events").select("event_type", (event % 2).alias("shard"), event, text.alias("value"))
+    rows = rows.repartition("event_type", "shard").sortWithinPartitions("event_type", "shard", "event_id")
+    rows.drop("event_id").write.partitionBy("event_type", "shard").text(f"{root}/records")
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", SPLIT_BYTES)
+    try:
+        return stored(object_records(spark, root, RECORDS), "merged-records")
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+
+
+RECORDS_SQL = """
+SELECT event_type, (event_id % 2)::VARCHAR AS shard, max(event_id) AS event_id,
+  arg_max(user_id, event_id) FILTER (user_id % 2 = 0) AS user_id, arg_max(value, event_id) FILTER (event_id % 3 = 0) AS "value",
+  CASE WHEN max(event_id) FILTER (event_id % 7 = 0) >= max(event_id) FILTER (event_id % 5 = 0) THEN NULL
+    ELSE 'p' || max(event_id) FILTER (event_id % 5 = 0)::VARCHAR END AS props
+FROM events GROUP BY 1, 2
+"""
+
+
+@query(f"SELECT event_type, shard, 'inner' AS inner_shard, event_id, user_id, value, props FROM ({RECORDS_SQL})")
+def object_records_merged(spark, sf_dir):
+    found = _records(spark, sf_dir)
+    return found.select(
+        "event_type", F.col("`partition.shard`").alias("shard"), F.col("`object.shard`").alias("inner_shard"),
+        "event_id", "user_id", "value", "props",
+    )
+
+
+@query(f"""
+SELECT shard, count(*) AS _indicator_1, sum(event_id)::BIGINT AS _indicator_2, count(props) AS _indicator_3
+FROM ({RECORDS_SQL}) GROUP BY 1
+""", name="object_records")
+def object_record_indicators(spark, sf_dir):
+    rows = _records(spark, sf_dir).withColumnRenamed("partition.shard", "shard")
+    calculations = [("COUNT(*)", 1), ("SUM(event_id)", 2), ("COUNT(props)", 3)]
+    return I.indicator_query(rows, calculations, "shard").select("shard", *[f"_indicator_{i}" for _, i in calculations])
