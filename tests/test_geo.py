@@ -1,3 +1,5 @@
+import math
+import random
 import struct
 
 import pytest
@@ -83,6 +85,52 @@ def test_regions(spark, small):
     assert got == {1: "west", 2: "all", 3: "<empty>", 4: "donut", 5: "<empty>", 6: "<empty>", 7: "west"}
 
 
+def star(rng, cx, cy, corners, size):
+    angles = [2 * math.pi * i / corners for i in range(corners)]
+    radii = [size * rng.uniform(0.3, 1) for _ in angles]
+    ring = [(cx + r * math.cos(a), cy + r * math.sin(a)) for a, r in zip(angles, radii, strict=True)]
+    return [*ring, ring[0]]
+
+
+def inside(rings, x, y):
+    odd = False
+    for ring in rings:
+        for (ax, ay), (bx, by) in zip(ring, ring[1:]):
+            if (ay > y) != (by > y) and x < (bx - ax) * (y - ay) / (by - ay) + ax:
+                odd = not odd
+    return odd
+
+
+RING_FIELDS = "name string, rings array<array<struct<x: double, y: double>>>"
+
+
+@pytest.mark.parametrize(("cell", "small"), [(None, None), (0.7, True), (3.0, False), (500.0, True)])
+def test_regions_equal_ray_casting(spark, cell, small):
+    rng = random.Random(8)
+    shapes = {f"star{i}": [star(rng, rng.uniform(-9, 9), rng.uniform(-9, 9), rng.choice([3, 5, 40]), rng.uniform(0.5, 6))] for i in range(8)}
+    shapes["holed"] = [star(rng, 0, 0, 30, 9), star(rng, 0, 0, 12, 2)]
+    shapes["grid"] = [[(float(x), float(y)) for x, y in ((-4, -4), (4, -4), (4, 0), (0, 0), (0, 4), (-4, 4), (-4, -4))]]
+    shapes["thin"] = [[(-12.0, 1.0), (12.0, 1.0), (12.0, 1.001), (-12.0, 1.001), (-12.0, 1.0)]]
+    points = [(rng.uniform(-12, 12), rng.uniform(-12, 12)) for _ in range(1500)] + [(x / 2, y / 2) for x in range(-10, 11) for y in range(-10, 11)]
+    points += [corner for rings in shapes.values() for corner in rings[0][:3]] + [(0.0, 1.0), (0.0, 1.001), (1e9, 1e9)]
+    df = spark.createDataFrame([(i, *p) for i, p in enumerate(points)], "i int, x double, y double")
+    table = spark.createDataFrame(list(shapes.items()), RING_FIELDS)
+    got = {r["i"]: r["place"] for r in geo.region_of(df, table, "x", "y", "place", cell, small).collect()}
+    want = {i: min((n for n, rings in shapes.items() if inside(rings, *p)), default="<empty>") for i, p in enumerate(points)}
+    assert got == want
+
+
+def test_many_corners_stay_small(spark):
+    rng = random.Random(2)
+    ring = star(rng, 0, 0, 20_000, 10)
+    cut = geo.prepare_regions(spark.createDataFrame([("ring", [ring])], RING_FIELDS))
+    assert cut.small and cut.cells.agg(F.sum(geo._cell_bytes())).first()[0] < 10e6
+    points = [(rng.uniform(-10, 10), rng.uniform(-10, 10)) for _ in range(300)]
+    df = spark.createDataFrame([(i, *p) for i, p in enumerate(points)], "i int, x double, y double")
+    got = {r["i"]: r["place"] for r in geo.region_of(df, cut, "x", "y", "place").collect()}
+    assert got == {i: "ring" if inside([ring], *p) else "<empty>" for i, p in enumerate(points)}
+
+
 def test_geometry_dimension_choice(spark):
     df = spark.createDataFrame([(bytearray(point("<", 2, 2)), 1.0), (None, 2.0)], "g binary, v double")
     codes = spark.createDataFrame([("west", "x", "OFF"), (None, "west", "WST")], "official_name string, name string, code string")
