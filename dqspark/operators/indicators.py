@@ -6,10 +6,10 @@ import hashlib
 import itertools
 import math
 import re
-from collections.abc import Iterator, Mapping, Sequence
+from collections.abc import Callable, Iterator, Mapping, Sequence
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, GroupedData, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -23,6 +23,7 @@ from dqspark.functions.columns import (
 from dqspark.functions.timecols import evaluation_times
 from dqspark.operators.sketches import HLL_LG_K
 from dqspark.plans.joins import epoch_seconds, in_time_range, interval_join, lookup_join, quoted, windows_frame
+from dqspark.plans.storage import stored
 
 NONE, COUNT_DISTINCT, DECILE = "NONE", "COUNT_DISTINCT", "DECILE"
 MODES = ("plain", "exact", "approx", "sketch")
@@ -126,10 +127,11 @@ MERGEABLE_CALL = re.compile(rf"(?is)^\s*(count|sum|min|max|avg)\s*\((?!\s*distin
 
 @dataclass
 class Mergeable:
-    """An aggregate as partial aggregates of panes and the merge of those."""
+    """An aggregate as partial aggregates of panes, the merge of those, and how each merges to one of its kind."""
 
     partials: dict[str, Column]
     merged: Column
+    combine: dict[str, Callable[[Column], Column]]
 
 
 def mergeable(dataset: DataFrame, calculation: str, name: str, mode: str = "approx") -> Mergeable | None:
@@ -143,7 +145,7 @@ def mergeable(dataset: DataFrame, calculation: str, name: str, mode: str = "appr
             (PERCENTILE_CALL, lambda c: F.call_function("kll_merge_agg_double", c)),
         ):
             if re.match(pattern, calculation):
-                return Mergeable({name: calculation_column(calculation, mode)}, merge(F.col(quoted(name))))
+                return Mergeable({name: calculation_column(calculation, mode)}, merge(F.col(quoted(name))), {name: merge})
     call = MERGEABLE_CALL.match(calculation)
     if not call:
         return None
@@ -153,9 +155,9 @@ def mergeable(dataset: DataFrame, calculation: str, name: str, mode: str = "appr
             return None
         parts = {f"{name}#sum": F.expr(f"sum(CAST({call.group(2)} AS double))"), f"{name}#n": F.expr(f"count({call.group(2)})")}
         total, n = (F.sum(F.col(quoted(part))) for part in parts)
-        return Mergeable(parts, F.try_divide(total, n))
+        return Mergeable(parts, F.try_divide(total, n), {part: F.sum for part in parts})
     merge = {"count": F.sum, "sum": F.sum, "min": F.min, "max": F.max}[kind]
-    return Mergeable({name: F.expr(calculation)}, merge(whole))
+    return Mergeable({name: F.expr(calculation)}, merge(whole), {name: merge})
 
 
 def _all_mergeable(
@@ -261,7 +263,9 @@ def indicator_series(
     row gives no result row. ``small`` is that of :func:`dqspark.plans.joins.interval_join`.
 
     Where windows overlap and all calculations merge, each row is aggregated once into the pane that
-    divides all windows, and only panes are joined with the windows.
+    divides all windows, and only panes are joined with the windows. With a table of more times, panes are merged
+    along blocks as long as the look-back, from their beginning and from their end: a window is the end of
+    one block and the beginning of the next, so each costs two look-ups, however many panes it spans.
     """
     rows = dataset.filter(F.expr(f"({filters})")) if filters else dataset
     keys = [aliased(f) for f in _group_list(group_fields)]
@@ -277,6 +281,11 @@ def indicator_series(
     if isinstance(times, DataFrame):
         first, last = table.agg(F.min("t"), F.max("t")).first()
         rows = rows.filter(in_time_range(rows, timestamp, first - int(lookback), last))
+        found = _all_mergeable(dataset, calculations, mode) if lookback else None
+        if found:
+            out = _by_blocks(rows, found, timestamp, int(lookback), keys, names, table).agg(*_merges(rows, found, exprs))
+            # Panes of a block that a window does not reach leave a row without any time.
+            return _series_columns(observed_only(out), names, calculations)
         windows = table.select((F.col("t") - int(lookback)).alias("_window_start"), F.col("t").alias("_window_end"))
     else:
         if times:
@@ -300,6 +309,64 @@ def indicator_series(
     return _series_columns(out, names, calculations)
 
 
+def _common_width(times: DataFrame, lookback: int) -> int:
+    """Longest pane that divides the look-back and all times of a table; tasks send one number each."""
+
+    def divisors(batches):
+        import numpy as np
+        import pyarrow as pa
+
+        found = 0
+        for batch in batches:
+            found = math.gcd(found, int(np.gcd.reduce(batch.column(0).to_numpy(), initial=0)))
+        yield pa.RecordBatch.from_arrays([pa.array([found])], ["d"])
+
+    return math.gcd(lookback, *[r["d"] for r in times.select("t").mapInArrow(divisors, "d long").collect()])
+
+
+def _by_blocks(
+    rows: DataFrame,
+    forms: dict[str, Mergeable],
+    timestamp: str,
+    lookback: int,
+    keys: Sequence[Column],
+    names: Sequence[str],
+    times: DataFrame,
+) -> GroupedData:
+    """Per group and time of a table, the partial aggregates of the two parts that make up its window.
+
+    Groups of a block and times that look into it are joined on the block. Panes and times then lie on one line, and
+    a running merge along it, from either end, gives each time what the window has of the block. A line holds the
+    panes and times of one group within one look-back.
+    """
+    panes = _panes(rows, forms, timestamp, _common_width(times, lookback), keys)
+    panes = stored(panes.withColumn("_block", F.floor(F.col("_pane") / lookback)), "panes")
+    combine = {n: c for m in forms.values() for n, c in m.combine.items()}
+    combine |= {"_result_min_ts": F.min, "_result_max_ts": F.max}
+    groups = panes.select(*[quoted(n) for n in names], "_block").distinct()
+    t = F.col("t")
+    sides = []
+    for forward in (True, False):
+        # The window's first part ends its block, the second begins the next; an aligned window has only the first.
+        at = t - lookback if forward else t
+        asked = (times if forward else times.filter(F.pmod(t, F.lit(lookback)) != 0)).select(
+            t.alias("_time"), at.alias("_pane"), F.floor(at / lookback).alias("_block")
+        )
+        asked = lookup_join(asked, groups, ["_block"], "inner")
+        line = panes.unionByName(asked, allowMissingColumns=True)
+        order = [F.desc("_pane"), F.col("_time").asc_nulls_first()] if forward else [F.asc("_pane"), F.col("_time").asc_nulls_last()]
+        along = Window.partitionBy(*[quoted(n) for n in names], "_block").orderBy(*order)
+        along = along.rowsBetween(Window.unboundedPreceding, 0)
+        merged = line.select(
+            *[F.col(quoted(n)) for n in names], "_time", *[c(F.col(quoted(n))).over(along).alias(n) for n, c in combine.items()]
+        )
+        sides.append(merged.filter(F.col("_time").isNotNull()))
+    both = sides[0].unionAll(sides[1]).withColumns({
+        "_lookback_range_start_ts": F.col("_time") - lookback, "_lookback_range_end_ts": F.col("_time")
+    })
+    return both.groupBy(*[F.col(quoted(n)) for n in names], "_lookback_range_start_ts", "_lookback_range_end_ts")
+
+
 def _series_columns(out: DataFrame, names: Sequence[str], calculations: Sequence[tuple[str, object]]) -> DataFrame:
     """Groups, values, observed range and look-back range, in the order that all ways of evaluation give."""
     return out.select(

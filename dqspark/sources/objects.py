@@ -109,50 +109,61 @@ def config_table(spark: SparkSession, configs: Sequence[ObjectConfig]) -> DataFr
     return spark.createDataFrame(rows, CONFIG_SCHEMA)
 
 
+# Prefix lengths up to which each has a join of its own and the objects stay where they are.
+MOST_JOINS = 16
+
+
 def match_configs(objects: DataFrame, configs: DataFrame, small: bool | None = None) -> DataFrame:
     """Objects (``bucket``, ``object_key``) with their dataset, file type and path fields.
 
-    The first config whose prefix starts the key and whose template fits wins; objects without one
-    are left out. Configs that pass the size check are gathered per bucket and broadcast, leaving
-    the objects where they are. Otherwise the distinct objects are joined on the bucket, salted.
+    The first config whose prefix starts the key and whose template fits wins; objects without one are left out.
+    For each length that a prefix has, the beginning of the key of that length is joined with the prefixes, so an
+    object meets only configs whose prefix it has, however many its bucket has. Configs that pass the size check are
+    broadcast, leaving the objects where they are, if their prefixes have few lengths. Otherwise the distinct objects
+    are joined, salted. The lengths, which the longest key bounds, come to the driver: this runs a job.
     """
 
     def suffix(prefix: Column) -> Column:
         rest = F.substring(F.col("object_key"), F.length(prefix) + 1, F.length(F.col("object_key")))
         return F.regexp_replace(rest, "^/|/$", "")
 
-    def fields(c) -> Column:
-        return path_fields(suffix(c("prefix")), c("pattern"), c("names"), c("separator"))
+    def fits(c: Column) -> Column:
+        return F.regexp(suffix(c["prefix"]), c["pattern"])
 
+    def fields(c: Column) -> Column:
+        return path_fields(suffix(c["prefix"]), c["pattern"], c["names"], c["separator"])
+
+    lengths = sorted(r["n"] for r in configs.select(F.length("prefix").alias("n")).distinct().collect() if r["n"] is not None)
     if small is None:
         small = is_bounded(configs)
-    if small:
-        content = [f for f in configs.columns if f != "bucket"]
-        gathered = configs.groupBy("bucket").agg(
-            F.array_sort(F.collect_list(F.struct("position", *[f for f in content if f != "position"]))).alias("_all")
-        )
-        fitting = F.filter(
-            "_all",
-            lambda c: F.startswith(F.col("object_key"), c["prefix"])
-            & F.regexp(suffix(c["prefix"]), c["pattern"]),
-        )
-        joined = objects.join(F.broadcast(gathered), "bucket").withColumn("_c", F.get(fitting, F.lit(0)))
-        hit = joined.filter(F.col("_c").isNotNull())
-        return hit.select(
-            *[F.col(c) for c in objects.columns],
-            F.col("_c.dataset").alias("dataset"),
-            F.col("_c.file_type").alias("file_type"),
-            fields(lambda f: F.col(f"_c.{f}")).alias("path_fields"),
-        )
-    keys = objects.select("bucket", "object_key").distinct()
-    candidates = salted_join(keys, configs, ["bucket"]).filter(
-        F.startswith("object_key", "prefix") & F.regexp(suffix(F.col("prefix")), F.col("pattern"))
-    )
-    chosen = candidates.groupBy("bucket", "object_key").agg(
-        F.min_by(F.struct("dataset", "file_type", fields(F.col).alias("path_fields")), "position").alias("_c")
-    )
-    return objects.join(chosen, ["bucket", "object_key"]).select(
-        *[F.col(c) for c in objects.columns], "_c.dataset", "_c.file_type", "_c.path_fields"
+    whole = F.struct("position", *[f for f in configs.columns if f not in ("bucket", "position")])
+    gathered = configs.groupBy("bucket", "prefix").agg(F.collect_list(whole).alias("_configs"))
+    begin = {n: F.substring(F.col("object_key"), 1, n) for n in lengths}
+    if not lengths:
+        joined = objects.withColumn("_c", F.lit(None).cast(configs.select(whole.alias("c")).schema["c"].dataType))
+    elif small and len(lengths) <= MOST_JOINS:
+        joined, found = objects, []
+        for n in lengths:
+            side = gathered.filter(F.length("prefix") == n).withColumnsRenamed(
+                {"bucket": "_bucket", "prefix": "_prefix", "_configs": f"_configs_{n}"}
+            )
+            on = (F.col("bucket") == F.col("_bucket")) & (begin[n] == F.col("_prefix"))
+            joined = joined.join(F.broadcast(side), on, "left").drop("_bucket", "_prefix")
+            found.append(F.coalesce(F.col(f"_configs_{n}"), F.array()))
+        joined = joined.withColumn("_c", F.array_min(F.filter(F.concat(*found), fits))).drop(*[f"_configs_{n}" for n in lengths])
+    else:
+        keys = objects.select("bucket", "object_key").distinct()
+        begins = F.explode(F.array_distinct(F.array(*begin.values()))).alias("prefix")
+        candidates = salted_join(keys.select("bucket", "object_key", begins), gathered, ["bucket", "prefix"])
+        chosen = candidates.withColumn("_c", F.array_min(F.filter("_configs", fits))).filter(F.col("_c").isNotNull())
+        chosen = chosen.groupBy("bucket", "object_key").agg(F.min("_c").alias("_c"))
+        joined = objects.join(chosen, ["bucket", "object_key"], "left")
+    hit = joined.filter(F.col("_c").isNotNull())
+    return hit.select(
+        *[F.col(c) for c in objects.columns],
+        F.col("_c.dataset").alias("dataset"),
+        F.col("_c.file_type").alias("file_type"),
+        fields(F.col("_c")).alias("path_fields"),
     )
 
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame
@@ -9,8 +10,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from dqspark.functions.columns import INDICATOR_PREFIX, aliased
-from dqspark.operators.indicators import _group_list, calculation_column
+from dqspark.functions.columns import INDICATOR_PREFIX, aliased, group_name
+from dqspark.operators.indicators import MIN_OVERLAP, _all_mergeable, _group_list, _merges, _series_columns, calculation_column
 from dqspark.plans.joins import quoted
 
 
@@ -27,6 +28,10 @@ def lookback_stream(
 ) -> DataFrame:
     """Streaming form of ``rolling_indicators``: a window comes out once, when data may be later
     than its end by more than ``lag`` seconds. Distinct counts need mode ``sketch`` or ``approx``.
+
+    Where the look-back spans several intervals and all calculations merge, each row updates the state of one
+    pane, the longest stretch that divides look-back and interval. A pane comes out when it is closed and
+    updates the windows that it is part of, so the state of windows is touched by panes only.
     """
     rows = stream.filter(F.expr(f"({filters})")) if filters else stream
     if not isinstance(rows.schema[timestamp].dataType, T.TimestampType):
@@ -35,13 +40,23 @@ def lookback_stream(
     ts = F.col(quoted(timestamp))
     exprs = [calculation_column(c, mode).alias(f"{INDICATOR_PREFIX}{i}") for c, i in calculations]
     exprs += [F.min(ts).alias("_result_min_ts"), F.max(ts).alias("_result_max_ts")]
-    window = F.window(ts, f"{int(lookback)} seconds", f"{int(interval)} seconds").alias("_window")
-    out = rows.groupBy(window, *[aliased(f) for f in _group_list(group_fields)]).agg(*exprs)
-    return (
-        out.withColumn("_lookback_range_start_ts", F.unix_seconds("_window.start"))
-        .withColumn("_lookback_range_end_ts", F.unix_seconds("_window.end"))
-        .drop("_window")
-    )
+    fields = _group_list(group_fields)
+    keys, names = [aliased(f) for f in fields], [group_name(f) for f in fields]
+    window = f"{int(lookback)} seconds", f"{int(interval)} seconds"
+    forms = _all_mergeable(rows, calculations, mode) if lookback >= MIN_OVERLAP * interval else None
+    if forms:
+        pane = F.window(ts, f"{math.gcd(int(lookback), int(interval))} seconds").alias("_pane")
+        partials = [e.alias(n) for m in forms.values() for n, e in m.partials.items()]
+        panes = rows.groupBy(pane, *keys).agg(*partials, *exprs[len(calculations) :])
+        ends = F.window(F.window_time("_pane"), *window).alias("_window")
+        out = panes.groupBy(ends, *[F.col(quoted(n)) for n in names]).agg(*_merges(rows, forms, exprs))
+    else:
+        out = rows.groupBy(F.window(ts, *window).alias("_window"), *keys).agg(*exprs)
+    out = out.withColumns({
+        "_lookback_range_start_ts": F.unix_seconds("_window.start"),
+        "_lookback_range_end_ts": F.unix_seconds("_window.end"),
+    })
+    return _series_columns(out, names, calculations)
 
 
 def append_stream(

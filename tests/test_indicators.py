@@ -1,4 +1,5 @@
 import datetime as dt
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -295,3 +296,38 @@ def test_series_leaves_sketches_out(spark):
     assert {r["indicator_id"] for r in metric_series(found).collect()} == {2}
     only = found.drop("_indicator_2")
     assert metric_series(only).count() == 0
+
+
+@pytest.mark.parametrize(("mode", "calculations"), [
+    ("approx", [("count(*)", 1), ("sum(v)", 2), ("min(v)", 3), ("max(u)", 4), ("avg(v)", 5)]),
+    ("sketch", [("count(distinct u)", 1), ("approx_percentile(v, 0.5)", 2)]),
+    ("exact", [("count(distinct u)", 1)]),
+])
+@pytest.mark.parametrize("lookback", [60, 90, 7])
+def test_tables_of_times_equal_lists(spark, monkeypatch, mode, calculations, lookback):
+    rng = random.Random(lookback)
+    rows = [(rng.choice(["a", "b", None]), rng.choice([None, rng.randint(0, 900)]), float(rng.randint(0, 50)), rng.randint(0, 9)) for _ in range(400)]
+    df = spark.createDataFrame(rows + [("late", 5000, 1.0, 1)], "g string, t long, v double, u int")
+    times = [0, 60, 61, 90, 120, 121, 333, 900, 905, 3000]
+    want = I.indicator_series(df, calculations, times, lookback, "t", "g", mode=mode)
+    monkeypatch.setattr(I, "MAX_DRIVER_TIMES", 3)
+    table = spark.createDataFrame([(t,) for t in [*times, 60, None]], "evaluation_time long")
+    got = I.indicator_series(df, calculations, table, lookback, "t", "g", mode=mode)
+    assert got.dtypes == want.dtypes
+
+    def values(frame):
+        if mode == "sketch":
+            frame = frame.withColumn("_indicator_1", F.hll_sketch_estimate("_indicator_1")).withColumn(
+                "_indicator_2", F.expr("kll_sketch_get_n_double(_indicator_2)")
+            )
+        return sorted(map(tuple, frame.collect()), key=str)
+
+    assert values(got) == values(want)
+
+
+def test_windows_of_a_table_are_two_look_ups(spark, monkeypatch):
+    monkeypatch.setattr(I, "MAX_DRIVER_TIMES", 3)
+    df = spark.range(1000).select(F.col("id").alias("t"), F.lit(1.0).alias("v"))
+    times = spark.range(0, 1000, 2).select(F.col("id").alias("evaluation_time"))
+    plan = I.indicator_series(df, [("sum(v)", 1)], times, 500, "t")._jdf.queryExecution().optimizedPlan().toString()
+    assert "NestedLoop" not in plan and "Generate" not in plan.replace("explode(sequence(0, 15", "")

@@ -110,6 +110,28 @@ def test_first_fitting_config_wins(spark, small):
     assert got == [(1, "first", "csv", {"day": "3"}), (2, "second", "json", {"any": "x"}), (4, "dash", "json", {"day": "4"})]
 
 
+@pytest.mark.parametrize("small", [True, False, None])
+@pytest.mark.parametrize("lengths", [3, 40])
+def test_configs_meet_keys_by_their_prefix(spark, small, lengths):
+    prefixes = ["a/" * (1 + i % lengths) + ("b" if i % 2 else "") for i in range(120)]
+    configs = [O.ObjectConfig(f"c{i}", f"bucket{i % 3}", p, "{day}" if i % 5 else "<any>", "csv") for i, p in enumerate(prefixes)]
+    keys = [(f"bucket{b}", "a/" * n + tail) for b in range(4) for n in range(0, 45, 4) for tail in ("b/x/f", "day=1/f", "f", "b/day=2/f")]
+    keys += keys[:5] + [(None, "a/day=1/f"), ("bucket1", None)]
+    df = spark.createDataFrame([(i, *k) for i, k in enumerate(keys)], "i int, bucket string, object_key string")
+
+    def first(bucket, key):
+        for i, c in enumerate(configs):
+            if bucket == c.bucket and key and key.startswith(c.prefix):
+                rest = key[len(c.prefix) :].strip("/").split("/")
+                if len(rest) > 1 and (rest[0].startswith("day=") and len(rest[0]) > 4 if i % 5 else rest[0]):
+                    return c.name
+        return None
+
+    got = {r["i"]: r["dataset"] for r in O.match_configs(df, O.config_table(spark, configs), small).collect()}
+    assert got == {i: first(*k) for i, k in enumerate(keys) if first(*k)}
+    assert O.match_configs(df, O.config_table(spark, []), small).collect() == []
+
+
 def test_notifications(spark):
     def direct(key):
         return {"s3": {"bucket": {"name": "b"}, "object": {"key": key}}}

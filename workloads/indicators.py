@@ -81,6 +81,32 @@ def indicator_backfill(spark, sf_dir):
     return result.withColumn("_indicator_2", F.round("_indicator_2", 2))
 
 
+@query("""
+WITH times AS (SELECT 1704067200 + 25 * i AS t FROM range(100000) r(i)),
+e AS (SELECT event_type, value, floor(epoch(ts))::BIGINT AS s FROM events),
+w AS (
+  SELECT t, event_type, count(*) AS n, sum(value) AS total, avg(value) AS mean, max(s) AS last
+  FROM e JOIN times ON s >= t - 21600 AND s < t GROUP BY 1, 2)
+SELECT event_type, t // 86400 AS day, count(*) AS windows, sum(n)::BIGINT AS rows_in_windows, max(n) AS most,
+  round(sum(total), 2) AS total, round(sum(mean) / count(*), 6) AS mean, sum(last)::BIGINT AS lasts
+FROM w GROUP BY 1, 2
+""")
+def indicator_series_table(spark, sf_dir):
+    """A hundred thousand evaluation times, every 25 seconds, each looking back six hours."""
+    times = spark.range(100_000).select((F.lit(1_704_067_200) + F.col("id") * 25).alias("evaluation_time"))
+    found = I.indicator_series(
+        table(spark, sf_dir, "events"), [("COUNT(*)", 1), ("SUM(value)", 2), ("AVG(value)", 3)], times, 21_600, "ts", "event_type"
+    )
+    return found.groupBy("event_type", F.floor(F.col("_lookback_range_end_ts") / 86400).alias("day")).agg(
+        F.count(F.lit(1)).alias("windows"),
+        F.sum("_indicator_1").alias("rows_in_windows"),
+        F.max("_indicator_1").alias("most"),
+        F.round(F.sum("_indicator_2"), 2).alias("total"),
+        F.round(F.sum("_indicator_3") / F.count(F.lit(1)), 6).alias("mean"),
+        F.sum(F.unix_seconds(F.col("_result_max_ts").cast("timestamp"))).alias("lasts"),
+    )
+
+
 @query("""
 WITH t AS (SELECT event_type, value, unnest(generate_series(1, 2)) AS i,
   floor(epoch(ts) / 3600)::BIGINT * 3600 AS h, floor(epoch(ts))::BIGINT AS e FROM events)

@@ -169,11 +169,19 @@ def path_fields(spark, sf_dir):
 
 
 @query(PATHS_SQL)
-def path_fields_many_configs(spark, sf_dir):
+def path_fields_salted(spark, sf_dir):
     out = O.match_configs(page_objects(spark, sf_dir), O.config_table(spark, CONFIGS), small=False)
     return out.select("page_id", "dataset", "file_type", _fields_text(F.col("path_fields")).alias("fields"))
 
 
+@query(PATHS_SQL)
+def path_fields_many_configs(spark, sf_dir):
+    """Ten thousand configs of one bucket, most of whose prefixes no object has."""
+    others = [O.ObjectConfig(f"other{i}", "raw-bucket", f"raw/{'d' * (i % 9)}{i}/", "{lang}/<host>") for i in range(10_000)]
+    out = O.match_configs(page_objects(spark, sf_dir), O.config_table(spark, [*others, *CONFIGS]))
+    return out.select("page_id", "dataset", "file_type", _fields_text(F.col("path_fields")).alias("fields"))
+
+
 @query(f"""
 WITH {URL_SQL},
 o AS (SELECT page_id, CASE page_id % 4 WHEN 2 THEN 'logs-bucket' ELSE 'raw-bucket' END AS bucket,

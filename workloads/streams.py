@@ -62,10 +62,10 @@ HAVING h + i * 3600 <= (SELECT max(epoch(ts)) - 3600 FROM events)
 """
 
 
-def _lookback(spark, sf_dir, calculations):
+def _lookback(spark, sf_dir, calculations, lookback=7200):
     out, checkpoint = scratch_path(spark, "stream-lookback"), scratch_path(spark, "stream-checkpoint")
     rows = object_stream(spark, event_objects(spark, sf_dir), "parquet", EVENT_SCHEMA)
-    result = lookback_stream(rows, calculations, "ts", 7200, 3600, 3600, "event_type")
+    result = lookback_stream(rows, calculations, "ts", lookback, 3600, 3600, "event_type")
     finished(append_stream(result, out, checkpoint))
     return spark.read.schema(result.schema).parquet(out)
 
@@ -95,6 +95,17 @@ def stream_freshness(spark, sf_dir):
     return spark.read.parquet(out).groupBy("event_type", "freshness").agg(F.sum("records").alias("records"))
 
 
+@query(CLOSED_SQL.format(metrics=PLAIN_METRICS + ", round(avg(value), 10) AS _indicator_3").replace("generate_series(1, 2)", "generate_series(1, 24)").replace("(i - 2)", "(i - 24)"))
+def stream_lookback_day(spark, sf_dir):
+    """A look-back of 24 intervals: every row updates one pane."""
+    out = _lookback(spark, sf_dir, [("COUNT(*)", 1), ("SUM(value)", 2), ("AVG(value)", 3)], 86400)
+    return out.select(
+        "event_type", "_indicator_1", F.round("_indicator_2", 2).alias("_indicator_2"), F.round("_indicator_3", 10).alias("_indicator_3"),
+        F.unix_seconds("_result_min_ts").alias("first_second"),
+        "_lookback_range_start_ts", "_lookback_range_end_ts",
+    )
+
+
 @query(CLOSED_SQL.format(metrics="count(DISTINCT user_id) AS exact, true AS close"))
 def stream_distinct(spark, sf_dir):
     out = _lookback(spark, sf_dir, [("COUNT(DISTINCT user_id)", 1)])
