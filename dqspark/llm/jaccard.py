@@ -125,7 +125,7 @@ def signed(values: np.ndarray, sizes: np.ndarray, level: np.ndarray) -> tuple[np
 
 
 def document_sets(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """``(doc_id, n_shingles, key, tail)``: the size and the hash of every document's set, and the
+    """``(doc_id, text_hash, n_shingles, key, ...)``: the size and the hash of every document's set, and the
     allowances in its own and in the next band."""
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -137,22 +137,28 @@ def document_sets(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -
                 yield pa.RecordBatch.from_arrays(
                     [
                         batch.column(0)[first:end],
+                        batch.column(2)[first:end],
                         pa.array(sizes),
                         pa.array(set_keys(values, sizes).view(np.int64)),
                         pa.array((own & 1).astype(np.int32)),
                         pa.array(allowed[0].astype(np.int32)),
                         pa.array(np.where(up, allowed[1], 0).astype(np.int32)),
                     ],
-                    ["doc_id", "n_shingles", "key", "parity", "allow_own", "allow_next"],
+                    ["doc_id", "text_hash", "n_shingles", "key", "parity", "allow_own", "allow_next"],
                 )
 
-    return docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text")).mapInArrow(
-        read, "doc_id long, n_shingles long, key long, parity int, allow_own int, allow_next int"
+    texts = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
+    return texts.withColumn("text_hash", F.xxhash64("text")).mapInArrow(
+        read, "doc_id long, text_hash long, n_shingles long, key long, parity int, allow_own int, allow_next int"
     )
 
 
 def signatures(docs: DataFrame, text: str, buckets: int) -> DataFrame:
-    """``(bucket, key, signatures)``: a set's signatures, dealt by value to so many buckets."""
+    """``(bucket, key, signatures)``: a set's signatures, dealt by their high bits to so many buckets.
+
+    Of a signature the low 32 bits are sent, which with the bucket tell it from others: the number of buckets
+    follows that of partitions. Two that agree by chance only make a candidate more.
+    """
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -176,14 +182,15 @@ def signatures(docs: DataFrame, text: str, buckets: int) -> DataFrame:
                         pa.array((cell[starts] % buckets).astype(np.int32)),
                         pa.array(keys[cell[starts] // buckets].view(np.int64)),
                         pa.ListArray.from_arrays(
-                            pa.array(np.append(starts, len(cell)).astype(np.int32)), pa.array(hashes.view(np.int64))
+                            pa.array(np.append(starts, len(cell)).astype(np.int32)),
+                            pa.array(hashes.astype(np.uint32).view(np.int32)),
                         ),
                     ],
                     ["bucket", "key", "signatures"],
                 )
 
     return docs.select(F.col(text).cast("string").alias("text")).mapInArrow(
-        read, "bucket int, key long, signatures array<long>"
+        read, "bucket int, key long, signatures array<int>"
     )
 
 
@@ -435,13 +442,19 @@ def document_sketches(texts: DataFrame) -> DataFrame:
 
 
 def jaccard_components(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """``(doc_id, n_shingles, component_id)`` for every row of ``docs``; other columns are not read.
+    """``(doc_id, n_shingles, component_id)`` for every row of ``docs``, as by :func:`components_of_texts`."""
+    return components_of_texts(docs, doc_id, text).drop("text_hash")
+
+
+def components_of_texts(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """``(doc_id, n_shingles, component_id, text_hash)`` for every row of ``docs``; other columns are not read.
 
     Documents link when their sets of five-word shingles (A-Z lower-cased; all words as one shingle
     where there are fewer) have a similarity of 0.75 or more; ``component_id`` is the least document
     that links reach. NULL, empty and blank texts have an empty set and link with nothing, also not with
     each other. Equal texts link as any others. A row with a NULL ``doc_id`` links but is never the
-    least one. Repeated rows give repeated rows. An empty table gives an empty result.
+    least one. Repeated rows give repeated rows; rows of one id with different texts, which ``text_hash`` (Spark's
+    ``xxhash64``) tells apart, each have their own component. Ids are whole numbers. An empty table gives an empty result.
     """
     spark = docs.sparkSession
     sets = stored(document_sets(docs, doc_id, text), "sets")
@@ -457,7 +470,8 @@ def jaccard_components(docs: DataFrame, doc_id: str = "doc_id", text: str = "tex
     met = (
         signatures(docs, text, max(parts, BUCKETS))
         .repartitionById(parts, F.col("bucket") % parts)
-        .select(F.explode("signatures").alias("signature"), "key")
+        .select("bucket", "key", F.explode("signatures").alias("low"))
+        .select(F.shiftleft(F.col("bucket").cast("long"), 32).bitwiseOR(F.col("low").cast("long").bitwiseAND(F.lit(2**32 - 1))).alias("signature"), "key")
         .sortWithinPartitions("signature", "key")
         .mapInArrow(meetings, "signature long, a long, b long")
     )
@@ -469,8 +483,8 @@ def jaccard_components(docs: DataFrame, doc_id: str = "doc_id", text: str = "tex
     leaders = hard.groupBy("signature").agg(F.max(F.struct("crowded", "key")).alias("leader"))
     leaders = leaders.select("signature", F.col("leader.key").alias("leader"))
     starred = hard.join(leaders, "signature").filter("key <> leader")
-    starred = starred.select(F.least("key", "leader").alias("a"), F.greatest("key", "leader").alias("b"))
-    pairs = stored(light.unionAll(starred).distinct(), "pairs")
+    starred = starred.select("signature", F.least("key", "leader").alias("a"), F.greatest("key", "leader").alias("b"))
+    pairs = stored(light.unionAll(starred.select("a", "b")).distinct(), "pairs")
 
     wanted = pairs.select(F.col("a").alias("key")).unionAll(pairs.select(F.col("b").alias("key")))
     wanted = wanted.unionAll(hard.select("key")).distinct()
@@ -478,8 +492,10 @@ def jaccard_components(docs: DataFrame, doc_id: str = "doc_id", text: str = "tex
     near = stored(near_pairs(pairs, bits), "near")
     links = stored(_linked(near, docs, doc_id, text, classes), "verified")
     roots = stored(connected_components(links.select(F.col("doc_a").alias("a"), F.col("doc_b").alias("b"))), "roots")
-    # Within crowded signatures, members of different components have not met: compare them all.
-    tied = hard.join(classes.select("key", "least"), "key").join(roots.withColumnRenamed("node", "least"), "least", "left")
+    # Within crowded signatures, members of different components have not met: compare them all. Where every member
+    # links to the leader, there is one component.
+    loose = starred.join(links.select("a", "b"), ["a", "b"], "left_anti").select("signature").distinct()
+    tied = hard.join(loose, "signature", "left_semi").join(classes.select("key", "least"), "key").join(roots.withColumnRenamed("node", "least"), "least", "left")
     tied = tied.select("signature", "key", F.coalesce("root", "least").alias("root"))
     open_ = tied.groupBy("signature").agg(F.min("root").alias("r0"), F.max("root").alias("r1")).filter("r0 < r1")
     tied = stored(tied.join(open_.select("signature"), "signature", "left_semi"), "tied")
@@ -494,7 +510,7 @@ def jaccard_components(docs: DataFrame, doc_id: str = "doc_id", text: str = "tex
         "key", "n_shingles", F.coalesce("root", "least").alias("component_id")
     )
     return sets.join(named, ["key", "n_shingles"], "left").select(
-        "doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id")
+        "doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"), "text_hash"
     )
 
 

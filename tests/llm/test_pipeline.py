@@ -46,3 +46,25 @@ def test_run_gives_the_last_stage(spark, stages):
     pd.testing.assert_frame_equal(
         got.sort_values(order, ignore_index=True), stages[-1].sort_values(order, ignore_index=True)
     )
+
+
+def test_texts_of_one_id_are_told_apart(spark):
+    near = "one two three four five six seven eight nine ten eleven twelve thirteen fourteen fifteen sixteen seventeen"
+    rows = [
+        (1, near), (5, near + " more"), (5, "a wholly different text that stays where it is for good"), (5, near + " more"),
+        (6, near), (7, None), (7, "another text"), (None, near), (8, ""), (8, ""),
+    ]
+    docs = spark.createDataFrame([(i, t, "en", "s", len(t or "")) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    kept = corpus_pipeline.one_of_each_group(spark, docs, "")
+    assert kept.columns == docs.columns
+    assert sorted(((r["doc_id"], r["text"]) for r in kept.collect()), key=str) == sorted(
+        [(1, near), (5, rows[2][1]), (7, None), (7, "another text"), (None, near), (8, ""), (8, "")], key=str
+    )
+
+
+def test_stages_of_an_empty_table(spark):
+    docs = spark.createDataFrame([], "doc_id long, text string, lang string, source string, n_chars long")
+    for _, stage in corpus_pipeline.STAGES:
+        made = stage(spark, docs, TINY)
+        assert made.collect() == []
+        docs = made if made.columns == docs.columns else docs
