@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from dqspark.llm.bpe import token_digests
-from dqspark.llm.jaccard import jaccard_components
+from dqspark.llm.jaccard import components_of_texts
 from dqspark.llm.langid import fit_languages, held_out, identify_languages
 from dqspark.llm.lines import dedup_lines
 from dqspark.llm.mixing import mix_copies
@@ -34,12 +34,15 @@ def without_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
 
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The smallest document of each group of near duplicates. Documents without an id stay."""
-    dropped = stored(
-        jaccard_components(docs.select("doc_id", "text")).filter("component_id <> doc_id").select("doc_id"), "dropped"
-    )
+    """The smallest document of each group of near duplicates.
+
+    A row is known by its id and its text, so of two texts under one id only that goes which has a smaller near
+    duplicate. Equal rows stay or go together. Documents without an id stay. An empty table stays empty.
+    """
+    found = components_of_texts(docs.select("doc_id", "text")).filter("component_id <> doc_id")
+    dropped = stored(found.select("doc_id", "text_hash").distinct(), "dropped")
     dropped = F.broadcast(dropped) if is_bounded(dropped) else dropped
-    return docs.join(dropped, "doc_id", "left_anti").select(docs.columns)
+    return docs.withColumn("text_hash", F.xxhash64("text")).join(dropped, ["doc_id", "text_hash"], "left_anti").select(docs.columns)
 
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
