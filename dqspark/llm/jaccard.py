@@ -39,6 +39,8 @@ BLOCK = 1024
 BUCKETS = 64
 """Least number of parts in which a set's signatures are sent, whatever the number of partitions."""
 MAX_SENT_IDS = 1_000_000
+NO_ID = 2**63 - 1
+"""Stands for the id of a class of which no row has one."""
 ONE = np.uint64(1)
 
 
@@ -491,29 +493,33 @@ def components_of_texts(docs: DataFrame, doc_id: str = "doc_id", text: str = "te
     bits = stored(document_sketches(_texts_of(docs, doc_id, text, wanted, classes)), "sketches")
     near = stored(near_pairs(pairs, bits), "near")
     links = stored(_linked(near, docs, doc_id, text, classes), "verified")
-    roots = stored(connected_components(links.select(F.col("doc_a").alias("a"), F.col("doc_b").alias("b"))), "roots")
+    roots = stored(_components(links), "roots")
     # Within crowded signatures, members of different components have not met: compare them all. Where every member
     # links to the leader, there is one component.
     loose = starred.join(links.select("a", "b"), ["a", "b"], "left_anti").select("signature").distinct()
-    tied = hard.join(loose, "signature", "left_semi").join(classes.select("key", "least"), "key").join(roots.withColumnRenamed("node", "least"), "least", "left")
-    tied = tied.select("signature", "key", F.coalesce("root", "least").alias("root"))
+    tied = hard.join(loose, "signature", "left_semi").join(roots.select("key", F.col("root.key").alias("root")), "key", "left")
+    tied = tied.select("signature", "key", F.coalesce("root", "key").alias("root"))
     open_ = tied.groupBy("signature").agg(F.min("root").alias("r0"), F.max("root").alias("r1")).filter("r0 < r1")
     tied = stored(tied.join(open_.select("signature"), "signature", "left_semi"), "tied")
     tied = stored(tied.join(bits.drop("sketch"), "key"), "sketched")
     rest = stored(_across(tied, parts).join(pairs, ["a", "b"], "left_anti"), "rest")
     rest = _linked(stored(near_pairs(rest, bits), "near"), docs, doc_id, text, classes)
-    more = stored(
-        links.select("doc_a", "doc_b").unionAll(rest.select("doc_a", "doc_b")).toDF("a", "b"), "links"
-    )
-    roots = connected_components(more)
-    named = classes.join(roots.withColumnRenamed("node", "least"), "least", "left").select(
-        "key", "n_shingles", F.coalesce("root", "least").alias("component_id")
+    more = stored(links.unionAll(rest.select(links.columns)), "links")
+    named = classes.join(_components(more), "key", "left").select(
+        "key", "n_shingles", F.nullif(F.coalesce("root.least", "least"), F.lit(NO_ID)).alias("component_id")
     )
     return sets.join(named, ["key", "n_shingles"], "left").select(
         "doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"), "text_hash"
     )
 
 
+def _components(links: DataFrame) -> DataFrame:
+    """``(key, root)`` of the classes in links. A node is a class's least document and its key, so that the root of a
+    component has its least document, and texts that share an id are nodes of their own."""
+    nodes = [F.struct(F.coalesce(f"doc_{k}", F.lit(NO_ID)).alias("least"), F.col(k).alias("key")).alias(k) for k in "ab"]
+    return connected_components(links.select(*nodes)).select(F.col("node.key").alias("key"), "root")
+
+
 def _hard_members(crowded: DataFrame, classes: DataFrame) -> DataFrame:
     """Members of crowded signatures that may hide a partner: more of them than the set's allowance."""
     parity = F.col("signature").bitwiseAND(F.lit(1)).cast("int")
