@@ -486,6 +486,7 @@ def components_of_texts(docs: DataFrame, doc_id: str = "doc_id", text: str = "te
     leaders = leaders.select("signature", F.col("leader.key").alias("leader"))
     starred = hard.join(leaders, "signature").filter("key <> leader")
     starred = starred.select("signature", F.least("key", "leader").alias("a"), F.greatest("key", "leader").alias("b"))
+    starred = stored(starred, "starred")
     pairs = stored(light.unionAll(starred.select("a", "b")).distinct(), "pairs")
 
     wanted = pairs.select(F.col("a").alias("key")).unionAll(pairs.select(F.col("b").alias("key")))
