@@ -18,7 +18,9 @@ from dqspark.plans.joins import quoted
 
 log = logging.getLogger(__name__)
 
+# The folders of a time of ingestion.
 INGESTION_PARTS = ("year", "month", "day", "hour", "minute")
+RUN = "run_id"
 
 
 def for_csv(df: DataFrame) -> DataFrame:
@@ -60,6 +62,17 @@ def write_metrics(
     return list(parts)
 
 
+def write_run(rows: DataFrame, path: str, run_id: str, parts: Sequence[str] = ()) -> None:
+    """Write the rows of one run under ``run_id=``, in place of what an earlier attempt of that run has written.
+
+    Spark stages the files of a job and moves them when all tasks have ended; then only the folders of this run are
+    replaced. So a run that is repeated, after a failure or by mistake, gives its rows once, and other runs stay.
+    """
+    placed = rows.withColumn(RUN, F.lit(str(run_id)))
+    writer = placed.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    writer.partitionBy(RUN, *parts).parquet(path)
+
+
 def write_families(
     spark: SparkSession,
     families: Iterable[Family],
@@ -67,27 +80,47 @@ def write_families(
     status_path: str,
     source_id: str,
     mode: str = "approx",
+    run_id: str | None = None,
     **options,
 ) -> None:
     """Evaluate and write each family, and the status of its indicators with the error if it failed.
 
-    A family that fails does not keep the others from being written.
+    A family that fails does not keep the others from being written. With a ``run_id``, metrics and statuses lie
+    under the run and the family, and writing the run once more replaces them (:func:`write_run`).
     """
     for family in families:
         error = None
         try:
             place = {"org_id": family.org_id, "source_id": source_id, "compute_hash": family.key}
-            write_metrics(evaluate_family(spark, family, mode), path, place, **options)
+            result = evaluate_family(spark, family, mode)
+            if run_id is None:
+                write_metrics(result, path, place, **options)
+            else:
+                found = observed_only(result) if family.timestamp else result
+                placed = found.withColumns({name: F.lit(str(value)) for name, value in place.items()})
+                write_run(placed, path, run_id, list(place))
         except Exception as failure:  # noqa: BLE001 - the status row carries it
             log.warning("family %s failed: %s", family.key, failure)
             error = str(failure)
-        write_statuses(spark, family, status_path, error)
+        write_statuses(spark, family, status_path, error, run_id)
 
 
-def write_statuses(spark: SparkSession, family: Family, path: str, error: str | None = None) -> None:
-    rows = [(i, t) for i in family.indicator_ids for t in family.times]
-    frame = spark.createDataFrame(rows, "indicator_id bigint, evaluation_time bigint")
-    indicator_statuses(frame, error).write.mode("append").parquet(path)
+def family_statuses(spark: SparkSession, family: Family) -> DataFrame:
+    """``(indicator_id, evaluation_time)`` of each indicator and time of a family, made by tasks from the two lists."""
+    ids = spark.createDataFrame([(family.indicator_ids, list(family.times))], "ids array<bigint>, times array<bigint>")
+    each = ids.select(F.explode("ids").alias("indicator_id"), "times")
+    return each.select("indicator_id", F.explode("times").alias("evaluation_time"))
+
+
+def write_statuses(
+    spark: SparkSession, family: Family, path: str, error: str | None = None, run_id: str | None = None
+) -> None:
+    """Append the statuses of a family, or write them in place of those of the same run."""
+    rows = indicator_statuses(family_statuses(spark, family), error)
+    if run_id is None:
+        rows.write.mode("append").parquet(path)
+    else:
+        write_run(rows.withColumn("compute_hash", F.lit(family.key)), path, run_id, ["compute_hash"])
 
 
 def run_log(

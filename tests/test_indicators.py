@@ -36,8 +36,8 @@ def test_filter_fingerprints(spark):
 @pytest.mark.parametrize(
     "calculation, kind",
     [
-        ("100.0 * COUNT(test)/COUNT(*)", "NONE"), ("COUNT(distinct partnerid)", "COUNT_DISTINCT"),
-        ("approx_percentile(price, 0.5)", "DECILE"), (" count( DISTINCT lower(trim(a)) ) ", "COUNT_DISTINCT"),
+        ("100.0 * COUNT(p_size)/COUNT(*)", "NONE"), ("COUNT(distinct p_container)", "COUNT_DISTINCT"),
+        ("approx_percentile(p_retailprice, 0.5)", "DECILE"), (" count( DISTINCT lower(trim(a)) ) ", "COUNT_DISTINCT"),
         ("count(distinct a) + count(distinct b)", "NONE"), ("count(distinct_id)", "NONE"), ("sum(x)", "NONE"),
         ("count(distinct a) FILTER (WHERE b > 1)", "NONE"),
     ],

@@ -30,6 +30,27 @@ def test_families_and_statuses(spark, tmp_path):
     assert "error" in status[8, 100_000]
 
 
+def test_a_run_that_is_repeated_is_written_once(spark, tmp_path):
+    spark.createDataFrame([("a", 5), ("b", 150), ("b", None)], "g string, t bigint").createOrReplaceTempView("run_data")
+    out, log = str(tmp_path / "out"), str(tmp_path / "log")
+    good = family("SELECT * FROM run_data", [("COUNT(*)", 1)])
+    bad = family("SELECT * FROM run_data", [("SUM(raise_error('broken'))", 1)])
+    for families in ([bad], [good], [good]):
+        K.write_families(spark, families, out, log, "src", run_id="r1")
+    K.write_families(spark, [good], out, log, "src", run_id="r2")
+    assert sorted((r["run_id"], r["g"], r["_indicator_1"]) for r in spark.read.parquet(out).collect()) == [
+        ("r1", "a", 1), ("r1", "b", 1), ("r2", "a", 1), ("r2", "b", 1),
+    ]
+    rows = spark.read.parquet(log).collect()
+    assert len(rows) == 4 and all(r["meta"] == {} for r in rows)
+
+
+def test_statuses_of_many_times_are_made_by_tasks(spark):
+    many = I.Family("key", 3, 1, "", "g", "", "t", 100, [("COUNT(*)", i) for i in range(40)], list(range(500)))
+    rows = K.family_statuses(spark, many)
+    assert rows.count() == 20_000 and rows.filter("indicator_id = 39 and evaluation_time = 499").count() == 1
+
+
 def test_rows_without_range_are_left_out(spark, tmp_path):
     df = spark.createDataFrame([(1, 5, 6), (2, None, 6)], "v int, _result_min_ts int, _result_max_ts int")
     K.write_metrics(df, str(tmp_path / "m"), {"a": 1}, AT)

@@ -196,22 +196,22 @@ WITH d AS (
   SELECT p_partkey, p_partkey % 5 AS ds, 3600 * (1 + p_size % 4) AS lb,
     CASE WHEN p_size % 2 = 0 THEN p_brand || ',  ' || p_type ELSE p_type || ',' || p_brand END AS g,
     '((p_brand = ''' || p_brand || ''') AND (p_size > 10))' AS f,
-    CASE p_partkey % 4 WHEN 0 THEN 'COUNT(distinct partnerid)' WHEN 1 THEN 'approx_percentile(price, 0.5)'
-      WHEN 2 THEN '100.0 * COUNT(test)/COUNT(*)' ELSE 'count(DISTINCT a) + count(DISTINCT b)' END AS c
+    CASE p_partkey % 4 WHEN 0 THEN 'COUNT(distinct p_container)' WHEN 1 THEN 'approx_percentile(p_retailprice, 0.5)'
+      WHEN 2 THEN '100.0 * COUNT(p_size)/COUNT(*)' ELSE 'count(DISTINCT a) + count(DISTINCT b)' END AS c
   FROM part)
 SELECT p_partkey AS indicator_id,
   concat_ws('_', ds::VARCHAR, sha1(array_to_string(list_sort(list_transform(string_split(g, ','), lambda x: trim(x))), ',')),
     sha1(f), lb::VARCHAR, sha1('*/5 * * * *')) AS compute_hash,
-  CASE c WHEN 'COUNT(distinct partnerid)' THEN 'COUNT_DISTINCT'
-    WHEN 'approx_percentile(price, 0.5)' THEN 'DECILE' ELSE 'NONE' END AS sketch_type
+  CASE c WHEN 'COUNT(distinct p_container)' THEN 'COUNT_DISTINCT'
+    WHEN 'approx_percentile(p_retailprice, 0.5)' THEN 'DECILE' ELSE 'NONE' END AS sketch_type
 FROM d
 """)
 def family_keys(spark, sf_dir):
     key, size, brand = F.col("p_partkey"), F.col("p_size"), F.col("p_brand")
     calculation = (
-        F.when(key % 4 == 0, "COUNT(distinct partnerid)")
-        .when(key % 4 == 1, "approx_percentile(price, 0.5)")
-        .when(key % 4 == 2, "100.0 * COUNT(test)/COUNT(*)")
+        F.when(key % 4 == 0, "COUNT(distinct p_container)")
+        .when(key % 4 == 1, "approx_percentile(p_retailprice, 0.5)")
+        .when(key % 4 == 2, "100.0 * COUNT(p_size)/COUNT(*)")
         .otherwise("count(DISTINCT a) + count(DISTINCT b)")
     )
     condition = F.concat(F.lit("p_brand = '"), brand, F.lit("'"))

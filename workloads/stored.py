@@ -113,6 +113,33 @@ def metrics_table(spark, sf_dir):
     )
 
 
+@query("""
+SELECT r AS run_id, event_type, count(*) AS _indicator_1, round(sum(value), 2) AS _indicator_2, 't' || t::VARCHAR AS end_time,
+  (SELECT count(*) FROM range(4) s(i)) AS statuses
+FROM events, (VALUES ('monday', 1705276800), ('monday', 1706659200), ('tuesday', 1706659200)) runs(r, t)
+WHERE epoch(ts) >= t - 864000 AND epoch(ts) < t GROUP BY r, t, event_type
+""")
+def repeated_runs(spark, sf_dir):
+    """Two runs of one family; the first fails halfway, is repeated, and is written once more by mistake."""
+    path, statuses = scratch_path(spark, "runs"), scratch_path(spark, "run-statuses")
+    events = f"{sf_dir.rstrip('/')}/events.parquet"
+
+    def family(times, dataset=f"SELECT * FROM parquet.`{events}`"):
+        return I.Family("k", 7, 1, dataset, "event_type", "", "ts", 10 * 86400, [("COUNT(*)", 1), ("SUM(value)", 2)], times)
+
+    both = [1_705_276_800, 1_706_659_200]
+    K.write_families(spark, [family(both, "SELECT * FROM no_such_table")], path, statuses, "web", run_id="monday")
+    for _ in range(2):
+        K.write_families(spark, [family(both)], path, statuses, "web", run_id="monday")
+    K.write_families(spark, [family(both[1:])], path, statuses, "web", run_id="tuesday")
+    monday = spark.read.parquet(statuses).filter((F.col("run_id") == "monday") & (F.size("meta") == 0))
+    return spark.read.parquet(path).select(
+        F.col("run_id").cast("string").alias("run_id"), "event_type", "_indicator_1", F.round("_indicator_2", 2).alias("_indicator_2"),
+        F.concat(F.lit("t"), F.col("_lookback_range_end_ts").cast("string")).alias("end_time"),
+        monday.agg(F.count(F.lit(1))).scalar().alias("statuses"),
+    )
+
+
 @query("""
 SELECT event_type, count(*) AS _indicator_1, true AS sketch_is_text FROM events GROUP BY 1
 """)
