@@ -15,6 +15,7 @@ from dqspark.plans.joins import quoted
 
 log = logging.getLogger(__name__)
 
+# Labels, prefixes and names of output columns.
 EMPTY_LABEL = "<empty>"
 PARTITION_PREFIX = "partition."
 OBJECT_PREFIX = "object."
