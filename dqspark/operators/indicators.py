@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import functools
 import hashlib
 import itertools
+import logging
 import math
+import operator
 import re
-from collections.abc import Callable, Iterator, Mapping, Sequence
+from collections.abc import Callable, Iterable, Iterator, Mapping, Sequence
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, GroupedData, SparkSession, Window
@@ -22,9 +25,11 @@ from dqspark.functions.columns import (
 )
 from dqspark.functions.timecols import evaluation_times
 from dqspark.operators.sketches import HLL_LG_K
-from dqspark.plans.joins import epoch_seconds, in_time_range, interval_join, lookup_join, quoted, windows_frame
+from dqspark.plans.joins import BUCKETS_PER_WINDOW, epoch_seconds, in_time_range, interval_join, lookup_join, quoted, windows_frame
 from dqspark.plans.storage import stored
 
+log = logging.getLogger(__name__)
+
 NONE, COUNT_DISTINCT, DECILE = "NONE", "COUNT_DISTINCT", "DECILE"
 MODES = ("plain", "exact", "approx", "sketch")
 
@@ -35,6 +40,9 @@ MAX_DRIVER_TIMES = 2_000
 MIN_OVERLAP = 3
 MAX_PANES_PER_WINDOW = 4096
 
+# Families of one dataset that one scan answers.
+SHARED_FAMILIES = 32
+
 # Windows per row up to which Spark's own window expression is used.
 MAX_WINDOW_RATIO = 64
 
@@ -74,34 +82,39 @@ def _arguments(text: str) -> list[str]:
     return [a.strip() for a in out]
 
 
-def _distinct(operands: list[str], mode: str) -> Column:
+def _distinct(operands: list[str], mode: str) -> str:
     """Distinct values, or combinations without NULL, of the operands."""
     if mode == "exact":
-        return F.expr(f"count(DISTINCT {', '.join(operands)})")
+        return f"count(DISTINCT {', '.join(operands)})"
     value = operands[0]
     if len(operands) > 1:
         full = " AND ".join(f"({o}) IS NOT NULL" for o in operands)
         value = f"CASE WHEN {full} THEN struct({', '.join(operands)}) END"
     if mode == "approx":
-        return F.expr(f"approx_count_distinct({value})")
+        return f"approx_count_distinct({value})"
     text = f"to_json({value})" if len(operands) > 1 else f"CAST({value} AS string)"
-    return F.expr(f"hll_sketch_agg({text}, {HLL_LG_K})")
+    return f"hll_sketch_agg({text}, {HLL_LG_K})"
 
 
-def _percentile(calculation: str, arguments: list[str], mode: str) -> Column:
+def _percentile(calculation: str, arguments: list[str], mode: str) -> str:
     """A percentile of a value by a share or an array of shares; a third argument is an accuracy."""
     if mode == "approx" or len(arguments) not in (2, 3):
-        return F.expr(calculation)
+        return calculation.strip()
     operand, share = arguments[:2]
     if mode == "sketch":
-        return F.expr(f"kll_sketch_agg_double(CAST({operand} AS double))")
+        return f"kll_sketch_agg_double(CAST({operand} AS double))"
     if SHARE.fullmatch(share):
-        return F.expr(f"percentile_cont({share}) WITHIN GROUP (ORDER BY {operand})")
-    return F.expr(f"percentile({operand}, {share})")
+        return f"percentile_cont({share}) WITHIN GROUP (ORDER BY {operand})"
+    return f"percentile({operand}, {share})"
 
 
 def calculation_column(calculation: str, mode: str = "approx") -> Column:
-    """The aggregate of a calculation.
+    """The aggregate of a calculation, which is :func:`calculation_sql` of it."""
+    return F.expr(calculation_sql(calculation, mode))
+
+
+def calculation_sql(calculation: str, mode: str = "approx") -> str:
+    """The Spark SQL of a calculation.
 
     ``COUNT(DISTINCT x)`` and ``approx_percentile(x, p)`` become exact or approximate values or a
     sketch, by ``mode``; ``plain`` leaves them alone. ``stddev(x)`` reads ``x`` as a number. All
@@ -118,10 +131,12 @@ def calculation_column(calculation: str, mode: str = "approx") -> Column:
             return _percentile(calculation, _arguments(percentile.group(1)), mode)
     deviation = re.match(STDDEV_CALL, calculation)
     if deviation:
-        return F.expr(f"stddev(try_cast({deviation.group(1).strip()} AS double))")
-    return F.expr(calculation)
+        return f"stddev(try_cast({deviation.group(1).strip()} AS double))"
+    return calculation.strip()
 
 
+# Calls that a FILTER clause can follow, beside the mergeable ones.
+ONE_CALL = (DISTINCT_CALL, PERCENTILE_CALL, STDDEV_CALL)
 MERGEABLE_CALL = re.compile(rf"(?is)^\s*(count|sum|min|max|avg)\s*\((?!\s*distinct\b)({_ARGUMENTS})\)\s*$")
 
 
@@ -129,7 +144,7 @@ MERGEABLE_CALL = re.compile(rf"(?is)^\s*(count|sum|min|max|avg)\s*\((?!\s*distin
 class Mergeable:
     """An aggregate as partial aggregates of panes, the merge of those, and how each merges to one of its kind."""
 
-    partials: dict[str, Column]
+    partials: dict[str, str]
     merged: Column
     combine: dict[str, Callable[[Column], Column]]
 
@@ -145,7 +160,7 @@ def mergeable(dataset: DataFrame, calculation: str, name: str, mode: str = "appr
             (PERCENTILE_CALL, lambda c: F.call_function("kll_merge_agg_double", c)),
         ):
             if re.match(pattern, calculation):
-                return Mergeable({name: calculation_column(calculation, mode)}, merge(F.col(quoted(name))), {name: merge})
+                return Mergeable({name: calculation_sql(calculation, mode)}, merge(F.col(quoted(name))), {name: merge})
     call = MERGEABLE_CALL.match(calculation)
     if not call:
         return None
@@ -153,11 +168,11 @@ def mergeable(dataset: DataFrame, calculation: str, name: str, mode: str = "appr
     if kind == "avg":
         if dataset.select(F.expr(calculation).alias("v")).schema["v"].dataType != T.DoubleType():
             return None
-        parts = {f"{name}#sum": F.expr(f"sum(CAST({call.group(2)} AS double))"), f"{name}#n": F.expr(f"count({call.group(2)})")}
+        parts = {f"{name}#sum": f"sum(CAST({call.group(2)} AS double))", f"{name}#n": f"count({call.group(2)})"}
         total, n = (F.sum(F.col(quoted(part))) for part in parts)
         return Mergeable(parts, F.try_divide(total, n), {part: F.sum for part in parts})
     merge = {"count": F.sum, "sum": F.sum, "min": F.min, "max": F.max}[kind]
-    return Mergeable({name: F.expr(calculation)}, merge(whole), {name: merge})
+    return Mergeable({name: calculation.strip()}, merge(whole), {name: merge})
 
 
 def _all_mergeable(
@@ -173,7 +188,7 @@ def _panes(rows: DataFrame, forms: dict[str, Mergeable], timestamp: str, width:
     """Partial aggregates per group and pane of ``width`` seconds, ``_pane`` being its first second."""
     ts = F.col(quoted(timestamp))
     start = F.floor(epoch_seconds(rows, timestamp) / width) * width
-    partials = [e.alias(n) for m in forms.values() for n, e in m.partials.items()]
+    partials = [F.expr(e).alias(n) for m in forms.values() for n, e in m.partials.items()]
     partials += [F.min(ts).alias("_result_min_ts"), F.max(ts).alias("_result_max_ts")]
     return rows.filter(ts.isNotNull()).groupBy(*keys, start.alias("_pane")).agg(*partials)
 
@@ -601,13 +616,159 @@ def evaluate_family(spark: SparkSession, family: Family, mode: str = "approx") -
     )
 
 
+def batches_of_families(found: Iterable[Family], most: int = SHARED_FAMILIES) -> Iterator[list[Family]]:
+    """Neighbouring families over one dataset and time column, up to ``most`` at once, as one scan can answer."""
+    for _, alike in itertools.groupby(found, key=lambda f: (f.dataset_query, f.timestamp)):
+        while batch := list(itertools.islice(alike, most)):
+            yield batch
+
+
+def _is_shareable(family: Family) -> bool:
+    """Whether other families may be evaluated beside it: every calculation is one call, which a condition can follow.
+
+    What is computed from several calls would also be computed over the rows of the other families, and may fail there. Without
+    times and groups there is a row even for no data, which no group stands for.
+    """
+    one_call = all(MERGEABLE_CALL.match(c) or any(re.match(p, c) for p in ONE_CALL) for c, _ in family.calculations)
+    return one_call and bool(family.times if family.timestamp else family.group_fields)
+
+
+@dataclass
+class _Shared:
+    """How one family takes part in a shared scan: by panes if ``forms`` are given, else by its windows."""
+
+    number: int
+    family: Family
+    forms: dict[str, Mergeable] | None
+    width: int
+    passes: Column
+    columns: dict[str, str] = field(default_factory=dict)
+
+    @property
+    def sql(self) -> dict[str, str]:
+        return {n: e for m in self.forms.values() for n, e in m.partials.items()} if self.forms else {}
+
+
+def _shared_member(dataset: DataFrame, number: int, family: Family, mode: str) -> _Shared:
+    passes = F.expr(f"({family.filters})") if family.filters else F.lit(True)
+    forms, width = None, 0
+    if family.timestamp:
+        first, last = min(family.times) - family.lookback, max(family.times)
+        passes = passes & in_time_range(dataset, family.timestamp, first, last)
+        width = pane_width(family.times, family.lookback)
+        forms = _all_mergeable(dataset, family.calculations, mode) if width else None
+        width = width if forms else max(1, -(-family.lookback // BUCKETS_PER_WINDOW))
+    return _Shared(number, family, forms, width, passes)
+
+
+def shared_aggregate(dataset: DataFrame, members: Sequence[_Shared], mode: str) -> DataFrame:
+    """One aggregate of ``dataset`` that holds the groups of all ``members``, told apart by ``_family``.
+
+    Each row is repeated, within its task, for the families whose filter and time range it passes. The copies are
+    grouped by family, window or pane, and the fields of the family, which are NULL for the others; a calculation
+    reads only the copies of the families that ask for it. The scan is filtered by what any family passes.
+    """
+    timestamp = members[0].family.timestamp
+    epoch = epoch_seconds(dataset, timestamp) if timestamp else F.lit(None).cast("bigint")
+    none = F.lit(None).cast("bigint")
+    copies = []
+    for m in members:
+        place = F.floor(epoch / m.width).cast("bigint") if timestamp else none
+        pane, bucket = (place * m.width, none) if m.forms else (none, place)
+        copy = F.struct(F.lit(m.number).alias("f"), pane.alias("pane"), bucket.alias("bucket"))
+        copies.append(F.when(m.passes, copy))
+    rows = dataset.filter(functools.reduce(operator.or_, [m.passes for m in members]))
+    rows = rows.select("*", F.explode(F.array_compact(F.array(*copies))).alias("_copy")).withColumns({
+        "_family": F.col("_copy.f"), "_pane": F.col("_copy.pane"), "_bucket": F.col("_copy.bucket")
+    }).drop("_copy")
+    by_window = [m for m in members if timestamp and not m.forms]
+    if by_window:
+        listed = [(m.number, m.width, t - m.family.lookback, t) for m in by_window for t in sorted(set(m.family.times))]
+        windows = dataset.sparkSession.createDataFrame(
+            listed, "_family int, _width bigint, _window_start bigint, _window_end bigint"
+        ).filter("_window_end > _window_start")
+        first, last = F.floor(F.col("_window_start") / F.col("_width")), F.floor((F.col("_window_end") - 1) / F.col("_width"))
+        windows = windows.withColumn("_bucket", F.explode(F.sequence(first, last))).drop("_width")
+        rows = lookup_join(rows.withColumn("_epoch", epoch_seconds(rows, timestamp)), windows, ["_family", "_bucket"])
+        rows = rows.filter("_bucket IS NULL OR (_epoch >= _window_start AND _epoch < _window_end)")
+    else:
+        rows = rows.withColumns({"_window_start": none, "_window_end": none})
+
+    users: dict[str, list[int]] = {}
+    fields: dict[str, list[int]] = {}
+    for m in members:
+        sql = m.sql or {f"{INDICATOR_PREFIX}{i}": calculation_sql(c, mode) for c, i in m.family.calculations}
+        for name, text in sql.items():
+            users.setdefault(text, []).append(m.number)
+            m.columns[name] = f"_value{list(users).index(text)}"
+        for name in _group_list(m.family.group_fields):
+            fields.setdefault(name, []).append(m.number)
+            m.columns[group_name(name)] = f"_key{list(fields).index(name)}"
+    keys = [
+        F.when(F.col("_family").isin(mine), aliased(name)).alias(f"_key{i}") for i, (name, mine) in enumerate(fields.items())
+    ]
+    values = [
+        F.expr(f"{text} FILTER (WHERE _family IN ({', '.join(str(n) for n in sorted(set(mine)))}))").alias(f"_value{i}")
+        for i, (text, mine) in enumerate(users.items())
+    ]
+    if timestamp:
+        ts = F.col(quoted(timestamp))
+        values += [F.min(ts).alias("_result_min_ts"), F.max(ts).alias("_result_max_ts")]
+    return rows.groupBy("_family", "_pane", "_window_start", "_window_end", *keys).agg(*values)
+
+
+def _member_result(dataset: DataFrame, done: DataFrame, m: _Shared, mode: str) -> DataFrame:
+    """The rows of one family from the shared aggregate, as :func:`evaluate_family` gives them."""
+    family = m.family
+    names = [group_name(g) for g in _group_list(family.group_fields)]
+    own = [F.col(column).alias(name) for name, column in m.columns.items()]
+    mine = done.filter(F.col("_family") == m.number)
+    if not family.timestamp:
+        return mine.select(*own).select(*[quoted(n) for n in [*names, *(f"{INDICATOR_PREFIX}{i}" for i in family.indicator_ids)]])
+    ranges = [F.col("_result_min_ts"), F.col("_result_max_ts")]
+    if m.forms:
+        exprs = [calculation_column(c, mode).alias(f"{INDICATOR_PREFIX}{i}") for c, i in family.calculations]
+        windows = windows_frame(dataset.sparkSession, family.times, family.lookback)
+        pairs = interval_join(mine.select(*own, *ranges, "_pane"), windows, "_pane", family.lookback)
+        mine = pairs.groupBy(*[quoted(n) for n in names], "_window_start", "_window_end").agg(*_merges(dataset, m.forms, exprs))
+    else:
+        mine = mine.select(*own, *ranges, "_window_start", "_window_end")
+    mine = mine.withColumnsRenamed(
+        {"_window_start": "_lookback_range_start_ts", "_window_end": "_lookback_range_end_ts"}
+    )
+    return _series_columns(mine, names, family.calculations)
+
+
+def shared_results(spark: SparkSession, batch: Sequence[Family], mode: str = "approx") -> dict[int, DataFrame]:
+    """By their place, the results of families over one dataset and time column that one scan answers.
+
+    They are what :func:`evaluate_family` gives, which is left to evaluate the others: families that cannot share (their
+    calculations combine several calls, or they have neither times nor groups), and all families if the shared job
+    fails, so that the fault of one stays its own. The shared aggregate is stored and each family reads its rows;
+    this runs a job.
+    """
+    able = [n for n, family in enumerate(batch) if _is_shareable(family)]
+    if len(able) < 2:
+        return {}
+    try:
+        dataset = spark.sql(batch[0].dataset_query)
+        members = [_shared_member(dataset, n, batch[n], mode) for n in able]
+        done = stored(shared_aggregate(dataset, members, mode), "families")
+        return {m.number: _member_result(dataset, done, m, mode) for m in members}
+    except Exception as failure:  # noqa: BLE001 - evaluated one by one, each shows its own
+        log.warning("families over dataset %s are evaluated one by one: %s", batch[0].dataset_id, failure)
+        return {}
+
+
 def evaluate_definitions(
     definitions: DataFrame, mode: str = "approx", sketch_in_key: bool = False
 ) -> Iterator[tuple[Family, DataFrame]]:
-    """Each family with its result, for a sink to write one after the other."""
+    """Each family with its result, for a sink to write one after the other; families of a dataset share a scan."""
     spark = definitions.sparkSession
-    for family in families(definitions, sketch_in_key):
-        yield family, evaluate_family(spark, family, mode)
+    for batch in batches_of_families(families(definitions, sketch_in_key)):
+        shared = shared_results(spark, batch, mode)
+        for n, family in enumerate(batch):
+            yield family, shared[n] if n in shared else evaluate_family(spark, family, mode)
 
 
 def backfill(definitions: DataFrame, times: DataFrame) -> DataFrame:

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from dqspark.functions.columns import to_base64_text
-from dqspark.operators.indicators import Family, evaluate_family, observed_only
+from dqspark.operators.indicators import Family, batches_of_families, evaluate_family, observed_only, shared_results
 from dqspark.operators.profile import dimension_values, time_range
 from dqspark.operators.tags import TAG_SCHEMA, indicator_statuses
 from dqspark.plans.joins import quoted
@@ -85,24 +85,27 @@ def write_families(
 ) -> None:
     """Evaluate and write each family, and the status of its indicators with the error if it failed.
 
-    A family that fails does not keep the others from being written. With a ``run_id``, metrics and statuses lie
+    Families that lie together and read one dataset share a scan. One that fails does not keep the others from being
+    written. With a ``run_id``, metrics and statuses lie
     under the run and the family, and writing the run once more replaces them (:func:`write_run`).
     """
-    for family in families:
-        error = None
-        try:
-            place = {"org_id": family.org_id, "source_id": source_id, "compute_hash": family.key}
-            result = evaluate_family(spark, family, mode)
-            if run_id is None:
-                write_metrics(result, path, place, **options)
-            else:
-                found = observed_only(result) if family.timestamp else result
-                placed = found.withColumns({name: F.lit(str(value)) for name, value in place.items()})
-                write_run(placed, path, run_id, list(place))
-        except Exception as failure:  # noqa: BLE001 - the status row carries it
-            log.warning("family %s failed: %s", family.key, failure)
-            error = str(failure)
-        write_statuses(spark, family, status_path, error, run_id)
+    for batch in batches_of_families(families):
+        shared = shared_results(spark, batch, mode)
+        for n, family in enumerate(batch):
+            error = None
+            try:
+                place = {"org_id": family.org_id, "source_id": source_id, "compute_hash": family.key}
+                result = shared[n] if n in shared else evaluate_family(spark, family, mode)
+                if run_id is None:
+                    write_metrics(result, path, place, **options)
+                else:
+                    found = observed_only(result) if family.timestamp else result
+                    placed = found.withColumns({name: F.lit(str(value)) for name, value in place.items()})
+                    write_run(placed, path, run_id, list(place))
+            except Exception as failure:  # noqa: BLE001 - the status row carries it
+                log.warning("family %s failed: %s", family.key, failure)
+                error = str(failure)
+            write_statuses(spark, family, status_path, error, run_id)
 
 
 def family_statuses(spark: SparkSession, family: Family) -> DataFrame:

@@ -185,6 +185,48 @@ def test_families_share_scans(spark):
     assert any("COUNT(DISTINCT u)" in f.key for f in split) and any("_NONE_" in f.key for f in split)
 
 
+def test_families_of_a_dataset_are_answered_by_one_scan(spark, tmp_path):
+    rows = [(i, "abc"[i % 3], i % 5, float(i % 7), 1000 + 37 * i) for i in range(400)] + [(None, None, None, None, None)]
+    path = str(tmp_path / "rows")
+    spark.createDataFrame(rows, "u bigint, g string, h bigint, v double, t bigint").write.parquet(path)
+
+    def family(n, groups, filters, lookback, calcs, times, timestamp="t"):
+        query = f"SELECT * FROM parquet.`{path}`"
+        return I.Family(f"k{n}", 1, 1, query, groups, filters, timestamp, lookback, calcs, times)
+
+    near, far = [3600, 7200], [1800 * i for i in range(1, 12)]
+    batch = [
+        family(0, "g", "", 3600, [("COUNT(*)", 1), ("SUM(v)", 2)], near),
+        family(1, "h, g", "v > 2 OR g = 'a'", 7200, [("avg(v)", 3), (" MAX(u)", 4)], far),  # windows overlap: panes
+        family(2, "", "", 1800, [("COUNT(DISTINCT u)", 5), ("approx_percentile(v, 0.5)", 6), ("stddev(v)", 7)], near),
+        family(3, "h", "1 / v > 0.3", 3600, [("COUNT(*)", 8)], near),  # divides by zero
+        family(4, "h", "", 3600, [("100.0 * SUM(v) / COUNT(*)", 9)], near),  # several calls: alone
+        family(5, "g", "h > 1", 0, [("COUNT(v)", 10)], [], ""),
+    ]
+    assert [len(b) for b in I.batches_of_families(batch)] == [5, 1]
+
+    def found(result):
+        return sorted(tuple(round(x, 9) if isinstance(x, float) else str(x) for x in r) for r in result.collect())
+
+    for mode in ("exact", "approx", "plain"):
+        shared = I.shared_results(spark, batch[:3] + batch[4:5], mode)
+        assert sorted(shared) == [0, 1, 2]
+        for n, result in shared.items():
+            alone = I.evaluate_family(spark, batch[n], mode)
+            assert result.dtypes == alone.dtypes and found(result) == found(alone) != []
+    sketches = I.shared_results(spark, batch[1:3], "sketch")
+    assert sketches[1].dtypes == I.evaluate_family(spark, batch[2], "sketch").dtypes
+    assert I.shared_results(spark, batch[:4], "exact") == {}  # the fault of one does not touch the others' results
+    untimed = [batch[5], family(6, "h", "", 0, [("COUNT(*)", 11)], [], "")]
+    for n, result in I.shared_results(spark, untimed).items():
+        assert found(result) == found(I.evaluate_family(spark, untimed[n])) != []
+
+    dataset = spark.sql(batch[0].dataset_query)
+    members = [I._shared_member(dataset, n, batch[n], "exact") for n in range(3)]
+    plan = I.shared_aggregate(dataset, members, "exact")._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan parquet") == 1 and "PushedFilters: [Or(" in plan and "NestedLoop" not in plan
+
+
 def test_evaluation_to_series(spark):
     defs = definitions(spark)
     tags = indicator_tags(defs)
