@@ -6,7 +6,8 @@ equivalence class. A class that enough different pages support and that holds an
 the class of what pages have once is its outer frame, and classes of tokens that repeat are nested in it if
 their texts stand in an element of the same class. Texts of the template are boilerplate. The elements of the outer frame cut pages
 into slots; a slot that holds links for the most part, over all pages of the host, is a menu. What stands in the
-other slots, outside elements that are noise by their names, is the article, as is all in ``article`` or ``main``.
+other slots, outside elements that are noise by their names, is the article. ``article`` and ``main`` are a hint: what
+is in them is no template, and if they hold the greater part of what is left, they are all of it.
 """
 
 from __future__ import annotations
@@ -338,20 +339,26 @@ def templates(pages: DataFrame) -> DataFrame:
 
 
 def main_text(source: str, texts: set[int], menus: set[int]) -> str:
-    """The article of a page: its blocks that aren't noise, joined by line breaks. Those outside ``article`` and
-    ``main`` are left out if they are texts of the template or stand in a menu of it."""
+    """The article of a page: its blocks that are neither noise nor template, joined by line breaks.
+
+    Blocks outside ``article`` and ``main`` are template if they are texts of it or stand in one of its menus. What is left
+    of them belongs to the article too, unless such elements hold the greater part of the text; a teaser does not.
+    """
     page = parsed(source)
     linked: list[bool] = []
     for e in page.elements if menus else ():
         linked.append(e.token in menus or (e.parent >= 0 and linked[e.parent]))
-    kept = []
+    kept: list[tuple[str, bool]] = []
     for b in page.blocks:
         around = page.elements[b.place] if b.place >= 0 else None
-        if around is None or around.main:
-            kept.append(b.text)
-        elif not (menus and linked[b.place]) and not (texts and hashed(f"{around.token} {b.text}") in texts):
-            kept.append(b.text)
-    return "\n".join(kept)
+        main = around is not None and around.main
+        if around is not None and not main:
+            if (menus and linked[b.place]) or (texts and hashed(f"{around.token} {b.text}") in texts):
+                continue
+        kept.append((b.text, main))
+    inside = sum(len(t) for t, main in kept if main)
+    whole = 2 * inside <= sum(len(t) for t, _ in kept)
+    return "\n".join(t for t, main in kept if main or whole)
 
 
 def extract_pages(pages: DataFrame, url: str = "url", html_column: str = "html") -> DataFrame:
