@@ -129,3 +129,39 @@ def test_pages_keep_their_articles(spark):
         kept = [re.sub(r"\s+", " ", html.unescape(b)).strip() for b in blocks]
         assert r["text"] == "\n".join(b for b in kept if b)
         assert r["n_chars"] == len(r["text"])
+
+
+def test_texts_of_no_language_are_rejected_and_clean_ones_kept(spark):
+    import random
+
+    from dqspark.llm.langid import fit_languages, identify_languages
+
+    docs = spark.read.parquet(f"{TINY.replace('sf0.001', 'sf0.01')}/documents.parquet")
+    rng = random.Random(1)
+    scripts = [(97, 122), (0x3B1, 0x3C9), (0x430, 0x44F), (0x4E00, 0x9FA5), (0x627, 0x64A)]
+
+    def made(low, high, n):
+        return " ".join("".join(chr(rng.randint(low, high)) for _ in range(rng.randint(2, 9))) for _ in range(n))
+
+    strange = [(made(*script, n), f"{n}") for script in scripts for n in (20, 60, 250, 500)]
+    # Ids are not looked at, and thousands of copies of one text are one text of the sample.
+    copies = docs.limit(1).select("text", "lang").crossJoin(spark.range(3000)).drop("id")
+    labelled = docs.select("text", "lang").unionAll(copies)
+    model = fit_languages(labelled)
+    assert model.languages == sorted(r["lang"] for r in docs.select("lang").distinct().collect() if r["lang"])
+    assert all(r["rejected"] for r in identify_languages(spark.createDataFrame(strange, "text string, n string"), model).collect())
+    kept = identify_languages(docs.filter("lang IS NOT NULL"), model).collect()
+    assert [(r["doc_id"], len(r["text"]), r["score"]) for r in kept if r["rejected"]] == []
+    assert sum(r["lang"] == r["lang_pred"] for r in kept) >= 0.99 * len(kept)
+
+
+def test_bounds_of_lengths():
+    import numpy as np
+
+    from dqspark.llm.langid import BANDS, BINS, LEAST_TEXTS, SLACK, least_cosines
+
+    seen = np.zeros((2, BANDS, BINS), int)
+    seen[0, 3, 50], seen[0, 5, 100], seen[1, 5, 200] = LEAST_TEXTS, LEAST_TEXTS, 5 * LEAST_TEXTS
+    bounds = least_cosines(seen)
+    assert not bounds[:, :3].any() and np.allclose(bounds[:, 3:5], SLACK * 50 / BINS)
+    assert np.allclose(bounds[:, 5:], SLACK * np.array([[100], [200]]) / BINS)
