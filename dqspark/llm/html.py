@@ -268,15 +268,27 @@ def with_host(pages: DataFrame, url: str, html_column: str) -> DataFrame:
     })
 
 
-def different_pages(pages: DataFrame) -> DataFrame:
-    """``(host, page, _html)``: each page of a host that has an element, once, however many rows repeat it."""
+def with_elements(pages: DataFrame) -> DataFrame:
+    """``(host, page, _html)`` of the rows with a host and an element, ``page`` being a hash of the whole page."""
     some = pages.filter(F.col("_host").isNotNull() & F.col("_html").rlike("<[A-Za-z]"))
-    keys = [F.col("_host").alias("host"), F.xxhash64("_html").alias("page")]
-    return some.select(*keys, "_html").dropDuplicates(["host", "page"])
+    return some.select(F.col("_host").alias("host"), F.xxhash64("_html").alias("page"), "_html")
+
+
+def different_pages(some: DataFrame, copies: DataFrame) -> DataFrame:
+    """``some`` with each page of a host once; ``copies`` has the number of rows of each.
+
+    Only pages that have copies are shuffled, if the list of these passes the size check, else all.
+    """
+    again = copies.filter("n > 1").select("host", "page", F.lit(True).alias("again"))
+    if not is_bounded(again):
+        return some.dropDuplicates(["host", "page"])
+    marked = some.join(F.broadcast(again), ["host", "page"], "left")
+    once = marked.filter("again IS NULL").drop("again")
+    return once.unionByName(marked.filter("again").drop("again").dropDuplicates(["host", "page"]))
 
 
 def equivalence_classes(pages: DataFrame) -> DataFrame:
-    """``(host, token, around, pages, most, chars, link_chars, vector)`` of the tokens of :func:`different_pages`.
+    """``(host, token, around, pages, most, chars, link_chars, vector)`` of the tokens of different ``(host, page, _html)``.
 
     Tokens of a host with the same ``vector`` are one class. It stands for the occurrence vector by the sum
     of hashes of page and count, in two halves, so tasks merge their parts before the shuffle and the
@@ -299,7 +311,7 @@ def equivalence_classes(pages: DataFrame) -> DataFrame:
                     columns = [pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)]
                     yield pa.RecordBatch.from_arrays(columns, names)
 
-    seen = different_pages(pages).mapInArrow(
+    seen = pages.mapInArrow(
         read, "host string, page long, token long, n long, chars long, link_chars long, around long"
     )
     place = F.xxhash64("page", "n")
@@ -321,10 +333,10 @@ def templates(pages: DataFrame) -> DataFrame:
     in the outer frame, whose tokens come once, any element of the class; in a nested one the very element around the text. A
     token of the template is on a large part of the host's pages, so the lists are about as long as a page.
     """
-    classes = stored(equivalence_classes(pages), "classes")
-    some = pages.filter(F.col("_host").isNotNull() & F.col("_html").rlike("<[A-Za-z]"))
-    hosts = some.groupBy(F.col("_host").alias("host"), F.xxhash64("_html").alias("page")).agg(F.lit(1).alias("one"))
-    hosts = hosts.groupBy("host").agg(F.count("*").alias("all_pages"))
+    some = with_elements(pages)
+    copies = stored(some.groupBy("host", "page").agg(F.count("*").alias("n")), "copies")
+    classes = stored(equivalence_classes(different_pages(some, copies)), "classes")
+    hosts = copies.groupBy("host").agg(F.count("*").alias("all_pages"))
     valid = classes.join(hosts, "host").filter((F.col("pages") >= LEAST_SUPPORT) & (F.col("pages") >= SHARE * F.col("all_pages")))
     elements = valid.filter("around IS NULL")
     texts = valid.filter("around IS NOT NULL")
