@@ -67,6 +67,23 @@ def test_closed_windows_and_late_rows(spark, tmp_path):
     assert {r[1] for r in estimates if r[0] - base in (300, 600, 900)} == {2}
 
 
+def test_windows_from_panes(spark, tmp_path):
+    """A look-back of four intervals: counts, sums and means come from the panes, and the mean by rows, not by panes."""
+    source = tmp_path / "in"
+    source.mkdir()
+    minute = dt.timedelta(minutes=1)
+    arrive(source, "1.jsonl", [(DAY, "a", 1.0), (DAY, "a", 2.0), (DAY + 6 * minute, "a", 6.0), (DAY + 40 * minute, "b", None)])
+    rows = object_stream(spark, str(source), "jsonl", SCHEMA)
+    calculations = [("COUNT(*)", 1), ("SUM(v)", 2), ("AVG(v)", 3), ("COUNT(v)", 4)]
+    result = lookback_stream(rows, calculations, "t", 1200, 300, 60, "k")
+    done(append_stream(result, str(tmp_path / "out"), str(tmp_path / "state")))
+    base = int(DAY.replace(tzinfo=dt.timezone.utc).timestamp())
+    stored = spark.read.schema(result.schema).parquet(str(tmp_path / "out"))
+    got = {r["_lookback_range_end_ts"] - base: tuple(r[f"_indicator_{i}"] for _, i in calculations) for r in stored.collect()}
+    whole = (3, 9.0, 3.0, 3)
+    assert got == {300: (2, 3.0, 1.5, 2), 600: whole, 900: whole, 1200: whole, 1500: (1, 6.0, 6.0, 1)}
+
+
 def test_freshness_of_batches(spark, tmp_path):
     source, out = tmp_path / "in", str(tmp_path / "out")
     source.mkdir()
