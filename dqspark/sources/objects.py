@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import logging
 import re
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -51,15 +51,19 @@ def _segment(part: str, separator: str) -> tuple[str, str | None]:
     return re.escape(plain), name if found else None
 
 
+def _bound(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is computed once, however often ``body`` names it and in whatever lambda."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def path_fields(suffix: Column, pattern: Column, names: Column, separator: Column) -> Column:
     """Map of path fields; NULL where the suffix does not fit the pattern.
 
-    A segment that holds the separator names its own field; the last one wins where names repeat.
+    A segment that holds the separator names its own field; the last one wins where names repeat. Suffix, segments
+    and entries are bound, as lambdas would compute them again for every element.
     """
-    segments = F.split(suffix, "/")
 
-    def entry(name: Column, i: Column) -> Column:
-        segment = F.get(segments, i)
+    def entry(segment: Column, name: Column) -> Column:
         at = F.instr(segment, separator)
         return F.struct(
             F.when(at > 0, F.substring(segment, F.lit(1), at - 1)).otherwise(name).alias("key"),
@@ -69,15 +73,23 @@ def path_fields(suffix: Column, pattern: Column, names: Column, separator: Colum
             name.alias("name"),
         )
 
-    entries = F.filter(F.transform(names, entry), lambda e: e["name"].isNotNull())
-    last = F.filter(
-        entries,
-        lambda e, i: ~F.exists(
-            F.slice(entries, i + 2, F.greatest(F.size(entries) - i - 1, F.lit(0))), lambda f: f["key"] == e["key"]
-        ),
-    )
-    pairs = F.transform(last, lambda e: F.struct(e["key"], e["value"]))
-    return F.when(F.regexp(suffix, pattern), F.map_from_entries(pairs))
+    def entries_of(segments: Column) -> Column:
+        entries = F.transform(names, lambda name, i: _bound(F.get(segments, i), lambda segment: entry(segment, name)))
+        return F.filter(entries, lambda e: e["name"].isNotNull())
+
+    def pairs(entries: Column) -> Column:
+        last = F.filter(
+            entries,
+            lambda e, i: ~F.exists(
+                F.slice(entries, i + 2, F.greatest(F.size(entries) - i - 1, F.lit(0))), lambda f: f["key"] == e["key"]
+            ),
+        )
+        return F.map_from_entries(F.transform(last, lambda e: F.struct(e["key"], e["value"])))
+
+    def fields(text: Column) -> Column:
+        return F.when(F.regexp(text, pattern), _bound(_bound(F.split(text, "/"), entries_of), pairs))
+
+    return _bound(suffix, fields)
 
 
 @dataclass(frozen=True)

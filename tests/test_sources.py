@@ -205,3 +205,17 @@ def test_size_checks_weigh_texts_and_arrays(spark):
 def test_sampled_schema_of_first_or_all_rows(spark, tmp_path, rows, names):
     (tmp_path / "x.jsonl").write_text('{"a": 1}\n{"a": 2, "b": "late"}\n')
     assert R.sampled_text_schema(spark, str(tmp_path), "jsonl", rows).names == names
+
+
+def test_path_fields_name_the_suffix_once(spark):
+    """Lambdas compute an expression again for every element, so the suffix, here decoded, is bound."""
+    from dqspark.sources.objects import path_fields, path_template
+
+    template = path_template("{day}/<kind>/{*}")
+    rows = spark.createDataFrame([("day%3D1/a/x=2/f", 1), ("day=1/kind=b/day=3/f", 2), ("other", 3)], "s string, i int")
+    fields = path_fields(
+        F.try_url_decode("s"), F.lit(template.pattern), F.array(*[F.lit(n) for n in template.names]), F.lit("=")
+    )
+    found = rows.select("i", fields.alias("m"))
+    assert {r["i"]: r["m"] for r in found.collect()} == {1: {"day": "1", "kind": "a", "x": "2"}, 2: {"kind": "b", "day": "3"}, 3: None}
+    assert found._jdf.queryExecution().analyzed().toString().count("try_url_decode(") == 1
