@@ -62,3 +62,44 @@ def test_values_and_roots_with_signs(spark, tmp_path):
     dataset = Dataset(name="d", prefix="set", suffix_template="{city}", file_type="parquet", schema="v int")
     got, _ = with_path_columns(rows.withColumn(OBJECT, F.col("_metadata.file_path")), str(root), dataset)
     assert {r["v"]: r["city"] for r in got.collect()} == dict(enumerate(names))
+
+
+def events_folder(spark, folder, n, parts):
+    path = str(folder / "events.parquet")
+    time = "timestamp_ntz'2024-01-01 00:00:00' + make_interval(0, 0, 0, cast(id % 3 as int)) AS ts"
+    kind, value = "if(id % 2 = 0, 'a', 'b') AS event_type", "cast(id AS double) AS value"
+    rows = spark.range(0, n, 1, parts).selectExpr("id AS event_id", time, "id % 4 AS user_id", kind, value, "'{}' AS props")
+    rows.write.parquet(path)
+    return str(folder)
+
+
+def test_dataset_is_written_by_folder(spark, tmp_path):
+    """Files are as many as folders and tasks at most, however many parts the table has."""
+    from pathlib import Path
+
+    from workloads.stored import _write_dataset
+
+    root = _write_dataset(spark, events_folder(spark, tmp_path, 240, 12))
+    files = list(Path(root).rglob("part-*"))
+    assert len({f.parent for f in files}) == 6
+    assert len(files) <= 6 + int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def test_small_splits_share_tasks(spark, tmp_path, monkeypatch):
+    """Objects are read in splits of 16 KB, but a task takes several; the last line of each key still wins."""
+    from workloads import stored
+
+    monkeypatch.setattr(stored, "SPLIT_TASKS", "6")
+    source, settings = events_folder(spark, tmp_path, 12_000, 2), ["spark.sql.files.maxPartitionBytes", "spark.sql.files.maxPartitionNum"]
+    before, context = [spark.conf.get(k, None) for k in settings], spark.sparkContext
+    context.setJobGroup("splits", "small splits")
+    try:
+        found = stored._records(spark, source)
+        tracker = context.statusTracker()
+        stages = [s for j in tracker.getJobIdsForGroup("splits") for s in tracker.getJobInfo(j).stageIds]
+    finally:
+        context.setLocalProperty("spark.jobGroup.id", None)
+    assert max(tracker.getStageInfo(s).numTasks for s in stages if tracker.getStageInfo(s)) <= 12
+    assert [spark.conf.get(k, None) for k in settings] == before
+    got = {(r["event_type"], r["partition.shard"]): (r["event_id"], r["user_id"], r["value"], r["props"]) for r in found.collect()}
+    assert got == {("a", "0"): (11998, 2, 11994.0, None), ("b", "1"): (11999, None, 11997.0, "p11995")}

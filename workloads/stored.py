@@ -250,9 +250,9 @@ def _write_dataset(spark, sf_dir) -> str:
     # Folders of the day and the type; the day inside the files is another one.
     for_paths = inside.withColumnsRenamed({"day": "inner_day"}).withColumnRenamed("part_day", "day")
     record = F.to_json(F.struct("event_id", "ts", "user_id", "value", "props", F.col("inner_day").alias("day")))
-    for_paths.select("day", "event_type", record.alias("value")).write.partitionBy("day", "event_type").text(
-        f"{root}/landing/web"
-    )
+    # Ranges of folders, large folders in several: files are as many as folders and tasks, not folders times tasks.
+    ranged = for_paths.select("day", "event_type", "event_id", record.alias("value")).repartitionByRange("day", "event_type", "event_id")
+    ranged.drop("event_id").write.partitionBy("day", "event_type").text(f"{root}/landing/web")
     return root
 
 
@@ -283,6 +283,8 @@ RECORDS = Dataset(
     schema="event_id bigint, user_id bigint, value double, props string, shard string",
 )
 SPLIT_BYTES = "16384"
+# Tasks that the splits are dealt to: a split keeps its size, a task reads several.
+SPLIT_TASKS = "512"
 
 
 def _records(spark, sf_dir):
@@ -299,12 +301,15 @@ def _records(spark, sf_dir):
     rows = table(spark, sf_dir, "events").select("event_type", (event % 2).alias("shard"), event, text.alias("value"))
     rows = rows.repartition("event_type", "shard").sortWithinPartitions("event_type", "shard", "event_id")
     rows.drop("event_id").write.partitionBy("event_type", "shard").text(f"{root}/records")
-    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
-    spark.conf.set("spark.sql.files.maxPartitionBytes", SPLIT_BYTES)
+    settings = {"spark.sql.files.maxPartitionBytes": SPLIT_BYTES, "spark.sql.files.maxPartitionNum": SPLIT_TASKS}
+    before = {key: spark.conf.get(key, None) for key in settings}
+    for key, value in settings.items():
+        spark.conf.set(key, value)
     try:
         return stored(object_records(spark, root, RECORDS), "merged-records")
     finally:
-        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+        for key, value in before.items():
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
 
 
 RECORDS_SQL = """
