@@ -324,13 +324,13 @@ def verified(pairs: DataFrame, arrays: DataFrame) -> DataFrame:
 def _across(tied: DataFrame, parts: int) -> DataFrame:
     """Pairs of keys in one signature but in different components, if their fixed sketches allow a link.
 
-    The members of a signature are dealt to blocks of about ``BLOCK``, and every two blocks of it meet in a
-    cell, so a task holds two blocks at most, however many members there are.
+    ``tied`` has a signature's number of ``members`` in each of its rows. The members are dealt to blocks of about
+    ``BLOCK``, and every two blocks of a signature meet in a cell, so a task holds two blocks at most, however many
+    members there are.
     """
-    sizes = tied.groupBy("signature").agg(F.ceil(F.count("*") / BLOCK).alias("blocks"))
     words = [f"w{i}" for i in range(FIXED)]
     cells = (
-        tied.join(sizes, "signature")
+        tied.withColumn("blocks", F.ceil(F.col("members") / BLOCK))
         .withColumn("block", F.pmod(F.xxhash64("key"), F.col("blocks")))
         .withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
         .select(
@@ -482,27 +482,24 @@ def components_of_texts(docs: DataFrame, doc_id: str = "doc_id", text: str = "te
     hard = _hard_members(met.filter("signature is not null").select("signature", F.col("a").alias("key")), classes)
     hard = stored(hard, "hard")
     # Of near copies, the one that shares the most signatures is near to most others.
-    leaders = hard.groupBy("signature").agg(F.max(F.struct("crowded", "key")).alias("leader"))
-    leaders = leaders.select("signature", F.col("leader.key").alias("leader"))
-    starred = hard.join(leaders, "signature").filter("key <> leader")
-    starred = starred.select("signature", F.least("key", "leader").alias("a"), F.greatest("key", "leader").alias("b"))
-    starred = stored(starred, "starred")
-    pairs = stored(light.unionAll(starred.select("a", "b")).distinct(), "pairs")
+    leaders = hard.groupBy("signature").agg(F.max(F.struct("crowded", "key")).alias("leader"), F.count("*").alias("members"))
+    leaders = leaders.select("signature", F.col("leader.key").alias("leader"), "members")
+    led = stored(hard.join(leaders, "signature").drop("crowded"), "led")
+    starred = led.filter("key <> leader").select(F.least("key", "leader").alias("a"), F.greatest("key", "leader").alias("b"))
+    pairs = stored(light.unionAll(starred).distinct(), "pairs")
 
     wanted = pairs.select(F.col("a").alias("key")).unionAll(pairs.select(F.col("b").alias("key")))
-    wanted = wanted.unionAll(hard.select("key")).distinct()
+    wanted = wanted.unionAll(led.select("key")).distinct()
     bits = stored(document_sketches(_texts_of(docs, doc_id, text, wanted, classes)), "sketches")
     near = stored(near_pairs(pairs, bits), "near")
     links = stored(_linked(near, docs, doc_id, text, classes), "verified")
     roots = stored(_components(links), "roots")
-    # Within crowded signatures, members of different components have not met: compare them all. Where every member
-    # links to the leader, there is one component.
-    loose = starred.join(links.select("a", "b"), ["a", "b"], "left_anti").select("signature").distinct()
-    tied = hard.join(loose, "signature", "left_semi").join(roots.select("key", F.col("root.key").alias("root")), "key", "left")
-    tied = tied.select("signature", "key", F.coalesce("root", "key").alias("root"))
-    open_ = tied.groupBy("signature").agg(F.min("root").alias("r0"), F.max("root").alias("r1")).filter("r0 < r1")
-    tied = stored(tied.join(open_.select("signature"), "signature", "left_semi"), "tied")
-    tied = stored(tied.join(bits.drop("sketch"), "key"), "sketched")
+    # Within crowded signatures, members of different components have not met: compare them all. Rows of members are
+    # joined once with what is known of their signature, once with their component and once with the open signatures.
+    rooted = led.join(roots.select("key", F.col("root.key").alias("root")), "key", "left")
+    rooted = stored(rooted.select("signature", "key", "members", F.coalesce("root", "key").alias("root")), "rooted")
+    open_ = rooted.groupBy("signature").agg(F.min("root").alias("r0"), F.max("root").alias("r1")).filter("r0 < r1")
+    tied = rooted.join(open_.select("signature"), "signature", "left_semi").join(bits.drop("sketch"), "key")
     rest = stored(_across(tied, parts).join(pairs, ["a", "b"], "left_anti"), "rest")
     rest = _linked(stored(near_pairs(rest, bits), "near"), docs, doc_id, text, classes)
     more = stored(links.unionAll(rest.select(links.columns)), "links")
