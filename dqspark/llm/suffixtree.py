@@ -26,13 +26,15 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from dqspark.llm._arrow import chunks, mix, word_hashes
-from dqspark.plans.joins import lookup_join
-from dqspark.plans.storage import stored
+from dqspark.plans.storage import Scratch, stored
 
 DEPTH = 3
 LEAST = 4
 """Occurrences of a context or of a symbol after it below which neither is counted."""
-BITS = 23
+BITS = 26
+"""Bitmaps have ``2 ** BITS`` bits. They only keep rows from the shuffles, no result depends on them."""
+BUCKET_TOKENS = 2**18
+"""Grams are counted in buckets, one for so many tokens of the corpus, of which a task holds one at a time."""
 LOCAL_GRAMS = 2**20
 """A tree of at most so many grams is sent to every executor as a whole."""
 WORD_PART = 2**18
@@ -83,20 +85,16 @@ def member(values: np.ndarray, table: np.ndarray) -> tuple[np.ndarray, np.ndarra
     return place, table[place] == values
 
 
-def _counted(texts: DataFrame, keyed, columns: list[str]) -> DataFrame:
-    """``columns`` and ``n``: how often the keys that ``keyed(tokens, counts)`` makes occur in a table of texts."""
+def _unigrams(texts: DataFrame) -> DataFrame:
+    """``(token, n)``: how often the tokens of a table of texts occur."""
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for _, _, data, at in chunks(batch.column(0), CHUNK * 4):
-                keys = keyed(*token_streams(data, at))
-                mixed = keys[0] if len(keys) == 1 else pair(*keys)
-                _, index, n = np.unique(mixed, return_index=True, return_counts=True)
-                made = [pa.array(np.ascontiguousarray(k[index]).view(np.int64)) for k in keys]
-                yield pa.RecordBatch.from_arrays([*made, pa.array(n)], [*columns, "n"])
+                tokens, n = np.unique(token_streams(data, at)[0], return_counts=True)
+                yield pa.RecordBatch.from_arrays([pa.array(tokens.view(np.int64)), pa.array(n)], ["token", "n"])
 
-    schema = ", ".join(f"{c} long" for c in columns) + ", n long"
-    return texts.mapInArrow(read, schema).groupBy(*columns).agg(F.sum("n").alias("n"))
+    return texts.mapInArrow(read, "token long, n long").groupBy("token").agg(F.sum("n").alias("n"))
 
 
 def bitmap(rows: DataFrame, column: str) -> np.ndarray:
@@ -178,22 +176,44 @@ def fit_tree(texts: DataFrame, text: str = "text") -> tuple[SuffixTree, DataFram
     ``WORD_PART`` of each length, or ``LOCAL_GRAMS`` in all.
     """
     rows = texts.select(F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text"))
-    unigrams = stored(_counted(rows, lambda tokens, counts: (tokens,), ["token"]), "unigrams")
+    unigrams = stored(_unigrams(rows), "unigrams")
     total, distinct = unigrams.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
     tree, empty = _frequent(unigrams, total, distinct)
     if empty:
         return tree, unigrams
+    with Scratch(texts.sparkSession) as scratch:
+        weights = _weights(rows, unigrams, tree, scratch)
+        if not weights:
+            return tree, unigrams
+        table = reduce(DataFrame.unionAll, weights).groupBy("gram").agg(
+            F.sum("symbol").alias("symbol"), F.sum("state").alias("state"), F.max("size").alias("n")
+        )
+        table = stored(table, "tree")
+    local = F.lit(True) if table.count() <= LOCAL_GRAMS else F.col("n") * WORD_PART >= total
+    top = table.filter(local).toArrow()
+    ids = top["gram"].to_numpy().view(np.uint64)
+    by = np.argsort(ids)
+    tree.grams, tree.symbols, tree.states = ids[by], top["symbol"].to_numpy()[by], top["state"].to_numpy()[by]
+    tree.rare = table.filter(~local).select("gram", (F.col("symbol") + F.col("state")).alias("weight"))
+    if not tree.rare.isEmpty():
+        tree.bits = bitmap(tree.rare, "gram")
+    return tree, unigrams
+
+
+def _weights(rows: DataFrame, unigrams: DataFrame, tree: SuffixTree, scratch: Scratch) -> list[DataFrame]:
+    """``(gram, symbol, state, size)`` of the retained states and of their symbols, by length."""
     # The log10 probability of the last token of each gram after the others.
     known = unigrams.filter(F.col("n") >= LEAST).select(
         F.col("token").alias("gram"), "n", (F.log10(F.col("n") + 0.5) - tree.scale).alias("p")
     )
-    known = stored(known, "grams")
+    known = scratch.stored(known, "grams")
     weights = []
     for level in range(1, DEPTH + 1):
-        found = stored(_with_gram(_grams_of(rows, bitmap(known, "gram"), level)), "counted")
-        if found.isEmpty():
-            break
-        states, known = _level(found, known)
+        with Scratch(rows.sparkSession) as own:
+            found = own.stored(_grams_of(rows, bitmap(known, "gram"), level, tree.total), "counted")
+            if found.isEmpty():
+                break
+            states, known = _level(found, known, tree.total, own, scratch)
         weights += [
             states.select("gram", F.lit(0.0).alias("symbol"), F.log10("rest").alias("state"), "size"),
             known.filter("rest is not null").select(
@@ -201,77 +221,113 @@ def fit_tree(texts: DataFrame, text: str = "text") -> tuple[SuffixTree, DataFram
                 F.col("n").alias("size"),
             ),
         ]
-    if not weights:
-        return tree, unigrams
-    table = reduce(DataFrame.unionAll, weights).groupBy("gram").agg(
-        F.sum("symbol").alias("symbol"), F.sum("state").alias("state"), F.max("size").alias("n")
-    )
-    table = stored(table, "tree")
-    local = F.lit(True) if table.count() <= LOCAL_GRAMS else F.col("n") * WORD_PART >= total
-    top = table.filter(local).toArrow()
-    ids = top["gram"].to_numpy().view(np.uint64)
-    by = np.argsort(ids)
-    tree.grams, tree.symbols, tree.states = ids[by], top["symbol"].to_numpy()[by], top["state"].to_numpy()[by]
-    tree.rare = table.filter(~local).select("gram", (F.col("symbol") + F.col("state")).alias("weight"))
-    if not tree.rare.isEmpty():
-        tree.bits = bitmap(tree.rare, "gram")
-    return tree, unigrams
+    return weights
+
 
+def _grams_of(rows: DataFrame, bits: np.ndarray, level: int, total: int) -> DataFrame:
+    """``(gram, prefix, suffix, n)`` of the grams of ``level + 1`` tokens that occur often enough.
 
-def _grams_of(rows: DataFrame, bits: np.ndarray, level: int) -> DataFrame:
-    """``(prefix, suffix, n)`` of the grams of ``level + 1`` tokens that occur often enough."""
+    Tasks send what they have counted as lists, one for each bucket of hashes, so the shuffle has few rows.
+    """
     shared = rows.sparkSession.sparkContext.broadcast(bits)
+    parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    buckets = max(parts, total // BUCKET_TOKENS + 1)
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for _, _, data, at in chunks(batch.column(0), CHUNK * 4):
+                own = grams(*token_streams(data, at), level + 1)
+                ends, whole = own[level - 1], own[level] != 0
+                held = may_have(shared.value, ends)
+                at = np.flatnonzero(whole[1:] & held[1:] & held[:-1]) + 1
+                if not len(at):
+                    continue
+                found, index, n = np.unique(own[level][at], return_index=True, return_counts=True)
+                at = at[index]
+                bucket = (((found >> np.uint64(32)) * np.uint64(buckets)) >> np.uint64(32)).astype(np.int32)
+                starts = np.flatnonzero(np.append(True, bucket[1:] != bucket[:-1]))
+                cuts = pa.array(np.append(starts, len(bucket)).astype(np.int32))
+                values = ends[at - 1].view(np.int64), ends[at].view(np.int64), n.astype(np.int32)
+                lists = [pa.ListArray.from_arrays(cuts, pa.array(v)) for v in values]
+                yield pa.RecordBatch.from_arrays([pa.array(bucket[starts]), *lists], ["bucket", "prefix", "suffix", "n"])
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[list[np.ndarray]] = []
+        current = -1
+
+        def flush() -> Iterator[pa.RecordBatch]:
+            if held:
+                prefix, suffix, n = (np.concatenate(c) for c in zip(*held, strict=True))
+                gram = pair(prefix.view(np.uint64), suffix.view(np.uint64))
+                order = np.argsort(gram)
+                starts = np.flatnonzero(np.append(True, gram[order][1:] != gram[order][:-1]))
+                n = np.add.reduceat(n[order].astype(np.int64), starts)
+                at = order[starts[n >= LEAST]]
+                values = gram[at].view(np.int64), prefix[at], suffix[at], n[n >= LEAST]
+                held.clear()
+                yield pa.RecordBatch.from_arrays([pa.array(v) for v in values], ["gram", "prefix", "suffix", "n"])
 
-    def keyed(tokens: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        own = grams(tokens, counts, level + 1)
-        ends, whole = own[level - 1], own[level] != 0
-        held = may_have(shared.value, ends)
-        at = np.flatnonzero(whole[1:] & held[1:] & held[:-1]) + 1
-        return ends[at - 1], ends[at]
+        for batch in batches:
+            bucket = batch.column(0).to_numpy()
+            for begin in np.flatnonzero(np.append(True, bucket[1:] != bucket[:-1])) if len(bucket) else ():
+                if bucket[begin] != current:
+                    yield from flush()
+                    current = int(bucket[begin])
+                end = int(np.searchsorted(bucket, current, "right"))
+                held.append([c.slice(begin, end - begin).flatten().to_numpy() for c in batch.columns[1:]])
+        yield from flush()
 
-    return _counted(rows, keyed, ["prefix", "suffix"]).filter(F.col("n") >= LEAST)
+    sent = rows.mapInArrow(count, "bucket int, prefix array<long>, suffix array<long>, n array<int>")
+    sent = sent.repartitionById(parts, F.col("bucket") % parts).sortWithinPartitions("bucket")
+    return sent.mapInArrow(add, "gram long, prefix long, suffix long, n long")
 
 
-def _with_gram(found: DataFrame) -> DataFrame:
-    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            a, b = (batch.column(i).to_numpy().view(np.uint64) for i in (0, 1))
-            yield pa.RecordBatch.from_arrays([pa.array(pair(a, b).view(np.int64)), *batch.columns], ["gram", "prefix", "suffix", "n"])
+def _by_gram(rows: DataFrame, table: DataFrame, key: str, total: int) -> DataFrame:
+    """Inner join with ``table``, which has a row and the count ``size`` of each gram.
 
-    return found.mapInArrow(read, "gram long, prefix long, suffix long, n long")
+    A gram of ``size`` occurrences is in ``size / LEAST`` rows at most. So only the frequent ones, of which there are
+    ``WORD_PART`` at most, might fill a task; they are broadcast.
+    """
+    often = F.col("size") * WORD_PART >= total
+    few = F.broadcast(table.filter(often))
+    rest = rows.join(few.select(key), key, "left_anti").join(table.filter(~often), key)
+    return rows.join(few, key).unionAll(rest)
 
 
-def _level(found: DataFrame, known: DataFrame) -> tuple[DataFrame, DataFrame]:
+def _level(found: DataFrame, known: DataFrame, total: int, own: Scratch, scratch: Scratch) -> tuple[DataFrame, DataFrame]:
     """The retained states ``(gram, rest, size)`` of one length, and ``(gram, n, p, below, rest)`` of their symbols.
 
     ``p`` is the log10 probability of a gram's last token after the others, ``below`` that of the parent. Grams of
-    states that aren't retained have no ``rest`` and the parent's ``p``.
+    states that aren't retained have no ``rest`` and the parent's ``p``. What is read later is in ``scratch``.
     """
-    both = lookup_join(found, known.select(F.col("gram").alias("suffix"), F.col("p").alias("below")), ["suffix"], "inner")
-    both = stored(both, "below")
+    parents = known.select(F.col("gram").alias("suffix"), F.col("p").alias("below"), F.col("n").alias("size"))
+    both = own.stored(_by_gram(found, parents, "suffix", total).drop("suffix", "size"), "below")
     sizes = known.select(F.col("gram").alias("prefix"), F.col("n").alias("size"))
     shares = both.groupBy("prefix").agg(
         F.sum(F.col("n") - DISCOUNT).alias("held"), F.sum(F.pow(F.lit(10.0), F.col("below"))).alias("other")
     )
     shares = shares.join(sizes, "prefix")
-    shares = stored(shares.select("prefix", "size", (1 - F.col("held") / F.col("size")).alias("rest"), "other"), "shares")
+    shares = own.stored(shares.select("prefix", "size", (1 - F.col("held") / F.col("size")).alias("rest"), "other"), "shares")
     below = F.pow(F.lit(10.0), F.col("below"))
     mixed = (F.col("n") - DISCOUNT) / F.col("size") + F.col("rest") * below
-    tried = lookup_join(both, shares, ["prefix"], "inner").withColumn("mixed", mixed)
-    tried = stored(tried, "tried")
+    tried = own.stored(_by_gram(both, shares, "prefix", total).withColumn("mixed", mixed), "tried")
     states = tried.groupBy("prefix").agg(
         F.first("size").alias("size"), F.first("rest").alias("rest"), F.first("other").alias("other"),
         F.sum("mixed").alias("sum"), F.sum(F.col("mixed") * F.log(F.col("mixed") / below)).alias("gain"),
     )
     lost, left = F.greatest(1 - F.col("sum"), F.lit(1e-12)), F.greatest(1 - F.col("other"), F.lit(1e-12))
     gain = F.col("size") * (F.col("gain") + lost * F.log(lost / left))
-    states = stored(states.filter(gain >= LEAST_DIVERGENCE).select(F.col("prefix").alias("gram"), "rest", "size"), "states")
-    kept = states.select(F.col("gram").alias("prefix"), F.lit(True).alias("kept"))
-    symbols = lookup_join(tried, kept, ["prefix"], "left").select(
+    states = states.filter(gain >= LEAST_DIVERGENCE).select(F.col("prefix").alias("gram"), "rest", "size")
+    states = scratch.stored(states, "states")
+    often = F.col("size") * WORD_PART >= total
+    kept = [states.filter(c).select(F.col("gram").alias("prefix"), F.lit(True).alias("kept")) for c in (often, ~often)]
+    marked = tried.filter(often).join(F.broadcast(kept[0]), "prefix", "left")
+    marked = marked.unionAll(tried.filter(~often).join(kept[1], "prefix", "left"))
+    symbols = marked.select(
         "gram", "n", F.when(F.col("kept"), F.log10("mixed")).otherwise(F.col("below")).alias("p"), "below",
         F.when(F.col("kept"), F.col("rest")).alias("rest"),
     )
-    return states, stored(symbols, "grams")
+    return states, scratch.stored(symbols, "grams")
 
 
 def _frequent(unigrams: DataFrame, total: int, distinct: int) -> tuple[SuffixTree, bool]:

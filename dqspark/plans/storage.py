@@ -44,3 +44,24 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     path = scratch_path(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+class Scratch:
+    """Tables stored for one piece of work, whose files are deleted when it ends: nothing may read them later."""
+
+    def __init__(self, spark: SparkSession):
+        self.spark, self.path, self.made = spark, scratch_path(spark, "work"), 0
+
+    def __enter__(self) -> Scratch:
+        return self
+
+    def stored(self, df: DataFrame, name: str) -> DataFrame:
+        """As the function of this name."""
+        self.made += 1
+        path = f"{self.path}/{name}-{self.made}"
+        df.write.parquet(path)
+        return self.spark.read.schema(df.schema).parquet(path)
+
+    def __exit__(self, *_) -> None:
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(self.path)
+        path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
