@@ -9,8 +9,8 @@ A context and a context with its next symbol are both runs of words, "grams". Th
 longest retained suffix is its unigram's, times the left-over share of every retained suffix before it, times, for
 every retained suffix that has the token as a symbol, the factor by which it raises what its parent says. So the
 tree is a table of grams with the logarithms of these, partitioned by the hash of the gram, and the score of a text
-is the sum over its grams. It grows with the corpus and is joined, as the unigrams are. Grams and words that are one in
-``WORD_PART`` of all tokens are few and sent to every executor; a bitmap of fixed size tells there which other
+is the sum over its grams. It grows with the corpus and is joined, as the unigrams are. Words that are one in
+``WORD_PART`` of all tokens are few and sent to every executor with the most frequent grams; a bitmap of fixed size tells there which other
 grams may be in the table.
 """
 
@@ -36,7 +36,7 @@ BITS = 26
 BUCKET_TOKENS = 2**18
 """Grams are counted in buckets, one for so many tokens of the corpus, of which a task holds one at a time."""
 LOCAL_GRAMS = 2**20
-"""A tree of at most so many grams is sent to every executor as a whole."""
+"""At most so many grams of the tree, the most frequent ones, are sent to every executor."""
 WORD_PART = 2**18
 DISCOUNT = 0.75
 LEAST_DIVERGENCE = 10.0
@@ -173,7 +173,7 @@ def fit_tree(texts: DataFrame, text: str = "text") -> tuple[SuffixTree, DataFram
     Counts cover all rows; tasks add up their own before the shuffle. A gram occurs ``LEAST`` times only if
     the grams without its first and without its last token do, so bitmaps of these leave out most others
     before the shuffle. Frequent tokens and grams come to the driver: by their part of the total, there are at most
-    ``WORD_PART`` of each length, or ``LOCAL_GRAMS`` in all.
+    ``WORD_PART`` of each length, and of grams no more than that or ``LOCAL_GRAMS`` in all.
     """
     rows = texts.select(F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text"))
     unigrams = stored(_unigrams(rows), "unigrams")
@@ -189,7 +189,7 @@ def fit_tree(texts: DataFrame, text: str = "text") -> tuple[SuffixTree, DataFram
             F.sum("symbol").alias("symbol"), F.sum("state").alias("state"), F.max("size").alias("n")
         )
         table = stored(table, "tree")
-    local = F.lit(True) if table.count() <= LOCAL_GRAMS else F.col("n") * WORD_PART >= total
+    local = F.col("n") >= _least_local(table, total)
     top = table.filter(local).toArrow()
     ids = top["gram"].to_numpy().view(np.uint64)
     by = np.argsort(ids)
@@ -200,6 +200,20 @@ def fit_tree(texts: DataFrame, text: str = "text") -> tuple[SuffixTree, DataFram
     return tree, unigrams
 
 
+def _least_local(table: DataFrame, total: int) -> int:
+    """The count from which on a gram is frequent: the least of some, by which no more than ``LOCAL_GRAMS`` are.
+
+    The last of them is one in ``WORD_PART`` of all tokens, which by itself bounds the number of grams.
+    """
+    last = -(-total // WORD_PART)
+    least = [0, LEAST]
+    while least[-1] < last:
+        least.append(-(-least[-1] * 5 // 4))
+    least = [n for n in least if n < last] + [last]
+    found = table.agg(*[F.count_if(F.col("n") >= n) for n in least]).first()
+    return next((n for n, count in zip(least, found, strict=True) if count <= LOCAL_GRAMS), last)
+
+
 def _weights(rows: DataFrame, unigrams: DataFrame, tree: SuffixTree, scratch: Scratch) -> list[DataFrame]:
     """``(gram, symbol, state, size)`` of the retained states and of their symbols, by length."""
     # The log10 probability of the last token of each gram after the others.
