@@ -9,20 +9,20 @@ A context and a context with its next symbol are both runs of words, "grams". Th
 longest retained suffix is its unigram's, times the left-over share of every retained suffix before it, times, for
 every retained suffix that has the token as a symbol, the factor by which it raises what its parent says. So the
 tree is a table of grams with the logarithms of these, partitioned by the hash of the gram, and the score of a text
-is the sum over its grams. It grows with the corpus and is joined, as the unigrams are. Words that are one in
-``WORD_PART`` of all tokens are few and sent to every executor with the most frequent grams; a bitmap of fixed size tells there which other
-grams may be in the table.
+is the sum over its grams. It grows with the corpus and is joined, as the unigrams are. The most frequent words and
+grams, a bounded number, are sent to every executor; a bitmap of fixed size tells there which other grams may be in the table.
 """
 
 from __future__ import annotations
 
 import math
 from collections.abc import Iterator
+from contextlib import contextmanager
 from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from dqspark.llm._arrow import chunks, mix, word_hashes
@@ -36,18 +36,33 @@ BITS = 26
 BUCKET_TOKENS = 2**18
 """Grams are counted in buckets, one for so many tokens of the corpus, of which a task holds one at a time."""
 LOCAL_GRAMS = 2**20
-"""At most so many grams of the tree, the most frequent ones, are sent to every executor."""
+"""At most so many grams of the tree and so many words, the most frequent ones, are sent to every executor."""
 WORD_PART = 2**18
+"""Words and grams that are one in so many of all tokens are sent in any case."""
 DISCOUNT = 0.75
 LEAST_DIVERGENCE = 10.0
 """Nats gained over the parent, times the context's count, for a context to be retained."""
 END = mix(np.array([0x5E3D], np.uint64))[0]
 SECOND = np.uint64(0xA0761D6478BD642F)
 CHUNK = 1 << 21
+SPAN = 1 << 18
+"""Words are hashed in runs of rows of about this many bytes, whose working arrays stay in the processor's cache."""
+DROP_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def token_streams(data: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of the tokens of each row, its words and then the end, and their number by row."""
+    row, out = 0, []
+    while row < len(at) - 1:
+        end = max(row + 1, int(np.searchsorted(at, at[row] + SPAN, "right")) - 1)
+        out.append(_tokens(data[at[row] : at[end]], at[row : end + 1] - at[row]))
+        row = end
+    if not out:
+        return np.zeros(0, np.uint64), np.zeros(0, np.int64)
+    return np.concatenate([tokens for tokens, _ in out]), np.concatenate([counts for _, counts in out])
+
+
+def _tokens(data: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     words, counts = word_hashes(data, at)
     ends = np.cumsum(counts + 1) - 1
     tokens = np.full(len(words) + len(counts), END, np.uint64)
@@ -77,12 +92,61 @@ def pair(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return mix(a * SECOND + b)
 
 
-def member(values: np.ndarray, table: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Places of the values in a sorted table and whether they are there."""
-    if not len(table):
-        return np.zeros(len(values), np.int64), np.zeros(len(values), bool)
-    place = np.minimum(np.searchsorted(table, values), len(table) - 1)
-    return place, table[place] == values
+def ordered(values: np.ndarray) -> np.ndarray:
+    """Places of the values in ascending order: sorts their first bits with the place as one number, which is faster."""
+    bits = np.uint64(max(len(values) - 1, 1).bit_length())
+    places = np.arange(len(values), dtype=np.uint64)
+    order = np.sort((values >> bits << bits) | places) & ((np.uint64(1) << bits) - np.uint64(1))
+    order = order.astype(np.int64)
+    found = values[order]
+    # Different values may share their first bits.
+    return order if (found[1:] >= found[:-1]).all() else np.argsort(values)
+
+
+class Lookup:
+    """Finds values in a sorted table of hashes, from the place where those of the same first bits begin."""
+
+    def __init__(self, table: np.ndarray):
+        self.table = table
+        self.first: np.ndarray | None = None
+
+    def __getstate__(self) -> dict:
+        return {"table": self.table, "first": None}
+
+    def __call__(self, values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Which values are there, and their places in the table."""
+        if not len(self.table):
+            return np.zeros(0, np.int64), np.zeros(0, np.int64)
+        if self.first is None:
+            bits = len(self.table).bit_length() + 1
+            self.shift, self.some_shift = np.uint64(64 - bits), np.uint64(61 - bits)
+            self.first = np.searchsorted(self.table, np.arange(2**bits, dtype=np.uint64) << self.shift).astype(np.int32)
+            self.some = np.zeros(2 ** (bits + 3), bool)
+            self.some[self.table >> self.some_shift] = True
+            self.ended = np.append(self.table, np.uint64(2**64 - 1))
+        at = np.flatnonzero(self.some[values >> self.some_shift])
+        own = values[at]
+        place = self.first[own >> self.shift]
+        left = np.flatnonzero(self.ended[place] < own)
+        while len(left):
+            place[left] += 1
+            left = left[self.ended[place[left]] < own[left]]
+        found = (self.ended[place] == own) & (place < len(self.table))
+        return at[found], place[found]
+
+
+@contextmanager
+def _shuffles_dropped(spark: SparkSession) -> Iterator[None]:
+    """Within, Spark deletes the shuffle files of each query when it ends: the fit reads only what it has stored."""
+    before = spark.conf.get(DROP_SHUFFLES, None)
+    spark.conf.set(DROP_SHUFFLES, "true")
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(DROP_SHUFFLES)
+        else:
+            spark.conf.set(DROP_SHUFFLES, before)
 
 
 def _unigrams(texts: DataFrame) -> DataFrame:
@@ -98,73 +162,92 @@ def _unigrams(texts: DataFrame) -> DataFrame:
 
 
 def bitmap(rows: DataFrame, column: str) -> np.ndarray:
-    """Bits at the hashes in a column: ``2 ** BITS`` of them, so what reaches the driver is bounded."""
-    at = F.col(column).bitwiseAND(F.lit(2**BITS - 1))
-    bits = rows.select(F.shiftright(at, 5).alias("at"), F.expr(f"shiftleft(1L, int({column} & 31))").alias("bit"))
+    """Two bits for each hash in a column, of ``2 ** BITS``, so what reaches the driver is bounded."""
+    both = [c.bitwiseAND(F.lit(2**BITS - 1)).cast("int") for c in (F.col(column), F.shiftrightunsigned(column, BITS))]
+    places = rows.select(F.explode(F.array(*both)).alias("place"))
+    bits = places.select(F.shiftright("place", 5).alias("at"), F.expr("shiftleft(1, place & 31)").alias("bit"))
     found = bits.groupBy("at").agg(F.bit_or("bit").alias("bits")).toArrow()
     out = np.zeros(2 ** (BITS - 5), np.uint32)
-    out[found["at"].to_numpy()] = found["bits"].to_numpy().astype(np.uint32)
+    out[found["at"].to_numpy()] = found["bits"].to_numpy().view(np.uint32)
     return out
 
 
 def may_have(bits: np.ndarray, values: np.ndarray) -> np.ndarray:
     """Whether the values may be among those of a bitmap; false only for those that aren't."""
-    at = values & np.uint64(2**BITS - 1)
-    return (bits[at >> np.uint64(5)] >> (at & np.uint64(31)).astype(np.uint32)) & np.uint32(1) > 0
+
+    def has(values: np.ndarray) -> np.ndarray:
+        at = (values & np.uint64(2**BITS - 1)).astype(np.uint32)
+        return (bits[at >> np.uint32(5)] >> (at & np.uint32(31))) & np.uint32(1) > 0
+
+    out = has(values)
+    first = np.flatnonzero(out)
+    out[first] = has(values[first] >> np.uint64(BITS))
+    return out
 
 
 class SuffixTree:
     """The frequent part of a tree as sorted arrays, and ``rare``, the table ``(gram, weight)`` of its other grams.
 
     ``symbols`` is what a frequent gram adds to the log10 probability of its last token, ``states`` what it adds
-    to that of the next one. ``frequent`` are the tokens that have their count here.
+    to that of the next one. ``frequent`` are the tokens that have the log10 of their unigram here, those that
+    occur ``least`` times; ``whole`` tells that there are no others.
     """
 
-    def __init__(self, total: int, distinct: int, words: np.ndarray, counts: np.ndarray):
+    def __init__(self, total: int, distinct: int, words: np.ndarray, counts: np.ndarray, least: int = 0):
         order = np.argsort(words)
-        self.frequent, self.counts = words[order], counts[order]
+        self.frequent, self.least, self.whole = words[order], least, len(words) == distinct
         self.total, self.scale = total, math.log10(total + 0.5 * (distinct + 1))
-        self.grams = np.zeros(0, np.uint64)
-        self.symbols = self.states = np.zeros(0)
+        self.logs = np.log10(counts[order] + 0.5) - self.scale
+        self.words = Lookup(self.frequent)
+        self.hold(np.zeros(0, np.uint64), np.zeros(0), np.zeros(0))
         self.bits: np.ndarray | None = None
         self.rare: DataFrame | None = None
 
     def __getstate__(self) -> dict:
         return self.__dict__ | {"rare": None}
 
-    def root(self, tokens: np.ndarray) -> np.ndarray:
-        """Smoothed unigram probabilities of frequent tokens."""
-        place, found = member(tokens, self.frequent)
-        if not len(self.frequent):
-            return np.zeros(len(tokens))
-        return np.where(found, 10 ** (np.log10(np.where(found, self.counts[place], 0) + 0.5) - self.scale), 0.0)
+    def hold(self, ids: np.ndarray, symbols: np.ndarray, states: np.ndarray) -> None:
+        """Takes the frequent grams."""
+        order = np.argsort(ids)
+        self.grams, self.symbols, self.states = ids[order], symbols[order], states[order]
+        self.places = Lookup(self.grams)
+
+    @property
+    def unknown(self) -> float:
+        """log10 of the unigram of a token that isn't in the corpus."""
+        return math.log10(0.5) - self.scale
 
-    def score(self, tokens: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    def score(
+        self, tokens: np.ndarray, counts: np.ndarray, runs: list[np.ndarray] | None = None
+    ) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """By token: log10 of what is known of its probability here, whether it is frequent, and log10 of its unigram.
 
         That of a token that isn't frequent is what its frequent states leave to their parents. Its unigram and
-        the weights of the grams that aren't frequent are left for the joins.
+        the weights of the grams that aren't frequent are left for the join. ``runs`` are the grams, if made before.
         """
-        base = self.root(tokens)
-        frequent = base > 0
-        base = np.log10(np.where(frequent, base, 1.0))
+        base, frequent = np.zeros(len(tokens)), np.zeros(len(tokens), bool)
+        at, place = self.words(tokens)
+        base[at], frequent[at] = self.logs[place], True
         known = base.copy()
-        for own in grams(tokens, counts, DEPTH + 1):
-            place, found = member(own, self.grams)
-            if len(self.grams):
-                known += np.where(found, self.symbols[place], 0.0)
-                # A gram that ends in the end of a text is no state, so this adds nothing to the next row.
-                known[1:] += np.where(found, self.states[place], 0.0)[:-1]
+        for own in runs or grams(tokens, counts, DEPTH + 1):
+            at, place = self.places(own)
+            known[at] += self.symbols[place]
+            # A gram that ends in the end of a text is no state, so this adds nothing to the next row.
+            after = at + 1 < len(tokens)
+            known[at[after] + 1] += self.states[place[after]]
         return known, frequent, base
 
-    def others(self, tokens: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Places and hashes of the grams that may be in the table of those that aren't frequent."""
+    def others(self, runs: list[np.ndarray], frequent: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Places and hashes of the tokens that aren't frequent but may be in the corpus, and of the grams that may be in the table."""
         at, found = [], []
-        for own in grams(tokens, counts, DEPTH + 1) if self.bits is not None else ():
-            here = np.flatnonzero((own != 0) & may_have(self.bits, own))
+        for size, own in enumerate(runs, 1):
+            wanted = may_have(self.bits, own) & (own != 0) if self.bits is not None else np.zeros(len(own), bool)
+            if size == 1 and not self.whole:
+                wanted |= ~frequent
+            here = np.flatnonzero(wanted)
             at.append(here)
             found.append(own[here])
-        return (np.concatenate(at), np.concatenate(found)) if at else (np.zeros(0, int), np.zeros(0, np.uint64))
+        return np.concatenate(at), np.concatenate(found)
 
 
 def fit_tree(texts: DataFrame, text: str = "text") -> tuple[SuffixTree, DataFrame]:
@@ -173,8 +256,13 @@ def fit_tree(texts: DataFrame, text: str = "text") -> tuple[SuffixTree, DataFram
     Counts cover all rows; tasks add up their own before the shuffle. A gram occurs ``LEAST`` times only if
     the grams without its first and without its last token do, so bitmaps of these leave out most others
     before the shuffle. Frequent tokens and grams come to the driver: by their part of the total, there are at most
-    ``WORD_PART`` of each length, and of grams no more than that or ``LOCAL_GRAMS`` in all.
+    ``WORD_PART`` of each length, else of tokens and of grams no more than ``LOCAL_GRAMS``.
     """
+    with _shuffles_dropped(texts.sparkSession):
+        return _fit(texts, text)
+
+
+def _fit(texts: DataFrame, text: str) -> tuple[SuffixTree, DataFrame]:
     rows = texts.select(F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text"))
     unigrams = stored(_unigrams(rows), "unigrams")
     total, distinct = unigrams.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
@@ -190,10 +278,8 @@ def fit_tree(texts: DataFrame, text: str = "text") -> tuple[SuffixTree, DataFram
         )
         table = stored(table, "tree")
     local = F.col("n") >= _least_local(table, total)
-    top = table.filter(local).toArrow()
-    ids = top["gram"].to_numpy().view(np.uint64)
-    by = np.argsort(ids)
-    tree.grams, tree.symbols, tree.states = ids[by], top["symbol"].to_numpy()[by], top["state"].to_numpy()[by]
+    top = table.filter(local).select("gram", "symbol", "state").toArrow()
+    tree.hold(top["gram"].to_numpy().view(np.uint64), top["symbol"].to_numpy(), top["state"].to_numpy())
     tree.rare = table.filter(~local).select("gram", (F.col("symbol") + F.col("state")).alias("weight"))
     if not tree.rare.isEmpty():
         tree.bits = bitmap(tree.rare, "gram")
@@ -201,9 +287,9 @@ def fit_tree(texts: DataFrame, text: str = "text") -> tuple[SuffixTree, DataFram
 
 
 def _least_local(table: DataFrame, total: int) -> int:
-    """The count from which on a gram is frequent: the least of some, by which no more than ``LOCAL_GRAMS`` are.
+    """The count ``n`` from which on a gram or token is frequent: the least of some, by which no more than ``LOCAL_GRAMS`` are.
 
-    The last of them is one in ``WORD_PART`` of all tokens, which by itself bounds the number of grams.
+    The last of them is one in ``WORD_PART`` of all tokens, which by itself bounds their number.
     """
     last = -(-total // WORD_PART)
     least = [0, LEAST]
@@ -256,8 +342,12 @@ def _grams_of(rows: DataFrame, bits: np.ndarray, level: int, total: int) -> Data
                 at = np.flatnonzero(whole[1:] & held[1:] & held[:-1]) + 1
                 if not len(at):
                     continue
-                found, index, n = np.unique(own[level][at], return_index=True, return_counts=True)
-                at = at[index]
+                found = own[level][at]
+                order = ordered(found)
+                found, at = found[order], at[order]
+                starts = np.flatnonzero(np.append(True, found[1:] != found[:-1]))
+                n = np.diff(np.append(starts, len(found)))
+                found, at = found[starts], at[starts]
                 bucket = (((found >> np.uint64(32)) * np.uint64(buckets)) >> np.uint64(32)).astype(np.int32)
                 starts = np.flatnonzero(np.append(True, bucket[1:] != bucket[:-1]))
                 cuts = pa.array(np.append(starts, len(bucket)).astype(np.int32))
@@ -273,7 +363,7 @@ def _grams_of(rows: DataFrame, bits: np.ndarray, level: int, total: int) -> Data
             if held:
                 prefix, suffix, n = (np.concatenate(c) for c in zip(*held, strict=True))
                 gram = pair(prefix.view(np.uint64), suffix.view(np.uint64))
-                order = np.argsort(gram)
+                order = ordered(gram)
                 starts = np.flatnonzero(np.append(True, gram[order][1:] != gram[order][:-1]))
                 n = np.add.reduceat(n[order].astype(np.int64), starts)
                 at = order[starts[n >= LEAST]]
@@ -345,17 +435,18 @@ def _level(found: DataFrame, known: DataFrame, total: int, own: Scratch, scratch
 
 
 def _frequent(unigrams: DataFrame, total: int, distinct: int) -> tuple[SuffixTree, bool]:
-    top = unigrams.filter(F.col("n") * WORD_PART >= max(total, 1)).toArrow()
-    return SuffixTree(total, distinct, top["token"].to_numpy().view(np.uint64), top["n"].to_numpy()), total == 0
+    least = _least_local(unigrams, total)
+    top = unigrams.filter(F.col("n") >= least).toArrow()
+    return SuffixTree(total, distinct, top["token"].to_numpy().view(np.uint64), top["n"].to_numpy(), least), total == 0
 
 
 def score_documents(docs: DataFrame, tree: SuffixTree, unigrams: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """``(doc_id, n_tokens, n_known, train_tokens, base_score, score)`` of every row; other columns aren't read.
 
     ``base_score`` is the log10 probability by smoothed unigrams, ``score`` that by the longest suffix states. Frequent
-    tokens are scored where the text is; of the others, each distinct one of a row is sent to its unigram
-    count and the sums back to the row. Rows are told apart by id and text, so repeated rows share their
-    scores. NULL and empty texts are one token, the end. Without any training token, every token has the
+    tokens are scored where the text is; of the others and of the grams that may be in the table, each distinct one of
+    a row is sent to its weights and the sums back to the row. Rows are numbered before, so repeated rows have scores of
+    their own. NULL and empty texts are one token, the end. Without any training token, every token has the
     probability 1 of the one unknown type. An empty table gives an empty result.
     """
     shared = docs.sparkSession.sparkContext.broadcast(tree)
@@ -363,75 +454,70 @@ def score_documents(docs: DataFrame, tree: SuffixTree, unigrams: DataFrame, doc_
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tree = shared.value
 
-        def listed(r: np.ndarray, t: np.ndarray) -> list[pa.Array]:
+        def listed(r: np.ndarray, t: np.ndarray, rows: int) -> list[pa.Array]:
             """The distinct values of each row and how often it has them."""
-            order = np.lexsort((t, r))
+            order = ordered(t)
+            order = order[np.argsort(r[order].astype(np.uint16 if rows < 2**16 else np.int64), kind="stable")]
             r, t = r[order], t[order]
             new = np.ones(len(r), bool)
             new[1:] = (r[1:] != r[:-1]) | (t[1:] != t[:-1])
             starts = np.flatnonzero(new)
             times = np.diff(np.append(starts, len(r)))
-            cuts = pa.array(np.append(0, np.cumsum(np.bincount(r[starts], minlength=len(counts)))).astype(np.int32))
+            cuts = pa.array(np.append(0, np.cumsum(np.bincount(r[starts], minlength=rows))).astype(np.int32))
             values = (t[starts].view(np.int64), times.astype(np.int32))
             return [pa.ListArray.from_arrays(cuts, pa.array(v)) for v in values]
 
         for batch in batches:
-            for first, end, data, at in chunks(batch.column(2), CHUNK):
+            for first, end, data, at in chunks(batch.column(1), CHUNK):
                 tokens, counts = token_streams(data, at)
                 row = np.repeat(np.arange(len(counts)), counts)
-                known, frequent, base = tree.score(tokens, counts)
+                runs = grams(tokens, counts, DEPTH + 1)
+                known, frequent, base = tree.score(tokens, counts, runs)
                 sums = [np.bincount(row, weights=w, minlength=len(counts)) for w in (known, base, frequent)]
-                place, others = tree.others(tokens, counts)
-                lists = [*listed(row[~frequent], tokens[~frequent]), *listed(row[place], others)]
+                # For the others, the join adds what their unigrams have more than that of an unknown token.
+                missed = (counts - sums[2]) * tree.unknown
+                place, others = tree.others(runs, frequent)
                 yield pa.RecordBatch.from_arrays(
                     [
                         batch.column(0)[first:end],
-                        batch.column(1)[first:end],
                         pa.array(counts),
                         pa.array(sums[2].astype(np.int64)),
-                        pa.array(sums[1]),
-                        pa.array(sums[0]),
-                        *lists,
+                        pa.array(sums[1] + missed),
+                        pa.array(sums[0] + missed),
+                        *listed(row[place], others, len(counts)),
                     ],
-                    ["id", "hash", "n_tokens", "known", "base", "part", "rare", "times", "grams", "often"],
+                    ["id", "n_tokens", "known", "base", "part", "keys", "times"],
                 )
 
     source = docs.select(
         F.col(doc_id).cast("long").alias("id"), F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text")
-    ).select("id", F.xxhash64("text").alias("hash"), "text")
+    )
     made = source.mapInArrow(
         read,
-        "id long, hash long, n_tokens long, known long, base double, part double, rare array<long>, times array<int>,"
-        " grams array<long>, often array<int>",
+        "id long, n_tokens long, known long, base double, part double, keys array<long>, times array<int>",
     )
-    made = stored(made, "scored")
-    copies = F.count("*").over(Window.partitionBy("id", "hash"))
-    scored = made.drop("rare", "times", "grams", "often").withColumn("copies", copies)
-    rare = made.select("id", "hash", F.explode(F.arrays_zip("rare", "times")).alias("r")).select(
-        "id", "hash", F.col("r.rare").alias("token"), F.col("r.times").alias("times")
+    made = stored(made.withColumn("row", F.monotonically_increasing_id()), "scored")
+    # A token is also the gram of its length, so a key may have a row of either table.
+    table = unigrams.filter(F.col("n") < tree.least).select(
+        F.col("token").alias("key"), F.lit(1).alias("known"), (F.log10(F.col("n") + 0.5) - math.log10(0.5)).alias("base"),
+        F.lit(0.0).alias("weight"),
     )
-    log = F.log10(F.coalesce("n", F.lit(0)) + 0.5) - tree.scale
-    rare = rare.join(unigrams, "token", "left").groupBy("id", "hash").agg(
-        F.sum(F.col("times") * log).alias("rare_log"),
-        F.sum(F.when(F.col("n").isNotNull(), F.col("times")).otherwise(0)).alias("rare_known"),
-    )
-    rare = rare.select(F.col("id").alias("rid"), F.col("hash").alias("rhash"), "rare_log", "rare_known")
-    # Equal rows of one id have added up in the sums.
-    both = scored.join(rare, F.col("id").eqNullSafe(F.col("rid")) & (F.col("hash") == F.col("rhash")), "left")
-    gained = F.lit(0.0)
     if tree.bits is not None:
-        deep = made.select("id", "hash", F.explode(F.arrays_zip("grams", "often")).alias("g")).select(
-            "id", "hash", F.col("g.grams").alias("gram"), F.col("g.often").alias("often")
-        )
-        deep = deep.join(tree.rare, "gram").groupBy("id", "hash").agg(F.sum(F.col("often") * F.col("weight")).alias("gained"))
-        deep = deep.select(F.col("id").alias("gid"), F.col("hash").alias("ghash"), "gained")
-        both = both.join(deep, F.col("id").eqNullSafe(F.col("gid")) & (F.col("hash") == F.col("ghash")), "left")
-        gained = F.coalesce("gained", F.lit(0.0)) / F.col("copies")
+        table = table.unionAll(tree.rare.select(F.col("gram").alias("key"), F.lit(0), F.lit(0.0), "weight"))
+    asked = made.select("row", F.explode(F.arrays_zip("keys", "times")).alias("k")).select(
+        "row", F.col("k.keys").alias("key"), F.col("k.times").alias("times")
+    )
+    gained = asked.join(table, "key").groupBy("row").agg(
+        F.sum(F.col("times") * F.col("known")).alias("more"),
+        F.sum(F.col("times") * F.col("base")).alias("base_more"),
+        F.sum(F.col("times") * (F.col("base") + F.col("weight"))).alias("part_more"),
+    )
+    both = made.drop("keys", "times").join(gained, "row", "left")
     return both.select(
         F.col("id").alias("doc_id"),
         "n_tokens",
-        (F.col("known") + (F.coalesce("rare_known", F.lit(0)) / F.col("copies")).cast("long")).alias("n_known"),
+        (F.col("known") + F.coalesce("more", F.lit(0))).cast("long").alias("n_known"),
         F.lit(tree.total).cast("long").alias("train_tokens"),
-        (F.col("base") + F.coalesce("rare_log", F.lit(0.0)) / F.col("copies")).alias("base_score"),
-        (F.col("part") + F.coalesce("rare_log", F.lit(0.0)) / F.col("copies") + gained).alias("score"),
+        (F.col("base") + F.coalesce("base_more", F.lit(0.0))).alias("base_score"),
+        (F.col("part") + F.coalesce("part_more", F.lit(0.0))).alias("score"),
     )

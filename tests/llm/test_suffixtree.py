@@ -1,6 +1,9 @@
+import glob
 import os
 import random
+import time
 
+import numpy as np
 import pytest
 
 from dqspark.llm import suffixtree
@@ -37,3 +40,44 @@ def test_tables_of_the_fit_are_deleted(texts, spark, monkeypatch, tmp_path):
     tree, unigrams = suffixtree.fit_tree(texts)
     assert sorted(n.split("-")[0] for n in os.listdir(tmp_path / "dqspark")) == ["tree", "unigrams"]
     assert unigrams.count() > 0 and len(tree.grams) > 0
+
+
+def test_shuffles_of_the_fit_are_dropped(texts, spark):
+    root = os.path.dirname(os.path.dirname(spark.sparkContext._temp_dir))
+    files = lambda: set(glob.glob(f"{root}/blockmgr-*/*/shuffle_*.data"))
+    before, key = files(), suffixtree.DROP_SHUFFLES
+    texts.groupBy("doc_id").count().write.format("noop").mode("overwrite").save()
+    assert files() - before
+    before, setting = files(), spark.conf.get(key)
+    suffixtree.fit_tree(texts)
+    for _ in range(50):
+        if not files() - before:
+            break
+        time.sleep(0.2)
+    assert not files() - before and spark.conf.get(key) == setting
+
+
+def test_rare_tokens_and_repeated_rows(texts, monkeypatch):
+    """Tokens are sent up to a number, not by their share; rows of one id and text keep scores of their own."""
+    monkeypatch.setattr(suffixtree, "WORD_PART", 4)
+    tree, unigrams = suffixtree.fit_tree(texts)
+    assert tree.whole and len(tree.frequent) == unigrams.count()
+    all_scores = scores(texts, tree, unigrams)
+    monkeypatch.setattr(suffixtree, "LOCAL_GRAMS", 50)
+    few, unigrams = suffixtree.fit_tree(texts)
+    assert not few.whole and 0 < len(few.frequent) <= 50
+    rows = suffixtree.score_documents(texts.unionAll(texts), few, unigrams).collect()
+    assert len(rows) == 2 * len(all_scores)
+    for r in rows:
+        assert (r["base_score"], r["score"]) == pytest.approx(all_scores[r["doc_id"]])
+        assert r["n_known"] == r["n_tokens"]
+
+
+def test_lookups_and_order_against_numpy():
+    values = np.random.default_rng(5).integers(0, 2**64, 5000, dtype=np.uint64)
+    close = np.uint64(7 << 60) + np.arange(40, dtype=np.uint64)
+    values = np.concatenate([values, values[:900], close[::-1], np.array([0, 2**64 - 1], np.uint64)])
+    assert (values[suffixtree.ordered(values)] == np.sort(values)).all()
+    for table in (np.unique(values[::2]), np.unique(values)[:-1], values[:0], values[:1], close[::3]):
+        at, place = suffixtree.Lookup(table)(values)
+        assert (at == np.flatnonzero(np.isin(values, table))).all() and (table[place] == values[at]).all()
