@@ -22,6 +22,8 @@ from functools import reduce
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark import Broadcast
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -35,6 +37,10 @@ BITS = 26
 """Bitmaps have ``2 ** BITS`` bits. They only keep rows from the shuffles, no result depends on them."""
 BUCKET_TOKENS = 2**18
 """Grams are counted in buckets, one for so many tokens of the corpus, of which a task holds one at a time."""
+ASKED_TOKENS = 2**22
+"""Weights are looked up in buckets, one for so many tokens of the corpus."""
+BLOCK = 2**19
+"""Rows are scored in blocks, each of which asks for about so many weights."""
 LOCAL_GRAMS = 2**20
 """At most so many grams of the tree and so many words, the most frequent ones, are sent to every executor."""
 WORD_PART = 2**18
@@ -100,7 +106,17 @@ def ordered(values: np.ndarray) -> np.ndarray:
     order = order.astype(np.int64)
     found = values[order]
     # Different values may share their first bits.
-    return order if (found[1:] >= found[:-1]).all() else np.argsort(values)
+    return order if (found[1:] >= found[:-1]).all() else np.argsort(values, kind="stable")
+
+
+def packed(values: np.ndarray) -> bytes:
+    """The first bytes of all values, then the second ones and so on, which leaves runs of zeros for Spark to compress."""
+    return values.view(np.uint8).reshape(-1, values.itemsize).T.tobytes()
+
+
+def unpacked(data: bytes, kind: type) -> np.ndarray:
+    size = np.dtype(kind).itemsize
+    return np.ascontiguousarray(np.frombuffer(data, np.uint8).reshape(size, -1).T).view(kind).ravel()
 
 
 class Lookup:
@@ -135,6 +151,29 @@ class Lookup:
         return at[found], place[found]
 
 
+class Numbered:
+    """Frequent words by number, the more frequent ones first."""
+
+    def __init__(self, words: np.ndarray, often: np.ndarray):
+        self.words = words[np.argsort(-often, kind="stable")]
+        self.numbers = np.argsort(self.words).astype(np.int32)
+        self.places = Lookup(self.words[self.numbers])
+
+    def __call__(self, tokens: np.ndarray) -> np.ndarray:
+        """The numbers of tokens, -1 for others."""
+        out = np.full(len(tokens), -1, np.int32)
+        at, place = self.places(tokens)
+        out[at] = self.numbers[place]
+        return out
+
+    def ends(self, numbers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The hashes of runs of words, one to a row, without their last and without their first word."""
+        own = list(self.words[numbers].T)
+        while len(own) > 2:
+            own = [pair(a, b) for a, b in zip(own[:-1], own[1:], strict=True)]
+        return own[0], own[1]
+
+
 @contextmanager
 def _shuffles_dropped(spark: SparkSession) -> Iterator[None]:
     """Within, Spark deletes the shuffle files of each query when it ends: the fit reads only what it has stored."""
@@ -307,10 +346,13 @@ def _weights(rows: DataFrame, unigrams: DataFrame, tree: SuffixTree, scratch: Sc
         F.col("token").alias("gram"), "n", (F.log10(F.col("n") + 0.5) - tree.scale).alias("p")
     )
     known = scratch.stored(known, "grams")
+    words = rows.sparkSession.sparkContext.broadcast(Numbered(tree.frequent, tree.logs))
     weights = []
     for level in range(1, DEPTH + 1):
         with Scratch(rows.sparkSession) as own:
-            found = own.stored(_grams_of(rows, bitmap(known, "gram"), level, tree.total), "counted")
+            bits = rows.sparkSession.sparkContext.broadcast(bitmap(known, "gram"))
+            found = own.stored(_grams_of(rows, bits, words, level, tree.total), "counted")
+            bits.destroy()
             if found.isEmpty():
                 break
             states, known = _level(found, known, tree.total, own, scratch)
@@ -321,24 +363,27 @@ def _weights(rows: DataFrame, unigrams: DataFrame, tree: SuffixTree, scratch: Sc
                 F.col("n").alias("size"),
             ),
         ]
+    words.destroy()
     return weights
 
 
-def _grams_of(rows: DataFrame, bits: np.ndarray, level: int, total: int) -> DataFrame:
+def _grams_of(rows: DataFrame, bits: Broadcast[np.ndarray], words: Broadcast[Numbered], level: int, total: int) -> DataFrame:
     """``(gram, prefix, suffix, n)`` of the grams of ``level + 1`` tokens that occur often enough.
 
-    Tasks send what they have counted as lists, one for each bucket of hashes, so the shuffle has few rows.
+    Tasks send what they have counted as lists, one for each bucket of hashes, so the shuffle has few rows. A gram of
+    frequent words only is sent as their numbers, any other as the hashes ``prefix`` and ``suffix`` with the count ``m``.
     """
-    shared = rows.sparkSession.sparkContext.broadcast(bits)
     parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     buckets = max(parts, total // BUCKET_TOKENS + 1)
+    names = ["bucket", "low", "high", "n", "prefix", "suffix", "m"]
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for _, _, data, at in chunks(batch.column(0), CHUNK * 4):
-                own = grams(*token_streams(data, at), level + 1)
+                tokens, counts = token_streams(data, at)
+                own = grams(tokens, counts, level + 1)
                 ends, whole = own[level - 1], own[level] != 0
-                held = may_have(shared.value, ends)
+                held = may_have(bits.value, ends)
                 at = np.flatnonzero(whole[1:] & held[1:] & held[:-1]) + 1
                 if not len(at):
                     continue
@@ -349,11 +394,24 @@ def _grams_of(rows: DataFrame, bits: np.ndarray, level: int, total: int) -> Data
                 n = np.diff(np.append(starts, len(found)))
                 found, at = found[starts], at[starts]
                 bucket = (((found >> np.uint64(32)) * np.uint64(buckets)) >> np.uint64(32)).astype(np.int32)
-                starts = np.flatnonzero(np.append(True, bucket[1:] != bucket[:-1]))
-                cuts = pa.array(np.append(starts, len(bucket)).astype(np.int32))
-                values = ends[at - 1].view(np.int64), ends[at].view(np.int64), n.astype(np.int32)
-                lists = [pa.ListArray.from_arrays(cuts, pa.array(v)) for v in values]
-                yield pa.RecordBatch.from_arrays([pa.array(bucket[starts]), *lists], ["bucket", "prefix", "suffix", "n"])
+                sent = bucket[np.flatnonzero(np.append(True, bucket[1:] != bucket[:-1]))]
+                numbers = words.value(tokens)
+                runs = np.stack([numbers[at - i] for i in range(level, -1, -1)], 1)
+                whole = (runs >= 0).all(1)
+                runs, others = runs[whole].ravel(), at[~whole]
+                columns = [
+                    (whole, (runs & 0xFFFF).astype(np.uint16).view(np.int16), level + 1),
+                    (whole, (runs >> 16).astype(np.int8), level + 1),
+                    (whole, n[whole].astype(np.int32), 1),
+                    (~whole, ends[others - 1].view(np.int64), 1),
+                    (~whole, ends[others].view(np.int64), 1),
+                    (~whole, n[~whole].astype(np.int32), 1),
+                ]
+                lists = [
+                    pa.ListArray.from_arrays(pa.array((np.searchsorted(bucket[of], np.append(sent, buckets)) * wide).astype(np.int32)), v)
+                    for of, v, wide in columns
+                ]
+                yield pa.RecordBatch.from_arrays([pa.array(sent), *lists], names)
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[list[np.ndarray]] = []
@@ -361,7 +419,11 @@ def _grams_of(rows: DataFrame, bits: np.ndarray, level: int, total: int) -> Data
 
         def flush() -> Iterator[pa.RecordBatch]:
             if held:
-                prefix, suffix, n = (np.concatenate(c) for c in zip(*held, strict=True))
+                low, high, n, prefix, suffix, m = (np.concatenate(c) for c in zip(*held, strict=True))
+                numbers = low.view(np.uint16).astype(np.int32) | high.astype(np.int32) << 16
+                first, last = words.value.ends(numbers.reshape(-1, level + 1))
+                prefix, suffix = np.append(first.view(np.int64), prefix), np.append(last.view(np.int64), suffix)
+                n = np.append(n, m)
                 gram = pair(prefix.view(np.uint64), suffix.view(np.uint64))
                 order = ordered(gram)
                 starts = np.flatnonzero(np.append(True, gram[order][1:] != gram[order][:-1]))
@@ -381,7 +443,9 @@ def _grams_of(rows: DataFrame, bits: np.ndarray, level: int, total: int) -> Data
                 held.append([c.slice(begin, end - begin).flatten().to_numpy() for c in batch.columns[1:]])
         yield from flush()
 
-    sent = rows.mapInArrow(count, "bucket int, prefix array<long>, suffix array<long>, n array<int>")
+    kinds = "array<short>, array<byte>, array<int>, array<long>, array<long>, array<int>".split(", ")
+    schema = ", ".join(f"{a} {b}" for a, b in zip(names, ["int", *kinds], strict=True))
+    sent = rows.mapInArrow(count, schema)
     sent = sent.repartitionById(parts, F.col("bucket") % parts).sortWithinPartitions("bucket")
     return sent.mapInArrow(add, "gram long, prefix long, suffix long, n long")
 
@@ -444,80 +508,115 @@ def score_documents(docs: DataFrame, tree: SuffixTree, unigrams: DataFrame, doc_
     """``(doc_id, n_tokens, n_known, train_tokens, base_score, score)`` of every row; other columns aren't read.
 
     ``base_score`` is the log10 probability by smoothed unigrams, ``score`` that by the longest suffix states. Frequent
-    tokens are scored where the text is; of the others and of the grams that may be in the table, each distinct one of
-    a row is sent to its weights and the sums back to the row. Rows are numbered before, so repeated rows have scores of
-    their own. NULL and empty texts are one token, the end. Without any training token, every token has the
-    probability 1 of the one unknown type. An empty table gives an empty result.
+    tokens are scored where the text is. The others and the grams that may be in the table are asked for by blocks of
+    rows, in lists by bucket of hashes; each bucket sends its sums by row back to the block. Rows are numbered in their
+    block, so repeated rows have scores of their own. NULL and empty texts are one token, the end. Without any training
+    token, every token has the probability 1 of the one unknown type. An empty table gives an empty result.
     """
     shared = docs.sparkSession.sparkContext.broadcast(tree)
-
-    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tree = shared.value
-
-        def listed(r: np.ndarray, t: np.ndarray, rows: int) -> list[pa.Array]:
-            """The distinct values of each row and how often it has them."""
-            order = ordered(t)
-            order = order[np.argsort(r[order].astype(np.uint16 if rows < 2**16 else np.int64), kind="stable")]
-            r, t = r[order], t[order]
-            new = np.ones(len(r), bool)
-            new[1:] = (r[1:] != r[:-1]) | (t[1:] != t[:-1])
+    buckets = tree.total // ASKED_TOKENS + 1
+    # A row has what is known of a block, or else what it asks of a bucket.
+    own = "id array<long>, n_tokens array<long>, known array<long>, base array<double>, part array<double>"
+    names = [c.split()[0] for c in own.split(", ")]
+
+    def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tree, block, rows, held, asked = shared.value, -1, 0, [], []
+
+        def flush() -> pa.RecordBatch:
+            at, keys = (np.concatenate(c) for c in zip(*asked, strict=True))
+            order = ordered(keys)
+            at, keys = at[order], keys[order]
+            new = np.ones(len(keys), bool)
+            new[1:] = (keys[1:] != keys[:-1]) | (at[1:] != at[:-1])
             starts = np.flatnonzero(new)
-            times = np.diff(np.append(starts, len(r)))
-            cuts = pa.array(np.append(0, np.cumsum(np.bincount(r[starts], minlength=rows))).astype(np.int32))
-            values = (t[starts].view(np.int64), times.astype(np.int32))
-            return [pa.ListArray.from_arrays(cuts, pa.array(v)) for v in values]
+            times = np.diff(np.append(starts, len(keys))).astype(np.uint32)
+            at, keys = at[starts], keys[starts]
+            bucket = (((keys >> np.uint64(32)) * np.uint64(buckets)) >> np.uint64(32)).astype(np.int32)
+            cuts = np.append(np.flatnonzero(np.diff(bucket, prepend=-1)), len(bucket))
+            out = [
+                (packed(at[a:b]), packed(np.diff(keys[a:b], prepend=np.uint64(0))), packed(times[a:b]))
+                for a, b in zip(cuts[:-1], cuts[1:], strict=True)
+            ]
+            lists = [pa.concat_arrays(c) for c in zip(*held, strict=True)]
+            lists = [pa.ListArray.from_arrays(pa.array([0, rows], pa.int32()), c) for c in lists]
+            return pa.RecordBatch.from_arrays(
+                [
+                    pa.array(np.append(bucket[cuts[:-1]], block % buckets).astype(np.int32)),
+                    pa.array(np.full(len(cuts), block)),
+                    *[pa.array([*c, None], pa.binary()) for c in (zip(*out, strict=True) if out else [()] * 3)],
+                    *[pa.concat_arrays([pa.nulls(len(out), c.type), c]) for c in lists],
+                ],
+                ["bucket", "block", "rows", "gaps", "times", *names],
+            )
 
         for batch in batches:
-            for first, end, data, at in chunks(batch.column(1), CHUNK):
+            for first, end, data, at in chunks(batch.column(2), CHUNK):
+                # Of the partition's number and that of the block in it.
+                block = batch.column(0)[0].as_py() << 32 if block < 0 else block
                 tokens, counts = token_streams(data, at)
                 row = np.repeat(np.arange(len(counts)), counts)
                 runs = grams(tokens, counts, DEPTH + 1)
                 known, frequent, base = tree.score(tokens, counts, runs)
                 sums = [np.bincount(row, weights=w, minlength=len(counts)) for w in (known, base, frequent)]
-                # For the others, the join adds what their unigrams have more than that of an unknown token.
+                # For the others, the buckets add what their unigrams have more than that of an unknown token.
                 missed = (counts - sums[2]) * tree.unknown
+                values = counts.astype(np.int64), sums[2].astype(np.int64), sums[1] + missed, sums[0] + missed
+                held.append([batch.column(1)[first:end], *map(pa.array, values)])
                 place, others = tree.others(runs, frequent)
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        batch.column(0)[first:end],
-                        pa.array(counts),
-                        pa.array(sums[2].astype(np.int64)),
-                        pa.array(sums[1] + missed),
-                        pa.array(sums[0] + missed),
-                        *listed(row[place], others, len(counts)),
-                    ],
-                    ["id", "n_tokens", "known", "base", "part", "keys", "times"],
-                )
+                asked.append(((row[place] + rows).astype(np.uint32), others))
+                rows += len(counts)
+                if max(rows, sum(len(keys) for _, keys in asked)) >= BLOCK:
+                    yield flush()
+                    block, rows, held, asked = block + 1, 0, [], []
+        if held:
+            yield flush()
+
+    def answer(asks: pa.Table, table: pa.Table) -> pa.Table:
+        tokens, n = table["key"].to_numpy().view(np.uint64), table["n"].to_numpy()
+        keys, place = np.unique(tokens, return_inverse=True)
+        # A token is also the gram of its length, so a key may have a row of either kind.
+        known, base = (np.bincount(place, w, len(keys)) for w in (n > 0, np.log10(n + 0.5) - math.log10(0.5)))
+        weight = base + np.bincount(place, table["weight"].to_numpy(), len(keys))
+        block, out = [], []
+        for row in asks.filter(pc.is_valid(asks["rows"])).select(["block", "rows", "gaps", "times"]).to_pylist() if len(keys) else ():
+            at, times = unpacked(row["rows"], np.uint32), unpacked(row["times"], np.uint32)
+            wanted = np.cumsum(unpacked(row["gaps"], np.uint64), dtype=np.uint64)
+            place = np.minimum(np.searchsorted(keys, wanted), len(keys) - 1)
+            hit = keys[place] == wanted
+            at, times, place = at[hit], times[hit], place[hit]
+            at, slot = np.unique(at, return_inverse=True)
+            sums = [np.bincount(slot, times * w[place], len(at)) for w in (known, base, weight)]
+            block.append(row["block"])
+            out.append((packed(at), packed(sums[0].astype(np.uint32)), packed(sums[1]), packed(sums[2])))
+        sent = asks.filter(pc.is_null(asks["rows"])).select(["block", *names])
+        found = pa.table([pa.array(block, pa.int64()), *[pa.array(c, pa.binary()) for c in (zip(*out, strict=True) if out else [()] * 4)]],
+                         ["block", "rows", "more", "base_more", "part_more"])
+        return pa.concat_tables([sent, found], promote_options="default")
+
+    def merge(sent: pa.Table) -> pa.Table:
+        whole = sent.filter(pc.is_null(sent["rows"]))
+        doc, tokens, known, base, part = (whole[c].combine_chunks().flatten() for c in names)
+        known, base, part = (c.to_numpy().copy() for c in (known, base, part))
+        for row in sent.filter(pc.is_valid(sent["rows"])).select(["rows", "more", "base_more", "part_more"]).to_pylist():
+            at = unpacked(row["rows"], np.uint32)
+            known[at] += unpacked(row["more"], np.uint32)
+            base[at] += unpacked(row["base_more"], np.float64)
+            part[at] += unpacked(row["part_more"], np.float64)
+        return pa.table([doc, tokens, *map(pa.array, (known, base, part))], ["doc_id", "n_tokens", "n_known", "base_score", "score"])
 
     source = docs.select(
-        F.col(doc_id).cast("long").alias("id"), F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text")
-    )
-    made = source.mapInArrow(
-        read,
-        "id long, n_tokens long, known long, base double, part double, keys array<long>, times array<int>",
-    )
-    made = stored(made.withColumn("row", F.monotonically_increasing_id()), "scored")
-    # A token is also the gram of its length, so a key may have a row of either table.
-    table = unigrams.filter(F.col("n") < tree.least).select(
-        F.col("token").alias("key"), F.lit(1).alias("known"), (F.log10(F.col("n") + 0.5) - math.log10(0.5)).alias("base"),
-        F.lit(0.0).alias("weight"),
+        F.spark_partition_id().alias("at"), F.col(doc_id).cast("long").alias("id"),
+        F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text"),
     )
+    asks = source.mapInArrow(ask, f"bucket int, block long, rows binary, gaps binary, times binary, {own}")
+    table = unigrams.filter(F.col("n") < tree.least).select(F.col("token").alias("key"), "n", F.lit(0.0).alias("weight"))
     if tree.bits is not None:
-        table = table.unionAll(tree.rare.select(F.col("gram").alias("key"), F.lit(0), F.lit(0.0), "weight"))
-    asked = made.select("row", F.explode(F.arrays_zip("keys", "times")).alias("k")).select(
-        "row", F.col("k.keys").alias("key"), F.col("k.times").alias("times")
-    )
-    gained = asked.join(table, "key").groupBy("row").agg(
-        F.sum(F.col("times") * F.col("known")).alias("more"),
-        F.sum(F.col("times") * F.col("base")).alias("base_more"),
-        F.sum(F.col("times") * (F.col("base") + F.col("weight"))).alias("part_more"),
+        table = table.unionAll(tree.rare.select(F.col("gram").alias("key"), F.lit(0).cast("long").alias("n"), "weight"))
+    bucket = F.shiftright(F.shiftrightunsigned("key", 32) * F.lit(buckets), 32).cast("int")
+    sent = asks.groupBy("bucket").cogroup(table.withColumn("bucket", bucket).groupBy("bucket")).applyInArrow(
+        answer, f"block long, {own}, rows binary, more binary, base_more binary, part_more binary"
     )
-    both = made.drop("keys", "times").join(gained, "row", "left")
-    return both.select(
-        F.col("id").alias("doc_id"),
-        "n_tokens",
-        (F.col("known") + F.coalesce("more", F.lit(0))).cast("long").alias("n_known"),
-        F.lit(tree.total).cast("long").alias("train_tokens"),
-        (F.col("base") + F.coalesce("base_more", F.lit(0.0))).alias("base_score"),
-        (F.col("part") + F.coalesce("part_more", F.lit(0.0))).alias("score"),
+    scored = sent.groupBy("block").applyInArrow(
+        merge, "doc_id long, n_tokens long, n_known long, base_score double, score double"
     )
+    return scored.select("doc_id", "n_tokens", "n_known", F.lit(tree.total).cast("long").alias("train_tokens"), "base_score", "score")
