@@ -162,8 +162,9 @@ class Numbered:
     def __call__(self, tokens: np.ndarray) -> np.ndarray:
         """The numbers of tokens, -1 for others."""
         out = np.full(len(tokens), -1, np.int32)
-        at, place = self.places(tokens)
-        out[at] = self.numbers[place]
+        for first in range(0, len(tokens), SPAN):
+            at, place = self.places(tokens[first : first + SPAN])
+            out[first + at] = self.numbers[place]
         return out
 
     def ends(self, numbers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -381,13 +382,13 @@ def _grams_of(rows: DataFrame, bits: Broadcast[np.ndarray], words: Broadcast[Num
         for batch in batches:
             for _, _, data, at in chunks(batch.column(0), CHUNK * 4):
                 tokens, counts = token_streams(data, at)
-                own = grams(tokens, counts, level + 1)
-                ends, whole = own[level - 1], own[level] != 0
+                own = grams(tokens, counts, level + 1)[level - 1 :]
+                ends, whole = own[0], own[1] != 0
                 held = may_have(bits.value, ends)
                 at = np.flatnonzero(whole[1:] & held[1:] & held[:-1]) + 1
                 if not len(at):
                     continue
-                found = own[level][at]
+                found = own.pop()[at]
                 order = ordered(found)
                 found, at = found[order], at[order]
                 starts = np.flatnonzero(np.append(True, found[1:] != found[:-1]))
